@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, license, packing, repeats, topk
+from . import decontaminate, jaccard, langid, license, packing, pii, repeats, topk, toxicity
 from .common import read
 
 
@@ -17,6 +17,15 @@ def crc_mod(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op3_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(read(spark, sf_dir, "documents"), license.known_licenses(spark))
 
@@ -34,6 +43,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels").filter(crc_mod(3) != 1))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", (crc_mod(3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(crc_mod(5) != 0))
@@ -54,7 +70,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter("id % 20 = 0"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_license_digest, op4_decontaminate, op5_substring_dedup, op6_line_dedup, op8_language_id, op9_best_fit_packing, op10_exact_topk)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_license_digest, op4_decontaminate, op5_substring_dedup, op6_line_dedup, op7_toxicity, op8_language_id, op9_best_fit_packing, op10_exact_topk)}
 
 _UPPER, _LOWER = decontaminate.UPPER, decontaminate.LOWER
 
@@ -77,6 +93,14 @@ def _quote(x: str) -> str:
 _KNOWN_SQL = ", ".join(f"({_quote(k)}, {_quote(v)})" for k, v in sorted(license.KNOWN.items()))
 
 SQL: dict[str, str] = {
+    "op2_ngram_jaccard": f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, m AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY 1) USING (doc_id)""",
     "op3_license_digest": f"""
 WITH known AS (SELECT sha256({_canonical_sql("text")}) AS digest, min(license_id) AS license_id FROM (VALUES {_KNOWN_SQL}) t(license_id, text) GROUP BY 1),
 d AS (SELECT doc_id, sha256({_canonical_sql("text")}) AS digest FROM documents)

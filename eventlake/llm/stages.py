@@ -1,0 +1,46 @@
+"""Stages of the corpus pipeline: function(spark, docs, sf_dir) -> DataFrame with the columns of documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import decontaminate, jaccard, packing, repeats, toxicity
+from .common import read
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not predict toxic (score below 0.7), learnt from the labels of docs."""
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    bad = toxicity.score(docs.select("doc_id", "text"), model).filter("predicted = 1").select("doc_id")
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the later copies of repeated runs of lines; n_chars is counted anew where text changed."""
+    new = repeats.line_dedup(docs).select("doc_id", F.col("text").alias("new_text"), "n_removed")
+    out = docs.join(new, "doc_id", "left").withColumn("hit", F.coalesce("n_removed", F.lit(0)) > 0)
+    out = out.withColumn("text", F.when(F.col("hit"), F.col("new_text")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("hit"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest doc_id."""
+    copies = jaccard.near_duplicates(docs).filter("component_id <> doc_id").select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a contaminating share of benchmark windows."""
+    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    """Pieces of all documents, placed in sequences of at most 2048 tokens."""
+    if tokenizer_path is None:
+        import public_tokenizers
+
+        tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(docs, tokenizer_path)
