@@ -26,32 +26,47 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 WHOLE = re.compile(r"\s\s|<\|")
 
 
+#: Letters below this are classed alike by every version of Unicode, so that both libraries cut them alike.
+PLAIN = "\u0250"
+
+
 class _Chunks(dict):
     """Token ids of a chunk (little-endian 32-bit), by the chunk without its prefix."""
 
-    def __init__(self, tokenizer, prefix: str):
+    def __init__(self, plain, other, prefix: str):
         super().__init__()
-        self.tokenizer, self.prefix = tokenizer, prefix
+        self.plain, self.other, self.prefix = plain, other, prefix
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHE_WORDS // 2:
+        if len(self) >= CACHE_WORDS:
             self.clear()
-        ids = self.tokenizer.encode(self.prefix + chunk, add_special_tokens=False).ids
+        text = self.prefix + chunk
+        ids = self.plain(text) if max(text) < PLAIN else self.other(text)
         self[chunk] = value = np.asarray(ids, "<u4").tobytes()
         return value
 
 
 @functools.lru_cache(2)
-def encoder(path: str):
+def encoder(path: str, ranks: tuple[str, str] | None = None):
     """text -> token ids as little-endian bytes, equal to those of the tokenizer file on the whole text.
 
     This kind of tokenizer never joins characters across a single space or line end that stands between
-    other characters, so that each word's ids can be looked up once they are known.
+    other characters, so that each word's ids can be looked up once they are known. With ranks, a file of the same
+    vocabulary as ranks and its splitting pattern, words of plain letters are encoded by the faster library.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    first, later = _Chunks(tokenizer, ""), _Chunks(tokenizer, " ")
+    other = plain = lambda x: tokenizer.encode(x, add_special_tokens=False).ids
+    if ranks:
+        import base64
+
+        import tiktoken
+
+        with open(ranks[0], "rb") as f:
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        plain = tiktoken.Encoding("plain", pat_str=ranks[1], mergeable_ranks=table, special_tokens={}).encode_ordinary
+    first, later = _Chunks(plain, other, ""), _Chunks(plain, other, " ")
     line_end = first["\n"]
 
     def encode(text: str) -> bytes:
@@ -70,12 +85,12 @@ def encoder(path: str):
     return encode
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, ranks: tuple[str, str] | None = None) -> DataFrame:
     """The documents' pieces: doc_id, piece, start, length, ids_crc32, and where they stand among pieces of
     their length in their task (part, nth). A null text is empty; each document ends with id 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen = encoder(tokenizer_path), defaultdict(int)
+        encode, seen = encoder(tokenizer_path, ranks), defaultdict(int)
         part = TaskContext.get().partitionId()
         names = [x.split()[0] for x in PIECES.split(", ")]
         for batch in batches:
@@ -158,14 +173,15 @@ def best_fit_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[t
     return plan
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, ranks: tuple[str, str] | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
+    The tokenizer's files (tokenizer_path, and ranks as encoder() takes them) lie on every machine.
     docs has doc_id and text; other columns are ignored, repeated rows are packed each. Documents longer than
     capacity are cut into capacity-token pieces of which the first may be shorter. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    cut = save(pieces(docs, tokenizer_path, capacity), "pieces")
+    cut = save(pieces(docs, tokenizer_path, capacity, ranks), "pieces")
     counts = cut.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")
     ranked = cut.join(counts.select("length", "part", before.alias("before")), ["length", "part"])

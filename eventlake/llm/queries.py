@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, license, packing, pii, repeats, topk, toxicity
+from . import decontaminate, jaccard, langid, license, packing, pii, repeats, stages, topk, toxicity
 from .common import read
 
 
@@ -57,12 +57,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_mod(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-def op9_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
-    if tokenizer_path is None:
-        import public_tokenizers
-
-        tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path)
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stages.pack_documents(spark, read(spark, sf_dir, "documents"), sf_dir)
 
 
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,10 +37,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
-    """Pieces of all documents, placed in sequences of at most 2048 tokens."""
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, tokenizer_path: str | None = None, ranks: tuple[str, str] | None = None) -> DataFrame:
+    """Pieces of all documents, placed in sequences of at most 2048 tokens; by default with the public byte-level vocabulary."""
     if tokenizer_path is None:
-        import public_tokenizers
+        import public_tokenizers as public
 
-        tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(docs, tokenizer_path)
+        tokenizer_path, ranks = public.path("byte_bpe_50k.json"), (public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    return packing.pack(docs, tokenizer_path, ranks=ranks)
