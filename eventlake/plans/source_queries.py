@@ -33,7 +33,7 @@ def s02(spark, d):
 def s03(spark, d):
     body = F.concat(
         F.lit("BEGIN:VCALENDAR\r\nBEGIN:VEVENT\r\nUID:e-"), F.col("event_id").cast("string"), F.lit("\r\nDTSTART;TZID=UTC:"), F.date_format("ts", "yyyyMMdd'T'HHmmss"), F.lit("\r\nDTEND;VALUE=DATE:"),
-        F.date_format("ts", "yyyyMMdd"), F.lit("\r\nSUMMARY:"), F.col("event_type"), F.lit("\\, live\; now\r\nDESCRIPTION:a long\r\n  line\r\nCATEGORIES:A,B\r\nEND:VEVENT\r\nEND:VCALENDAR\r\n"),
+        F.date_format("ts", "yyyyMMdd"), F.lit("\r\nSUMMARY:"), F.col("event_type"), F.lit("\\, live\\; now\r\nDESCRIPTION:a long\r\n  line\r\nCATEGORIES:A,B\r\nEND:VEVENT\r\nEND:VCALENDAR\r\n"),
     )
     out = readers.parse_ics(read(spark, d, "events").select("event_id", body.alias("text")), "text", ("event_id",))
     return out.select("event_id", "uid", "name", F.date_format("begin", STAMP).alias("begin_text"), F.date_format("end", STAMP).alias("end_text"), F.size("categories").alias("n_categories"), "description")

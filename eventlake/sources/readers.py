@@ -48,7 +48,7 @@ def cut_at_blank(df: DataFrame, file: str, place: str, line: str) -> DataFrame:
 
 def read_url_lists(spark: SparkSession, path: str) -> DataFrame:
     """file, line_no, url of the lists in a folder; a blank line ends its file."""
-    rows = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "url"))
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "url"))
     return cut_at_blank(rows, "file", "line_no", "url")
 
 
@@ -70,7 +70,7 @@ def parse_ics(df: DataFrame, text: str, keep: tuple[str, ...] = ()) -> DataFrame
 
 def read_ics(spark: SparkSession, path: str) -> DataFrame:
     """parse_ics over every calendar file of a folder."""
-    files = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_name").alias("file"))
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
     return parse_ics(files, "value", ("file",))
 
 
