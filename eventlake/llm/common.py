@@ -31,7 +31,17 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: a cut in the lineage that outlives executors."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what save() wrote for tables that nothing reads any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -93,6 +103,13 @@ class RollingHash:
         np.cumsum(h * self.powers[:n], out=total[1:])
         return mix((total[k:] - total[:-k]) * self.inverses[: n - k + 1])
 
+    def spans(self, h: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Hashes of spans of any sizes, which also tell spans of different sizes apart."""
+        self._grow(len(h) + 1)
+        total = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(h * self.powers[: len(h)], out=total[1:])
+        return mix((total[starts + sizes] - total[starts]) * self.inverses[starts] + sizes.astype(np.uint64))
+
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     """A text column as UTF-8 bytes."""

@@ -2,9 +2,12 @@
 
 A window is a fixed number of consecutive items (words or lines) of one document. Winnowing picks the smallest
 k-gram hash of each window as its fingerprint; equal windows have equal fingerprints wherever they stand, so
-a window can only repeat if its fingerprint occurs at another place. Only those windows are hashed in full (128 bits),
-and the first place of each is found by joins: for substring dedup against a log-structured index of sorted
-immutable runs, for line dedup by a join of positions whose neighbouring matches extend each other both ways.
+a window can only repeat if its fingerprint occurs at another place.
+
+Substring dedup looks up the first document of each window in a log-structured index of sorted immutable runs, first
+for stretches (all consecutive windows of one fingerprint, hashed as a whole) and then for single windows, where
+a fingerprint stands in different stretches. Line dedup joins positions of windows, whose neighbouring matches extend
+each other both ways.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import RollingHash, WordHashes, save, texts
+from .common import RollingHash, WordHashes, discard, save, texts
 
 WINDOWS = "w1 long, w2 long, doc_id long, at int"
 
@@ -55,6 +58,15 @@ class Winnower:
             low, width = np.minimum(low[:-width], low[width:]), 2 * width
         return np.minimum(low[: len(low) - (self.w - width)], low[self.w - width :]) if width < self.w else low
 
+    def stretches(self, items: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """fingerprint, hash of the whole stretch, first window and number of windows of each stretch."""
+        own = self.fingerprints(items)
+        if not len(own):
+            return own, own, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        n = np.diff(np.r_[starts, len(own)])
+        return own[starts], self.rolling[1].spans(self.hashes[1].array(items), starts, n + self.size - 1), starts, n
+
     def windows(self, items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return tuple(r.windows(h.array(items), self.size) for r, h in zip(self.rolling, self.hashes, strict=True))
 
@@ -117,11 +129,11 @@ def candidate_windows(docs: DataFrame, fps: DataFrame, winnow: Winnower) -> Data
 
 
 class FingerprintIndex:
-    """A log-structured index of window hashes: first document by window, in sorted immutable runs.
+    """A log-structured index of window hashes: first document by 128-bit hash (w1, w2), in sorted immutable runs.
 
     Each run is a table bucketed by w1 and sorted by (w1, w2) in each bucket, so that a merge join reads it without
-    a shuffle. add() joins a new batch with every run, returns the batch's windows that stand in an earlier
-    document, and writes the new ones as another run; from fanout runs on, compact() merges them into one.
+    a shuffle; w2 verifies what w1 finds. add() joins a new batch with every run, tells which of its rows stand in an
+    earlier document, and writes the new ones as another run; from fanout runs on, compact() merges them into one.
     Batches must come in order of doc_id.
     """
 
@@ -136,9 +148,9 @@ class FingerprintIndex:
         df.repartition(self.buckets, "w1").write.format("parquet").bucketBy(self.buckets, "w1").sortBy("w1", "w2").saveAsTable(table)
         return table
 
-    def add(self, windows: DataFrame) -> DataFrame:
-        """doc_id, at of the batch's windows that an earlier document (of the index or the batch) also has."""
-        own = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"))
+    def add(self, batch: DataFrame) -> DataFrame:
+        """The batch, which has w1, w2 and doc_id, with `repeated`: whether an earlier document of the index or the batch has the row's hash."""
+        own = batch.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"))
         for i, run in enumerate(self.runs):
             old = self.spark.table(run).select("w1", F.col("w2").alias("o2"), F.col("first").alias(f"old{i}"))
             own = own.join(old, (own.w1 == old.w1) & (own.w2 == old.o2), "left").drop(old.w1).drop("o2")
@@ -148,10 +160,12 @@ class FingerprintIndex:
         self.runs.append(self._write(own.filter("known is null").select("w1", "w2", "first")))
         if len(self.runs) > self.fanout:
             self.compact()
-        return windows.join(first, ["w1", "w2"]).filter("first < doc_id").select("doc_id", "at")
+        out = save(batch.join(first, ["w1", "w2"]).withColumn("repeated", F.col("first") < F.col("doc_id")).drop("first"), "added")
+        discard(own)
+        return out
 
     def compact(self) -> None:
-        """Merge all runs into one and drop the old ones; returned frames have to be stored before."""
+        """Merge all runs into one and drop the old ones."""
         merged = None
         for run in self.runs:
             part = self.spark.table(run)
@@ -167,9 +181,59 @@ class FingerprintIndex:
         self.runs = []
 
 
+def repeated_stretches(docs: DataFrame, winnow: Winnower) -> DataFrame:
+    """w1 (fingerprint), w2 (hash of the stretch), doc_id, at, n, many: stretches whose fingerprint two documents have.
+
+    many tells whether the fingerprint stands in different stretches, so that single windows have to be compared.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        winnow.start()
+        for batch in batches:
+            parts = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
+                fp, whole, at, n = winnow.stretches(winnow.items(text))
+                parts.append((fp.view(np.int64), whole.view(np.int64), np.full(len(fp), doc_id, np.int64), at.astype(np.int32), n.astype(np.int32)))
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["w1", "w2", "doc_id", "at", "n"])
+
+    rows = save(_narrow(docs.filter("doc_id is not null")).mapInArrow(run, "w1 long, w2 long, doc_id long, at int, n int"), "stretches")
+    ends = rows.groupBy("w1").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("w2").alias("c"), F.max("w2").alias("d")).filter("a <> b")
+    shared = save(ends.select("w1", (F.col("c") != F.col("d")).alias("many")), "shared")
+    out = save(rows.join(shared, "w1"), "repeated")
+    discard(rows, shared)
+    return out
+
+
+def stretch_windows(docs: DataFrame, stretches: DataFrame, winnow: Winnower) -> DataFrame:
+    """w1, w2, doc_id, at: hashes of the single windows of stretches (doc_id, at, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        winnow.start()
+        for batch in batches:
+            parts = []
+            lists = batch.column("parts")
+            for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)):
+                own = lists[i].values
+                at = np.concatenate([np.arange(a, a + n) for a, n in zip(own.field("at").to_numpy(), own.field("n").to_numpy(), strict=True)])
+                a, b = winnow.windows(winnow.items(text))
+                parts.append((a[at].view(np.int64), b[at].view(np.int64), np.full(len(at), doc_id, np.int64), at.astype(np.int32)))
+                if sum(len(p[0]) for p in parts) > 200_000:
+                    yield to_batch(parts)
+                    parts = []
+            if parts:
+                yield to_batch(parts)
+
+    def to_batch(parts):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["w1", "w2", "doc_id", "at"])
+
+    grouped = stretches.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("parts"))  # at most as many as the document has words
+    return _narrow(docs).join(grouped, "doc_id").mapInArrow(run, WINDOWS)
+
+
 def _removal(docs: DataFrame, covered: DataFrame, winnow: Winnower, schema: str, finish: Callable) -> DataFrame:
-    """Apply finish(text, removed item mask) to every document; covered has doc_id and the window places `at`."""
-    places = covered.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
+    """Apply finish(text, items, removed item mask) to every document; covered has doc_id, at and n: its repeated windows."""
+    places = covered.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("ats"))
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,9 +245,9 @@ def _removal(docs: DataFrame, covered: DataFrame, winnow: Winnower, schema: str,
                 items = winnow.items(text)
                 gone = np.zeros(len(items) + winnow.size + 1, np.int32)
                 if lists[i].is_valid:
-                    at = np.unique(lists[i].values.to_numpy())
-                    gone[at] += 1
-                    np.subtract.at(gone, at + winnow.size, 1)
+                    at, n = (lists[i].values.field(x).to_numpy() for x in ("at", "n"))
+                    np.add.at(gone, at, 1)
+                    np.subtract.at(gone, at + n + winnow.size - 1, 1)
                 rows.append((doc_id, *finish(text, items, np.cumsum(gone)[: len(items)] > 0)))
             types = types or {"long": pa.int64(), "string": pa.string()}
             yield pa.RecordBatch.from_arrays([pa.array(c, types[x.split()[1]]) for c, x in zip(zip(*rows, strict=True), schema.split(", "), strict=True)] if rows else [pa.array([], types[x.split()[1]]) for x in schema.split(", ")], names=names)
@@ -191,8 +255,8 @@ def _removal(docs: DataFrame, covered: DataFrame, winnow: Winnower, schema: str,
     return _narrow(docs).join(places, "doc_id", "left").mapInArrow(run, schema)
 
 
-WORD_WINNOW = (26, 25)
-LINE_WINNOW = (1, 2)
+#: Words of a gram for windows of 50: few enough that a fingerprint stands for about 20 windows, and enough that grams rarely meet by chance.
+GRAM = 10
 
 
 def substring_dedup(docs: DataFrame, window: int = 50, batches: int = 2, index: FingerprintIndex | None = None) -> DataFrame:
@@ -203,20 +267,24 @@ def substring_dedup(docs: DataFrame, window: int = 50, batches: int = 2, index:
     are kept whole. Other columns are ignored. An empty table gives no rows. The documents are added to the
     index in `batches` ranges of doc_id, as increments of a growing corpus would be.
     """
-    spark, k = docs.sparkSession, window // 2 + 1
+    spark, k = docs.sparkSession, min(GRAM, window)
     winnow = Winnower(words, k, window - k + 1)
-    found = save(candidate_windows(docs, repeated_fingerprints(docs, winnow, False), winnow), "windows")
     low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    stretches = repeated_stretches(docs, winnow)
+    first, covered = FingerprintIndex(spark), None
     index = index or FingerprintIndex(spark)
-    covered = None
-    if low is not None:
-        step = (high - low) // batches + 1
-        for i in range(batches):
-            part = found.filter((F.col("doc_id") >= low + i * step) & (F.col("doc_id") < low + (i + 1) * step))
-            part = save(index.add(part), "covered")
-            covered = part if covered is None else covered.union(part)
-    else:
-        covered = found.select("doc_id", "at")
+    step = 1 if low is None else (high - low) // batches + 1
+    for i in range(0 if low is None else batches):
+        ours = (F.col("doc_id") >= low + i * step) & (F.col("doc_id") < low + (i + 1) * step)
+        known = first.add(stretches.filter(ours))
+        single = save(stretch_windows(docs.filter(ours), known.filter("many and not repeated"), winnow), "windows")
+        found = index.add(single)
+        discard(single)
+        part = known.filter("repeated").select("doc_id", "at", "n").union(found.filter("repeated").select("doc_id", "at", F.lit(1).alias("n")))
+        covered = part if covered is None else covered.union(part)
+    discard(stretches)
+    first.drop()
+    covered = spark.createDataFrame([], "doc_id long, at int, n int") if covered is None else covered
 
     def finish(text, items, gone):
         kept = items if not gone.any() else [x for x, y in zip(items, gone.tolist(), strict=True) if not y]
@@ -238,7 +306,7 @@ def line_dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     winnow = Winnower(lines, k, min_lines - k + 1)
     found = save(candidate_windows(docs, repeated_fingerprints(docs, winnow, True), winnow), "windows")
     first = save(found.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("w1", "w2", "first"), "first")
-    covered = found.join(first, ["w1", "w2"]).filter(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "at")
+    covered = found.join(first, ["w1", "w2"]).filter(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "at", F.lit(1).alias("n"))
 
     def finish(text, items, gone):
         if text is None or not gone.any():
