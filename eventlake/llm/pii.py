@@ -1,9 +1,10 @@
 """Personal data: exact base patterns, and a skip-chain conditional random field that adds consistent mentions.
 
 The nodes of the field are a document's tokens that hold a digit or an at sign. Neighbouring nodes share a chain
-potential; distant nodes that repeat or resemble each other (equal digits or equal letters) share a skip potential.
-Base matches are observed; loopy belief propagation spreads their labels to what resembles them. Potentials are
-fitted piecewise: label counts by hashed token shape and context, and label counts of linked node pairs.
+potential; distant nodes that repeat or resemble each other (equal last seven digits, or equal addresses) share a skip potential.
+Base matches are observed; loopy belief propagation spreads their labels to what resembles them. Node and chain
+potentials are fitted piecewise, as label counts by hashed token shape and context and by neighbouring pairs; nodes
+that resemble a base match are left out there, since their labels are unknown. The skip potential is a parameter.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ BUCKETS = 2_048
 ROUNDS = 8
 #: Added to the log potential of "none": without links a token has to be far likelier personal than not.
 CAUTION = 4.0
+#: Log potential of distant alike nodes with the same label; with different ones it is the negative.
+AGREE = 6.0
 #: Posterior from which a token that no pattern matched becomes a span.
 SURE = 0.9
 
@@ -135,7 +138,7 @@ def nodes(text: str, base: list[tuple[int, int, int]]) -> Nodes:
             shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]", "9", core[:40]))
             digits = _NOT_DIGITS.sub("", core)
             buckets.append([_bucket("shape", shape), _bucket("digits", f"{min(len(digits), 20)}{'@' in core}"), _bucket("before", before[1]), _bucket("second", before[0])])
-            keys.append(core.lower() if "@" in core else digits[-10:] if len(digits) >= 7 else "")
+            keys.append(core.lower() if "@" in core else digits[-7:] if len(digits) >= 7 else "")
         before = [before[1], token.strip(_MARKS).lower()[:20]]
     observed = np.full(len(spans), -1, np.int64)
     at = 0
@@ -186,37 +189,40 @@ def fit(docs: DataFrame, max_fitted: int = MAX_FITTED) -> Field:
                 text = text.as_py() or ""
                 own = nodes(text, base_spans(text))
                 label = np.maximum(own.observed, 0)
-                for y, row in zip(label.tolist(), own.buckets.tolist(), strict=True):
+                unknown = np.zeros(len(label), bool)  # alike a base match but none itself
+                for a, b in (own.skip.T, own.skip.T[::-1]):
+                    unknown[b[(own.observed[a] >= 0) & (own.observed[b] < 0)]] = True
+                for y, row, left_out in zip(label.tolist(), own.buckets.tolist(), unknown.tolist(), strict=True):
+                    if left_out:
+                        continue
                     counts[0, 0, y] += 1
                     for f, b in enumerate(row):
                         counts[1 + f, b, y] += 1
-                for kind, links in ((5, own.chain), (6, own.skip)):
-                    for a, b in zip(label[links[:, 0]].tolist(), label[links[:, 1]].tolist(), strict=True):
-                        counts[kind, a, b] += 1
-                        counts[kind, b, a] += 1
+                links = own.chain[~unknown[own.chain].any(axis=1)]
+                for a, b in zip(label[links[:, 0]].tolist(), label[links[:, 1]].tolist(), strict=True):
+                    counts[5, a, b] += 1
+                    counts[5, b, a] += 1
         rows = [(*k, n) for k, n in counts.items()]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["f", "b", "y", "n"])
 
     table = sample.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "f long, b long, y long, n long").groupBy("f", "b", "y").agg(F.sum("n").alias("n")).collect()  # at most 4 * BUCKETS * 5 rows
     size = len(LABELS)
-    prior, unary, links = np.ones(size), np.zeros((4, BUCKETS, size)), np.zeros((2, size, size))
+    prior, unary, links = np.ones(size), np.zeros((4, BUCKETS, size)), np.zeros((size, size))
     for f, b, y, n in table:
         if f == 0:
             prior[y] += n
         elif f < 5:
             unary[f - 1, b, y] += n
         else:
-            links[f - 5, b, y] += n
+            links[b, y] += n
     p = prior / prior.sum()
     weight = np.array([1.0, 1.0, 0.5, 0.25]).reshape(4, 1, 1)  # shape and size speak louder than context
     unary = weight * (np.log(unary + 2 * p) - np.log(unary.sum(axis=2, keepdims=True) + 2) - np.log(p))
     joint = links + 20 * np.outer(p, p) + 4 * np.diag(p)
-    own = joint / joint.sum(axis=(1, 2), keepdims=True)
-    edge = np.log(own) - np.log(own.sum(axis=2, keepdims=True)) - np.log(own.sum(axis=1, keepdims=True))
-    skip = np.where(np.eye(size, dtype=bool), 3.0, -3.0)  # the prior belief that repeats agree, for links never seen
-    seen = links[1].sum() / (links[1].sum() + 50)
-    return Field(np.log(p), unary, np.clip(0.5 * edge[0], -2, 2), np.clip(seen * edge[1] + (1 - seen) * skip + skip, -6, 6))
+    own = joint / joint.sum()
+    edge = np.log(own) - np.log(own.sum(axis=1, keepdims=True)) - np.log(own.sum(axis=0, keepdims=True))
+    return Field(np.log(p), unary, np.clip(0.5 * edge, -2, 2), np.where(np.eye(size, dtype=bool), AGREE, -AGREE))
 
 
 def posterior(own: Nodes, field: Field) -> np.ndarray:
