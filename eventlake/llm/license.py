@@ -16,7 +16,7 @@ SPELLINGS = {
     "favour": "favor", "favourite": "favorite", "fulfil": "fulfill", "fulfilment": "fulfillment", "initialise": "initialize", "judgement": "judgment",
     "labelling": "labeling", "labour": "labor", "licence": "license", "maximise": "maximize", "modelled": "modeled", "modelling": "modeling", "offence": "offense",
     "optimise": "optimize", "organisation": "organization", "organise": "organize", "practise": "practice", "programme": "program", "realise": "realize",
-    "recognise": "recognize", "signalling": "signaling", "sub-license": "sublicense", "utilisation": "utilization", "whilst": "while", "wilful": "willful",
+    "recognise": "recognize", "signalling": "signaling", "sub-license": "sublicense", "sublicence": "sublicense", "utilisation": "utilization", "whilst": "while", "wilful": "willful",
 }
 
 #: Short notices and licences, by identifier, whose whole texts are known.
