@@ -94,11 +94,10 @@ def n13(spark, d):
     return read(spark, d, "events").select("event_id", normalize.unwrap_typed_scalar(raw, "Age-Range", "language").alias("value"))
 
 
-@query("n14_dedupe_csv", """SELECT doc_id, string_agg(w, ', ' ORDER BY i) AS words FROM (SELECT doc_id, w, min(i) AS i FROM (
-SELECT doc_id, unnest(string_split(text, ' ')) AS w, unnest(range(1, len(string_split(text, ' ')) + 1)) AS i FROM documents WHERE NOT contains(text, ',')) WHERE trim(w) <> '' AND w = trim(w) GROUP BY 1, 2) GROUP BY 1""")
+@query("n14_dedupe_csv", """SELECT doc_id, coalesce(string_agg(w, ', ' ORDER BY i), '') AS words FROM documents LEFT JOIN (SELECT doc_id, w, min(i) AS i FROM (
+SELECT doc_id, trim(unnest(string_split(replace(text, ' ', ','), ',')), ' ') AS w, unnest(range(1, len(string_split(replace(text, ' ', ','), ',')) + 1)) AS i FROM documents) WHERE w <> '' GROUP BY 1, 2) USING (doc_id) GROUP BY 1""")
 def n14(spark, d):
-    df = read(spark, d, "documents").filter(~F.col("text").contains(","))
-    return df.select("doc_id", text.dedupe_csv(F.replace("text", F.lit(" "), F.lit(","))).alias("words")).filter("words <> ''")
+    return read(spark, d, "documents").select("doc_id", text.dedupe_csv(F.replace("text", F.lit(" "), F.lit(","))).alias("words"))
 
 
 @query("n15_drop_trailing_offer", """SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 1 ELSE 2 END AS n_offers, CASE WHEN event_id % 4 = 0 THEN 'Ticket' WHEN event_id % 4 = 1 THEN 'Entry' ELSE 'Pass' END AS last_name FROM ev""")
