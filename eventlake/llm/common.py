@@ -49,6 +49,11 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def without(docs: DataFrame, ids: DataFrame, tag: str) -> DataFrame:
+    """docs without the rows of the given doc_ids, which are stored, counted and broadcast if there are few; a null doc_id stays."""
+    return docs.join(maybe_broadcast(save(ids.select("doc_id").distinct(), tag)), "doc_id", "left_anti").select(*docs.columns)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS
+from .common import BROADCAST_ROWS, save, without
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A run of ASCII digits, lower-case letters and anything outside ASCII.
@@ -66,7 +66,7 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 13, share: int = 2
     empty texts have no words and are never contaminated; an item without words has no window; repeated
     items count by their id. A document is contaminated if share * n_hit >= n_words and n_hit > 0.
     """
-    found = hits(docs, items, n)
+    found = save(hits(docs, items, n), "hits")  # it is read twice
     by_item = found.groupBy("doc_id").agg(F.count_distinct("item").alias("n_items"), F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("ids"))
     covered = found.select("doc_id", "at", "len").distinct().select("doc_id", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("len") - 1)).alias("p")).distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
     count = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
@@ -81,8 +81,7 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 13, share: int = 2
 
 def decontaminate(docs: DataFrame, items: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
     """The documents that are not contaminated, with all their columns. A null doc_id is kept."""
-    bad = contamination(docs, items, n, share).filter("contaminated").select("doc_id")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, contamination(docs, items, n, share).filter("contaminated"), "contaminated")
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, n: int = 13) -> DataFrame:

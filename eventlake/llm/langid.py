@@ -23,6 +23,10 @@ SLICE = 500_000  # characters that are hashed at once
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in LETTER.finditer(text))
+
+
 def ngrams(text: str) -> np.ndarray:
     """Hashed n-grams of a lower-cased text whose non-letters count as blanks."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -95,7 +99,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) ->
             pred, score = [], []
             for text in batch.column(1):
                 text = text.as_py()
-                if not langs or text is None or not LETTER.search(text):
+                if not langs or text is None or not has_letter(text):
                     pred.append("und")
                     score.append(0.0)
                     continue

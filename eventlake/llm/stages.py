@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, jaccard, packing, repeats, toxicity
-from .common import read
+from .common import read, without
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not predict toxic (score below 0.7), learnt from the labels of docs."""
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    bad = toxicity.score(docs.select("doc_id", "text"), model).filter("predicted = 1").select("doc_id")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, toxicity.score(docs, model).filter("predicted = 1"), "toxic")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +27,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id."""
-    copies = jaccard.near_duplicates(docs).filter("component_id <> doc_id").select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, jaccard.near_duplicates(docs).filter("component_id <> doc_id"), "near_copies")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
