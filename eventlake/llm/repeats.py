@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import RollingHash, WordHashes, discard, save, texts
 
@@ -294,6 +295,23 @@ def substring_dedup(docs: DataFrame, window: int = 50, batches: int = 2, index:
     return _removal(docs, covered, winnow, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string", finish)
 
 
+def _repeated_lines(docs: DataFrame, winnow: Winnower) -> DataFrame:
+    """doc_id, at, n: windows of lines that stand at an earlier place too."""
+    found = save(candidate_windows(docs, repeated_fingerprints(docs, winnow, True), winnow), "windows")
+    first = save(found.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("w1", "w2", "first"), "first")
+    return found.join(first, ["w1", "w2"]).filter(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "at", F.lit(1).alias("n"))
+
+
+def _line_winnow(min_lines: int) -> Winnower:
+    k = max(1, (min_lines + 1) // 2)
+    return Winnower(lines, k, min_lines - k + 1)
+
+
+def _without_lines(text: bytes, gone: np.ndarray) -> bytes:
+    drop = iter(gone.tolist())
+    return b"\n".join([line for line in text.split(b"\n") if not line.strip() or not next(drop)])
+
+
 def line_dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, text (without the later copies of repeated runs of lines).
 
@@ -302,19 +320,36 @@ def line_dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     smaller doc_id or before it in the same one. Every line of the later run goes. Null texts stay null, rows with
     a null doc_id stay whole. doc_id must be unique; other columns are ignored.
     """
-    k = max(1, (min_lines + 1) // 2)
-    winnow = Winnower(lines, k, min_lines - k + 1)
-    found = save(candidate_windows(docs, repeated_fingerprints(docs, winnow, True), winnow), "windows")
-    first = save(found.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("w1", "w2", "first"), "first")
-    covered = found.join(first, ["w1", "w2"]).filter(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "at", F.lit(1).alias("n"))
+    winnow = _line_winnow(min_lines)
 
     def finish(text, items, gone):
         if text is None or not gone.any():
             return len(items), 0, None if text is None else text.decode()
-        drop, out = iter(gone.tolist()), []
-        for line in text.split(b"\n"):
-            if not line.strip() or not next(drop):
-                out.append(line)
-        return len(items), int(gone.sum()), b"\n".join(out).decode()
+        return len(items), int(gone.sum()), _without_lines(text, gone).decode()
+
+    return _removal(docs, _repeated_lines(docs, winnow), winnow, "doc_id long, n_lines long, n_removed long, text string", finish)
 
-    return _removal(docs, covered, winnow, "doc_id long, n_lines long, n_removed long, text string", finish)
+
+def drop_repeated_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+    """docs with all their columns, texts as line_dedup leaves them, and lines_removed (int)."""
+    winnow, names = _line_winnow(min_lines), docs.columns
+    places = _repeated_lines(docs, winnow).groupBy("doc_id").agg(F.collect_list("at").alias("_repeated"))
+    schema = T.StructType([*docs.schema.fields, T.StructField("lines_removed", T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, removed = [], []
+            at = batch.column("_repeated")
+            for i, text in enumerate(texts(batch)):
+                gone = np.zeros(0, bool)
+                if at[i].is_valid:
+                    items = winnow.items(text)
+                    gone = np.zeros(len(items), bool)
+                    for j in at[i].values.to_numpy():
+                        gone[j : j + winnow.size] = True
+                    text = _without_lines(text, gone)
+                out.append(None if text is None else text.decode())
+                removed.append(int(gone.sum()))
+            yield pa.RecordBatch.from_arrays([*[pa.array(out, pa.string()) if x == "text" else batch.column(x) for x in names], pa.array(removed, pa.int32())], names=[*names, "lines_removed"])
+
+    return docs.join(places, "doc_id", "left").select(*names, "_repeated").mapInArrow(run, schema)

@@ -17,11 +17,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the later copies of repeated runs of lines; n_chars is counted anew where text changed."""
-    new = repeats.line_dedup(docs).select("doc_id", F.col("text").alias("new_text"), "n_removed")
-    out = docs.join(new, "doc_id", "left").withColumn("hit", F.coalesce("n_removed", F.lit(0)) > 0)
-    out = out.withColumn("text", F.when(F.col("hit"), F.col("new_text")).otherwise(F.col("text")))
+    out = repeats.drop_repeated_lines(docs)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("hit"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("lines_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
