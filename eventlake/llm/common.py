@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: Rows up to which a side of a join may be sent to every executor; larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: Entries that a task's word cache holds at most.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -121,6 +121,13 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()
 
 
+def small(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most so many rows, so that what is made of a slice stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The rows of each key, from batches sorted by it; holds one group and one batch at a time."""
     held: list[pa.Table] = []

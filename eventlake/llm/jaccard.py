@@ -4,13 +4,13 @@ Each document is a set of hashed word n-grams. The n-grams are hashed into group
 document's point. Spark deals documents with a common rare n-gram (from the prefix that similar sets must share) into
 blocks; in each block an R-tree over the points bounds overlaps by the sum of coordinate minima, first of boxes
 and then of points. Pairs that survive are verified on their whole sets, and links are joined to components.
-Documents with equal sets are one representative from the start. Within a block only as many pairs are verified as
-its components need: first a spanning forest of the surviving pairs, then every surviving pair that is not joined yet.
+Prefixes follow one global order of n-grams, those of many documents last. Documents with equal sets are one representative from the start. Within a block only as many pairs are verified as
+its components need: spanning forests of the surviving pairs, first by coarse counts in each document's largest
+block, then by fine counts in all blocks that still have surviving pairs, and at last every such pair left.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,11 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, groups, maybe_broadcast, mix, save, texts
+from .common import BROADCAST_ROWS, WordHashes, discard, groups, maybe_broadcast, mix, save, small, texts
 
 #: Largest number of members of a block; larger groups are cut into pairs of half blocks by size of set.
 BLOCK = 1024
 LEAF, FANOUT = 16, 8
+#: Prefix n-grams of so many documents are frequent: they come last in the order by which prefixes are taken. Any
+#: set of them gives the same links; this one keeps passages that many documents share from making blocks.
+FREQUENT = 24
 SKETCH = "doc_id long, n int, h1 long, h2 long, prefix array<long>, point binary"
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
 
@@ -39,6 +42,10 @@ class Similarity:
         """How many of a set's n smallest members have to be looked at: similar sets share one of them."""
         return n - -(-self.share * n // 100) + 1
 
+    def stored(self, n: int) -> int:
+        """How many are kept in the sketch, so that frequent ones can be replaced."""
+        return min(n, self.prefix(n) + max(4, self.prefix(n) // 2))
+
     def sizes(self, small: int, large: int) -> bool:
         return 100 * small >= self.share * large
 
@@ -74,13 +81,13 @@ def sketches(docs: DataFrame, like: Similarity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes(3)
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
                 s = like.shingles(text, hashes)
                 n = len(s)
                 h1, h2 = int(mix(s + np.uint64(1)).sum(dtype=np.uint64)), int(mix(s ^ np.uint64(_STEPS[5])).sum(dtype=np.uint64))
-                rows.append((doc_id, n, h1 - (1 << 63), h2 - (1 << 63), s[: like.prefix(n)].view(np.int64) if n else s.view(np.int64), point(s)))
+                rows.append((doc_id, n, h1 - (1 << 63), h2 - (1 << 63), s[: like.stored(n)].view(np.int64) if n else s.view(np.int64), point(s)))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
             columns = zip(*rows, strict=True) if rows else ([] for _ in kinds)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in SKETCH.split(", ")])
@@ -89,6 +96,65 @@ def sketches(docs: DataFrame, like: Similarity) -> DataFrame:
     return narrow.mapInArrow(run, SKETCH)
 
 
+def _reorder(members: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Members in the global order: by hash, frequent ones last."""
+    at = np.searchsorted(frequent, members)
+    often = frequent[np.minimum(at, len(frequent) - 1)] == members if len(frequent) else np.zeros(len(members), bool)
+    return np.r_[members[~often], members[often]]
+
+
+def prefix_keys(docs: DataFrame, copies: DataFrame, sketch: DataFrame, like: Similarity) -> tuple[DataFrame, list[DataFrame]]:
+    """key, rep, n: the prefix, in the global order, of each document that is not one of the copies.
+
+    Most prefixes follow from the sketch; documents of which more n-grams are frequent than the sketch has to
+    spare are read again. Also returns the stored tables that the keys are read from.
+    """
+    first = sketch.filter("n > 0").join(maybe_broadcast(copies), "doc_id", "left_anti")
+    counted = first.select(F.explode(F.slice("prefix", F.lit(1), F.expr(f"n - int(ceil({like.share} * n / 100)) + 1"))).alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") >= FREQUENT)
+    counted = save(counted, "frequent")
+    most = counted if counted.count() <= BROADCAST_ROWS else counted.orderBy(F.desc("c"), "key").limit(BROADCAST_ROWS)
+    often = np.sort(most.select("key").toArrow().column("key").to_numpy().view(np.uint64))  # at most BROADCAST_ROWS hashes
+    sent = docs.sparkSession.sparkContext.broadcast(often)
+    schema = "key long, rep long, n int"
+
+    def rows(parts: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
+        sizes = [len(x) for x, _, _ in parts]
+        columns = [np.concatenate([x for x, _, _ in parts]).view(np.int64), np.repeat(np.array([r for _, r, _ in parts], np.int64), sizes), np.repeat(np.array([n for _, _, n in parts], np.int32), sizes)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "rep", "n"])
+
+    def from_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = sent.value
+        for batch in batches:
+            parts = []
+            ids, sizes, stored = batch.column("doc_id").to_pylist(), batch.column("n").to_pylist(), batch.column("prefix")
+            values, offsets = stored.flatten().to_numpy().view(np.uint64), np.r_[0, np.cumsum(stored.value_lengths().to_numpy(zero_copy_only=False))]
+            for i, (rep, n) in enumerate(zip(ids, sizes, strict=True)):
+                own = values[offsets[i] : offsets[i + 1]]
+                at = np.searchsorted(frequent, own)
+                rare = own[frequent[np.minimum(at, len(frequent) - 1)] != own] if len(frequent) else own
+                if len(rare) >= like.prefix(n):
+                    parts.append((rare[: like.prefix(n)], rep, n))
+                else:  # no key: to be read again
+                    parts.append((np.zeros(1, np.uint64), rep, -n))
+            if parts:
+                yield rows(parts)
+
+    def from_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, frequent = WordHashes(3), sent.value
+        for batch in batches:
+            parts = []
+            for rep, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
+                own = _reorder(like.shingles(text, hashes), frequent)
+                parts.append((own[: like.prefix(len(own))], rep, len(own)))
+            if parts:
+                yield rows(parts)
+
+    ready = save(first.select("doc_id", "n", "prefix").mapInArrow(from_sketch, schema), "prefixes")
+    again = save(ready.filter("n < 0").select(F.col("rep").alias("doc_id")), "again")
+    more = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(maybe_broadcast(again), "doc_id", "left_semi").mapInArrow(from_text, schema)
+    return ready.filter("n > 0").union(more), [ready, again, counted]
+
+
 def blocks(keys: DataFrame, like: Similarity) -> DataFrame:
     """block, rep: documents that share an n-gram of their prefixes, cut by size so that no block exceeds BLOCK.
 
@@ -170,28 +236,27 @@ class RTree:
         return at[good], bound[good]
 
 
-def surviving_pairs(members: pa.Table, like: Similarity, every: bool) -> list[tuple[int, int]]:
-    """Pairs of a block (rep, n, point, label) that survive the bounds and whose labels differ.
-
-    Without every only a spanning forest of them, by best bounds: at most one pair fewer than members.
-    """
-    label = members.column("label").to_numpy()
-    if (label == label[0]).all():
-        return []
+def _sorted_members(members: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Table]:
     rep, n = members.column("rep").to_numpy(), members.column("n").to_numpy().astype(np.int64)
     order = np.lexsort((rep, n))
-    rep, n, label = rep[order], n[order], label[order]
-    raw = [np.frombuffer(x, np.uint8) for x in members.column("point").take(pa.array(order)).to_pylist()]
+    return rep[order], n[order], members.column("label").to_numpy()[order], members.take(pa.array(order))
+
+
+def _block_tree(members: pa.Table, n: np.ndarray) -> RTree:
+    raw = [np.frombuffer(x, np.uint8) for x in members.column("point").to_pylist()]
     size = min(map(len, raw))  # folding a larger vector adds its groups up, so that bounds stay bounds
     points = np.stack([x.reshape(-1, size).sum(axis=0, dtype=np.uint16) for x in raw])
-    points = points.astype(np.uint8) if points.max() < 256 else points
-    tree, found = RTree(points, n), []
-    local = np.unique(label, return_inverse=True)[1].astype(np.int64)
+    return RTree(points.astype(np.uint8) if points.max() < 256 else points, n)
+
+
+def coarse_forest(members: pa.Table, like: Similarity) -> list[tuple[int, int]]:
+    """A spanning forest, by best bounds, of the pairs of a block (rep, n, point, label) that survive the R-tree."""
+    rep, n, label, members = _sorted_members(members)
+    if (label == label[0]).all():
+        return []
+    tree, found = _block_tree(members, n), []
+    points, local = tree.points, np.unique(label, return_inverse=True)[1].astype(np.int64)
     for i in range(1, len(rep)):
-        if every:
-            at, _ = tree.candidates(i, like, label != label[i])
-            found += [(int(rep[j]), int(rep[i])) for j in at]
-            continue
         while True:  # join i to one component after another, each by its best pair
             open_ = local[:i] != local[i]
             if not open_.any():
@@ -211,57 +276,122 @@ def surviving_pairs(members: pa.Table, like: Similarity, every: bool) -> list[tu
     return found
 
 
-def pairs(block_rows: DataFrame, like: Similarity, every: bool) -> DataFrame:
-    """a, b with a < b: distinct surviving pairs of all blocks. block_rows: block, rep, n, point, label."""
+def coarse_members(members: pa.Table, like: Similarity) -> list[int]:
+    """Members of a block that the R-tree leaves in some pair of different labels."""
+    rep, n, label, members = _sorted_members(members)
+    tree, keep = _block_tree(members, n), np.zeros(len(rep), bool)
+    for i in range(1, len(rep)):
+        at, _ = tree.candidates(i, like, label != label[i])
+        if len(at):
+            keep[at] = keep[i] = True
+    return rep[keep].tolist()
+
+
+def fine_pairs(members: pa.Table, like: Similarity, every: bool) -> list[tuple[int, int]]:
+    """Pairs of different labels whose fine counts (rep, n, fine, label) still allow them: a spanning forest, or every one."""
+    rep, n, label, members = _sorted_members(members)
+    values = [np.frombuffer(x, np.uint16).astype(np.int64) for x in members.column("fine").to_pylist()]
+    for i, x in enumerate(values):  # the k-th count of a group is a column of its own, so that products are minima
+        new = np.r_[True, x[1:] != x[:-1]]
+        values[i] = x + 65_536 * (np.arange(len(x)) - np.maximum.accumulate(np.where(new, np.arange(len(x)), 0)))
+    columns, inverse, counts = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+    common = np.cumsum(counts > 1) - 1  # groups of a single member add nothing
+    matrix = np.zeros((len(rep), int((counts > 1).sum())), np.float32)
+    row = np.repeat(np.arange(len(rep)), [len(x) for x in values])
+    use = counts[inverse] > 1
+    matrix[row[use], common[inverse[use]]] = 1
+    overlap = np.rint(matrix @ matrix.T).astype(np.int64)
+    good = like.reached(overlap, n[:, None] + n[None, :]) & (label[:, None] != label[None, :])
+    found, local = [], np.unique(label, return_inverse=True)[1].astype(np.int64)
+    for i in range(1, len(rep)):
+        at = np.flatnonzero(good[i, :i])
+        if every:
+            found += [(int(rep[j]), int(rep[i])) for j in at]
+            continue
+        at = at[np.argsort(-overlap[i, at] / (n[at] + n[i]), kind="stable")]
+        while len(at := at[local[at] != local[i]]):
+            found.append((int(rep[at[0]]), int(rep[i])))
+            local[local == local[at[0]]] = local[i]
+    return found
+
+
+def by_block(rows: DataFrame, vector: str, schema: str, of_block) -> DataFrame:
+    """Distinct rows that of_block (members -> list of numbers or pairs) makes of each block of rows (block, rep, n, label, vector)."""
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def to_batch(found: list) -> pa.RecordBatch:
+        table = np.unique(np.sort(np.array(found, np.int64).reshape(len(found), -1)[:, -2:], axis=1), axis=0) if "a" in names else np.array(found, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(table[:, i])) for i in range(len(names))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[int, int]] = []
+        found: list = []
         for own in groups(batches, "block"):
-            found += surviving_pairs(own, like, every)
+            block = own.column("block")[0].as_py()
+            found += [(block, x) if isinstance(x, int) else x for x in of_block(own)]
             if len(found) > 100_000:
                 yield to_batch(found)
                 found = []
         if found:
             yield to_batch(found)
 
-    def to_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        both = np.unique(np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
-
-    ordered = block_rows.select("block", "rep", "n", "point", "label").repartition("block").sortWithinPartitions("block")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    ordered = rows.select("block", "rep", "n", "label", vector).repartition("block").sortWithinPartitions("block")
+    return ordered.mapInArrow(run, schema).distinct()
 
 
 def member_sets(docs: DataFrame, like: Similarity) -> DataFrame:
-    """doc_id and its whole set as sorted 64-bit hashes."""
+    """doc_id, its whole set as sorted 64-bit hashes, and their sorted groups of 65,536."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes(3)
-        for batch in batches:
-            sets = [like.shingles(t, hashes).tobytes() for t in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "members"])
+        for batch in small(batches):
+            sets = [like.shingles(t, hashes) for t in texts(batch)]
+            fine = [np.sort(((s >> np.uint64(5)) & np.uint64(0xFFFF)).astype(np.uint16)).tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(fine, pa.binary())], names=["doc_id", "members", "fine"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, members binary, fine binary")
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, members binary")
+
+def sets_of(docs: DataFrame, found: DataFrame, like: Similarity) -> DataFrame:
+    """Stored member sets of the documents of pairs (a, b)."""
+    wanted = save(found.select(F.col("a").alias("doc_id")).union(found.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
+    return save(member_sets(docs.join(maybe_broadcast(wanted), "doc_id", "left_semi"), like), "sets")
 
 
 def verify(found: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+    """The pairs whose whole sets are similar enough.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("ma"), batch.column("mb"), strict=True):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                overlap = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
-                keep.append(bool(like.reached(overlap, len(x) + len(y))) and overlap > 0)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    Before whole sets are sent, pairs are bounded once more by counts in 65,536 groups, sent as sorted group numbers.
+    """
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("members").alias("ma"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("members").alias("mb"))
-    return found.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+    def overlap(x: np.ndarray, y: np.ndarray) -> int:
+        """Size of the intersection of two sorted multisets."""
+        if len(x) > len(y):
+            x, y = y, x
+        if not len(x):
+            return 0
+        values, starts = np.unique(x, return_index=True)
+        counts = np.diff(np.r_[starts, len(x)])
+        low = np.searchsorted(y, values, "left")
+        return int(np.minimum(counts, np.searchsorted(y, values, "right") - low).sum())
+
+    def keep_similar(kind: np.dtype):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = []
+                for x, y in zip(batch.column("ma"), batch.column("mb"), strict=True):
+                    x, y = (np.frombuffer(z.as_buffer(), kind) for z in (x, y))
+                    keep.append(len(x) > 0 and bool(like.reached(overlap(x, y), len(x) + len(y))))
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        return run
+
+    def join(edges: DataFrame, what: str, kind: np.dtype) -> DataFrame:
+        left = sets.select(F.col("doc_id").alias("a"), F.col(what).alias("ma"))
+        right = sets.select(F.col("doc_id").alias("b"), F.col(what).alias("mb"))
+        return edges.join(left, "a").join(right, "b").mapInArrow(keep_similar(kind), "a long, b long")
+
+    near = save(join(found, "fine", np.dtype(np.uint16)), "near")
+    return join(near, "members", np.dtype(np.uint64))
 
 
 def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
@@ -297,25 +427,40 @@ def near_duplicates(docs: DataFrame, share: int = 80, width: int = 5) -> DataFra
     like = Similarity(share, width)
     sketch = save(sketches(docs, like), "sketches")
     reps = save(sketch.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep")), "reps")
-    first = sketch.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    keys = first.select(F.explode("prefix").alias("key"), F.col("doc_id").alias("rep"), "n").repartition("key")
-    block = save(blocks(keys, like), "blocks")
+    copies = save(sketch.filter("n > 0").join(maybe_broadcast(reps.select(F.col("rep").alias("doc_id"))), "doc_id", "left_anti").select("doc_id"), "copies")
+    keys, used = prefix_keys(docs, copies, sketch, like)
+    block = save(blocks(keys.repartition("key"), like), "blocks")
+    discard(*used)
     active = save(block.select(F.col("rep").alias("doc_id")).distinct(), "active")
     points = save(sketch.select("doc_id", "n", "point").join(maybe_broadcast(active), "doc_id", "left_semi"), "points")
-    sets, links, labels = None, None, None
-    for every in (False, True):
-        rows = block.join(points.withColumnRenamed("doc_id", "rep"), "rep")
-        rows = rows.withColumn("label", F.col("rep")) if labels is None else rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        found = save(pairs(rows, like, every), "pairs")
-        if every and found.isEmpty():
-            break
-        wanted = found.select(F.col("a").alias("doc_id")).union(found.select(F.col("b").alias("doc_id"))).distinct()
-        wanted = save(wanted, "wanted")
-        sets = save(member_sets(docs.join(maybe_broadcast(wanted), "doc_id", "left_semi"), like), "sets")
-        good = save(verify(found, sets, like), "links")
-        links = good if links is None else links.union(good)
-        labels = save(components(links), "labels")
+    sizes = save(sketch.select("doc_id", "n", "h1", "h2"), "sizes")
+    discard(sketch)
+    reps_of = lambda df: df.withColumnRenamed("doc_id", "rep")
+    by_sizes = block.join(block.groupBy("block").agg(F.count("*").alias("size")), "block")
+    largest = save(by_sizes.groupBy("rep").agg(F.max_by("block", F.struct("size", "block")).alias("block")).select("block").distinct(), "largest")
+    rows = block.join(largest, "block").withColumn("label", F.col("rep")).join(reps_of(points), "rep")
+    found = save(by_block(rows, "point", "a long, b long", lambda own: coarse_forest(own, like)), "pairs")
+    links = save(verify(found, sets_of(docs, found, like), like), "links")
+    labels, tried = save(components(links), "labels"), found
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        """Rows (block, rep) of the blocks that have different labels by now, with these."""
+        labelled = rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        open_ = labelled.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("block")
+        return labelled.join(save(open_, "open"), "block")
+
+    rows = mixed(block).join(reps_of(points), "rep")
+    left = save(by_block(rows, "point", "block long, rep long", lambda own: coarse_members(own, like)), "left")
+    if not left.isEmpty():
+        fine = save(member_sets(docs.join(maybe_broadcast(save(left.select(F.col("rep").alias("doc_id")).distinct(), "wanted")), "doc_id", "left_semi"), like), "sets")
+        numbers = reps_of(fine.select("doc_id", "fine").join(points.select("doc_id", "n"), "doc_id"))
+        for every in (False, True):
+            found = by_block(mixed(left).join(numbers, "rep"), "fine", "a long, b long", lambda own, every=every: fine_pairs(own, like, every))
+            found = save(found.join(tried, ["a", "b"], "left_anti"), "pairs")
+            if not found.isEmpty():
+                links, tried = links.union(save(verify(found, fine, like), "links")), tried.union(found)
+                labels = save(components(links), "labels")
     # a representative's smallest doc_id is itself, so that the smallest label of a component is its smallest doc_id
     whole = reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("n", "h1", "h2", F.coalesce("label", "rep").alias("label"))
-    out = sketch.select("doc_id", "n", "h1", "h2").join(whole, ["n", "h1", "h2"], "left")
+    out = sizes.join(whole, ["n", "h1", "h2"], "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id"))
