@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RollingHash, WordHashes, discard, save, texts
+from .common import RollingHash, WordHashes, discard, save, small, texts
 
 WINDOWS = "w1 long, w2 long, doc_id long, at int"
 
@@ -81,7 +81,7 @@ def repeated_fingerprints(docs: DataFrame, winnow: Winnower, within: bool) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         winnow.start()
-        for batch in batches:
+        for batch in small(batches):
             ids, found, many = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
                 own = winnow.fingerprints(winnow.items(text))
@@ -111,7 +111,7 @@ def candidate_windows(docs: DataFrame, fps: DataFrame, winnow: Winnower) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         winnow.start()
-        for batch in batches:
+        for batch in small(batches):
             parts = []
             fp_lists = batch.column("fps")
             for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)):
@@ -190,7 +190,7 @@ def repeated_stretches(docs: DataFrame, winnow: Winnower) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         winnow.start()
-        for batch in batches:
+        for batch in small(batches):
             parts = []
             for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
                 fp, whole, at, n = winnow.stretches(winnow.items(text))
@@ -211,7 +211,7 @@ def stretch_windows(docs: DataFrame, stretches: DataFrame, winnow: Winnower) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         winnow.start()
-        for batch in batches:
+        for batch in small(batches):
             parts = []
             lists = batch.column("parts")
             for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)):
@@ -239,7 +239,7 @@ def _removal(docs: DataFrame, covered: DataFrame, winnow: Winnower, schema: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = None
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             lists = batch.column("ats")
             for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)):
@@ -337,7 +337,7 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("lines_removed", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out, removed = [], []
             at = batch.column("_repeated")
             for i, text in enumerate(texts(batch)):
