@@ -35,7 +35,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.substring_dedup(read(spark, sf_dir, "documents")).drop("kept")
+    return repeats.substring_dedup(read(spark, sf_dir, "documents"), batches=4).drop("kept")  # enough that runs are compacted
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

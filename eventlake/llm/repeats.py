@@ -6,13 +6,14 @@ a window can only repeat if its fingerprint occurs at another place.
 
 Substring dedup looks up the first document of each window in a log-structured index of sorted immutable runs, first
 for stretches (all consecutive windows of one fingerprint, hashed as a whole) and then for single windows, where
-a fingerprint stands in different stretches. Line dedup joins positions of windows, whose neighbouring matches extend
+a fingerprint stands in different stretches of the batch and all earlier ones. Line dedup joins positions of windows, whose neighbouring matches extend
 each other both ways.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 from .common import RollingHash, WordHashes, discard, save, small, texts
 
 WINDOWS = "w1 long, w2 long, doc_id long, at int"
+STRETCH_RUN = "w1 long, w2 long, first long, at int, n int"
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -130,22 +132,31 @@ def candidate_windows(docs: DataFrame, fps: DataFrame, winnow: Winnower) -> Data
 
 
 class FingerprintIndex:
-    """A log-structured index of window hashes: first document by 128-bit hash (w1, w2), in sorted immutable runs.
+    """A log-structured index of passages, in sorted immutable runs: what is new in a batch is written as another run.
+
+    Runs of stretches have the first document of each stretch (w1 its fingerprint, w2 its hash) and its place there; runs
+    of windows have the first document of each single window by 128-bit hash (w1, w2), of fingerprints that stand in
+    different stretches; texts are kept so that windows of earlier documents can be hashed once a later stretch needs them.
 
     Each run is a table bucketed by w1 and sorted by (w1, w2) in each bucket, so that a merge join reads it without
-    a shuffle; w2 verifies what w1 finds. add() joins a new batch with every run, tells which of its rows stand in an
-    earlier document, and writes the new ones as another run; from fanout runs on, compact() merges them into one.
-    Batches must come in order of doc_id.
+    a shuffle; w2 verifies what w1 finds. A batch is joined with every run; from fanout runs on, compact() merges them
+    into one. Batches must come in order of doc_id. An index of the same name reopens the runs that the catalog has.
     """
 
     def __init__(self, spark: SparkSession, name: str | None = None, buckets: int | None = None, fanout: int = 3):
-        self.spark, self.name = spark, name or f"fingerprints_{uuid.uuid4().hex}"
+        self.spark, self.name = spark, (name or f"fingerprints_{uuid.uuid4().hex}").lower()
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.fanout, self.runs, self.written = fanout, [], 0
+        found = [m for t in spark.catalog.listTables() if (m := re.fullmatch(re.escape(self.name) + r"_(run|stretch|text)(\d+)", t.name))]
+        found.sort(key=lambda m: int(m[2]))
+        self.runs, self.stretches, self.texts = ([m[0] for m in found if m[1] == kind] for kind in ("run", "stretch", "text"))
+        self.fanout, self.written = fanout, max((int(m[2]) for m in found), default=0)
 
-    def _write(self, df: DataFrame) -> str:
+    def _table(self, kind: str) -> str:
         self.written += 1
-        table = f"{self.name}_run{self.written}"
+        return f"{self.name}_{kind}{self.written}"
+
+    def _write(self, df: DataFrame, kind: str) -> str:
+        table = self._table(kind)
         df.repartition(self.buckets, "w1").write.format("parquet").bucketBy(self.buckets, "w1").sortBy("w1", "w2").saveAsTable(table)
         return table
 
@@ -158,35 +169,74 @@ class FingerprintIndex:
         known = F.coalesce(*[F.col(f"old{i}") for i in range(len(self.runs))], F.lit(None).cast("long"))
         own = save(own.select("w1", "w2", "first", known.alias("known")), "batch")
         first = own.select("w1", "w2", F.least(F.col("first"), F.coalesce("known", "first")).alias("first"))
-        self.runs.append(self._write(own.filter("known is null").select("w1", "w2", "first")))
+        self.runs.append(self._write(own.filter("known is null").select("w1", "w2", "first"), "run"))
         if len(self.runs) > self.fanout:
-            self.compact()
+            self.runs = self.compact(self.runs, "run")
         out = save(batch.join(first, ["w1", "w2"]).withColumn("repeated", F.col("first") < F.col("doc_id")).drop("first"), "added")
         discard(own)
         return out
 
-    def compact(self) -> None:
-        """Merge all runs into one and drop the old ones."""
+    def add_stretches(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Stretches of the batch (doc_id, at, n, repeated, many) that repeat or whose fingerprint stands in different
+        stretches of different documents (many), and the places (doc_id, at, n) of stretches of earlier batches whose
+        fingerprint does so only since this batch: single windows of both have to be compared. The batch has w1, w2, doc_id, at and n.
+        """
+        place = batch.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "at", "n")).alias("p"), F.max("doc_id").alias("last"))
+        own = save(place.select("w1", "w2", F.col("p.doc_id").alias("first"), "p.at", "p.n", "last"), "own")
+        old, keys = self.spark.createDataFrame([], STRETCH_RUN), own.select("w1").distinct()
+        for run in self.stretches:
+            old = old.union(self.spark.table(run).join(keys, "w1", "left_semi").select("w1", "w2", "first", "at", "n"))
+        old = save(old, "old")
+        marked = save(own.join(old.select("w1", "w2", F.col("first").alias("known")), ["w1", "w2"], "left"), "marked")
+        fresh = marked.filter("known is null").select("w1", "w2", "first", "at", "n")
+        both = old.withColumn("was", F.lit(True)).union(fresh.withColumn("was", F.lit(False)))
+        ends = []
+        for x in ("w2", "first"):
+            ends += [f(v).alias(f"{f.__name__}_{x}{t}") for f in (F.min, F.max) for t, v in (("", F.col(x)), ("_was", F.when(F.col("was"), F.col(x))))]
+        many = both.groupBy("w1").agg(*ends).filter("min_w2 <> max_w2 and min_first <> max_first")
+        many = save(many.select("w1", F.expr("coalesce(min_w2_was <> max_w2_was and min_first_was <> max_first_was, false)").alias("was_many")), "many")
+        info = marked.join(many, "w1", "left").filter("known is not null or last > first or was_many is not null")
+        info = info.select("w1", "w2", F.coalesce("known", "first").alias("first"), F.col("was_many").isNotNull().alias("many"))
+        out = save(batch.join(info, ["w1", "w2"]).select("doc_id", "at", "n", (F.col("first") < F.col("doc_id")).alias("repeated"), "many"), "known")
+        opened = save(old.join(many.filter("not was_many"), "w1").select(F.col("first").alias("doc_id"), "at", "n"), "opened")
+        self.stretches.append(self._write(fresh, "stretch"))
+        if len(self.stretches) > self.fanout:
+            self.stretches = self.compact(self.stretches, "stretch")
+        discard(own, old, marked, many)
+        return out, opened
+
+    def history(self) -> DataFrame:
+        """doc_id, text of the documents of earlier calls."""
+        out = self.spark.createDataFrame([], "doc_id long, text string")
+        for table in self.texts:
+            out = out.union(self.spark.table(table))
+        return out
+
+    def keep(self, docs: DataFrame) -> None:
+        """Keep the texts of a call for later ones."""
+        table = self._table("text")
+        _narrow(docs).filter("doc_id is not null").write.format("parquet").saveAsTable(table)
+        self.texts.append(table)
+
+    def compact(self, runs: list[str], kind: str) -> list[str]:
+        """Merge runs into one and drop the old ones; no two runs have the same (w1, w2)."""
         merged = None
-        for run in self.runs:
+        for run in runs:
             part = self.spark.table(run)
             merged = part if merged is None else merged.union(part)
-        new = self._write(merged.groupBy("w1", "w2").agg(F.min("first").alias("first")))
-        for run in self.runs:
+        new = self._write(merged, kind)
+        for run in runs:
             self.spark.sql(f"DROP TABLE {run}")
-        self.runs = [new]
+        return [new]
 
     def drop(self) -> None:
-        for run in self.runs:
-            self.spark.sql(f"DROP TABLE {run}")
-        self.runs = []
+        for table in (*self.runs, *self.stretches, *self.texts):
+            self.spark.sql(f"DROP TABLE {table}")
+        self.runs, self.stretches, self.texts = [], [], []
 
 
-def repeated_stretches(docs: DataFrame, winnow: Winnower) -> DataFrame:
-    """w1 (fingerprint), w2 (hash of the stretch), doc_id, at, n, many: stretches whose fingerprint two documents have.
-
-    many tells whether the fingerprint stands in different stretches, so that single windows have to be compared.
-    """
+def all_stretches(docs: DataFrame, winnow: Winnower) -> DataFrame:
+    """w1 (fingerprint), w2 (hash of the stretch), doc_id, at, n: every stretch of every document, stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         winnow.start()
@@ -198,12 +248,7 @@ def repeated_stretches(docs: DataFrame, winnow: Winnower) -> DataFrame:
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["w1", "w2", "doc_id", "at", "n"])
 
-    rows = save(_narrow(docs.filter("doc_id is not null")).mapInArrow(run, "w1 long, w2 long, doc_id long, at int, n int"), "stretches")
-    ends = rows.groupBy("w1").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("w2").alias("c"), F.max("w2").alias("d")).filter("a <> b")
-    shared = save(ends.select("w1", (F.col("c") != F.col("d")).alias("many")), "shared")
-    out = save(rows.join(shared, "w1"), "repeated")
-    discard(rows, shared)
-    return out
+    return save(_narrow(docs.filter("doc_id is not null")).mapInArrow(run, "w1 long, w2 long, doc_id long, at int, n int"), "stretches")
 
 
 def stretch_windows(docs: DataFrame, stretches: DataFrame, winnow: Winnower) -> DataFrame:
@@ -266,25 +311,35 @@ def substring_dedup(docs: DataFrame, window: int = 50, batches: int = 2, index:
     A word goes if a window of `window` words that covers it also starts in a document with a smaller doc_id;
     windows are judged on the input. doc_id must be unique; null texts have no words, and rows with a null doc_id
     are kept whole. Other columns are ignored. An empty table gives no rows. The documents are added to the
-    index in `batches` ranges of doc_id, as increments of a growing corpus would be.
+    index in `batches` ranges of doc_id, as increments of a growing corpus. With an index of earlier calls, which had
+    the same window, their documents are the earlier ones too; doc_ids must then be larger than theirs.
     """
     spark, k = docs.sparkSession, min(GRAM, window)
     winnow = Winnower(words, k, window - k + 1)
     low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    stretches = repeated_stretches(docs, winnow)
-    first, covered = FingerprintIndex(spark), None
+    given, covered = index is not None, None
     index = index or FingerprintIndex(spark)
+    history = index.history()
+    last = history.agg(F.max("doc_id")).first()[0] if index.texts else None
+    if low is not None and last is not None and low <= last:
+        raise ValueError(f"doc_id {low} does not follow {last}, the last one of the index")
+    stretches = all_stretches(docs, winnow)
     step = 1 if low is None else (high - low) // batches + 1
     for i in range(0 if low is None else batches):
         ours = (F.col("doc_id") >= low + i * step) & (F.col("doc_id") < low + (i + 1) * step)
-        known = first.add(stretches.filter(ours))
-        single = save(stretch_windows(docs.filter(ours), known.filter("many and not repeated"), winnow), "windows")
+        known, opened = index.add_stretches(stretches.filter(ours))
+        places = known.filter("many and not repeated").select("doc_id", "at", "n").union(opened)
+        so_far = _narrow(docs.filter(F.col("doc_id") < low + (i + 1) * step)).union(history)
+        single = save(stretch_windows(so_far, places, winnow), "windows")
         found = index.add(single)
-        discard(single)
-        part = known.filter("repeated").select("doc_id", "at", "n").union(found.filter("repeated").select("doc_id", "at", F.lit(1).alias("n")))
+        discard(single, opened)
+        part = known.filter("repeated").select("doc_id", "at", "n").union(found.filter(ours & F.col("repeated")).select("doc_id", "at", F.lit(1).alias("n")))
         covered = part if covered is None else covered.union(part)
     discard(stretches)
-    first.drop()
+    if not given:
+        index.drop()
+    elif low is not None:
+        index.keep(docs)
     covered = spark.createDataFrame([], "doc_id long, at int, n int") if covered is None else covered
 
     def finish(text, items, gone):

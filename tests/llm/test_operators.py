@@ -245,6 +245,27 @@ def test_substring_dedup(spark, batches):
     index.drop()
 
 
+def test_substring_dedup_in_successive_calls(spark):
+    texts = corpus(8)
+    r = random.Random(9)
+    new = lambda n: " ".join(f"{r.choice('abc')}{r.randint(0, 10**6)}" for _ in range(n))
+    passage = new(60)
+    texts = [f"{new(30)} {passage} {new(30)}", *texts, f"{new(20)} {passage} {new(40)}", *corpus(8)[:20], passage]
+    want = removal_by_force([(t or "").encode().split() for t in texts], 50, False)
+    docs, got = frame(spark, texts), {}
+    cuts = [0, 40, 41, len(texts) - 22, len(texts) - 1, len(texts)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        index = repeats.FingerprintIndex(spark, "Successive", fanout=2)  # reopened by name
+        part = repeats.substring_dedup(docs.filter(f"doc_id >= {a} and doc_id < {b}"), index=index)
+        got |= {x["doc_id"]: (x["n_words"], x["n_removed"], x["kept"].encode()) for x in part.collect()}
+    assert got == {i: (a, b, b" ".join(c)) for i, (a, b, c) in want.items()}
+    assert want[len(texts) - 1][1] == 60 and len(index.runs) <= 2 and len(index.stretches) <= 2
+    with pytest.raises(ValueError):
+        repeats.substring_dedup(docs, index=index)
+    index.drop()
+    assert not repeats.FingerprintIndex(spark, "Successive").stretches
+
+
 @pytest.mark.parametrize("min_lines", [1, 2, 3, 5])
 def test_line_dedup(spark, min_lines):
     r = random.Random(7)
