@@ -350,11 +350,40 @@ def substring_dedup(docs: DataFrame, window: int = 50, batches: int = 2, index:
     return _removal(docs, covered, winnow, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string", finish)
 
 
-def _repeated_lines(docs: DataFrame, winnow: Winnower) -> DataFrame:
-    """doc_id, at, n: windows of lines that stand at an earlier place too."""
-    found = save(candidate_windows(docs, repeated_fingerprints(docs, winnow, True), winnow), "windows")
+def long_lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """w1, w2, doc_id, at: hashes of the single lines of at least min_words words."""
+    single = Winnower(lines, 1, 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        single.start()
+        for batch in small(batches):
+            parts = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
+                items = [(i, x) for i, x in enumerate(single.items(text)) if len(x) >= 2 * min_words - 1 and len(x.split()) >= min_words]
+                a, b = single.windows([x for _, x in items])
+                parts.append((a.view(np.int64), b.view(np.int64), np.full(len(items), doc_id, np.int64), np.array([i for i, _ in items], np.int32)))
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["w1", "w2", "doc_id", "at"])
+
+    return _narrow(docs.filter("doc_id is not null")).mapInArrow(run, WINDOWS)
+
+
+def _later(found: DataFrame) -> DataFrame:
+    """doc_id, at of the stored windows that stand at an earlier place too."""
     first = save(found.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("w1", "w2", "first"), "first")
-    return found.join(first, ["w1", "w2"]).filter(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "at", F.lit(1).alias("n"))
+    return found.join(first, ["w1", "w2"]).filter(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "at")
+
+
+def _repeated_lines(docs: DataFrame, winnow: Winnower, min_words: int) -> DataFrame:
+    """doc_id, at, n: runs of n + winnow.size - 1 lines that stand at an earlier place too."""
+    found = save(candidate_windows(docs, repeated_fingerprints(docs, winnow, True), winnow), "windows")
+    runs = _later(found).withColumn("n", F.lit(1))
+    single = _later(save(long_lines(docs, min_words), "long_lines")).withColumn("n", F.lit(2 - winnow.size))
+    return runs.union(single)
+
+
+#: Words from which a single line counts as a passage of its own.
+LONG_LINE = 50
 
 
 def _line_winnow(min_lines: int) -> Winnower:
@@ -367,11 +396,11 @@ def _without_lines(text: bytes, gone: np.ndarray) -> bytes:
     return b"\n".join([line for line in text.split(b"\n") if not line.strip() or not next(drop)])
 
 
-def line_dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def line_dedup(docs: DataFrame, min_lines: int = 2, min_words: int = LONG_LINE) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, text (without the later copies of repeated runs of lines).
 
     Lines are compared without white space at either end; blank ones don't count and stay. A run of min_lines or
-    more lines repeats if the same lines in the same order begin at an earlier place, that is in a document with a
+    more lines, or one line of min_words or more words, repeats if the same lines in the same order begin at an earlier place, that is in a document with a
     smaller doc_id or before it in the same one. Every line of the later run goes. Null texts stay null, rows with
     a null doc_id stay whole. doc_id must be unique; other columns are ignored.
     """
@@ -382,13 +411,13 @@ def line_dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
             return len(items), 0, None if text is None else text.decode()
         return len(items), int(gone.sum()), _without_lines(text, gone).decode()
 
-    return _removal(docs, _repeated_lines(docs, winnow), winnow, "doc_id long, n_lines long, n_removed long, text string", finish)
+    return _removal(docs, _repeated_lines(docs, winnow, min_words), winnow, "doc_id long, n_lines long, n_removed long, text string", finish)
 
 
-def drop_repeated_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = LONG_LINE) -> DataFrame:
     """docs with all their columns, texts as line_dedup leaves them, and lines_removed (int)."""
     winnow, names = _line_winnow(min_lines), docs.columns
-    places = _repeated_lines(docs, winnow).groupBy("doc_id").agg(F.collect_list("at").alias("_repeated"))
+    places = _repeated_lines(docs, winnow, min_words).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("_repeated"))
     schema = T.StructType([*docs.schema.fields, T.StructField("lines_removed", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,8 +429,8 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
                 if at[i].is_valid:
                     items = winnow.items(text)
                     gone = np.zeros(len(items), bool)
-                    for j in at[i].values.to_numpy():
-                        gone[j : j + winnow.size] = True
+                    for j, n in zip(*(at[i].values.field(x).to_numpy() for x in ("at", "n")), strict=True):
+                        gone[j : j + n + winnow.size - 1] = True
                     text = _without_lines(text, gone)
                 out.append(None if text is None else text.decode())
                 removed.append(int(gone.sum()))

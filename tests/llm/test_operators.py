@@ -283,6 +283,15 @@ def test_line_dedup(spark, min_lines):
             assert got[i]["text"] == t
 
 
+def test_line_dedup_of_single_long_lines(spark):
+    long, short = " ".join(f"w{i}" for i in range(50)), " ".join(f"w{i}" for i in range(49))
+    texts = [f"a\n{long}\n{short}\nb", f"c\n  {long}\nd", long, f"e\n{short}\nf", f"g\n{long}x\n{long}\nh", f"{long}x"]
+    want = [texts[0], "c\nd", "", texts[3], f"g\n{long}x\nh", ""]
+    assert [x["text"] for x in repeats.line_dedup(frame(spark, texts)).orderBy("doc_id").collect()] == want
+    got = repeats.drop_repeated_lines(frame(spark, texts)).orderBy("doc_id").collect()
+    assert [x["text"] for x in got] == want and [x["lines_removed"] for x in got] == [0, 1, 1, 0, 1, 1]
+
+
 def test_repeats_in_an_empty_table(spark):
     none = frame(spark, ["x"]).limit(0)
     assert repeats.substring_dedup(none).count() == 0 and repeats.line_dedup(none).count() == 0
