@@ -166,7 +166,7 @@ def x09(spark, d):
 
 @query("x10_flatten_rich_text", "SELECT conv_id, string_agg(role || ' ' || substr(text, 1, 20), ' ' ORDER BY turn) AS flat FROM conversations GROUP BY 1")
 def x10(spark, d):
-    para = F.struct("turn", F.array(F.struct(F.col("role").alias("text")), F.struct(F.substring("text", 1, 20).alias("text"))).alias("nodes"))
+    para = F.struct("turn", F.array(F.struct(F.col("role").alias("text")), F.struct(F.col("text"))).alias("nodes"))
     df = reshape.group_collect(read(spark, d, "conversations"), ["conv_id"], para, "paragraphs")
     return df.select("conv_id", nested.flatten_rich_text(F.col("paragraphs")).alias("flat"))
 

@@ -134,3 +134,11 @@ def test_stream(spark, tmp_path):
     curate_stream(stream, [Rule(1, "delete", "id = 0"), Rule(2, "tag", "url = 'u1'", "ONE")], f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination(60)
     got = sorted((r["id"], r["keywords"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == [(i, ["k", "ONE"] if i % 3 == 1 else ["k"]) for i in range(1, 6)]
+
+
+def test_rich_text_query_keeps_whole_texts(spark, tmp_path):
+    from eventlake.plans.source_queries import x10
+
+    long = "word " * 30 + "end"
+    spark.createDataFrame([(1, 0, "user", long), (1, 1, "bot", "short")], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert x10(spark, str(tmp_path)).collect()[0]["flat"] == f"user {long} bot short"
