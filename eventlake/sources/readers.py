@@ -55,7 +55,8 @@ def read_url_lists(spark: SparkSession, path: str) -> DataFrame:
 def parse_ics(df: DataFrame, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per VEVENT of calendar texts: uid, name, begin, end, description, url, location, categories, attach."""
     flat = F.regexp_replace(text, "\r?\n[ \t]", "")
-    events = F.slice(F.split(flat, "BEGIN:VEVENT"), 2, 1_000_000)
+    parts = F.split(flat, "BEGIN:VEVENT")
+    events = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
     rows = df.select(*keep, F.explode(F.transform(events, lambda e: F.substring_index(e, "END:VEVENT", 1))).alias("e"))
     get = lambda k: F.trim(first_group(F.col("e"), rf"(?md)^{k}(?:;[^:\n]*)?:([^\r\n]*)"))
     plain = lambda c: F.replace(F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\,"), F.lit(",")), F.lit("\\;"), F.lit(";"))

@@ -142,3 +142,9 @@ def test_rich_text_query_keeps_whole_texts(spark, tmp_path):
     long = "word " * 30 + "end"
     spark.createDataFrame([(1, 0, "user", long), (1, 1, "bot", "short")], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     assert x10(spark, str(tmp_path)).collect()[0]["flat"] == f"user {long} bot short"
+
+
+def test_calendar_of_over_a_million_events(spark):
+    df = spark.range(1).select(F.concat(F.lit("BEGIN:VCALENDAR\n"), F.repeat(F.lit("BEGIN:VEVENT\nUID:a\nEND:VEVENT\n"), 1_000_001)).alias("text"))
+    df = df.union(spark.createDataFrame([(None,), ("",)], "text string"))
+    assert readers.parse_ics(df, "text").filter("uid = 'a'").count() == 1_000_001
