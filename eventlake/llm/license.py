@@ -37,7 +37,8 @@ _COPYRIGHT = r"(?md)^[^a-z0-9\n]*(?:copyright|\(c\)|all rights reserved)[^\n]*$"
 
 def canonical(text: Column) -> Column:
     """The canonical form: A-Z lower-cased, copyright lines gone, punctuation and white space as one blank, spellings unified."""
-    x = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ©", "abcdefghijklmnopqrstuvwxyz\n")
+    x = F.replace(F.coalesce(text, F.lit("")), F.lit("©"), F.lit("(c)"))
+    x = F.translate(x, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     x = F.regexp_replace(x, r"https?://", "http ")
     x = F.regexp_replace(x, _COPYRIGHT, " ")
     x = F.trim(F.regexp_replace(x, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))

@@ -172,6 +172,12 @@ def test_license_digests(spark):
     assert license.scan(frame(spark, ["x"]).limit(0), license.known_licenses(spark)).count() == 0
 
 
+def test_license_digest_with_copyright_sign(spark):
+    mit = license.KNOWN["MIT"]
+    texts = [f"{header}\n\n{mit}" for header in ("Copyright © 2020 A. Person", "© 2020 A. Person", "  * © A. Person, all rights reserved", "COPYRIGHT (C) 2020 A. Person")]
+    assert [r["license_id"] for r in license.scan(frame(spark, texts), license.known_licenses(spark)).collect()] == ["MIT"] * 4
+
+
 # 4 ---------------------------------------------------------------------------------------------------------------
 
 
