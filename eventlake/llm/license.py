@@ -68,5 +68,4 @@ def license_lines(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, line (from 0), license_id: lines whose canonical form is a whole known text, as in file headers."""
     side = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    lines = lines.filter(F.length("text") <= 400)  # a known one-line notice is shorter; longer lines are texts of their own
     return lines.select("doc_id", "line", F.sha2(canonical(F.col("text")), 256).alias("digest")).join(side, "digest").select("doc_id", "line", "license_id")

@@ -178,6 +178,12 @@ def test_license_digest_with_copyright_sign(spark):
     assert [r["license_id"] for r in license.scan(frame(spark, texts), license.known_licenses(spark)).collect()] == ["MIT"] * 4
 
 
+def test_license_lines_of_any_length(spark):
+    texts = ["x\n" + " ".join(license.KNOWN[k].split()) + "\ny" for k in ("MIT", "0BSD")]
+    lines = license.license_lines(frame(spark, texts), license.known_licenses(spark)).collect()
+    assert sorted(tuple(x) for x in lines) == [(0, 1, "MIT"), (1, 1, "0BSD")]
+
+
 # 4 ---------------------------------------------------------------------------------------------------------------
 
 
