@@ -15,14 +15,17 @@ _JSONLD = r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?
 def extract_jsonld(pages: DataFrame, html: str, keep: Sequence[str]) -> DataFrame:
     """keep, pos, item: every JSON-LD item of every page; arrays give many. Broken blocks and falsy items go.
 
-    Control characters within strings are read as blanks.
+    Control characters within strings are read as blanks. pos counts the items of all good blocks of a page.
     """
-    blocks = pages.select(*keep, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(_JSONLD), F.lit(1))).alias("block", "raw"))
-    raw = F.trim(F.regexp_replace("raw", r"[\x00-\x1F]+", " "))
-    items = F.when(raw.startswith("["), F.from_json(raw, "array<string>")).otherwise(F.array(raw))
-    rows = blocks.filter(F.try_parse_json(raw).isNotNull()).select(*keep, "block", F.posexplode(items).alias("at", "item"))
-    good = rows.filter(F.try_parse_json("item").isNotNull() & ~F.trim("item").isin("{}", "null", "[]", "false", "0", '""'))
-    return good.select(*keep, (F.col("block") * 1000 + F.col("at")).alias("pos"), "item")
+
+    def items(block: Column) -> Column:
+        raw = F.trim(F.regexp_replace(block, r"[\x00-\x1F]+", " "))
+        listed = F.when(raw.startswith("["), F.from_json(raw, "array<string>")).otherwise(F.array(raw))
+        return F.when(F.try_parse_json(raw).isNotNull(), listed).otherwise(F.array().cast("array<string>"))
+
+    blocks = F.regexp_extract_all(F.col(html), F.lit(_JSONLD), F.lit(1))
+    rows = pages.select(*keep, F.posexplode(F.flatten(F.transform(blocks, items))).alias("pos", "item"))
+    return rows.filter(F.try_parse_json("item").isNotNull() & ~F.trim("item").isin("{}", "null", "[]", "false", "0", '""'))
 
 
 def pick_event(items: DataFrame, key: str, types: Sequence[str]) -> DataFrame:
@@ -79,10 +82,31 @@ def repair_json(raw: Column, broken_end: str, suffix: str) -> Column:
     return F.when(F.try_parse_json(fixed).isNotNull(), fixed)
 
 
-def unwrap_typed_values(raw: Column, field: str) -> Column:
-    """A document-database value ({"stringValue": ..} and the like) at $.fields.<field> as plain text; lists as JSON arrays of text."""
-    at = lambda kind: F.get_json_object(raw, f"$.fields.{field}.{kind}")
-    inner = F.from_json(at("arrayValue.values"), "array<struct<stringValue: string, integerValue: string, booleanValue: boolean>>")
-    texts = F.transform(inner, lambda x: F.coalesce(x["stringValue"], x["integerValue"], x["booleanValue"].cast("string")))
-    array = F.when(at("arrayValue").isNotNull(), F.coalesce(F.to_json(texts), F.lit("[]")))
-    return F.coalesce(at("stringValue"), at("timestampValue"), at("booleanValue"), at("integerValue"), array)
+def _quoted(x: Column) -> Column:
+    return F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", "")
+
+
+def _plain_json(value: Column, depth: int) -> Column:
+    """JSON text of a typed value; what lies deeper than depth, and kinds that are not known, stay as they are."""
+    at = lambda path: F.get_json_object(value, f"$.{path}")
+    texts = F.coalesce(at("stringValue"), at("timestampValue"), at("integerValue"))
+    out = F.when(texts.isNotNull(), _quoted(texts)).when(at("booleanValue").isNotNull(), at("booleanValue")).when(value.rlike(r'^\s*\{\s*"nullValue"'), "null")
+    if depth:
+        values = F.from_json(at("arrayValue.values"), "array<string>")
+        listed = F.concat(F.lit("["), F.array_join(F.transform(values, lambda x: _plain_json(x, depth - 1)), ","), F.lit("]"))
+        entries = F.map_entries(F.from_json(at("mapValue.fields"), "map<string,string>"))
+        mapped = F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), _plain_json(e["value"], depth - 1))), ","), F.lit("}"))
+        out = out.when(at("arrayValue").isNotNull(), F.coalesce(listed, F.lit("[]"))).when(at("mapValue").isNotNull(), F.coalesce(mapped, F.lit("{}")))
+    return out.otherwise(value)
+
+
+def unwrap_typed_values(raw: Column, field: str, depth: int = 4) -> Column:
+    """A document-database value ({"stringValue": ..} and the like) at $.fields.<field> without its types.
+
+    Scalars become plain text; arrays and maps, nested in each other up to depth times, become JSON text. Unknown kinds
+    and what is nested deeper stay as typed JSON; an absent field or a null value is null.
+    """
+    value = F.get_json_object(raw, f"$.fields.{field}")
+    at = lambda kind: F.get_json_object(value, f"$.{kind}")
+    nested = F.when(~value.rlike(r'^\s*\{\s*"nullValue"'), _plain_json(value, depth))
+    return F.coalesce(at("stringValue"), at("timestampValue"), at("booleanValue"), at("integerValue"), nested)

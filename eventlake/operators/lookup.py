@@ -33,16 +33,26 @@ def detect_subtitle_language(col: Column, names: Mapping[str, str]) -> Column:
     return classify_last([(col.rlike(rf"(?i)\b{n} subtitles"), c) for n, c in names.items()], None)
 
 
+#: Places up to which a gazetteer becomes one expression; of more, patterns are joined with the texts.
+INLINE_PLACES = 500
+
+
 def gazetteer_match(df: DataFrame, key: str, text: str, places: DataFrame) -> DataFrame:
-    """Rows with the first place (lowest priority value) whose regex pattern occurs in the text; null without any.
+    """Rows with the first place (lowest priority, then pattern) whose regex pattern occurs in the text; null without any.
 
-    places: priority, pattern and what is looked up. It is a list of places by nature; it is counted, and more than 10,000 are refused.
+    places: priority, pattern and what is looked up. Up to INLINE_PLACES of them are collected when this is called and
+    become one chain of constant patterns in a projection, without a join; the key need not be unique then. More
+    places are joined with every text, once for each key.
     """
-    if places.limit(10_001).count() > 10_000:
-        raise ValueError("a gazetteer of more than 10,000 patterns: every text would be matched with each")
     what = [c for c in places.columns if c not in ("priority", "pattern")]
+    listed = places.orderBy("priority", "pattern").limit(INLINE_PLACES + 1).collect()
+    if len(listed) <= INLINE_PLACES:
+        kinds = {c: places.schema[c].dataType for c in what}
+        row = lambda p: F.struct(*[F.lit(None if p is None else p[c]).cast(t).alias(c) for c, t in kinds.items()])
+        place = classify_first([(F.col(text).rlike(p["pattern"]), row(p)) for p in listed if p["pattern"] is not None], row(None))
+        return df.withColumn("_place", place).select(*df.columns, "_place.*")
     found = df.select(key, text).join(F.broadcast(places), F.expr(f"{text} rlike pattern"))
-    best = found.groupBy(key).agg(F.min_by(F.struct(*what), "priority").alias("place"))
+    best = found.groupBy(key).agg(F.min_by(F.struct(*what), F.struct("priority", "pattern")).alias("place"))
     return df.join(best, key, "left").select(*df.columns, "place.*")
 
 

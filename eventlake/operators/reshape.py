@@ -7,12 +7,39 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.nested import zip_keys
 
-def explode_slots(df: DataFrame, slots: str, pred: Callable[[Column], Column], title: str) -> DataFrame:
-    """One row per slot that pred selects; untitled records and titles with "test" go."""
+
+def explode_slots(
+    df: DataFrame, slots: str, pred: Callable[[Column], Column], title: str, day: Callable[[Column], Column] | None = None, fallback: Column | None = None, today: Column | None = None
+) -> DataFrame:
+    """One row per slot that pred selects; untitled records and titles with "test" go.
+
+    With day (slot -> its date) rows get slot_day, and those without one go. A record that has no slots at all then
+    gives one row of a null slot by the record's own date, fallback, if that is given. Days before today go.
+    """
     rest = [c for c in df.columns if c != slots]
     good = F.col(title).isNotNull() & (F.trim(title) != "") & ~F.lower(title).contains("test")
-    return df.filter(good).select(*rest, F.explode(F.filter(slots, pred)).alias("slot"))
+    chosen = F.filter(slots, pred)
+    if fallback is not None:
+        one = F.array(F.lit(None).cast(df.schema[slots].dataType.elementType))
+        chosen = F.when(F.coalesce(F.size(slots), F.lit(0)) <= 0, one).otherwise(chosen)
+        df, rest = df.withColumn("_fallback", fallback), [*rest, "_fallback"]
+    out = df.filter(good).select(*rest, F.explode(chosen).alias("slot"))
+    if day is not None:
+        own = day(F.col("slot"))
+        out = out.withColumn("slot_day", own if fallback is None else F.when(F.col("slot").isNull(), F.col("_fallback")).otherwise(own)).filter("slot_day is not null")
+        if today is not None:
+            out = out.filter(F.col("slot_day") >= today)
+    return out.drop("_fallback")
+
+
+def explode_trips(df: DataFrame, days: str, header: Column) -> DataFrame:
+    """One row per trip of a map of days to maps of slots to arrays of trips: day, slot and trip, a map by header names."""
+    rest = [c for c in df.columns if c != days]
+    by_day = df.select(*rest, header.alias("_header"), F.explode(days).alias("day", "_slots"))
+    by_slot = by_day.select(*rest, "_header", "day", F.explode("_slots").alias("slot", "_trips"))
+    return by_slot.select(*rest, "_header", "day", "slot", F.explode("_trips").alias("_trip")).select(*rest, "day", "slot", zip_keys(F.col("_header"), F.col("_trip")).alias("trip"))
 
 
 def slot_fragment_url(df: DataFrame, key: str, url: str, start: str, available: Column) -> DataFrame:

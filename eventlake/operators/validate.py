@@ -12,15 +12,52 @@ from pyspark.sql import functions as F
 CONTEXTS = ("http://schema.org", "https://schema.org", "http://schema.org/", "https://schema.org/")
 
 
+@dataclass(frozen=True)
+class Shape:
+    """What a JSON value may look like: one of some types (string, number, boolean, object, array, null), the shape of
+    each item of an array and of each property that an object has, or one of several shapes (any_of)."""
+
+    types: Sequence[str] = ()
+    items: Shape | None = None
+    properties: Mapping[str, Shape] = field(default_factory=dict)
+    any_of: Sequence[Shape] = ()
+
+
+def json_type(value: Column) -> Column:
+    """Type of a variant by its JSON name; null for an absent one."""
+    kind = F.schema_of_variant(value)
+    named = F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").when(kind == "VOID", "null")
+    return F.when(value.isNotNull(), named.otherwise("number"))
+
+
+def fits(value: Column, shape: Shape) -> Column:
+    """Whether a variant has a shape; what a shape doesn't name is free, and absent values fit."""
+    out = F.lit(True)
+    if shape.types:
+        out = out & json_type(value).isin(list(shape.types))
+    if shape.items is not None:
+        out = out & ((json_type(value) != "array") | F.forall(F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>")), lambda x: fits(x, shape.items)))
+    for name, own in shape.properties.items():
+        out = out & fits(F.try_variant_get(value, f'$["{name}"]', "variant"), own)
+    if shape.any_of:
+        some = F.lit(False)
+        for own in shape.any_of:
+            some = some | fits(value, own)
+        out = out & some
+    return F.coalesce(out, F.lit(True))
+
+
 @dataclass
 class Checks:
-    """Which faults are errors (required, numbers, allowed) and which are warnings (patterns, lengths)."""
+    """Which faults are errors (required, numbers, allowed, shapes without alternatives) and which are warnings
+    (patterns, lengths, shapes of which no alternative fits). Columns of shapes hold JSON text."""
 
     required: Sequence[str] = ()
     numbers: Sequence[str] = ()
     allowed: Mapping[str, Sequence[str]] = field(default_factory=dict)
     patterns: Mapping[str, str] = field(default_factory=dict)
     min_length: Mapping[str, int] = field(default_factory=dict)
+    shapes: Mapping[str, Shape] = field(default_factory=dict)
 
 
 def validate_records(df: DataFrame, checks: Checks) -> DataFrame:
@@ -28,8 +65,11 @@ def validate_records(df: DataFrame, checks: Checks) -> DataFrame:
     errors = [F.when(F.col(c).isNull(), F.lit(f"{c} is required")) for c in checks.required]
     errors += [F.when(F.col(c).isNotNull() & F.col(c).cast("string").try_cast("double").isNull(), F.lit(f"{c} is not a number")) for c in checks.numbers]
     errors += [F.when(~F.col(c).isin(list(v)), F.lit(f"{c} is not allowed")) for c, v in checks.allowed.items()]
+    wrong = {c: ~fits(F.try_parse_json(c), s) for c, s in checks.shapes.items()}
+    errors += [F.when(wrong[c], F.lit(f"{c} is of a wrong type")) for c, s in checks.shapes.items() if not s.any_of]
     warnings = [F.when(~F.col(c).rlike(p), F.lit(f"{c} does not match")) for c, p in checks.patterns.items()]
     warnings += [F.when(F.length(c) < n, F.lit(f"{c} is too short")) for c, n in checks.min_length.items()]
+    warnings += [F.when(wrong[c], F.lit(f"{c} fits no alternative")) for c, s in checks.shapes.items() if s.any_of]
     pack = lambda xs: F.array_compact(F.array(*xs)).cast("array<string>") if xs else F.array().cast("array<string>")
     return df.withColumn("errors", pack(errors)).withColumn("warnings", pack(warnings))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..functions import nested, text
@@ -137,9 +139,24 @@ list_filter([CASE WHEN event_id % 31 = 0 THEN 'link does not match' END, CASE WH
 _PCT = "round(100 * valid / total, 1) AS valid_pct, round(100 * invalid / total, 1) AS invalid_pct, round(100 * warned / total, 1) AS warned_pct"
 
 
-@query("v01_validate_records", f"SELECT event_id, array_to_string(errors, '|') AS errors, array_to_string(warnings, '|') AS warnings FROM {_FAULTY}")
+_NUMBER = validate.Shape(("number", "string"))
+_PLACE = validate.Shape(("object",), properties={"name": validate.Shape(("string", "null")), "geo": validate.Shape(("object",), properties={"latitude": _NUMBER, "longitude": _NUMBER})})
+SHAPED = replace(CHECKS, shapes={
+    "image": validate.Shape(any_of=(validate.Shape(("string",)), validate.Shape(("array",), items=validate.Shape(("string",))))),
+    "location": validate.Shape(any_of=(validate.Shape(("string",)), _PLACE)), "offers": validate.Shape(("object", "array")),
+})
+
+
+@query("v01_validate_records", f"""SELECT event_id, array_to_string(list_concat(errors, CASE WHEN event_id % 13 = 0 THEN ['offers is of a wrong type'] ELSE [] END), '|') AS errors,
+array_to_string(list_concat(warnings, list_concat(CASE WHEN event_id % 17 IN (2, 3) THEN ['image fits no alternative'] ELSE [] END, CASE WHEN event_id % 19 IN (3, 4, 5) THEN ['location fits no alternative'] ELSE [] END)), '|') AS warnings FROM {_FAULTY}""")
 def v01(spark, d):
-    out = validate.validate_records(faulty(spark, d), CHECKS)
+    k = F.col("event_id")
+    name = F.to_json(F.struct(F.col("location_name").alias("name")))
+    inside = lambda x: F.concat(F.lit('{"geo":{"latitude":'), F.col("latitude") if x is None else F.lit(x), F.lit("}}"))
+    image = F.when(k % 17 == 0, F.to_json(F.array("url", "link"))).when(k % 17 == 1, "[]").when(k % 17 == 2, "[1]").when(k % 17 == 3, '{"url":"x"}').otherwise(F.concat(F.lit('"'), F.col("url"), F.lit('"')))
+    location = F.when(k % 19 == 0, name).when(k % 19 == 1, '{"name":null}').when(k % 19 == 2, inside('"12.9"')).when(k % 19 == 3, '{"name":5}').when(k % 19 == 4, inside("[1]")).when(k % 19 == 5, "[]").when(k % 19 == 6, inside("12.5")).when(k % 19 == 7, '"a hall"')
+    offers = F.when(k % 13 == 0, '"free"').when(k % 13 == 1, "[]").when(k % 13 == 2, "{}")
+    out = validate.validate_records(faulty(spark, d).withColumns({"image": image, "location": location, "offers": offers}), SHAPED)
     return out.select("event_id", F.array_join("errors", "|").alias("errors"), F.array_join("warnings", "|").alias("warnings"))
 
 

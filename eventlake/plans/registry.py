@@ -61,6 +61,13 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path for files that a query writes and reads again, in the folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-eventlake-')}"
+    """A new path for files that a query writes and reads again, in the folder that driver and executors share.
+
+    Only a local session may go without spark.checkpoint.dir: elsewhere a folder of one machine would lose the files.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-eventlake-')}"
     return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"

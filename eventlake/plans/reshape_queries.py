@@ -14,15 +14,18 @@ AGG_ITEMS = "l_linenumber, CAST(l_quantity AS BIGINT) AS q, l_extendedprice AS p
 def slots(spark, d):
     """Orders with their line items as an array of slots."""
     items = read(spark, d, "lineitem")
-    item = F.struct("l_linenumber", F.col("l_quantity").cast("bigint").alias("q"), F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("flag"))
+    item = F.struct("l_linenumber", F.col("l_quantity").cast("bigint").alias("q"), F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("flag"), F.to_date("l_shipdate").alias("day"))
     return reshape.group_collect(items.withColumnRenamed("l_orderkey", "o_orderkey"), ["o_orderkey"], item, "slots")
 
 
-@query("e01_explode_slots", "SELECT o_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS q FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_returnflag <> 'R' AND l_quantity > 10 AND o_orderkey % 5 <> 0 AND o_orderkey % 5 <> 1")
+@query("e01_explode_slots", """SELECT o_orderkey, l_linenumber, q, strftime(day, '%Y-%m-%d') AS day FROM (
+SELECT o_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS q, l_shipdate AS day FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_returnflag <> 'R' AND l_quantity > 10
+UNION ALL SELECT o_orderkey, NULL, NULL, o_orderdate FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) WHERE o_orderkey % 5 NOT IN (0, 1) AND day >= TIMESTAMP '1996-01-01'""")
 def e01(spark, d):
     title = F.when(F.col("o_orderkey") % 5 == 0, "A Test show").when(F.col("o_orderkey") % 5 == 1, " ").otherwise(F.col("o_orderpriority"))
-    df = slots(spark, d).join(read(spark, d, "orders"), "o_orderkey").select("o_orderkey", "slots", title.alias("title"))
-    return reshape.explode_slots(df, "slots", lambda s: (s["flag"] != "R") & (s["q"] > 10), "title").select("o_orderkey", "slot.l_linenumber", "slot.q")
+    df = read(spark, d, "orders").join(slots(spark, d), "o_orderkey", "left").select("o_orderkey", "slots", "o_orderdate", title.alias("title"))
+    out = reshape.explode_slots(df, "slots", lambda s: (s["flag"] != "R") & (s["q"] > 10), "title", lambda s: s["day"], F.to_date("o_orderdate"), F.lit("1996-01-01").cast("date"))
+    return out.select("o_orderkey", "slot.l_linenumber", "slot.q", F.date_format("slot_day", "yyyy-MM-dd").alias("day"))
 
 
 @query("e02_slot_fragment_url", """SELECT l_orderkey, l_linenumber, CASE WHEN n > 1 THEN '/e/' || l_orderkey || '#' || strftime(l_shipdate, '%Y-%m-%dT%H%M') ELSE '/e/' || l_orderkey END AS url
@@ -63,19 +66,22 @@ def e07(spark, d):
     return reshape.sort_records(ev(spark, d), "start_ts", "url").select("event_id", F.date_format("start_ts", "yyyy-MM-dd").alias("day"))
 
 
-@query("e08_group_collect", "SELECT l_orderkey, strftime(l_shipdate, '%Y-%m-%d') AS day, string_agg(l_linenumber || ':' || CAST(l_quantity AS BIGINT), '|' ORDER BY l_linenumber) AS items FROM lineitem GROUP BY 1, 2")
+@query("e08_group_collect", "SELECT l_orderkey, strftime(l_shipdate, '%Y-%m-%d') AS day, string_agg(l_linenumber || ':' || CAST(l_quantity AS BIGINT), '|' ORDER BY l_linenumber, CAST(l_quantity AS BIGINT)) AS items FROM lineitem GROUP BY 1, 2")
 def e08(spark, d):
     df = read(spark, d, "lineitem").select("l_orderkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), F.struct("l_linenumber", F.col("l_quantity").cast("bigint").alias("q")).alias("item"))
     out = reshape.group_collect(df, ["l_orderkey", "day"], F.col("item"))
     return out.select("l_orderkey", "day", F.array_join(F.transform("items", lambda x: F.concat_ws(":", x["l_linenumber"], x["q"])), "|").alias("items"))
 
 
-@query("e09_zip_keys", "SELECT l_orderkey, l_linenumber, l_returnflag AS flag, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS qty, CAST(NULL AS VARCHAR) AS surplus FROM lineitem")
+@query("e09_zip_keys", "SELECT l_orderkey, strftime(l_shipdate, '%Y-%m-%d') AS day, l_returnflag AS slot, CAST(l_linenumber AS VARCHAR) AS line, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS qty, CAST(NULL AS VARCHAR) AS surplus FROM lineitem")
 def e09(spark, d):
-    header = F.array(*[F.lit(x) for x in ("flag", "qty", "surplus")])
-    rec = nested.zip_keys(header, F.array(F.col("l_returnflag"), F.col("l_quantity").cast("bigint").cast("string")))
-    df = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", rec.alias("r"))
-    return df.select("l_orderkey", "l_linenumber", *[F.try_element_at("r", F.lit(x)).alias(x) for x in ("flag", "qty", "surplus")])
+    trip = F.array(F.col("l_linenumber").cast("string"), F.col("l_quantity").cast("bigint").cast("string"))
+    rows = read(spark, d, "lineitem").select("l_orderkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), F.col("l_returnflag").alias("slot"), trip.alias("trip"))
+    by_slot = reshape.group_collect(rows, ["l_orderkey", "day", "slot"], F.col("trip"), "trips")
+    by_day = by_slot.groupBy("l_orderkey", "day").agg(F.map_from_entries(F.collect_list(F.struct("slot", "trips"))).alias("slots"))
+    days = by_day.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("day", "slots"))).alias("days"))
+    out = reshape.explode_trips(days, "days", F.array(*[F.lit(x) for x in ("line", "qty", "surplus")]))
+    return out.select("l_orderkey", "day", "slot", *[F.try_element_at("trip", F.lit(x)).alias(x) for x in ("line", "qty", "surplus")])
 
 
 @query("e10_lookup_map", "SELECT p_partkey, CASE WHEN p_partkey % 4 < 3 THEN p_retailprice + p_partkey % 4 END AS price FROM part")

@@ -13,30 +13,43 @@ from .registry import ev, query, read, scratch
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
-@query("s01_record_files", """SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'list' WHEN 1 THEN 'string' WHEN 2 THEN 'object' ELSE 'absent' END AS keywords_kind,
-CASE doc_id % 4 WHEN 0 THEN lang || '|' || upper(source) WHEN 1 THEN ', ' || upper(source) || ', ' || lang WHEN 2 THEN '' ELSE upper(source) END AS keywords FROM documents""")
+def write_files(df, key: str, order: str, value: str, path: str, sep: str, ends: tuple[str, str] = ("", "")):
+    """One text file for each key, in a folder of its own, with the key's values in order."""
+    ordered = reshape.group_collect(df, [key], F.struct(order, value))
+    body = F.concat(F.lit(ends[0]), F.array_join(F.transform("items", lambda x: x[value]), sep), F.lit(ends[1]))
+    ordered.select(key, body.alias("value")).write.partitionBy(key).text(path)
+
+
+@query("s01_record_files", """SELECT 'u' || doc_id AS url, CASE doc_id % 4 WHEN 0 THEN 'list' WHEN 1 THEN 'string' WHEN 2 THEN 'object' ELSE 'absent' END AS keywords_kind, CASE WHEN doc_id % 3 = 0 THEN '{"n":1}' END AS offers,
+CASE doc_id % 4 WHEN 0 THEN lang || '|' || upper(source) WHEN 1 THEN ', ' || upper(source) || ', ' || lang WHEN 2 THEN '' ELSE upper(source) END AS keywords FROM documents WHERE doc_id % 7 <> 0""")
 def s01(spark, d):
-    k = F.col("doc_id") % 4
-    raw = F.when(k == 0, F.to_json(F.array("lang"))).when(k == 1, F.col("lang")).when(k == 2, F.to_json(F.struct("lang")))
-    df = read(spark, d, "documents").select("doc_id", "source", raw.alias("raw"))
-    return readers.tag_source(df, "raw", F.upper("source")).select("doc_id", "keywords_kind", F.array_join("keywords", "|").alias("keywords"))
+    k, path = F.col("doc_id") % 4, scratch(spark)
+    keywords = F.when(k == 0, F.to_json(F.array("lang"))).when(k == 1, F.concat(F.lit('"'), F.col("lang"), F.lit('"'))).when(k == 2, F.to_json(F.struct("lang")))
+    fields = [F.when(F.col("doc_id") % 7 != 0, F.concat(F.lit('"url":"u'), F.col("doc_id").cast("string"), F.lit('"'))), F.concat(F.lit('"keywords":'), keywords), F.when(F.col("doc_id") % 3 == 0, '"offers":{"n":1}')]
+    record = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+    rows = read(spark, d, "documents").select("doc_id", F.concat_ws("-", "source", F.floor(F.col("doc_id") / 500)).alias("file"), record.alias("record"))
+    write_files(rows, "file", "doc_id", "record", path, ",\n", ("[", "]"))  # at most 500 records a file
+    return readers.read_record_files(spark, path, "file=([^/]+)-[0-9]+/").select("url", "keywords_kind", "offers", F.array_join("keywords", "|").alias("keywords"))
 
 
-@query("s02_url_lists", """SELECT doc_id, line_no, trim(line, ' ') AS line FROM (SELECT *, min(CASE WHEN trim(line, ' ') = '' THEN line_no END) OVER (PARTITION BY doc_id) AS f FROM (
-SELECT doc_id, unnest(string_split(text, '. ')) AS line, CAST(unnest(range(0, len(string_split(text, '. ')))) AS INTEGER) AS line_no FROM documents)) WHERE f IS NULL OR line_no < f""")
+@query("s02_url_lists", """SELECT list, line_no, url FROM (SELECT *, min(CASE WHEN blank THEN line_no END) OVER (PARTITION BY list) AS f FROM (
+SELECT CAST(page_id // 40 AS VARCHAR) AS list, CAST(row_number() OVER (PARTITION BY page_id // 40 ORDER BY page_id) - 1 AS INTEGER) AS line_no, url, page_id % 33 = 20 AS blank FROM pages)) WHERE f IS NULL OR line_no < f""")
 def s02(spark, d):
-    rows = read(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "[.] ")).alias("line_no", "line"))
-    return readers.cut_at_blank(rows, "doc_id", "line_no", "line")
+    path = scratch(spark)
+    line = F.when(F.col("page_id") % 33 == 20, " ").otherwise(F.concat(F.lit(" "), F.col("url")))
+    write_files(read(spark, d, "pages").select("page_id", F.floor(F.col("page_id") / 40).alias("list"), line.alias("line")), "list", "page_id", "line", path, "\n")
+    return readers.read_url_lists(spark, path).select(F.regexp_extract("file", "list=([^/]+)/", 1).alias("list"), "line_no", "url")
 
 
-@query("s03_ics", """SELECT event_id, 'e-' || event_id AS uid, event_type || ', live; now' AS name, strftime(ts, '%Y-%m-%d %H:%M:%S') AS begin_text, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS end_text, 2 AS n_categories, 'a long line' AS description FROM events""")
+@query("s03_ics", """SELECT 'e-' || event_id AS uid, event_type || ', live; now' AS name, strftime(ts, '%Y-%m-%d %H:%M:%S') AS begin_text, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS end_text, 2 AS n_categories, 'a long line' AS description FROM events""")
 def s03(spark, d):
     body = F.concat(
-        F.lit("BEGIN:VCALENDAR\r\nBEGIN:VEVENT\r\nUID:e-"), F.col("event_id").cast("string"), F.lit("\r\nDTSTART;TZID=UTC:"), F.date_format("ts", "yyyyMMdd'T'HHmmss"), F.lit("\r\nDTEND;VALUE=DATE:"),
-        F.date_format("ts", "yyyyMMdd"), F.lit("\r\nSUMMARY:"), F.col("event_type"), F.lit("\\, live\\; now\r\nDESCRIPTION:a long\r\n  line\r\nCATEGORIES:A,B\r\nEND:VEVENT\r\nEND:VCALENDAR\r\n"),
+        F.lit("BEGIN:VEVENT\r\nUID:e-"), F.col("event_id").cast("string"), F.lit("\r\nDTSTART;TZID=UTC:"), F.date_format("ts", "yyyyMMdd'T'HHmmss"), F.lit("\r\nDTEND;VALUE=DATE:"),
+        F.date_format("ts", "yyyyMMdd"), F.lit("\r\nSUMMARY:"), F.col("event_type"), F.lit("\\, live\\; now\r\nDESCRIPTION:a long\r\n  line\r\nCATEGORIES:A,B\r\nEND:VEVENT\r\n"),
     )
-    out = readers.parse_ics(read(spark, d, "events").select("event_id", body.alias("text")), "text", ("event_id",))
-    return out.select("event_id", "uid", "name", F.date_format("begin", STAMP).alias("begin_text"), F.date_format("end", STAMP).alias("end_text"), F.size("categories").alias("n_categories"), "description")
+    path = scratch(spark)
+    write_files(read(spark, d, "events").select("event_id", F.floor(F.col("event_id") / 500).alias("calendar"), body.alias("body")), "calendar", "event_id", "body", path, "", ("BEGIN:VCALENDAR\r\n", "END:VCALENDAR\r\n"))
+    return readers.read_ics(spark, path).select("uid", "name", F.date_format("begin", STAMP).alias("begin_text"), F.date_format("end", STAMP).alias("end_text"), F.size("categories").alias("n_categories"), "description")
 
 
 @query("s04_feed", "SELECT p_brand AS feed, nth, p_name AS title, 'https://example.org/' || p_partkey AS link FROM (SELECT *, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS INTEGER) AS nth FROM part) WHERE nth <= 5")
@@ -87,11 +100,18 @@ def s09(spark, d):
     return reshape.carry_forward(current, orders.filter("year(o_orderdate) < 1996"), "o_orderpriority").select("o_orderkey", "o_orderpriority")
 
 
-@query("s10_unwrap_typed_values", "SELECT event_id, event_type AS kind, CAST(event_id AS VARCHAR) AS n, CASE WHEN event_id % 2 = 0 THEN '[]' ELSE '[\"' || event_type || '\"]' END AS tags FROM events")
+@query("s10_unwrap_typed_values", """SELECT event_id, event_type AS kind, CAST(event_id AS VARCHAR) AS n, CASE WHEN event_id % 2 = 0 THEN '[]' ELSE '["' || event_type || '"]' END AS tags,
+'{"id":"' || event_id || '","on":' || (event_id % 3 = 0) || ',"kinds":["' || event_type || '",{"deep":[null,"x\\"y"]}],"none":{}}' AS place, CAST(NULL AS VARCHAR) AS gone FROM events""")
 def s10(spark, d):
-    tags = F.when(F.col("event_id") % 2 == 0, "{}").otherwise(F.concat(F.lit('{"values":[{"stringValue":"'), F.col("event_type"), F.lit('"}]}')))
-    raw = F.concat(F.lit('{"fields":{"kind":{"stringValue":"'), F.col("event_type"), F.lit('"},"n":{"integerValue":"'), F.col("event_id").cast("string"), F.lit('"},"tags":{"arrayValue":'), tags, F.lit("}}}"))
-    return read(spark, d, "events").select("event_id", *[extract.unwrap_typed_values(raw, f).alias(f) for f in ("kind", "n", "tags")])
+    kind, n, on = F.col("event_type"), F.col("event_id").cast("string"), (F.col("event_id") % 3 == 0).cast("string")
+    tags = F.when(F.col("event_id") % 2 == 0, "{}").otherwise(F.concat(F.lit('{"values":[{"stringValue":"'), kind, F.lit('"}]}')))
+    deep = '{"mapValue":{"fields":{"deep":{"arrayValue":{"values":[{"nullValue":null},{"stringValue":"x\\"y"}]}}}}}'
+    place = F.concat(
+        F.lit('{"mapValue":{"fields":{"id":{"integerValue":"'), n, F.lit('"},"on":{"booleanValue":'), on, F.lit('},"kinds":{"arrayValue":{"values":[{"stringValue":"'), kind,
+        F.lit('"},' + deep + ']}},"none":{"mapValue":{}}}}}'),
+    )
+    raw = F.concat(F.lit('{"fields":{"kind":{"stringValue":"'), kind, F.lit('"},"n":{"integerValue":"'), n, F.lit('"},"gone":{"nullValue":null},"place":'), place, F.lit(',"tags":{"arrayValue":'), tags, F.lit("}}}"))
+    return read(spark, d, "events").select("event_id", *[extract.unwrap_typed_values(raw, f).alias(f) for f in ("kind", "n", "tags", "place", "gone")])
 
 
 def ld_pages(spark, d):
@@ -164,7 +184,7 @@ def x09(spark, d):
     return read(spark, d, "documents").select("doc_id", text.label_value(F.col("text"), "icensed under").alias("value"))
 
 
-@query("x10_flatten_rich_text", "SELECT conv_id, string_agg(role || ' ' || substr(text, 1, 20), ' ' ORDER BY turn) AS flat FROM conversations GROUP BY 1")
+@query("x10_flatten_rich_text", "SELECT conv_id, string_agg(role || ' ' || text, ' ' ORDER BY turn) AS flat FROM conversations GROUP BY 1")
 def x10(spark, d):
     para = F.struct("turn", F.array(F.struct(F.col("role").alias("text")), F.struct(F.col("text"))).alias("nodes"))
     df = reshape.group_collect(read(spark, d, "conversations"), ["conv_id"], para, "paragraphs")

@@ -30,13 +30,14 @@ def tag_source(df: DataFrame, raw: str, tag: Column) -> DataFrame:
     return df.withColumn("keywords_kind", kind).withColumn("keywords", value)
 
 
-def read_record_files(spark: SparkSession, path: str) -> DataFrame:
-    """Records of all JSON-array files in a folder, tagged with their file's upper-cased base name; rows without url go.
+def read_record_files(spark: SparkSession, path: str, tag: str = r"([^/]*?)(?:\.[^./]*)?$") -> DataFrame:
+    """Records of all JSON-array files in a folder, tagged with their file's upper-cased base name, or what group 1 of
+    another pattern finds in the file's path; rows without url go.
 
     Values that are no plain text stay as raw JSON text.
     """
     schema = T.StructType([T.StructField(f, T.StringType()) for f in RECORD_FIELDS])
-    raw = spark.read.schema(schema).option("multiLine", True).json(path).withColumn("source", F.upper(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)))
+    raw = spark.read.schema(schema).option("multiLine", True).json(path).withColumn("source", F.upper(F.regexp_extract(F.col("_metadata.file_path"), tag, 1)))
     return tag_source(raw.filter("url is not null").withColumnRenamed("keywords", "raw_keywords"), "raw_keywords", F.col("source"))
 
 
@@ -48,7 +49,7 @@ def cut_at_blank(df: DataFrame, file: str, place: str, line: str) -> DataFrame:
 
 def read_url_lists(spark: SparkSession, path: str) -> DataFrame:
     """file, line_no, url of the lists in a folder; a blank line ends its file."""
-    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "url"))
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "url"))
     return cut_at_blank(rows, "file", "line_no", "url")
 
 
@@ -71,7 +72,7 @@ def parse_ics(df: DataFrame, text: str, keep: tuple[str, ...] = ()) -> DataFrame
 
 def read_ics(spark: SparkSession, path: str) -> DataFrame:
     """parse_ics over every calendar file of a folder."""
-    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     return parse_ics(files, "value", ("file",))
 
 

@@ -1,10 +1,12 @@
 """Readers, writers, streams and the cases that queries do not reach."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from eventlake.functions import text, times
-from eventlake.operators import extract, lookup, normalize, rules, validate
+from eventlake.operators import extract, lookup, normalize, reshape, rules, validate
 from eventlake.operators.rules import Rule
 from eventlake.sources import readers, writers
 from eventlake.streaming.curate import curate_stream
@@ -115,9 +117,60 @@ def test_jsonld_edge_cases(spark):
     assert sorted((r["id"], r["item"]) for r in got.collect()) == [(1, '{"@type":"Event","name":"a b"}'), (1, '{"@type":"X"}')]
 
 
-def test_gazetteer_is_bounded(spark):
-    with pytest.raises(ValueError):
-        lookup.gazetteer_match(spark.createDataFrame([(1, "a")], "id int, t string"), "id", "t", spark.range(10_001).selectExpr("id AS priority", "'x' AS pattern", "id AS place"))
+@pytest.mark.parametrize("inline", [500, 1])
+def test_gazetteer_of_any_size(spark, monkeypatch, inline):
+    monkeypatch.setattr(lookup, "INLINE_PLACES", inline)
+    places = spark.createDataFrame([(2, "a", "A", 1.5), (1, "b+", "B", None), (2, "(?i)C", "C", 2.5), (3, None, "N", 0.0)], "priority int, pattern string, place string, lat double")
+    texts = spark.createDataFrame([(1, "xxabby", "k"), (2, "a c", "k"), (3, "C", "k"), (4, None, "k"), (5, "", None)], "id int, t string, priority string")
+    got = lookup.gazetteer_match(texts, "id", "t", places)
+    assert sorted(tuple(r) for r in got.select("id", "place", "lat").collect()) == [(1, "B", None), (2, "C", 2.5), (3, "C", 2.5), (4, None, None), (5, None, None)]
+    assert got.columns == ["id", "t", "priority", "place", "lat"]
+    assert lookup.gazetteer_match(texts, "id", "t", places.limit(0)).filter("place is null").count() == 5
+
+
+def test_jsonld_positions_do_not_clash(spark):
+    many = ",".join('{"@type":"Place","name":"p"}' for _ in range(1_001))
+    html = f'<script type="application/ld+json">[{many}]</script><script type="application/ld+json">{{"@type":"Event","name":"first"}}</script><script type="application/ld+json">{{"@type":"Event","name":"second"}}</script>'
+    items = extract.extract_jsonld(spark.createDataFrame([(1, html)], "id int, html string"), "html", ["id"])
+    assert items.select("pos").distinct().count() == items.count() == 1_003
+    assert [json.loads(r["event"])["name"] for r in extract.pick_event(items, "id", ["Event"]).collect()] == ["first"]
+
+
+def test_grouped_items_in_order_despite_ties(spark):
+    df = spark.createDataFrame([(1, 2, 9), (1, 2, 3), (1, 2, 3), (1, 1, 50)], "k int, line int, q int")
+    got = reshape.group_collect(df, ["k"], F.struct("line", "q")).first()["items"]
+    assert [tuple(x) for x in got] == [(1, 50), (2, 3), (2, 3), (2, 9)]
+
+
+def test_slots_without_a_day_and_records_without_slots(spark):
+    slot = "array<struct<day: date, active: boolean>>"
+    rows = [(1, "a", "2026-01-05", [("2026-01-02", True), ("2026-01-09", False), ("2025-12-31", True), (None, True)]), (2, "b", "2026-01-06", []), (3, "c", "2025-01-01", None), (4, "d", None, None), (5, "a test", "2026-01-06", None), (6, "e", "2026-02-02", [("2026-01-09", False)])]
+    df = spark.createDataFrame([(i, t, d, None if s is None else [{"day": x, "active": y} for x, y in s]) for i, t, d, s in rows], "id int, title string, date string, slots array<struct<day: string, active: boolean>>")
+    df = df.withColumn("slots", F.col("slots").cast(slot)).withColumn("date", F.to_date("date"))
+    got = reshape.explode_slots(df, "slots", lambda s: s["active"], "title", lambda s: s["day"], F.col("date"), F.lit("2026-01-01").cast("date"))
+    assert sorted((r["id"], str(r["slot_day"]), r["slot"] is None) for r in got.collect()) == [(1, "2026-01-02", False), (2, "2026-01-06", True)]
+    assert got.columns == ["id", "title", "date", "slot", "slot_day"]
+
+
+def test_shapes(spark):
+    place = validate.Shape(any_of=(validate.Shape(("string",)), validate.Shape(("object",), properties={"name": validate.Shape(("string", "null"))})))
+    for raw, want in {'"x"': True, "5": False, "{}": True, '{"name": null}': True, '{"name": 3}': False, "[]": False, "null": False}.items():
+        assert one(spark, validate.fits(F.try_parse_json(F.col("x")), place), x=raw) is want, raw
+    rows = spark.createDataFrame([(1, '["a"]'), (2, '["a", 1]'), (3, None), (4, "{broken")], "id int, image string")
+    out = validate.validate_records(rows, validate.Checks(shapes={"image": validate.Shape(("array",), items=validate.Shape(("string",)))}))
+    assert {r["id"]: r["errors"] for r in out.collect()} == {1: [], 2: ["image is of a wrong type"], 3: [], 4: []}
+
+
+def test_typed_values(spark):
+    deep = {"stringValue": "end"}
+    for _ in range(6):
+        deep = {"arrayValue": {"values": [deep]}}
+    raw = json.dumps({"fields": {"a": {"mapValue": {}}, "b": {"arrayValue": {}}, "c": {"doubleValue": 1.5}, "d": deep, "e": {"nullValue": None}}})
+    want = {"a": "{}", "b": "[]", "c": '{"doubleValue":1.5}', "e": None, "f": None}
+    for name, value in want.items():
+        assert one(spark, extract.unwrap_typed_values(F.col("x"), name), x=raw) == value, name
+    assert "end" in one(spark, extract.unwrap_typed_values(F.col("x"), "d"), x=raw)  # deeper than depth: kept as it is
+    assert one(spark, extract.unwrap_typed_values(F.col("x"), "d", 6), x=raw) == '[[[[[["end"]]]]]]'
 
 
 def test_empty_tables(spark):
