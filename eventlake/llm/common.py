@@ -15,13 +15,18 @@ from pyspark.sql import functions as F
 #: Rows up to which a side of a join may be sent to every executor; larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: Entries that a task's word cache holds at most.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Only a local session may go without it and gets a temporary folder: elsewhere a folder of one machine would lose rows.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         path = f"file://{tempfile.mkdtemp(prefix='spark-eventlake-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -121,11 +126,23 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()
 
 
+#: Bytes that a slice of a batch holds at most, unless a single row has more.
+SLICE_BYTES = 4 << 20
+
+
 def small(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most so many rows, so that what is made of a slice stays small."""
+    """The batches in slices of bounded rows and bytes, so that what is made of a slice stays small."""
+
+    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if batch.num_rows > rows or (batch.num_rows > 1 and batch.nbytes > SLICE_BYTES):
+            half = batch.num_rows // 2
+            yield from cut(batch.slice(0, half))
+            yield from cut(batch.slice(half))
+        else:
+            yield batch
+
     for batch in batches:
-        for i in range(0, batch.num_rows, rows):
-            yield batch.slice(i, rows)
+        yield from cut(batch)
 
 
 def groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

@@ -7,6 +7,11 @@ and then of points. Pairs that survive are verified on their whole sets, and lin
 Prefixes follow one global order of n-grams, those of many documents last. Documents with equal sets are one representative from the start. Within a block only as many pairs are verified as
 its components need: spanning forests of the surviving pairs, first by coarse counts in each document's largest
 block, then by fine counts in all blocks that still have surviving pairs, and at last every such pair left.
+
+An n-gram of more than BLOCK documents is dealt over many tasks: a range sort by n-gram and size cuts its documents
+into chunks, which are blocks of their own. One document of each component found there then meets those of the other
+chunks, and at last the documents outside the n-gram's largest component meet all its chunks, so that a family of
+m near copies takes a multiple of m rows and not all pairs of chunks.
 """
 
 from __future__ import annotations
@@ -15,13 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, WordHashes, discard, groups, maybe_broadcast, mix, save, small, texts
 
-#: Largest number of members of a block; larger groups are cut into pairs of half blocks by size of set.
-BLOCK = 1024
+#: Largest number of members of a block; of larger groups chunks of half as many are paired.
+BLOCK = 512
 LEAF, FANOUT = 16, 8
 #: Prefix n-grams of so many documents are frequent: they come last in the order by which prefixes are taken. Any
 #: set of them gives the same links; this one keeps passages that many documents share from making blocks.
@@ -87,7 +93,7 @@ def sketches(docs: DataFrame, like: Similarity) -> DataFrame:
                 s = like.shingles(text, hashes)
                 n = len(s)
                 h1, h2 = int(mix(s + np.uint64(1)).sum(dtype=np.uint64)), int(mix(s ^ np.uint64(_STEPS[5])).sum(dtype=np.uint64))
-                rows.append((doc_id, n, h1 - (1 << 63), h2 - (1 << 63), s[: like.stored(n)].view(np.int64) if n else s.view(np.int64), point(s)))
+                rows.append((doc_id, n, h1 - (1 << 63), h2 - (1 << 63), s[: like.stored(n)].view(np.int64).copy(), point(s)))  # a copy, so that the whole set is freed
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
             columns = zip(*rows, strict=True) if rows else ([] for _ in kinds)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in SKETCH.split(", ")])
@@ -152,55 +158,108 @@ def prefix_keys(docs: DataFrame, copies: DataFrame, sketch: DataFrame, like: Sim
     ready = save(first.select("doc_id", "n", "prefix").mapInArrow(from_sketch, schema), "prefixes")
     again = save(ready.filter("n < 0").select(F.col("rep").alias("doc_id")), "again")
     more = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(maybe_broadcast(again), "doc_id", "left_semi").mapInArrow(from_text, schema)
-    return ready.filter("n > 0").union(more), [ready, again, counted]
+    more = save(more, "prefixes")
+    return ready.filter("n > 0").union(more), [ready, again, more, counted]
+
+
+def _block_rows(parts: list[tuple[int, int | None, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Rows of blocks given as name, key (null: the block is whole), members and their sizes."""
+    lengths = [len(rep) for _, _, rep, _ in parts]
+    key = np.repeat(np.array([k or 0 for _, k, _, _ in parts], np.int64), lengths)
+    whole = np.repeat(np.array([k is None for _, k, _, _ in parts]), lengths)
+    columns = [pa.array(np.repeat(np.array([x for x, _, _, _ in parts], np.int64), lengths)), pa.array(np.concatenate([r for _, _, r, _ in parts])), pa.array(key, mask=whole), pa.array(np.concatenate([n for _, _, _, n in parts]))]
+    return pa.RecordBatch.from_arrays(columns, names=["block", "rep", "key", "n"])
 
 
 def blocks(keys: DataFrame, like: Similarity) -> DataFrame:
-    """block, rep: documents that share an n-gram of their prefixes, cut by size so that no block exceeds BLOCK.
+    """block, rep, key, n: documents that share an n-gram of their prefixes.
 
-    keys has key, rep and n. Equal blocks are told by a hash of their members and returned once a task.
+    keys has key, rep and n; a range sort deals them to tasks, so that a frequent n-gram is spread over many. Where a
+    task sees all documents of an n-gram and they are at most BLOCK, they are a whole block (key is null), cut where
+    sizes differ too much; equal ones have one name and are returned once a task. Otherwise they are chunks of at
+    most BLOCK documents, with their key.
     """
 
     def name(members: np.ndarray) -> int:
         return int(mix(mix(members.view(np.uint64)) + np.uint64(len(members))).sum(dtype=np.uint64)) - (1 << 63)
 
-    def of_group(reps: np.ndarray, n: np.ndarray) -> Iterator[np.ndarray]:
-        cuts = [0, *(np.flatnonzero(100 * n[:-1] < like.share * n[1:]) + 1).tolist(), len(n)]  # no pair crosses such a step
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if 2 <= b - a <= BLOCK:
-                yield reps[a:b]
-            elif b - a > BLOCK:
-                starts = range(a, b, BLOCK // 2)  # a chunk and the next one always meet, and so do the members of each
-                for i, s in enumerate(starts):
-                    for t in starts[i + 1 :]:
-                        if like.sizes(n[s + BLOCK // 2 - 1], n[t]):
-                            yield np.r_[reps[s : s + BLOCK // 2], reps[t : min(b, t + BLOCK // 2)]]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[batch.column(i).to_numpy() for i in range(3)] for batch in batches if batch.num_rows]
-        if not parts:
-            return
-        key, rep, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((rep, n, key))
-        key, rep, n = key[order], rep[order], n[order]
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        ends = np.r_[starts[1:], len(key)]
-        many = ends - starts > 1
+        task, chunks, rows = TaskContext.get().partitionId(), 0, 0
         seen: set[int] = set()
-        names, members = [], []
-        for a, b in zip(starts[many].tolist(), ends[many].tolist(), strict=True):
-            for own in of_group(rep[a:b], n[a:b]):
+        parts: list = []
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        open_key = None  # its documents may stand in other tasks or chunks too
+
+        def chunk(key: int, rep: np.ndarray, n: np.ndarray) -> None:
+            nonlocal chunks, rows
+            for i in range(0, len(rep), BLOCK):
+                parts.append(((task << 32) + chunks, key, rep[i : i + BLOCK], n[i : i + BLOCK]))
+                chunks += 1
+            rows += len(rep)
+
+        def whole(rep: np.ndarray, n: np.ndarray) -> None:
+            nonlocal rows
+            cuts = [0, *(np.flatnonzero(100 * n[:-1].astype(np.int64) < like.share * n[1:].astype(np.int64)) + 1).tolist(), len(n)]  # no pair crosses such a step
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                own = rep[a:b]
                 if len(own) > 1 and (x := name(own)) not in seen:
                     seen.add(x)
-                    names.append(np.full(len(own), x, np.int64))
-                    members.append(own)
-            if len(members) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (names, members)], names=["block", "rep"])
-                names, members = [], []
-        if names:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (names, members)], names=["block", "rep"])
+                    parts.append((x, None, own, n[a:b]))
+                    rows += len(own)
 
-    return keys.mapInArrow(run, "block long, rep long").distinct()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, rep, n = (np.concatenate([x, batch.column(i).to_numpy()]) for i, x in enumerate(held))
+            if open_key is None:
+                open_key = int(key[0])
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            sizes = np.diff(np.r_[starts, len(key)])
+            for a, size in zip(starts[:-1][(sizes[:-1] > 1) | (key[starts[:-1]] == open_key)].tolist(), sizes[:-1][(sizes[:-1] > 1) | (key[starts[:-1]] == open_key)].tolist(), strict=True):
+                if size > BLOCK or key[a] == open_key:
+                    chunk(int(key[a]), rep[a : a + size], n[a : a + size])
+                else:
+                    whole(rep[a : a + size], n[a : a + size])
+            last = int(starts[-1])
+            if sizes[-1] > BLOCK:  # go on with less than a block of it
+                cut = last + int(sizes[-1]) // BLOCK * BLOCK
+                open_key = int(key[last])
+                chunk(open_key, rep[last:cut], n[last:cut])
+                last = cut
+            held = [key[last:], rep[last:], n[last:]]
+            if rows > 200_000:
+                yield _block_rows(parts)
+                parts, rows = [], 0
+        if len(held[0]):
+            chunk(int(held[0][0]), held[1], held[2])
+        if parts:
+            yield _block_rows(parts)
+
+    return keys.repartitionByRange("key", "n", "rep").sortWithinPartitions("key", "n", "rep").mapInArrow(run, "block long, rep long, key long, n int")
+
+
+def chunked(rows: DataFrame) -> DataFrame:
+    """rows (key, side, rep, n) with chunk: at most BLOCK // 2 rows of one key and side that are neighbours in size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, last, chunk, held = TaskContext.get().partitionId(), None, -1, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, side = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (side[1:] != side[:-1])])
+            out = np.empty(len(key), np.int64)
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
+                now = (int(key[a]), bool(side[a]))
+                if now != last:
+                    last, chunk, held = now, chunk + 1, 0
+                place = held + np.arange(b - a)
+                out[a:b] = (task << 32) + chunk + place // (BLOCK // 2)
+                chunk, held = chunk + (held + b - a) // (BLOCK // 2), (held + b - a) % (BLOCK // 2)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=["key", "side", "rep", "n", "chunk"])
+
+    ordered = rows.select("key", "side", "rep", "n").repartitionByRange("key", "side", "n", "rep").sortWithinPartitions("key", "side", "n", "rep")
+    return save(ordered.mapInArrow(run, "key long, side boolean, rep long, n int, chunk long"), "chunks")
 
 
 class RTree:
@@ -287,20 +346,30 @@ def coarse_members(members: pa.Table, like: Similarity) -> list[int]:
     return rep[keep].tolist()
 
 
+def fine_overlaps(raw: list[np.ndarray], step: int = 4096) -> np.ndarray:
+    """Overlaps of all pairs of sorted multisets of 16-bit numbers, by a product for each range of numbers."""
+    total = np.zeros((len(raw), len(raw)), np.float64)
+    for low in range(0, 65_536, step):
+        parts = [x[slice(*np.searchsorted(x, (low, low + step)))].astype(np.int64) for x in raw]
+        for i, x in enumerate(parts):  # the k-th count of a number is a column of its own, so that products are minima
+            new = np.r_[True, x[1:] != x[:-1]] if len(x) else np.zeros(0, bool)
+            parts[i] = x + 65_536 * (np.arange(len(x)) - np.maximum.accumulate(np.where(new, np.arange(len(x)), 0)))
+        columns, inverse, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        use = counts[inverse] > 1  # what a single member has adds nothing
+        row = np.repeat(np.arange(len(raw)), [len(x) for x in parts])[use]
+        column = (np.cumsum(counts > 1) - 1)[inverse[use]]
+        for first in range(0, int((counts > 1).sum()), 2 * step):
+            own = (column >= first) & (column < first + 2 * step)
+            matrix = np.zeros((len(raw), 2 * step), np.float32)
+            matrix[row[own], column[own] - first] = 1
+            total += matrix @ matrix.T
+    return np.rint(total).astype(np.int64)
+
+
 def fine_pairs(members: pa.Table, like: Similarity, every: bool) -> list[tuple[int, int]]:
     """Pairs of different labels whose fine counts (rep, n, fine, label) still allow them: a spanning forest, or every one."""
     rep, n, label, members = _sorted_members(members)
-    values = [np.frombuffer(x, np.uint16).astype(np.int64) for x in members.column("fine").to_pylist()]
-    for i, x in enumerate(values):  # the k-th count of a group is a column of its own, so that products are minima
-        new = np.r_[True, x[1:] != x[:-1]]
-        values[i] = x + 65_536 * (np.arange(len(x)) - np.maximum.accumulate(np.where(new, np.arange(len(x)), 0)))
-    columns, inverse, counts = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
-    common = np.cumsum(counts > 1) - 1  # groups of a single member add nothing
-    matrix = np.zeros((len(rep), int((counts > 1).sum())), np.float32)
-    row = np.repeat(np.arange(len(rep)), [len(x) for x in values])
-    use = counts[inverse] > 1
-    matrix[row[use], common[inverse[use]]] = 1
-    overlap = np.rint(matrix @ matrix.T).astype(np.int64)
+    overlap = fine_overlaps([np.frombuffer(x, np.uint16) for x in members.column("fine").to_pylist()])
     good = like.reached(overlap, n[:, None] + n[None, :]) & (label[:, None] != label[None, :])
     found, local = [], np.unique(label, return_inverse=True)[1].astype(np.int64)
     for i in range(1, len(rep)):
@@ -351,14 +420,8 @@ def member_sets(docs: DataFrame, like: Similarity) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, members binary, fine binary")
 
 
-def sets_of(docs: DataFrame, found: DataFrame, like: Similarity) -> DataFrame:
-    """Stored member sets of the documents of pairs (a, b)."""
-    wanted = save(found.select(F.col("a").alias("doc_id")).union(found.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
-    return save(member_sets(docs.join(maybe_broadcast(wanted), "doc_id", "left_semi"), like), "sets")
-
-
-def verify(found: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
-    """The pairs whose whole sets are similar enough.
+def verify(found: DataFrame, sets: DataFrame, like: Similarity, keep=save) -> DataFrame:
+    """The pairs whose whole sets are similar enough, stored by keep.
 
     Before whole sets are sent, pairs are bounded once more by counts in 65,536 groups, sent as sorted group numbers.
     """
@@ -390,18 +453,23 @@ def verify(found: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
         right = sets.select(F.col("doc_id").alias("b"), F.col(what).alias("mb"))
         return edges.join(left, "a").join(right, "b").mapInArrow(keep_similar(kind), "a long, b long")
 
-    near = save(join(found, "fine", np.dtype(np.uint16)), "near")
-    return join(near, "members", np.dtype(np.uint64))
+    near = keep(join(found, "fine", np.dtype(np.uint16)), "near")
+    return keep(join(near, "members", np.dtype(np.uint64)), "links")
 
 
-def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
-    """id, label: every node of the links (a, b) with the smallest node it reaches.
+def components(links: DataFrame) -> DataFrame:
+    """id, label: every node of the links (a, b) with the smallest node it reaches, stored.
 
-    Rounds of large-star and small-star steps, each stored in the shared folder; their number grows with the
-    logarithm of the components' size.
+    Rounds of large-star and small-star steps, each stored in the shared folder, until one changes nothing; their
+    number grows with the logarithm of the components' size.
     """
+
+    def state(edges: DataFrame):
+        return edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+
     edges = save(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    for _ in range(most_rounds):
+    before = state(edges)
+    while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -409,13 +477,35 @@ def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         new = save(small.union(small_low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        state = [x.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first() for x in (edges, new)]
+        after = state(new)
+        discard(edges)
         edges = new
-        if state[0] == state[1]:
+        if before == after:
             break
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
-    return edges.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("id"), "label").union(edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())
+        before = after
+    labels = edges.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("id"), "label").union(edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())
+    out = save(labels, "labels")
+    discard(edges)
+    return out
+
+
+def open_chunks(hot: DataFrame, labels: DataFrame, like: Similarity) -> tuple[DataFrame, list[DataFrame]]:
+    """block, rep: pairs of chunks of each frequent n-gram that may still have links between different labels.
+
+    hot has key, rep and n. The documents outside the largest component of an n-gram meet each other and all those
+    in it, in chunks of near sizes. Also returns the stored tables that the rows are read from.
+    """
+    labelled = hot.select("key", "rep", "n").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    main = labelled.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1")
+    main = save(main.select("key", "main"), "main")
+    chunks = chunked(labelled.join(maybe_broadcast(main), "key").withColumn("side", F.col("label") == F.col("main")))
+    ends = save(chunks.groupBy("key", "side", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high")), "ends")
+    a = ends.filter("not side").select("key", *[F.col(x).alias(f"a_{x}") for x in ("chunk", "low", "high")])
+    near = (100 * F.col("a_high") >= like.share * F.col("low")) & (100 * F.col("high") >= like.share * F.col("a_low"))
+    pairs = a.join(ends, "key").filter((F.col("side") | (F.col("chunk") >= F.col("a_chunk"))) & near)
+    pairs = save(pairs.select(F.xxhash64("a_chunk", "chunk").alias("block"), "a_chunk", "chunk"), "chunk_pairs")
+    sides = pairs.select("block", F.col("a_chunk").alias("chunk")).union(pairs.filter("a_chunk <> chunk").select("block", "chunk"))
+    return sides.join(chunks.select("chunk", "rep"), "chunk").select("block", "rep"), [main, chunks, ends, pairs]
 
 
 def near_duplicates(docs: DataFrame, share: int = 80, width: int = 5) -> DataFrame:
@@ -424,43 +514,86 @@ def near_duplicates(docs: DataFrame, share: int = 80, width: int = 5) -> DataFra
     doc_id must be unique; rows with a null doc_id are left out. Null and empty texts have no n-grams, link with
     nothing and are components of their own; other columns are ignored. An empty table gives no rows.
     """
-    like = Similarity(share, width)
+    like, temporary = Similarity(share, width), []
+
+    def keep(df: DataFrame, tag: str) -> DataFrame:
+        """Store a table that is deleted before the result is returned."""
+        temporary.append(save(df, tag))
+        return temporary[-1]
+
     sketch = save(sketches(docs, like), "sketches")
     reps = save(sketch.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep")), "reps")
     copies = save(sketch.filter("n > 0").join(maybe_broadcast(reps.select(F.col("rep").alias("doc_id"))), "doc_id", "left_anti").select("doc_id"), "copies")
     keys, used = prefix_keys(docs, copies, sketch, like)
-    block = save(blocks(keys.repartition("key"), like), "blocks")
-    discard(*used)
-    active = save(block.select(F.col("rep").alias("doc_id")).distinct(), "active")
-    points = save(sketch.select("doc_id", "n", "point").join(maybe_broadcast(active), "doc_id", "left_semi"), "points")
+    raw = save(blocks(keys, like), "blocks")
+    discard(*used, copies)
     sizes = save(sketch.select("doc_id", "n", "h1", "h2"), "sizes")
+
+    # n-grams of many documents; those that were only cut between two tasks are blocks like the others
+    cut = raw.filter("key is not null")
+    counted = keep(cut.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("h")).filter("c > 1"), "counted")
+    together = cut.join(maybe_broadcast(counted.filter(F.col("c") <= BLOCK).select("key")), "key").select(F.xxhash64(F.lit(1), "key").alias("block"), "rep")
+    cold = keep(raw.filter("key is null").select("block", "rep").distinct().union(together), "cold")
+    often = counted.filter(F.col("c") > BLOCK).groupBy("c", "h").agg(F.min("key").alias("key")).select("key")  # of n-grams with the same documents one is enough
+    hot = keep(cut.join(maybe_broadcast(often), "key", "left_semi"), "hot")
+    discard(raw)
+    block = cold.union(hot.select("block", "rep"))
+    active = keep(block.select(F.col("rep").alias("doc_id")).distinct(), "active")
+    points = keep(sketch.select("doc_id", "n", "point").join(maybe_broadcast(active), "doc_id", "left_semi"), "points")
     discard(sketch)
     reps_of = lambda df: df.withColumnRenamed("doc_id", "rep")
-    by_sizes = block.join(block.groupBy("block").agg(F.count("*").alias("size")), "block")
-    largest = save(by_sizes.groupBy("rep").agg(F.max_by("block", F.struct("size", "block")).alias("block")).select("block").distinct(), "largest")
-    rows = block.join(largest, "block").withColumn("label", F.col("rep")).join(reps_of(points), "rep")
-    found = save(by_block(rows, "point", "a long, b long", lambda own: coarse_forest(own, like)), "pairs")
-    links = save(verify(found, sets_of(docs, found, like), like), "links")
-    labels, tried = save(components(links), "labels"), found
 
-    def mixed(rows: DataFrame) -> DataFrame:
+    links = tried = labels = sets = None
+
+    def link(found: DataFrame) -> None:
+        """Verify pairs that were not tried yet, and label anew."""
+        nonlocal links, tried, labels
+        if tried is not None:
+            found = found.join(tried, ["a", "b"], "left_anti")
+        found = keep(found, "pairs")
+        near = verify(found, sets_for(found), like, keep)
+        links, tried = (near, found) if links is None else (links.union(near), tried.union(found))
+        if labels is not None:
+            temporary.append(labels)
+        labels = components(links)
+
+    def sets_for(found: DataFrame) -> DataFrame:
+        if sets is not None:
+            return sets
+        wanted = keep(found.select(F.col("a").alias("doc_id")).union(found.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
+        return keep(member_sets(docs.join(maybe_broadcast(wanted), "doc_id", "left_semi"), like), "sets")
+
+    def labelled(rows: DataFrame) -> DataFrame:
         """Rows (block, rep) of the blocks that have different labels by now, with these."""
-        labelled = rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        open_ = labelled.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("block")
-        return labelled.join(save(open_, "open"), "block")
+        own = rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        open_ = own.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("block")
+        return own.join(keep(open_, "open"), "block")
 
-    rows = mixed(block).join(reps_of(points), "rep")
-    left = save(by_block(rows, "point", "block long, rep long", lambda own: coarse_members(own, like)), "left")
+    by_sizes = block.join(block.groupBy("block").agg(F.count("*").alias("size")), "block")
+    largest = keep(by_sizes.groupBy("rep").agg(F.max_by("block", F.struct("size", "block")).alias("block")).select("block").distinct(), "largest")
+    rows = block.join(largest, "block").withColumn("label", F.col("rep")).join(reps_of(points), "rep")
+    forest = lambda rows: by_block(rows, "point", "a long, b long", lambda own: coarse_forest(own, like))
+    link(forest(rows))
+    left = cold
+    if not hot.isEmpty():
+        own = hot.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        one = own.groupBy("key", "label").agg(F.min(F.struct("rep", "n")).alias("x")).select("key", F.lit(True).alias("side"), "x.rep", "x.n")
+        one = chunked(one)
+        temporary.append(one)
+        link(forest(labelled(one.select(F.col("chunk").alias("block"), "rep")).join(reps_of(points), "rep")))
+        more, stored = open_chunks(hot, labels, like)
+        temporary.extend(stored)
+        left = left.union(more)
+    rows = labelled(left).join(reps_of(points), "rep")
+    left = keep(by_block(rows, "point", "block long, rep long", lambda own: coarse_members(own, like)), "left")
     if not left.isEmpty():
-        fine = save(member_sets(docs.join(maybe_broadcast(save(left.select(F.col("rep").alias("doc_id")).distinct(), "wanted")), "doc_id", "left_semi"), like), "sets")
-        numbers = reps_of(fine.select("doc_id", "fine").join(points.select("doc_id", "n"), "doc_id"))
+        wanted = keep(left.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+        sets = keep(member_sets(docs.join(maybe_broadcast(wanted), "doc_id", "left_semi"), like), "sets")
+        numbers = reps_of(sets.select("doc_id", "fine").join(points.select("doc_id", "n"), "doc_id"))
         for every in (False, True):
-            found = by_block(mixed(left).join(numbers, "rep"), "fine", "a long, b long", lambda own, every=every: fine_pairs(own, like, every))
-            found = save(found.join(tried, ["a", "b"], "left_anti"), "pairs")
-            if not found.isEmpty():
-                links, tried = links.union(save(verify(found, fine, like), "links")), tried.union(found)
-                labels = save(components(links), "labels")
+            link(by_block(labelled(left).join(numbers, "rep"), "fine", "a long, b long", lambda own, every=every: fine_pairs(own, like, every)))
     # a representative's smallest doc_id is itself, so that the smallest label of a component is its smallest doc_id
+    discard(*temporary)
     whole = reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("n", "h1", "h2", F.coalesce("label", "rep").alias("label"))
     out = sizes.join(whole, ["n", "h1", "h2"], "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id"))

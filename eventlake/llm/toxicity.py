@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import discard, save, small
 
 #: Labelled documents that a model is fitted on at most, the first in order of a hash of doc_id.
 MAX_LABELLED = 20_000
 #: Words that a learnt lexicon has at most.
 MAX_LEXICON = 300
-#: Distinct words whose features a task remembers at once.
-CACHE = 200_000
+#: Words that a task remembers at once, beyond those of one text.
+CACHE = 100_000
 
 #: Second-person words.
 SECOND_PERSON = frozenset("you your yours yourself yourselves u ur du dich dir dein deine deinen deiner euch euer eure tu te toi ton ta tes vous votre vos ti tus tuyo vosotros usted ustedes".split())
@@ -38,7 +38,7 @@ FEATURES = ("log_words", "lexicon", "lexicon_weight", "lexicon_max", "log_hits",
 
 def normalise(word: str) -> tuple[str, str, bool]:
     """A word in lower case without marks at its ends, the same with disguises undone, and whether they differ."""
-    plain = _EDGES.sub("", word).lower()
+    plain = word.lower() if word.isalpha() else _EDGES.sub("", word).lower()
     if plain.isalpha():
         open_form = _RUNS.sub(r"\1", plain)
         return plain, open_form, open_form != plain
@@ -48,37 +48,43 @@ def normalise(word: str) -> tuple[str, str, bool]:
 
 
 class WordFeatures(dict):
-    """word -> row of a table of per-word features; starts anew when full."""
+    """word -> row of a table of per-word features; words of equal features share a row. Starts anew when full."""
 
-    COLUMNS = 11
+    COLUMNS = 12
 
     def __init__(self, lexicon: dict[str, float]):
         super().__init__()
-        self.lexicon, self.rows, self.used = lexicon, np.zeros((CACHE, self.COLUMNS), np.float32), 0
+        self.lexicon, self.rows = lexicon, np.zeros((1024, self.COLUMNS), np.float32)
+        self.known: dict[tuple, int] = {}
 
     def room(self, n: int) -> None:
-        """Make sure that the next n words fit; only called between texts."""
-        if self.used + n > len(self.rows):
+        """Start anew unless the next n words fit; only called between texts."""
+        if len(self) + n > CACHE:
             self.clear()
-            self.used = 0
-            if n > len(self.rows):
-                self.rows = np.zeros((n, self.COLUMNS), np.float32)
+            self.known.clear()
+
+    def row(self, values: tuple) -> int:
+        at = self.known.get(values)
+        if at is None:
+            at = self.known[values] = len(self.known)
+            if at == len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[at] = values
+        return at
 
     def __missing__(self, word: str) -> int:
         plain, open_form, hidden = normalise(word)
         weight = self.lexicon.get(plain, 0.0)
         disguised = 0.0 if weight else self.lexicon.get(open_form, 0.0) if hidden else 0.0
-        letters = sum(map(str.isalpha, word))
-        upper = sum(map(str.isupper, word))
-        digits = sum(map(str.isdigit, word))
-        marks = word.count("!") + word.count("?")
-        self.rows[self.used] = (
+        letters, digits, marks = len(word), 0, 0
+        if not word.isalpha():
+            letters, digits, marks = sum(map(str.isalpha, word)), sum(map(str.isdigit, word)), word.count("!") + word.count("?")
+        upper = 0 if word.islower() else sum(map(str.isupper, word))
+        self[word] = at = self.row((
             float(weight > 0 or disguised > 0), max(weight, disguised), float(disguised > 0), float(plain in SECOND_PERSON),
-            upper, float(letters > 2 and upper == letters), marks, float(marks > 1), float(hidden), digits, len(word) - letters - digits,
-        )
-        self[word] = self.used
-        self.used += 1
-        return self.used - 1
+            upper, float(letters > 2 and upper == letters), marks, float(marks > 1), float(hidden), digits, len(word) - letters - digits, len(word),
+        ))
+        return at
 
 
 def features(text: str | None, table: WordFeatures) -> np.ndarray:
@@ -92,7 +98,7 @@ def features(text: str | None, table: WordFeatures) -> np.ndarray:
     at = np.fromiter(map(table.__getitem__, words), np.int64, n)
     rows = table.rows[at]
     total = rows.sum(axis=0, dtype=np.float64)
-    chars = sum(map(len, words))
+    chars = total[11]
     hits, second = np.flatnonzero(rows[:, 0]), np.flatnonzero(rows[:, 3])
     near = 0
     if len(hits) and len(second):
@@ -103,7 +109,7 @@ def features(text: str | None, table: WordFeatures) -> np.ndarray:
     out[:] = (
         np.log1p(n), total[0] / n, total[1] / n, rows[:, 1].max(), np.log1p(total[0]), total[2] / n, total[3] / n, near / n,
         total[4] / max(letters, 1), total[5] / n, total[6] / n, total[7] / n, total[8] / n, total[9] / chars, total[10] / chars,
-        chars / n, letters / chars, len(np.unique(at)) / n,
+        chars / n, letters / chars, len(set(words)) / n,
     )
     return out
 
@@ -233,47 +239,60 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     return {r["word"]: float(r["odds"]) for r in rows}
 
 
-def extract(docs: DataFrame, lexicon: dict[str, float], keep: str) -> DataFrame:
-    """The column keep and x, the features of every row's text."""
+def table_of(batch: pa.RecordBatch, table: WordFeatures) -> np.ndarray:
+    """Features of the texts of a batch, one row each."""
+    out = np.zeros((batch.num_rows, len(FEATURES)))
+    for i, text in enumerate(batch.column("text")):
+        out[i] = features(text.as_py(), table)
+    return out
+
+
+def extract(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
+    """fold, toxic and x, the features of every row's text."""
     sent = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordFeatures(sent.value)
-        for batch in batches:
-            x = np.stack([features(t.as_py(), table) for t in batch.column(1)]) if batch.num_rows else np.zeros((0, len(FEATURES)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))], names=[keep, "x"])
+        for batch in small(batches):
+            x = pa.FixedSizeListArray.from_arrays(pa.array(table_of(batch, table).ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("fold"), batch.column("toxic"), x], names=["fold", "toxic", "x"])
 
-    return docs.select(F.col(keep).cast("long").alias(keep), F.col("text").cast("string").alias("text")).mapInArrow(run, f"{keep} long, x array<double>")
+    return docs.select("fold", "toxic", F.col("text").cast("string").alias("text")).mapInArrow(run, "fold int, toxic int, x array<double>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
     """A model of labels.toxic, from the documents that labels has: at most max_labelled, in order of a hash of doc_id.
 
-    Null labels and labels without a document are ignored, of several labels of a document the largest counts.
-    Without both labels every score is the labels' base rate.
+    Null labels and labels without a document are ignored, a label above 0 counts as 1, and of several labels of a
+    document the largest counts; a doc_id that documents repeat gives each of its texts the label. Without both labels
+    every score is the labels' base rate. Null texts count as empty; clashing column names don't matter.
     """
-    chosen = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    chosen = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    fold = F.pmod(F.xxhash64(F.lit(7), F.col("doc_id")), F.lit(10))
-    labelled = save(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("fold", fold), "labelled")
+    fold = F.pmod(F.xxhash64(F.lit(7), F.col("doc_id")), F.lit(10)).cast("int")
+    labelled = save(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", fold.alias("fold")), "labelled")
     lexicon = learn_lexicon(labelled.filter("fold < 4"))
-    rest = labelled.filter("fold >= 4").withColumn("row", F.col("doc_id") * 20 + F.col("fold") * 2 + F.col("toxic"))
-    rows = extract(rest, lexicon, "row").toArrow()
+    rows = extract(labelled.filter("fold >= 4"), lexicon).toArrow()
+    discard(labelled)
     x = np.array(rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(-1, len(FEATURES))
-    code = rows.column("row").to_numpy() % 20
-    y, part = (code % 2).astype(np.float64), code // 2
+    y, part = rows.column("toxic").to_numpy().astype(np.float64), rows.column("fold").to_numpy()
     trees = fit_trees(x[part < 8], y[part < 8])
     return Model(lexicon, trees, *isotonic(trees.raw(x[part >= 8]), y[part >= 8]))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
-    """One row per row of docs: doc_id, score, predicted. Null and empty texts have all features 0 and are scored too."""
+    """One row per row of docs: doc_id, score, predicted, in one pass. Only text is read for the score.
+
+    Null and empty texts have all features 0 and are scored too; rows with a null or repeated doc_id are scored each.
+    Other columns are ignored, whatever their names; an empty table gives no rows.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.array(batch.column(1).flatten()).reshape(-1, len(FEATURES))
-            p = sent.value.score(x)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
+        table = WordFeatures(sent.value.lexicon)
+        for batch in small(batches):
+            p = sent.value.score(table_of(batch, table))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
-    return extract(docs, model.lexicon, "doc_id").mapInArrow(run, "doc_id long, score double, predicted int")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return narrow.mapInArrow(run, "doc_id long, score double, predicted int")
