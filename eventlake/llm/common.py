@@ -5,16 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows up to which a side of a join may be sent to every executor; larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
-#: Entries that a task's word cache holds at most.
+#: Bytes of its texts up to which a side with texts may be.
+BROADCAST_BYTES = 64 << 20
+#: Rows from which a key is dealt over tasks.
+HOT = 2_000
+#: Entries that a task's cache of encoded words holds at most.
 CACHE_WORDS = 200_000
 
 
@@ -63,23 +67,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash; forgets everything when full, so that memory stays bounded."""
-
-    def __init__(self, seed: int = 0):
-        super().__init__()
-        self.seed = seed
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word, self.seed)
-        return value
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: spreads every input bit over the whole word."""
     x = x ^ (x >> np.uint64(31))
@@ -89,6 +76,89 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+#: For each byte whether it is white space: blank and \x09-\x0D.
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+@dataclass
+class Items:
+    """Items (words or lines) of the texts of a slice: 64-bit hashes, and bounds: those of row r are bounds[r]..bounds[r + 1]."""
+
+    hashes: np.ndarray
+    bounds: np.ndarray
+    sizes: np.ndarray | None = None
+
+    def rows(self) -> np.ndarray:
+        """The row of each item."""
+        return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+
+
+def expand(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, .. n[0] numbers, then those from starts[1], and so on."""
+    return np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+class ItemHashes:
+    """Hashes all items of a slice of texts at once: sums of a random number for each byte times powers of its place, mixed."""
+
+    def __init__(self, seed: int, lower: bool = False):
+        self.table = mix((np.arange(256, dtype=np.uint64) + np.uint64(256 * seed + 1)) * np.uint64(0x9E3779B97F4A7C15))
+        if lower:  # A-Z count as a-z
+            self.table = self.table[_LOWER]
+        self.powers = np.ones(1, np.uint64)
+
+    def _sums(self, content: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        if not len(lengths):
+            return np.zeros(0, np.uint64)
+        longest = int(lengths.max())
+        if len(self.powers) < longest:
+            self.powers = np.full(1 << longest.bit_length(), 0xD1342543DE82EF95, np.uint64)
+            self.powers[0] = 1
+            self.powers = np.cumprod(self.powers, dtype=np.uint64)
+        starts = np.cumsum(lengths) - lengths
+        place = np.arange(len(content)) - np.repeat(starts, lengths)
+        return mix(np.add.reduceat(self.table[content] * self.powers[place], starts) + lengths.astype(np.uint64))
+
+    @staticmethod
+    def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All bytes of a text column, nulls as empty, and where each row begins (and the last one ends)."""
+        column = column.cast(pa.large_binary()).fill_null(b"")
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+        return data, offsets - offsets[0]
+
+    def words(self, column: pa.Array) -> Items:
+        """Runs of bytes other than blank and \\x09-\\x0D."""
+        data, offsets = self._bytes(column)
+        inside = ~_BLANK[data]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        begin = offsets[:-1][offsets[:-1] < len(data)]
+        first[begin] = inside[begin]  # no word goes on in the next text
+        starts = np.flatnonzero(first)
+        content = data[inside]
+        at = np.cumsum(inside)[starts] - 1
+        return Items(self._sums(content, np.diff(np.r_[at, len(content)])), np.searchsorted(starts, offsets))
+
+    def lines(self, column: pa.Array) -> Items:
+        """Non-blank lines without white space at either end; sizes are their numbers of words."""
+        data, offsets = self._bytes(column)
+        inside = ~_BLANK[data]
+        black = np.flatnonzero(inside)
+        if not len(black):
+            return Items(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64))
+        line, row = np.cumsum(data == 10)[black], np.searchsorted(offsets, black, "right")
+        new = np.flatnonzero(np.r_[True, (line[1:] != line[:-1]) | (row[1:] != row[:-1])])
+        starts, lengths = black[new], black[np.r_[new[1:], len(black)] - 1] - black[new] + 1
+        word = inside.copy()
+        word[1:] &= ~inside[:-1]
+        word[starts] = True
+        return Items(self._sums(data[expand(starts, lengths)], lengths), np.searchsorted(starts, offsets), np.add.reduceat(word.astype(np.int64), starts))
+
+
 class RollingHash:
     """Hashes of all windows of k consecutive items, in a few vector operations for any k."""
 
@@ -127,7 +197,7 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
 
 
 #: Bytes that a slice of a batch holds at most, unless a single row has more.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def small(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
@@ -145,6 +215,20 @@ def small(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.R
         yield from cut(batch)
 
 
+def join_first(rows: DataFrame, first: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """rows joined with the stored table first, which has one row and a count of rows for each key it has.
+
+    Keys of more than HOT rows, which are few, are broadcast if their number, which is counted, allows it, so that
+    no task gets all rows of one of them.
+    """
+    hot = first.filter(F.col(count) > HOT)
+    n = hot.count()
+    if not n or n > BROADCAST_ROWS:
+        return rows.join(first.drop(count), keys)
+    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(first.filter(F.col(count) <= HOT).drop(count), keys)
+    return cold.unionByName(rows.join(F.broadcast(hot.drop(count)), keys))
+
+
 def groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The rows of each key, from batches sorted by it; holds one group and one batch at a time."""
     held: list[pa.Table] = []

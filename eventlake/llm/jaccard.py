@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, WordHashes, discard, groups, maybe_broadcast, mix, save, small, texts
+from .common import BROADCAST_ROWS, ItemHashes, discard, groups, maybe_broadcast, mix, save, small
 
 #: Largest number of members of a block; of larger groups chunks of half as many are paired.
 BLOCK = 512
@@ -59,17 +59,20 @@ class Similarity:
         """Whether an overlap suffices for two sets of total size; also for arrays."""
         return (100 + self.share) * overlap >= self.share * total
 
-    def shingles(self, text: bytes | None, hashes: WordHashes) -> np.ndarray:
-        """Distinct hashed n-grams in order of hash; a text of fewer words is one n-gram, one without words has none."""
-        words = (text or b"").lower().split()
-        if not words:
-            return np.zeros(0, np.uint64)
-        h = hashes.array(words)
-        k = min(self.width, len(h))
-        total = np.full(len(h) - k + 1, k, np.uint64)
-        for i in range(k):
-            total += h[i : len(h) - k + 1 + i] * np.uint64(_STEPS[i])
-        return np.unique(mix(total))
+    def shingles(self, column: pa.Array, hashes: ItemHashes) -> list[np.ndarray]:
+        """For each text, its distinct hashed n-grams in order of hash; a text of fewer words is one n-gram, one without words has none."""
+        words, out = hashes.words(column), []
+        for a, b in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist(), strict=True):
+            h = words.hashes[a:b]
+            k = min(self.width, b - a)
+            if not k:
+                out.append(np.zeros(0, np.uint64))
+                continue
+            total = np.full(b - a - k + 1, k, np.uint64)
+            for i in range(k):
+                total += h[i : b - a - k + 1 + i] * np.uint64(_STEPS[i])
+            out.append(np.unique(mix(total)))
+        return out
 
 
 def point(members: np.ndarray) -> bytes:
@@ -86,11 +89,10 @@ def sketches(docs: DataFrame, like: Similarity) -> DataFrame:
     """Size, 128-bit digest, prefix and point of each document's set; documents without words have n = 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes(3)
+        hashes = ItemHashes(3, lower=True)
         for batch in small(batches):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-                s = like.shingles(text, hashes)
+            for doc_id, s in zip(batch.column(0).to_pylist(), like.shingles(batch.column(1), hashes), strict=True):
                 n = len(s)
                 h1, h2 = int(mix(s + np.uint64(1)).sum(dtype=np.uint64)), int(mix(s ^ np.uint64(_STEPS[5])).sum(dtype=np.uint64))
                 rows.append((doc_id, n, h1 - (1 << 63), h2 - (1 << 63), s[: like.stored(n)].view(np.int64).copy(), point(s)))  # a copy, so that the whole set is freed
@@ -146,11 +148,11 @@ def prefix_keys(docs: DataFrame, copies: DataFrame, sketch: DataFrame, like: Sim
                 yield rows(parts)
 
     def from_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, frequent = WordHashes(3), sent.value
-        for batch in batches:
+        hashes, frequent = ItemHashes(3, lower=True), sent.value
+        for batch in small(batches):
             parts = []
-            for rep, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-                own = _reorder(like.shingles(text, hashes), frequent)
+            for rep, members in zip(batch.column(0).to_pylist(), like.shingles(batch.column(1), hashes), strict=True):
+                own = _reorder(members, frequent)
                 parts.append((own[: like.prefix(len(own))], rep, len(own)))
             if parts:
                 yield rows(parts)
@@ -411,9 +413,9 @@ def member_sets(docs: DataFrame, like: Similarity) -> DataFrame:
     """doc_id, its whole set as sorted 64-bit hashes, and their sorted groups of 65,536."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes(3)
+        hashes = ItemHashes(3, lower=True)
         for batch in small(batches):
-            sets = [like.shingles(t, hashes) for t in texts(batch)]
+            sets = like.shingles(batch.column(1), hashes)
             fine = [np.sort(((s >> np.uint64(5)) & np.uint64(0xFFFF)).astype(np.uint16)).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(fine, pa.binary())], names=["doc_id", "members", "fine"])
 

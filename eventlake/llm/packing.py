@@ -177,7 +177,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, ranks:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     The tokenizer's files (tokenizer_path, and ranks as encoder() takes them) lie on every machine.
-    docs has doc_id and text; other columns are ignored, repeated rows are packed each. Documents longer than
+    docs has doc_id and text; other columns are ignored, whatever their names, and rows of a null or repeated doc_id are packed each. Documents longer than
     capacity are cut into capacity-token pieces of which the first may be shorter. An empty table gives no rows.
     """
     spark = docs.sparkSession

@@ -27,7 +27,7 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license.scan(read(spark, sf_dir, "documents"), license.known_licenses(spark))
+    return license.scan_with_lines(read(spark, sf_dir, "documents"), license.known_licenses(spark))
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,10 +72,10 @@ _UPPER, _LOWER = decontaminate.UPPER, decontaminate.LOWER
 
 
 def _canonical_sql(x: str) -> str:
-    x = f"translate(coalesce({x}, ''), '{_UPPER}©', '{_LOWER}' || chr(10))"
-    x = f"regexp_replace({x}, 'https?://', 'http ', 'g')"
+    x = f"translate(replace(coalesce({x}, ''), '©', '(c)'), '{_UPPER}', '{_LOWER}')"
     x = f"regexp_replace({x}, '{license._COPYRIGHT.replace('(?md)', '(?m)')}', ' ', 'g')"
-    x = f"trim(regexp_replace({x}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' ')"
+    x = f"regexp_replace({x}, 'https?://', 'http ', 'g')"
+    x = f"trim(regexp_replace({x}, '{license._MARKS}', ' ', 'g'), ' ')"
     x = f"(' ' || replace({x}, ' ', '  ') || ' ')"
     for old, new in license.SPELLINGS.items():
         x = f"replace({x}, ' {re.sub('[ -]', '  ', old)} ', ' {re.sub('[ -]', '  ', new)} ')"
@@ -86,7 +86,7 @@ def _quote(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
 
-_KNOWN_SQL = ", ".join(f"({_quote(k)}, {_quote(v)})" for k, v in sorted(license.KNOWN.items()))
+_KNOWN_SQL = ", ".join(f"({_quote(k)}, {_quote(v)})" for k, v in [*license.KNOWN.items(), *((k, f"{t} {license.KNOWN[k]}") for k, ts in license.TITLES.items() for t in ts)])
 
 SQL: dict[str, str] = {
     "op2_ngram_jaccard": f"""
@@ -99,8 +99,11 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, m AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY 1) USING (doc_id)""",
     "op3_license_digest": f"""
 WITH known AS (SELECT sha256({_canonical_sql("text")}) AS digest, min(license_id) AS license_id FROM (VALUES {_KNOWN_SQL}) t(license_id, text) GROUP BY 1),
-d AS (SELECT doc_id, sha256({_canonical_sql("text")}) AS digest FROM documents)
-SELECT d.doc_id, d.digest, known.license_id FROM d LEFT JOIN known ON d.digest = known.digest AND d.digest <> sha256('')""",
+d AS (SELECT doc_id, sha256({_canonical_sql("text")}) AS digest FROM documents),
+l AS (SELECT doc_id, count(*) AS n_lines, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS line_licenses FROM (
+SELECT doc_id, sha256({_canonical_sql("text")}) AS digest FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM documents)) JOIN known USING (digest) GROUP BY 1)
+SELECT d.doc_id, d.digest, known.license_id, coalesce(n_lines, 0) AS n_lines, coalesce(line_licenses, '') AS line_licenses
+FROM d LEFT JOIN known ON d.digest = known.digest AND d.digest <> sha256('') LEFT JOIN l USING (doc_id)""",
     "op4_decontaminate": f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, w, least(len(w), 13) AS n FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
@@ -124,8 +127,9 @@ WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(ran
 t AS (SELECT doc_id, raw, i, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS x FROM l),
 s AS (SELECT doc_id, i, x, row_number() OVER w AS pos, lead(x) OVER w AS y FROM t WHERE x <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 f AS (SELECT x, y, min((doc_id, pos)) AS first FROM s WHERE y IS NOT NULL GROUP BY 1, 2),
-c AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1]) AS pos FROM s JOIN f USING (x, y) WHERE (doc_id, pos) > first),
-g AS (SELECT s.doc_id, s.i FROM s JOIN c USING (doc_id, pos)),
+h AS (SELECT x, min((doc_id, pos)) AS first FROM s WHERE len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) >= 50 GROUP BY 1),
+c AS (SELECT doc_id, unnest([pos, pos + 1]) AS pos FROM s JOIN f USING (x, y) WHERE (doc_id, pos) > first UNION SELECT doc_id, pos FROM s JOIN h USING (x) WHERE (doc_id, pos) > first),
+g AS (SELECT DISTINCT s.doc_id, s.i FROM s JOIN c USING (doc_id, pos)),
 k AS (SELECT t.doc_id, string_agg(raw, chr(10) ORDER BY t.i) AS kept FROM t LEFT JOIN g ON t.doc_id = g.doc_id AND t.i = g.i WHERE g.i IS NULL GROUP BY 1)
 SELECT d.doc_id, coalesce(n, 0) AS n_lines, coalesce(m, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents d
 LEFT JOIN k USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM s GROUP BY 1) USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS m FROM g GROUP BY 1) USING (doc_id)""",

@@ -6,12 +6,14 @@ a window can only repeat if its fingerprint occurs at another place.
 
 Substring dedup looks up the first document of each window in a log-structured index of sorted immutable runs, first
 for stretches (all consecutive windows of one fingerprint, hashed as a whole) and then for single windows, where
-a fingerprint stands in different stretches of the batch and all earlier ones. Line dedup joins positions of windows, whose neighbouring matches extend
-each other both ways.
+a fingerprint stands in different stretches of the batch and all earlier ones. Line dedup joins the positions of each
+fingerprint that agree on a whole window with the first of them, and extends matches both ways along their diagonal
+as far as neighbouring windows match too.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import uuid
@@ -19,14 +21,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RollingHash, WordHashes, discard, save, small, texts
+from .common import HOT, ItemHashes, Items, RollingHash, discard, expand, join_first, maybe_broadcast, mix, save, small, texts
 
 WINDOWS = "w1 long, w2 long, doc_id long, at int"
-STRETCH_RUN = "w1 long, w2 long, first long, at int, n int"
+STRETCH = "w1 long, w2 long, first long"
+PRINT = "w1 long, low_w2 long, high_w2 long, low_first long, high_first long, places array<struct<first: long, at: int, n: int>>"
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -49,131 +52,90 @@ class Winnower:
         return {"items": self.items, "k": self.k, "w": self.w, "size": self.size}
 
     def start(self) -> None:
-        self.hashes = [WordHashes(1), WordHashes(2)]
+        hashes = ItemHashes(1)
+        self.all = hashes.lines if self.items is lines else hashes.words
         self.rolling = [RollingHash(0x9E3779B97F4A7C15), RollingHash(0xD1342543DE82EF95)]
 
-    def fingerprints(self, items: list[bytes]) -> np.ndarray:
-        """The smallest gram hash of each window, by window."""
-        if len(items) < self.size:
-            return np.zeros(0, np.uint64)
-        low, width = self.rolling[0].windows(self.hashes[0].array(items), self.k), 1
+    def fingerprints(self, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First item, row and smallest gram hash of each window of a slice; no window crosses rows."""
+        if len(items.hashes) < self.size:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        low, width = self.rolling[0].windows(items.hashes, self.k), 1
         while 2 * width <= self.w:  # minima of twice as many grams at each step
             low, width = np.minimum(low[:-width], low[width:]), 2 * width
-        return np.minimum(low[: len(low) - (self.w - width)], low[self.w - width :]) if width < self.w else low
+        low = np.minimum(low[: len(low) - (self.w - width)], low[self.w - width :]) if width < self.w else low
+        row = items.rows()
+        at = np.flatnonzero(row[: len(low)] == row[self.size - 1 :])
+        return at, row[at], low[at]
 
-    def stretches(self, items: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """fingerprint, hash of the whole stretch, first window and number of windows of each stretch."""
-        own = self.fingerprints(items)
-        if not len(own):
-            return own, own, np.zeros(0, np.int64), np.zeros(0, np.int64)
-        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        n = np.diff(np.r_[starts, len(own)])
-        return own[starts], self.rolling[1].spans(self.hashes[1].array(items), starts, n + self.size - 1), starts, n
+    def stretches(self, items: Items) -> tuple[np.ndarray, ...]:
+        """row, fingerprint, hash of the whole stretch, first window in its row and number of windows of each stretch."""
+        at, row, low = self.fingerprints(items)
+        starts = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (row[1:] != row[:-1])]) if len(at) else np.zeros(0, np.int64)
+        n = np.diff(np.r_[starts, len(at)])
+        at, row, low = at[starts], row[starts], low[starts]
+        whole = self.rolling[1].spans(mix(items.hashes), at, n + self.size - 1)
+        return row, low, whole, at - items.bounds[row], n
 
-    def windows(self, items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(r.windows(h.array(items), self.size) for r, h in zip(self.rolling, self.hashes, strict=True))
+    def windows(self, items: Items, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """128-bit hashes of the windows that begin at some items."""
+        return tuple(r.windows(h, self.size)[at] for r, h in zip(self.rolling, (items.hashes, mix(items.hashes)), strict=True))
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def repeated_fingerprints(docs: DataFrame, winnow: Winnower, within: bool) -> DataFrame:
-    """doc_id, fps: each document's fingerprints that occur in another document (or, if within, at another place)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        winnow.start()
-        for batch in small(batches):
-            ids, found, many = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-                own = winnow.fingerprints(winnow.items(text))
-                if within:  # a fingerprint that stands for windows farther apart than it is long stands at two places
-                    order = np.argsort(own, kind="stable")
-                    own = own[order]
-                    new = np.r_[True, own[1:] != own[:-1]] if len(own) else np.zeros(0, bool)
-                    starts = np.flatnonzero(new)
-                    many.append(np.diff(np.r_[starts, len(own)]) > 1)
-                    own = own[new]
-                else:
-                    own = np.unique(own)
-                    many.append(np.zeros(len(own), bool))
-                found.append(own.view(np.int64))
-                ids.append(np.full(len(own), doc_id, np.int64))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found, ids, many)], names=["fp", "doc_id", "many"])
-
-    rows = save(_narrow(docs.filter("doc_id is not null")).mapInArrow(run, "fp long, doc_id long, many boolean"), "fingerprints")
-    ends = rows.groupBy("fp").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.max("many").alias("many"))
-    shared = save(ends.filter((F.col("a") != F.col("b")) | F.col("many")).select("fp"), "shared")
-    return rows.join(shared, "fp").groupBy("doc_id").agg(F.collect_list("fp").alias("fps"))
-
-
-def candidate_windows(docs: DataFrame, fps: DataFrame, winnow: Winnower) -> DataFrame:
-    """Full hashes (w1, w2) of the windows whose fingerprint is repeated: the only windows that can be."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        winnow.start()
-        for batch in small(batches):
-            parts = []
-            fp_lists = batch.column("fps")
-            for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)):
-                items = winnow.items(text)
-                at = np.flatnonzero(np.isin(winnow.fingerprints(items), fp_lists[i].values.to_numpy().view(np.uint64)))
-                if len(at):
-                    a, b = winnow.windows(items)
-                    parts.append((a[at].view(np.int64), b[at].view(np.int64), np.full(len(at), doc_id, np.int64), at.astype(np.int32)))
-                if parts and (sum(len(p[0]) for p in parts) > 200_000 or i == batch.num_rows - 1):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["w1", "w2", "doc_id", "at"])
-                    parts = []
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["w1", "w2", "doc_id", "at"])
-
-    return _narrow(docs).join(fps, "doc_id").mapInArrow(run, WINDOWS)
-
-
 class FingerprintIndex:
     """A log-structured index of passages, in sorted immutable runs: what is new in a batch is written as another run.
 
-    Runs of stretches have the first document of each stretch (w1 its fingerprint, w2 its hash) and its place there; runs
-    of windows have the first document of each single window by 128-bit hash (w1, w2), of fingerprints that stand in
-    different stretches; texts are kept so that windows of earlier documents can be hashed once a later stretch needs them.
+    Runs of stretches have the first document of each stretch (w1 its fingerprint, w2 its hash). Runs of prints have one
+    row for each fingerprint (w1): the ends of the w2 and first documents of its stretches, and their places while
+    they are of one document or one w2. Runs of windows have the first document of each single window by 128-bit
+    hash (w1, w2), of fingerprints that stand in different stretches. Texts are kept, so that windows of earlier
+    documents can be hashed once a later stretch needs them.
 
-    Each run is a table bucketed by w1 and sorted by (w1, w2) in each bucket, so that a merge join reads it without
-    a shuffle; w2 verifies what w1 finds. A batch is joined with every run; from fanout runs on, compact() merges them
-    into one. Batches must come in order of doc_id. An index of the same name reopens the runs that the catalog has.
+    Each run is a table bucketed by a hash that no common passage makes uneven, since equal rows are one, and sorted in
+    each bucket, so that a merge join reads it without a shuffle. A batch is joined with every run; from fanout runs
+    on, compact() merges them into one. Batches must come in order of doc_id. An index of the same name reopens the
+    runs that the catalog has.
     """
 
+    #: Columns by which runs are bucketed and sorted.
+    KEYS = {"run": ("w1", "w2"), "stretch": ("w2", "w1"), "print": ("w1",), "text": ("doc_id",)}
+
     def __init__(self, spark: SparkSession, name: str | None = None, buckets: int | None = None, fanout: int = 3):
         self.spark, self.name = spark, (name or f"fingerprints_{uuid.uuid4().hex}").lower()
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        found = [m for t in spark.catalog.listTables() if (m := re.fullmatch(re.escape(self.name) + r"_(run|stretch|text)(\d+)", t.name))]
+        found = [m for t in spark.catalog.listTables() if (m := re.fullmatch(re.escape(self.name) + r"_(run|stretch|print|text)(\d+)", t.name))]
         found.sort(key=lambda m: int(m[2]))
-        self.runs, self.stretches, self.texts = ([m[0] for m in found if m[1] == kind] for kind in ("run", "stretch", "text"))
+        self.runs, self.stretches, self.prints, self.texts = ([m[0] for m in found if m[1] == kind] for kind in self.KEYS)
         self.fanout, self.written = fanout, max((int(m[2]) for m in found), default=0)
 
-    def _table(self, kind: str) -> str:
-        self.written += 1
-        return f"{self.name}_{kind}{self.written}"
-
     def _write(self, df: DataFrame, kind: str) -> str:
-        table = self._table(kind)
-        df.repartition(self.buckets, "w1").write.format("parquet").bucketBy(self.buckets, "w1").sortBy("w1", "w2").saveAsTable(table)
+        self.written += 1
+        table, keys = f"{self.name}_{kind}{self.written}", self.KEYS[kind]
+        df.repartition(self.buckets, keys[0]).write.format("parquet").bucketBy(self.buckets, keys[0]).sortBy(*keys).saveAsTable(table)
         return table
 
+    def _known(self, own: DataFrame, runs: list[str], keys: tuple[str, str]) -> DataFrame:
+        """own, which has the keys, with known: the first document that a run has for them."""
+        for i, run in enumerate(runs):
+            old = self.spark.table(run).select(F.col(keys[0]).alias("o1"), F.col(keys[1]).alias("o2"), F.col("first").alias(f"old{i}"))
+            own = own.join(old, (own[keys[0]] == old.o1) & (own[keys[1]] == old.o2), "left").drop("o1", "o2")
+        known = F.coalesce(*[F.col(f"old{i}") for i in range(len(runs))], F.lit(None).cast("long"))
+        return own.withColumn("known", known).drop(*[f"old{i}" for i in range(len(runs))])
+
     def add(self, batch: DataFrame) -> DataFrame:
-        """The batch, which has w1, w2 and doc_id, with `repeated`: whether an earlier document of the index or the batch has the row's hash."""
-        own = batch.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"))
-        for i, run in enumerate(self.runs):
-            old = self.spark.table(run).select("w1", F.col("w2").alias("o2"), F.col("first").alias(f"old{i}"))
-            own = own.join(old, (own.w1 == old.w1) & (own.w2 == old.o2), "left").drop(old.w1).drop("o2")
-        known = F.coalesce(*[F.col(f"old{i}") for i in range(len(self.runs))], F.lit(None).cast("long"))
-        own = save(own.select("w1", "w2", "first", known.alias("known")), "batch")
-        first = own.select("w1", "w2", F.least(F.col("first"), F.coalesce("known", "first")).alias("first"))
+        """Rows of the stored batch (w1, w2, doc_id, at) with a hash that an earlier document of the index or the batch has."""
+        own = batch.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("rows"))
+        own = save(self._known(own, self.runs, ("w1", "w2")), "batch")
         self.runs.append(self._write(own.filter("known is null").select("w1", "w2", "first"), "run"))
         if len(self.runs) > self.fanout:
             self.runs = self.compact(self.runs, "run")
-        out = save(batch.join(first, ["w1", "w2"]).withColumn("repeated", F.col("first") < F.col("doc_id")).drop("first"), "added")
-        discard(own)
+        again = save(own.filter("known is not null or last > first").select("w1", "w2", F.coalesce("known", "first").alias("first"), "rows"), "again")
+        out = save(join_first(batch, again, ["w1", "w2"], "rows").filter("first < doc_id").select("doc_id", "at"), "added")
+        discard(own, again)
         return out
 
     def add_stretches(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -181,58 +143,73 @@ class FingerprintIndex:
         stretches of different documents (many), and the places (doc_id, at, n) of stretches of earlier batches whose
         fingerprint does so only since this batch: single windows of both have to be compared. The batch has w1, w2, doc_id, at and n.
         """
-        place = batch.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "at", "n")).alias("p"), F.max("doc_id").alias("last"))
-        own = save(place.select("w1", "w2", F.col("p.doc_id").alias("first"), "p.at", "p.n", "last"), "own")
-        old, keys = self.spark.createDataFrame([], STRETCH_RUN), own.select("w1").distinct()
-        for run in self.stretches:
-            old = old.union(self.spark.table(run).join(keys, "w1", "left_semi").select("w1", "w2", "first", "at", "n"))
+        place = batch.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "at", "n")).alias("p"), F.max("doc_id").alias("last"), F.count("*").alias("rows"))
+        place = place.select("w1", "w2", F.col("p.doc_id").alias("first"), "p.at", "p.n", "last", "rows")
+        own = save(self._known(place, self.stretches, ("w2", "w1")), "own")
+        fresh = own.filter("known is null")
+        ends = [f(x).alias(f"{a}_{x}") for x in ("w2", "first") for a, f in (("low", F.min), ("high", F.max))]
+        one = (F.col("low_w2") == F.col("high_w2")) | (F.col("low_first") == F.col("high_first"))
+        # fingerprints of very many stretches are told first, so that what is collected below is one document's or at most HOT stretches
+        hot = save(fresh.groupBy("w1").agg(*ends, F.count("*").alias("c")).filter(~one & (F.col("c") > HOT)).drop("c"), "hot")
+        rest = fresh.join(maybe_broadcast(hot.select("w1")), "w1", "left_anti").groupBy("w1").agg(*ends, F.collect_list(F.struct("first", "at", "n")).alias("places"))
+        now = rest.withColumn("places", F.when(one, F.col("places"))).unionByName(hot, allowMissingColumns=True)
+        now = save(now, "now")
+        old = self.spark.createDataFrame([], PRINT)
+        for run in self.prints:
+            old = old.union(self.spark.table(run).join(now.select("w1"), "w1", "left_semi").select(*old.columns))
         old = save(old, "old")
-        marked = save(own.join(old.select("w1", "w2", F.col("first").alias("known")), ["w1", "w2"], "left"), "marked")
-        fresh = marked.filter("known is null").select("w1", "w2", "first", "at", "n")
-        both = old.withColumn("was", F.lit(True)).union(fresh.withColumn("was", F.lit(False)))
-        ends = []
-        for x in ("w2", "first"):
-            ends += [f(v).alias(f"{f.__name__}_{x}{t}") for f in (F.min, F.max) for t, v in (("", F.col(x)), ("_was", F.when(F.col("was"), F.col(x))))]
-        many = both.groupBy("w1").agg(*ends).filter("min_w2 <> max_w2 and min_first <> max_first")
-        many = save(many.select("w1", F.expr("coalesce(min_w2_was <> max_w2_was and min_first_was <> max_first_was, false)").alias("was_many")), "many")
-        info = marked.join(many, "w1", "left").filter("known is not null or last > first or was_many is not null")
-        info = info.select("w1", "w2", F.coalesce("known", "first").alias("first"), F.col("was_many").isNotNull().alias("many"))
-        out = save(batch.join(info, ["w1", "w2"]).select("doc_id", "at", "n", (F.col("first") < F.col("doc_id")).alias("repeated"), "many"), "known")
-        opened = save(old.join(many.filter("not was_many"), "w1").select(F.col("first").alias("doc_id"), "at", "n"), "opened")
-        self.stretches.append(self._write(fresh, "stretch"))
+        sums = [f(x).alias(x) for x, f in (("low_w2", F.min), ("high_w2", F.max), ("low_first", F.min), ("high_first", F.max))]
+        many = (F.col("low_w2") != F.col("high_w2")) & (F.col("low_first") != F.col("high_first"))
+        was = old.groupBy("w1").agg(*sums).select("w1", many.alias("was_many"))
+        every = old.drop("places").union(now.drop("places")).groupBy("w1").agg(*sums).filter(many).select("w1")
+        every = save(every.join(was, "w1", "left").select("w1", F.coalesce("was_many", F.lit(False)).alias("was_many")), "many")
+        info = own.join(every, "w1", "left").filter("known is not null or last > first or was_many is not null")
+        info = save(info.select("w1", "w2", F.coalesce("known", "first").alias("first"), F.col("was_many").isNotNull().alias("many"), "rows"), "info")
+        out = save(join_first(batch, info, ["w1", "w2"], "rows").select("doc_id", "at", "n", (F.col("first") < F.col("doc_id")).alias("repeated"), "many"), "known")
+        opened = old.join(every.filter("not was_many"), "w1").select(F.explode("places").alias("p")).select(F.col("p.first").alias("doc_id"), "p.at", "p.n")
+        opened = save(opened, "opened")
+        self.stretches.append(self._write(fresh.select("w1", "w2", "first"), "stretch"))
+        self.prints.append(self._write(now, "print"))
         if len(self.stretches) > self.fanout:
-            self.stretches = self.compact(self.stretches, "stretch")
-        discard(own, old, marked, many)
+            self.stretches, self.prints = self.compact(self.stretches, "stretch"), self.compact(self.prints, "print")
+        discard(own, hot, now, old, every, info)
         return out, opened
 
-    def history(self) -> DataFrame:
-        """doc_id, text of the documents of earlier calls."""
+    def last(self) -> int | None:
+        """The largest doc_id that the index has."""
+        ends = [self.spark.table(t).agg(F.max("doc_id")).first()[0] for t in self.texts]
+        return max((x for x in ends if x is not None), default=None)
+
+    def keep(self, docs: DataFrame) -> None:
+        """Keep the texts of a call, which windows are hashed from."""
+        self.texts.append(self._write(_narrow(docs).filter("doc_id is not null"), "text"))
+
+    def kept(self) -> DataFrame:
+        """doc_id, text of all documents of the index."""
         out = self.spark.createDataFrame([], "doc_id long, text string")
         for table in self.texts:
             out = out.union(self.spark.table(table))
         return out
 
-    def keep(self, docs: DataFrame) -> None:
-        """Keep the texts of a call for later ones."""
-        table = self._table("text")
-        _narrow(docs).filter("doc_id is not null").write.format("parquet").saveAsTable(table)
-        self.texts.append(table)
-
     def compact(self, runs: list[str], kind: str) -> list[str]:
-        """Merge runs into one and drop the old ones; no two runs have the same (w1, w2)."""
+        """Merge runs into one and drop the old ones. No two runs have the same (w1, w2); prints of one w1 are united."""
         merged = None
         for run in runs:
             part = self.spark.table(run)
-            merged = part if merged is None else merged.union(part)
+            merged = part if merged is None else merged.unionByName(part)
+        if kind == "print":
+            sums = [f(x).alias(x) for x, f in (("low_w2", F.min), ("high_w2", F.max), ("low_first", F.min), ("high_first", F.max))]
+            one = (F.col("low_w2") == F.col("high_w2")) | (F.col("low_first") == F.col("high_first"))
+            merged = merged.groupBy("w1").agg(*sums, F.flatten(F.collect_list("places")).alias("places")).withColumn("places", F.when(one, F.col("places")))
         new = self._write(merged, kind)
         for run in runs:
             self.spark.sql(f"DROP TABLE {run}")
         return [new]
 
     def drop(self) -> None:
-        for table in (*self.runs, *self.stretches, *self.texts):
+        for table in (*self.runs, *self.stretches, *self.prints, *self.texts):
             self.spark.sql(f"DROP TABLE {table}")
-        self.runs, self.stretches, self.texts = [], [], []
+        self.runs, self.stretches, self.prints, self.texts = [], [], [], []
 
 
 def all_stretches(docs: DataFrame, winnow: Winnower) -> DataFrame:
@@ -241,40 +218,31 @@ def all_stretches(docs: DataFrame, winnow: Winnower) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         winnow.start()
         for batch in small(batches):
-            parts = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-                fp, whole, at, n = winnow.stretches(winnow.items(text))
-                parts.append((fp.view(np.int64), whole.view(np.int64), np.full(len(fp), doc_id, np.int64), at.astype(np.int32), n.astype(np.int32)))
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["w1", "w2", "doc_id", "at", "n"])
+            row, low, whole, at, n = winnow.stretches(winnow.all(batch.column("text")))
+            ids = batch.column("doc_id").to_numpy()[row]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (low.view(np.int64), whole.view(np.int64), ids, at.astype(np.int32), n.astype(np.int32))], names=["w1", "w2", "doc_id", "at", "n"])
 
     return save(_narrow(docs.filter("doc_id is not null")).mapInArrow(run, "w1 long, w2 long, doc_id long, at int, n int"), "stretches")
 
 
 def stretch_windows(docs: DataFrame, stretches: DataFrame, winnow: Winnower) -> DataFrame:
-    """w1, w2, doc_id, at: hashes of the single windows of stretches (doc_id, at, n)."""
+    """w1, w2, doc_id, at: hashes of the single windows of stretches (doc_id, at, n) of docs (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         winnow.start()
         for batch in small(batches):
-            parts = []
-            lists = batch.column("parts")
-            for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)):
-                own = lists[i].values
-                at = np.concatenate([np.arange(a, a + n) for a, n in zip(own.field("at").to_numpy(), own.field("n").to_numpy(), strict=True)])
-                a, b = winnow.windows(winnow.items(text))
-                parts.append((a[at].view(np.int64), b[at].view(np.int64), np.full(len(at), doc_id, np.int64), at.astype(np.int32)))
-                if sum(len(p[0]) for p in parts) > 200_000:
-                    yield to_batch(parts)
-                    parts = []
-            if parts:
-                yield to_batch(parts)
-
-    def to_batch(parts):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["w1", "w2", "doc_id", "at"])
+            items, lists = winnow.all(batch.column("text")), batch.column("parts")
+            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            parts = lists.flatten()
+            first, n = parts.field("at").to_numpy().astype(np.int64), parts.field("n").to_numpy().astype(np.int64)
+            at = expand(first, n)
+            row = np.repeat(row, n)
+            a, b = winnow.windows(items, items.bounds[row] + at)
+            ids = batch.column("doc_id").to_numpy()[row]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a.view(np.int64), b.view(np.int64), ids, at.astype(np.int32))], names=["w1", "w2", "doc_id", "at"])
 
     grouped = stretches.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("parts"))  # at most as many as the document has words
-    return _narrow(docs).join(grouped, "doc_id").mapInArrow(run, WINDOWS)
+    return docs.join(grouped, "doc_id").select("doc_id", "text", "parts").mapInArrow(run, WINDOWS)
 
 
 def _removal(docs: DataFrame, covered: DataFrame, winnow: Winnower, schema: str, finish: Callable) -> DataFrame:
@@ -316,31 +284,33 @@ def substring_dedup(docs: DataFrame, window: int = 50, batches: int = 2, index:
     """
     spark, k = docs.sparkSession, min(GRAM, window)
     winnow = Winnower(words, k, window - k + 1)
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    given, covered = index is not None, None
+    cuts = [F.lit(i / batches) for i in range(1, batches)]
+    low, high, inner = docs.agg(F.min("doc_id").cast("long"), F.max("doc_id").cast("long"), F.percentile_approx(F.col("doc_id").cast("long"), F.array(*cuts) if cuts else F.array(F.lit(1.0)))).first()
+    given, found = index is not None, []
     index = index or FingerprintIndex(spark)
-    history = index.history()
-    last = history.agg(F.max("doc_id")).first()[0] if index.texts else None
+    last = index.last()
     if low is not None and last is not None and low <= last:
         raise ValueError(f"doc_id {low} does not follow {last}, the last one of the index")
-    stretches = all_stretches(docs, winnow)
-    step = 1 if low is None else (high - low) // batches + 1
-    for i in range(0 if low is None else batches):
-        ours = (F.col("doc_id") >= low + i * step) & (F.col("doc_id") < low + (i + 1) * step)
-        known, opened = index.add_stretches(stretches.filter(ours))
-        places = known.filter("many and not repeated").select("doc_id", "at", "n").union(opened)
-        so_far = _narrow(docs.filter(F.col("doc_id") < low + (i + 1) * step)).union(history)
-        single = save(stretch_windows(so_far, places, winnow), "windows")
-        found = index.add(single)
-        discard(single, opened)
-        part = known.filter("repeated").select("doc_id", "at", "n").union(found.filter(ours & F.col("repeated")).select("doc_id", "at", F.lit(1).alias("n")))
-        covered = part if covered is None else covered.union(part)
-    discard(stretches)
+    if low is not None:
+        index.keep(docs)
+        stretches = all_stretches(docs, winnow)
+        bounds = sorted({x for x in inner[: batches - 1] if x < high} | {high})  # batches of about as many documents, whatever their ids
+        for before, upto in zip([None, *bounds], bounds, strict=False):
+            ours = (F.col("doc_id") <= upto) if before is None else (F.col("doc_id") > before) & (F.col("doc_id") <= upto)
+            known, opened = index.add_stretches(stretches.filter(ours))
+            single = stretch_windows(index.kept().filter(ours), known.filter("many and not repeated").select("doc_id", "at", "n"), winnow)
+            if not opened.isEmpty():
+                earlier = index.kept().filter(F.col("doc_id") <= (low - 1 if before is None else before))
+                earlier = earlier.join(maybe_broadcast(opened.select("doc_id").distinct()), "doc_id", "left_semi")
+                single = single.union(stretch_windows(earlier, opened, winnow))
+            single = save(single, "windows")
+            again = index.add(single)
+            found.append(known.filter("repeated").select("doc_id", "at", "n").union(again.filter(ours).select("doc_id", "at", F.lit(1).alias("n"))))
+            discard(single, opened)
+        discard(stretches)
     if not given:
         index.drop()
-    elif low is not None:
-        index.keep(docs)
-    covered = spark.createDataFrame([], "doc_id long, at int, n int") if covered is None else covered
+    covered = functools.reduce(DataFrame.union, found) if found else spark.createDataFrame([], "doc_id long, at int, n int")
 
     def finish(text, items, gone):
         kept = items if not gone.any() else [x for x, y in zip(items, gone.tolist(), strict=True) if not y]
@@ -350,36 +320,43 @@ def substring_dedup(docs: DataFrame, window: int = 50, batches: int = 2, index:
     return _removal(docs, covered, winnow, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string", finish)
 
 
-def long_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """w1, w2, doc_id, at: hashes of the single lines of at least min_words words."""
-    single = Winnower(lines, 1, 1)
+def line_windows(docs: DataFrame, winnow: Winnower, min_words: int) -> DataFrame:
+    """w1, w2, doc_id, at, n: each window of lines by its fingerprint (w1) and its whole hash (w2), with n = 1, and
+    each line of at least min_words words alone, with n = 2 - winnow.size: n + winnow.size - 1 lines are covered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single.start()
+        winnow.start()
         for batch in small(batches):
-            parts = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-                items = [(i, x) for i, x in enumerate(single.items(text)) if len(x) >= 2 * min_words - 1 and len(x.split()) >= min_words]
-                a, b = single.windows([x for _, x in items])
-                parts.append((a.view(np.int64), b.view(np.int64), np.full(len(items), doc_id, np.int64), np.array([i for i, _ in items], np.int32)))
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["w1", "w2", "doc_id", "at"])
-
-    return _narrow(docs.filter("doc_id is not null")).mapInArrow(run, WINDOWS)
+            items, ids = winnow.all(batch.column("text")), batch.column("doc_id").to_numpy()
+            at, row, low = winnow.fingerprints(items)
+            long = np.flatnonzero(items.sizes >= min_words)
+            rows = np.r_[row, items.rows()[long]]
+            w1 = np.r_[low, mix(items.hashes[long] + np.uint64(1))]
+            w2 = np.r_[winnow.windows(items, at)[1], mix(items.hashes[long] + np.uint64(2))]
+            n = np.r_[np.ones(len(at), np.int32), np.full(len(long), 2 - winnow.size, np.int32)]
+            places = np.r_[at, long] - items.bounds[rows]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w1.view(np.int64), w2.view(np.int64), ids[rows], places.astype(np.int32), n)], names=["w1", "w2", "doc_id", "at", "n"])
 
+    return save(_narrow(docs.filter("doc_id is not null")).mapInArrow(run, "w1 long, w2 long, doc_id long, at int, n int"), "lines")
 
-def _later(found: DataFrame) -> DataFrame:
-    """doc_id, at of the stored windows that stand at an earlier place too."""
-    first = save(found.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("w1", "w2", "first"), "first")
-    return found.join(first, ["w1", "w2"]).filter(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "at")
 
+def line_matches(docs: DataFrame, winnow: Winnower, min_words: int) -> DataFrame:
+    """doc_id, at, n, src_doc, src_at: the longest runs of n + winnow.size - 1 lines that stand at an earlier place too.
 
-def _repeated_lines(docs: DataFrame, winnow: Winnower, min_words: int) -> DataFrame:
-    """doc_id, at, n: runs of n + winnow.size - 1 lines that stand at an earlier place too."""
-    found = save(candidate_windows(docs, repeated_fingerprints(docs, winnow, True), winnow), "windows")
-    runs = _later(found).withColumn("n", F.lit(1))
-    single = _later(save(long_lines(docs, min_words), "long_lines")).withColumn("n", F.lit(2 - winnow.size))
-    return runs.union(single)
+    Positions of one fingerprint and window are joined with the first of them; matches on one diagonal (place here
+    less place there) whose windows follow each other extend each other to one run.
+    """
+    rows = line_windows(docs, winnow, min_words)
+    first = rows.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    first = save(first.select("w1", "w2", F.col("first.doc_id").alias("src_doc"), F.col("first.at").alias("src_at"), "rows"), "first")
+    later = join_first(rows, first, ["w1", "w2"], "rows").filter("doc_id > src_doc or (doc_id = src_doc and at > src_at)")
+    later = later.select("doc_id", "at", "n", "src_doc", "src_at").repartition("doc_id")
+    same = Window.partitionBy("doc_id", "src_doc", F.col("at") - F.col("src_at"), "n").orderBy("at")
+    runs = later.withColumn("island", F.col("at") - F.row_number().over(same))
+    runs = runs.groupBy("doc_id", "src_doc", (F.col("at") - F.col("src_at")).alias("diagonal"), "n", "island").agg(F.min("at").alias("at"), F.min("src_at").alias("src_at"), F.count("*").alias("c"))
+    out = save(runs.select("doc_id", "at", (F.col("n") + F.col("c") - 1).cast("int").alias("n"), "src_doc", "src_at"), "matches")
+    discard(rows, first)
+    return out
 
 
 #: Words from which a single line counts as a passage of its own.
@@ -411,13 +388,13 @@ def line_dedup(docs: DataFrame, min_lines: int = 2, min_words: int = LONG_LINE)
             return len(items), 0, None if text is None else text.decode()
         return len(items), int(gone.sum()), _without_lines(text, gone).decode()
 
-    return _removal(docs, _repeated_lines(docs, winnow, min_words), winnow, "doc_id long, n_lines long, n_removed long, text string", finish)
+    return _removal(docs, line_matches(docs, winnow, min_words), winnow, "doc_id long, n_lines long, n_removed long, text string", finish)
 
 
 def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = LONG_LINE) -> DataFrame:
     """docs with all their columns, texts as line_dedup leaves them, and lines_removed (int)."""
     winnow, names = _line_winnow(min_lines), docs.columns
-    places = _repeated_lines(docs, winnow, min_words).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("_repeated"))
+    places = line_matches(docs, winnow, min_words).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("_repeated"))
     schema = T.StructType([*docs.schema.fields, T.StructField("lines_removed", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,16 +2,23 @@
 
 import collections
 import hashlib
+import itertools
+import math
+import os
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm import decontaminate, jaccard, langid, license, packing, pii, queries, repeats, topk, toxicity
+from eventlake.llm import common, decontaminate, jaccard, langid, license, packing, pii, queries, repeats, topk, toxicity
+
+from eventlake.llm.common import ItemHashes
 
 from ..compare import DATA, same
 
@@ -90,6 +97,59 @@ def test_pii_field_adds_consistent_mentions(spark):
     assert got[100]["spans"] == ""
 
 
+def test_pii_links_groups_and_altered_addresses(spark):
+    filler = "some words between the two "
+    texts = [f"call +49 30 {i} 45 67 now {filler * 20} again 030 {i} 45 67 or {i}4567 please" for i in range(200, 260)]
+    texts += [f"mail ann.{i}@example.org {filler * 10} that is Ann.{i}@example ok" for i in range(60)]
+    texts += [f"host 10.0.{i}.7 {filler * 10} host 10-0-{i}-7 ok" for i in range(60)]
+    docs = frame(spark, texts)
+    got = {r["doc_id"]: r for r in pii.find(docs, pii.fit(docs)).collect()}
+    for i, t in enumerate(texts):
+        base = base_by_regex(t)
+        spans = got[i]["spans"].split(",")
+        assert {x for x in pii.join_spans(base).split(",") if x} <= set(spans) and got[i]["n_spans"] == len(spans)
+    added = [sorted(set(got[i]["spans"].split(",")) - set(pii.join_spans(base_by_regex(texts[i])).split(","))) for i in range(180)]
+    words = [[texts[i][int(x.split(":")[1]) : int(x.split(":")[2])] for x in added[i]] for i in range(180)]
+    assert sum({f"030 {i + 200} 45 67", f"{i + 200}4567"} <= set(words[i]) for i in range(60)) >= 55
+    assert sum(f"Ann.{i}@example" in words[60 + i] for i in range(60)) >= 55
+    assert sum(f"10-0-{i}-7" in words[120 + i] for i in range(60)) >= 55
+
+
+def exact_marginals(own, field):
+    """Marginals by the sum over all labellings."""
+    size, n = len(pii.LABELS), len(own.spans)
+    local = field.prior + sum(field.unary[f, own.buckets[:, f]] for f in range(4))
+    local[:, 0] += pii.CAUTION
+    total = np.zeros((n, size))
+    for labels in itertools.product(range(size), repeat=n):
+        if any(o >= 0 and o != y for o, y in zip(own.observed, labels, strict=True)):
+            continue
+        w = sum(local[i, y] for i, y in enumerate(labels) if own.observed[i] < 0)
+        w += sum(field.chain[labels[a], labels[b]] for a, b in own.chain) + sum(field.skip[labels[a], labels[b]] for a, b in own.skip)
+        for i, y in enumerate(labels):
+            total[i, y] += np.exp(w)
+    return total / total.sum(axis=1, keepdims=True)
+
+
+def test_belief_propagation_against_exact_marginals(monkeypatch):
+    r = np.random.default_rng(4)
+    monkeypatch.setattr(pii, "ROUNDS", 60)
+    pairs = lambda x: np.array(x, np.int64).reshape(-1, 2)
+    for links, skips, close in (([(0, 1), (1, 2), (2, 3)], [], 0.01), ([(0, 1), (2, 3)], [(0, 3)], 0.01), ([(0, 1), (1, 2), (2, 3)], [(0, 3)], 0.1)):
+        for _ in range(10):
+            edge, agree = r.normal(size=(5, 5)) * 0.5, np.where(np.eye(5, dtype=bool), 1.0, -1.0)
+            field = pii.Field(np.log(r.dirichlet(np.ones(5))), r.normal(size=(4, pii.BUCKETS, 5)) * 0.3, (edge + edge.T) / 2, agree)
+            observed = np.array([r.integers(1, 5), -1, -1, -1])
+            own = pii.Nodes([(i, i + 1) for i in range(4)], observed, r.integers(0, pii.BUCKETS, (4, 4)), pairs(links), pairs(skips), np.full(4, -1))
+            assert np.abs(pii.posterior(own, field) - exact_marginals(own, field)).max() < close
+
+
+def test_pii_of_odd_rows(spark):
+    docs = frame(spark, ["a@b.cd", None, "", "a@b.cd"]).withColumn("doc_id", F.expr("nullif(doc_id % 3, 1)")).withColumn("spans", F.lit("x"))
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_email"], r["spans"]) for r in pii.find(docs, pii.fit(docs)).collect())
+    assert got == [(False, 0, 1, "email:0:6"), (False, 0, 1, "email:0:6"), (False, 2, 0, ""), (True, 0, 0, "")]
+
+
 def test_pii_on_an_empty_table(spark):
     docs = frame(spark, ["x"]).limit(0)
     assert pii.find(docs, pii.fit(docs)).count() == 0
@@ -137,6 +197,62 @@ def test_near_duplicates(spark, monkeypatch, block):
     assert got == components_by_force(texts)
 
 
+def test_near_duplicates_of_one_large_family(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    r = random.Random(15)
+    words = [f"w{i}" for i in range(500)]
+    seed, texts = r.choices(words, k=150), []
+    for i in range(300):  # near copies of one text, and texts that share only its beginning
+        own = list(seed) if i % 3 else seed[:60] + r.choices(words, k=90)
+        for _ in range(r.randrange(1, 4)):
+            own[r.randrange(150)] = r.choice(words)
+        texts.append(" ".join(own))
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in jaccard.near_duplicates(frame(spark, texts)).collect()}
+    assert got == components_by_force(texts)
+
+
+def test_blocks_are_bounded_however_hot_a_key_is(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    keys = spark.range(4000).selectExpr("CASE WHEN id % 4 < 3 THEN -7 ELSE id END AS key", "id AS rep", "CAST(100 + id % 50 AS int) AS n")
+    found = jaccard.blocks(keys, jaccard.Similarity())
+    assert found.filter("key = -7").select("rep").distinct().count() == found.filter("key = -7").count() == 3000
+    assert found.groupBy("block").count().agg(F.max("count")).first()[0] <= 8
+
+
+def test_fine_overlaps_equal_multiset_intersections():
+    r = np.random.default_rng(3)
+    sets = [np.sort(r.integers(0, 300, r.integers(0, 400))).astype(np.uint16) * np.uint16(200) for _ in range(9)]
+    got = jaccard.fine_overlaps(sets)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if i != j:
+                assert got[i, j] == (collections.Counter(a.tolist()) & collections.Counter(b.tolist())).total()
+
+
+def test_item_hashes_tell_items_apart():
+    hashes, texts = ItemHashes(1), ["", None, "a b  a\tc\x0bé", " x ", "a\n b c \n\n\r\na", "a", "A"]
+    column = pa.array(["skipped", *texts])[1:]
+    for found, items in ((hashes.words(column), [repeats.words((t or "").encode()) for t in texts]), (hashes.lines(column), [repeats.lines((t or "").encode()) for t in texts])):
+        assert np.diff(found.bounds).tolist() == [len(x) for x in items]
+        flat = [x for y in items for x in y]
+        seen = {}
+        for h, x in zip(found.hashes.tolist(), flat, strict=True):
+            assert seen.setdefault(h, x) == x
+        assert len(seen) == len(set(flat))
+    assert hashes.lines(column).sizes.tolist() == [5, 1, 1, 2, 1, 1, 1]
+    low = ItemHashes(1, lower=True).words(pa.array(["Ab É", "aB É", "aB é"])).hashes
+    assert low[0] == low[2] == low[4] and low[1] == low[3] != low[5]
+
+
+def test_near_duplicates_leave_nothing_behind(spark):
+    from eventlake.llm.common import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    jaccard.near_duplicates(frame(spark, corpus(3, 10))).count()
+    assert {x.split("-")[0] for x in set(os.listdir(folder)) - before} == {"reps", "sizes", "labels"}
+
+
 def test_near_duplicates_of_nothing(spark):
     assert jaccard.near_duplicates(frame(spark, ["x"]).limit(0)).count() == 0
     assert [tuple(x) for x in jaccard.near_duplicates(frame(spark, [None, ""])).orderBy("doc_id").collect()] == [(0, 0, 0), (1, 0, 1)]
@@ -162,26 +278,80 @@ def test_components_of_a_long_path(spark):
 # 3 ---------------------------------------------------------------------------------------------------------------
 
 
+def canonical_by_force(text):
+    """The canonical form, word by word and line by line, without the operator's patterns."""
+    marks = {"copyright", "(c)", "©"}
+    kept = []
+    for line in (text or "").split("\n"):
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line).replace("©", "(c)")
+        rest = low.lstrip(" \t\r*#/-;|.,!\"'")
+        words = [w.strip(" \t\r.,;:<>[]*") for w in rest.split()]
+        words = [w for w in words if w]
+        if words and words[0] == "portions":
+            words = words[1:]
+        statement = bool(words) and words[0] in marks and len(words) > 1 and (words[1] in marks or words[1][:4].isdigit() and words[1][0] in "12" and len(words[1]) >= 4 or words[1].startswith(("year", "yyyy")))
+        reserved = rest.rstrip(" \t\r.").endswith("all rights reserved") and (rest.rstrip(" \t\r.") == "all rights reserved" or bool(words) and words[0] in marks)
+        kept.append("" if statement or reserved else low)
+    words = "".join(c if c.isascii() and c.isalnum() or not c.isascii() and c not in "\u00a0«»·“”‘’–—•…" else " " for c in " ".join(kept).replace("https://", "http ").replace("http://", "http ")).split()
+    out = " ".join(words)
+    for old, new in (("licence(d|s|)", r"license\1"), ("sublicence", "sublicense"), ("copyright holders", "copyright owners"), ("copyright holder", "copyright owner"), ("non commercial", "noncommercial"), ("acknowledgement", "acknowledgment")):
+        out = re.sub(rf"\b{old}\b", new, out)
+    return out
+
+
 def test_license_digests(spark):
-    mit = license.KNOWN["MIT"]
-    texts = [mit, "Copyright (c) 2020 A. Person\n\n" + mit.upper().replace("LICENSE", "LICENCE"), mit + " more", None, "", "released under the MIT licence", "MIT licence licence"]
-    got = {r["doc_id"]: r["license_id"] for r in license.scan(frame(spark, texts), license.known_licenses(spark)).collect()}
-    assert got == {0: "MIT", 1: "MIT", 2: None, 3: None, 4: None, 5: "MIT-notice", 6: None}
-    lines = license.license_lines(frame(spark, ["x\nReleased under the MIT License.\ny", None]), license.known_licenses(spark)).collect()
-    assert [tuple(x) for x in lines] == [(0, 1, "MIT-notice")]
+    known = {k: license.KNOWN[k] for k in license.KNOWN}
+    wrapped = {k: "\n".join(textwrap.wrap(v, 38, break_long_words=False, break_on_hyphens=False)) for k, v in known.items()}
+    texts, want = [], []
+
+    def add(text, expected):
+        texts.append(text)
+        want.append(expected)
+
+    for k, v in known.items():
+        add(v, k)
+        add(v.upper().replace("LICENSE", "LICENCE").replace("UNLICENCE", "UNLICENSE"), k)
+        add("  * " + "\n  * ".join(wrapped[k].split("\n")), k)
+        add(v.replace('"', "“"), k)
+        add(v + " more", None)
+        add(" ".join(v.split()[:-1]), None)
+        for header in ("Copyright (c) 2020 A. Person", "Copyright © 2020-2024 A. Person\nAll rights reserved.", "© 2020 A. Person", "COPYRIGHT (C) A. Person", "// Portions Copyright 1999 B", "Copyright <year> <owner>", "  * © A. Person, all rights reserved"):
+            add(f"{header}\n\n{v}", k)
+        for title in license.TITLES.get(k, ()):
+            add(f"{title}\n\nCopyright (c) 2020 A. Person\n\n{wrapped[k]}", k)
+        add(f"Some other title\n\n{v}", None)
+    mit = known["MIT"]
+    at = mit.index("copyright notice")
+    add(f"{mit[:at]}\n{mit[at:]}", "MIT")  # a wrapped line that begins with "copyright notice" is text
+    at = mit.index("COPYRIGHT HOLDERS")
+    add(f"{mit[:at]}\n{mit[at:]}", "MIT")
+    add(mit.replace("The above copyright notice", "(c) The above copyright notice"), None)  # an item "(c)" is text
+    add("(a) one\n(b) two\n(c) three", None)
+    for x in (None, "", "  \n"):
+        add(x, None)
+    add("MIT licence licence", None)
+    add("released under the MIT licence", "MIT-notice")
+    rows = {r["doc_id"]: r for r in license.scan(frame(spark, texts), license.known_licenses(spark)).collect()}
+    for i, t in enumerate(texts):
+        assert rows[i]["license_id"] == want[i], (want[i], t)
+        assert rows[i]["digest"] == hashlib.sha256(canonical_by_force(t).encode()).hexdigest(), t
     assert license.scan(frame(spark, ["x"]).limit(0), license.known_licenses(spark)).count() == 0
 
 
-def test_license_digest_with_copyright_sign(spark):
-    mit = license.KNOWN["MIT"]
-    texts = [f"{header}\n\n{mit}" for header in ("Copyright © 2020 A. Person", "© 2020 A. Person", "  * © A. Person, all rights reserved", "COPYRIGHT (C) 2020 A. Person")]
-    assert [r["license_id"] for r in license.scan(frame(spark, texts), license.known_licenses(spark)).collect()] == ["MIT"] * 4
+def test_different_texts_keep_different_digests(spark):
+    texts = ["a\n(c) the first rule\nb", "a\n(c) the second rule\nb", "a\ncopyright notices stay\nb", "a\nb"]
+    assert license.scan(frame(spark, texts), license.known_licenses(spark)).select("digest").distinct().count() == 4
 
 
-def test_license_lines_of_any_length(spark):
-    texts = ["x\n" + " ".join(license.KNOWN[k].split()) + "\ny" for k in ("MIT", "0BSD")]
-    lines = license.license_lines(frame(spark, texts), license.known_licenses(spark)).collect()
-    assert sorted(tuple(x) for x in lines) == [(0, 1, "MIT"), (1, 1, "0BSD")]
+def test_license_lines(spark):
+    texts = ["x\nReleased under the MIT License.\ny", None, "", "no", "Licensed under CC BY-NC 4.0.\n" + " ".join(license.KNOWN["MIT"].split()) + "\ny\n" + license.KNOWN["MIT-notice"]]
+    known = license.known_licenses(spark)
+    docs = frame(spark, texts).withColumn("digest", F.lit("x")).withColumn("line", F.lit(1))
+    assert sorted(tuple(x) for x in license.license_lines(docs, known).collect()) == [(0, 1, "MIT-notice"), (4, 0, "CC-BY-NC-4.0-notice"), (4, 1, "MIT"), (4, 3, "MIT-notice")]
+    got = {r["doc_id"]: (r["n_lines"], r["line_licenses"]) for r in license.scan_with_lines(docs, known).collect()}
+    assert got == {0: (1, "MIT-notice"), 1: (0, ""), 2: (0, ""), 3: (0, ""), 4: (3, "CC-BY-NC-4.0-notice,MIT,MIT-notice")}
+    twice = docs.union(docs).withColumn("doc_id", F.expr("nullif(doc_id, 3)"))
+    assert license.scan(twice, known).count() == 10 and license.license_lines(twice, known).count() == 8
 
 
 # 4 ---------------------------------------------------------------------------------------------------------------
@@ -221,6 +391,25 @@ def test_contamination(spark, monkeypatch, limit):
     assert left == {i: x[0] - x[1] for i, x in got.items()}
 
 
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_ROWS, 0])
+def test_contamination_of_odd_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
+    r = random.Random(21)
+    passage = " ".join(f"p{i}" for i in range(30))
+    long = " ".join(r.choices([f"w{i}" for i in range(900)], k=20_000))
+    texts = [long, f"{long} {passage} {long}", passage, None, passage, "the the the the", ""]
+    items = [(1, passage), (2, "the"), (3, "the the"), (3, "the the")]
+    docs = frame(spark, texts).withColumn("row", F.lit(1)).withColumn("at", F.lit(1))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    want = contamination_by_force(texts, items)
+    assert {x["doc_id"]: tuple(x)[1:] for x in decontaminate.contamination(docs, table).collect()} == want
+    odd = docs.withColumn("doc_id", F.expr("CASE WHEN doc_id = 4 THEN NULL WHEN doc_id = 6 THEN 2 ELSE doc_id END"))  # judged each
+    got = sorted((x["doc_id"] is None, x["doc_id"] or 0, *tuple(x)[1:]) for x in decontaminate.contamination(odd, table).collect())
+    assert got == sorted([*[(False, i, *want[i]) for i in (0, 1, 2, 3, 5)], (True, 0, *want[4]), (False, 2, *want[6])])
+    clean = {x["doc_id"]: x["clean_words"] for x in decontaminate.remove_spans(docs, table).collect()}
+    assert clean == {0: long.split(), 1: [*long.split(), *long.split()], 2: [], 3: [], 4: [], 5: [], 6: []}
+
+
 def test_contamination_by_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r["contaminated"] for r in decontaminate.contamination(frame(spark, ["a b", None]), none).collect()} == {False}
@@ -255,6 +444,7 @@ def test_substring_dedup(spark, batches):
     assert all(r["kept_sha256"] == hashlib.sha256(r["kept"].encode()).hexdigest() for r in got.values())
     assert len(index.runs) <= 2 and sum(x[1] for x in want.values()) > 500
     index.drop()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("fingerprints_")]
 
 
 def test_substring_dedup_in_successive_calls(spark):
@@ -278,6 +468,30 @@ def test_substring_dedup_in_successive_calls(spark):
     assert not repeats.FingerprintIndex(spark, "Successive").stretches
 
 
+@pytest.mark.parametrize("hot", [2_000, 3])
+def test_substring_dedup_of_hot_passages(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(common, "HOT", hot)
+    r = random.Random(17)
+    new = lambda n: " ".join(f"{r.choice('abc')}{r.randint(0, 10**6)}" for _ in range(n))
+    short, passage = new(30), new(70)  # a phrase in many contexts, and a passage in many documents
+    texts = [f"{new(r.randrange(40))} {short} {new(r.randrange(40))} {passage if i % 2 else short} {new(20)}" for i in range(60)] + ["z " * 200, "z " * 60]
+    want = removal_by_force([t.encode().split() for t in texts], 50, False)
+    ids = [i * 10**15 if i < 61 else 2**63 - 1 for i in range(62)]  # an outlier doesn't make the batches uneven
+    docs = frame(spark, texts).withColumn("doc_id", F.element_at(F.array(*map(F.lit, ids)), F.col("doc_id").cast("int") + 1))
+    got = {x["doc_id"]: (x["n_words"], x["n_removed"]) for x in repeats.substring_dedup(docs, batches=4).collect()}
+    assert got == {ids[i]: x[:2] for i, x in want.items()}
+    odd = frame(spark, [passage, passage, None]).withColumn("doc_id", F.expr("nullif(doc_id, 1)")).withColumn("w1", F.lit(1))
+    assert sorted(x["n_removed"] for x in repeats.substring_dedup(odd).collect()) == [0, 0, 0]
+    assert sorted(x["n_removed"] for x in repeats.line_dedup(odd, 1).collect()) == [0, 0, 0]
+
+
+def test_line_matches_extend_both_ways(spark):
+    texts = ["a\nb\nc\nd\ne", "x\nb\nc\nd\ny\na\nb", "c\nd\ne"]
+    found = repeats.line_matches(frame(spark, texts), repeats._line_winnow(2), 50)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1, 2, 0, 1), (1, 5, 1, 0, 0), (2, 0, 2, 0, 2)]
+
+
 @pytest.mark.parametrize("min_lines", [1, 2, 3, 5])
 def test_line_dedup(spark, min_lines):
     r = random.Random(7)
@@ -346,6 +560,42 @@ def test_toxicity(spark):
     assert got[900]["predicted"] == got[901]["predicted"] == 0
 
 
+def test_toxicity_equals_the_model_row_by_row(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{x}.parquet") for x in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.filter(queries.crc_mod(3) != 1))
+    got = {r["doc_id"]: r for r in queries.op7_toxicity(spark, DATA).collect()}
+    assert set(got) == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    for r in docs.collect():  # a table of its own for each text, so that no cache carries over
+        p = float(model.score(toxicity.features(r["text"], toxicity.WordFeatures(model.lexicon))[None])[0])
+        assert got[r["doc_id"]]["score"] == pytest.approx(p, abs=1e-9) and got[r["doc_id"]]["predicted"] == int(p >= 0.7)
+        assert got[r["doc_id"]]["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+
+
+def test_trees_equal_a_walk():
+    r = np.random.default_rng(2)
+    x = r.normal(size=(400, 4))
+    model = toxicity.fit_trees(x, (x[:, 0] * x[:, 1] > 0).astype(float), trees=9)
+    for row, got in zip(x, model.raw(x), strict=True):
+        total = model.base
+        for split, threshold, leaf in zip(model.split, model.threshold, model.leaf, strict=True):
+            node = 0
+            while node < len(split):
+                node = 2 * node + (2 if row[split[node]] > threshold[node] else 1)
+            total += leaf[node - len(split)]
+        assert got == pytest.approx(total)
+
+
+def test_toxicity_of_odd_rows(spark):
+    texts = ["grob " * (i % 2) + f"word{i % 7} more text here" for i in range(200)]
+    docs = frame(spark, texts).withColumn("x", F.lit(1)).withColumn("fold", F.lit("f")).withColumn("toxic", F.lit(5))
+    docs = docs.withColumn("doc_id", F.expr("CASE WHEN doc_id = 9 THEN NULL WHEN doc_id % 2 = 0 THEN doc_id * 40000000000000000 ELSE -doc_id * 40000000000000000 END"))
+    labels = docs.filter("doc_id is not null").selectExpr("doc_id", "CASE WHEN text LIKE 'grob%' THEN 2 ELSE 0 END AS toxic")  # above 0 counts as 1
+    model = toxicity.fit(docs, labels)
+    got = toxicity.score(docs.union(docs.limit(1)), model).collect()
+    assert len(got) == 201 and sum(r["doc_id"] is None for r in got) == 1
+    assert np.mean([r["predicted"] == (r["doc_id"] is None or r["doc_id"] < 0) for r in got]) > 0.95
+
+
 def test_toxicity_without_labels(spark):
     docs = frame(spark, ["a", None])
     none = spark.createDataFrame([], "doc_id long, toxic int")
@@ -367,6 +617,65 @@ def test_language_id(spark):
     assert {x["lang_pred"] for x in langid.predict(probe, empty).collect()} == {"und"}
 
 
+def ngram_counts_by_force(text, cut):
+    """Counts of hashed 1- to 3-grams, one n-gram at a time."""
+    out = collections.Counter()
+    points = [32 if c < 65 or 90 < c < 97 or 122 < c < 128 else c for c in map(ord, text.lower())]
+    for n in (1, 2, 3):
+        for i in range(len(points) - n + 1):
+            h = 0
+            for m, p in enumerate(points[i : i + n], 1):
+                h = (h * 0x100000001B3 + p + m) % 2**64
+            out[(h * 0x9E3779B97F4A7C15) % 2**64 >> 48] += 1
+    return out
+
+
+@pytest.mark.parametrize("cut", [500_000, 7, 1])
+def test_ngrams_across_slices(monkeypatch, cut):
+    monkeypatch.setattr(langid, "SLICE", cut)
+    for text in ("", "a", "ab", "Abc d,ef", "Ünïcödé İ words 123 and more", "x" * 40):
+        got = collections.Counter()
+        for x in langid.slices(text):
+            got.update(x.tolist())
+        assert got == ngram_counts_by_force(text, cut)
+
+
+@pytest.mark.parametrize("parts", [200, 2])
+def test_language_id_equals_naive_bayes(spark, monkeypatch, parts):
+    monkeypatch.setattr(langid, "LANGUAGES", parts)
+    monkeypatch.setattr(langid, "SLICE", 50)
+    r = random.Random(19)
+    rows = [(i if i else None, " ".join(r.choices([f"{k}{x}" for x in "abcde"], k=r.randint(1, 30))), k) for i, k in enumerate(["de", "en", "fr", "it", "nl"] * 8)]
+    rows += [(1, None, "en"), (2, "123", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("row", F.lit("r")).withColumn("top", F.lit(1))
+    model = langid.fit(docs)
+    assert len(model) == (1 if parts == 200 else 3)
+    counts, n = collections.defaultdict(collections.Counter), collections.Counter()
+    for _, text, lang in rows:
+        if lang:
+            n[lang] += 1
+            counts[lang].update(ngram_counts_by_force(text or "", 0))
+    probe = [(i, t) for i, (_, t, _) in enumerate(rows)] + [(None, "de en dea"), (0, "ena")]
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["lang_pred"], round(r["score"], 4)) for r in langid.predict(spark.createDataFrame(probe, "doc_id long, text string").withColumn("lang", F.lit("xx")), model).collect())
+    want = []
+    for i, t in probe:
+        if not t or not re.search("[a-z]", t):
+            want.append((i is None, i or 0, "und", 0.0))
+            continue
+        own = ngram_counts_by_force(t, 0)
+        score = {k: math.log(n[k] / sum(n.values())) + sum(c * math.log((counts[k][g] + 0.5) / (sum(counts[k].values()) + 0.5 * langid.BUCKETS)) for g, c in own.items()) for k in n}
+        best = min(score, key=lambda k: (-score[k], k))
+        want.append((i is None, i or 0, best, round(1 / sum(math.exp(x - score[best]) for x in score.values()), 4)))
+    for a, b in zip(got, sorted(want), strict=True):
+        assert a[:3] == b[:3] and abs(a[3] - b[3]) < 2e-3
+
+
+def test_more_than_two_hundred_languages(spark):
+    docs = spark.createDataFrame([(i, chr(0x4E00 + i) * 5, f"l{i:03d}") for i in range(201)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, langid.fit(docs)).collect()}
+    assert got == {i: f"l{i:03d}" for i in range(201)}
+
+
 def test_language_id_held_out(spark):
     got = queries.op8_language_id(spark, DATA).join(spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out")
     assert got.filter("lang = lang_pred").count() / got.count() > 0.95
@@ -435,27 +744,59 @@ def test_packing_round_trip(spark):
 # 10 --------------------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("cell", [4096, 40])
-def test_top_k(spark, monkeypatch, cell):
-    monkeypatch.setattr(topk, "CELL", cell)
-    monkeypatch.setattr(topk, "BLOCK", 16)
+VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType()))])
+
+
+def best_by_force(rows, k):
+    whole = [(i, [int(np.floor(np.float64(np.float32(c)) * 64)) for c in e]) for i, e in rows if i is not None and e is not None and all(c is not None and np.isfinite(c) for c in e)]
+    out = {}
+    for q, v in sorted(whole, reverse=True):  # of repeated queries the smallest vector counts
+        if q % 20 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, e, strict=True)), i) for i, e in whole if i != q)[:k]
+            out[q] = [(n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    return {q: x for q, x in out.items() if x}
+
+
+def best_by_operator(table, k):
+    v, got = topk.to_integers(table), collections.defaultdict(list)
+    for x in topk.top_k(v, v.filter("id % 20 = 0"), k).orderBy("query_id", "rank").collect():
+        got[x["query_id"]].append((x["rank"], x["vec_id"], x["score"]))
+    return dict(got)
+
+
+@pytest.mark.parametrize("sizes", [(128, 32, 4096, 2048), (4, 2, 3, 5)])
+def test_top_k(spark, monkeypatch, sizes):
+    for name, x in zip(("BLOCK", "RANGE", "PACK", "GROUP"), sizes, strict=True):
+        monkeypatch.setattr(topk, name, x)
     r = np.random.default_rng(12)
     rows = [(i, [float(x) for x in r.normal(size=6).round(1)]) for i in range(150)]
-    rows += [(150 + i, rows[i][1]) for i in range(20)] + [(200, None), (220, [1.0, None]), (240, [float("nan")] * 6), (260, [float("inf")] * 6), (280, [1e9] * 6)]
-    table = spark.createDataFrame(rows, T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType()))])).withColumn("score", F.lit(1))
+    rows += [(150 + i, rows[i][1]) for i in range(20)] + [(200, None), (220, [1.0, None]), (240, [float("nan")] * 6), (260, [float("inf")] * 6), (280, [1e9] * 6), (None, [1.0] * 6)]
+    rows += [(7, rows[8][1]), (7, rows[9][1]), (300, [-1e-3] * 6)]  # a repeated id, and a tie of small vectors
+    table = spark.createDataFrame(rows, VECTORS).withColumn("score", F.lit(1)).withColumn("id", F.lit(0)).withColumn("v", F.lit("x"))
+    assert best_by_operator(table, 5) == best_by_force(rows, 5)
     v = topk.to_integers(table)
-    got = collections.defaultdict(list)
-    for x in topk.top_k(v, v.filter("id % 20 = 0"), 5).orderBy("query_id", "rank").collect():
-        got[x["query_id"]].append((x["rank"], x["vec_id"], x["score"]))
-    whole = {i: [int(np.floor(np.float64(np.float32(c)) * 64)) for c in e] for i, e in rows if e and all(c is not None and np.isfinite(c) for c in e)}
-    for q in (i for i in whole if i % 20 == 0):
-        scored = sorted((-sum(a * b for a, b in zip(whole[q], e, strict=True)), i) for i, e in whole.items() if i != q)[:5]
-        assert got.pop(q) == [(n + 1, i, -s) for n, (s, i) in enumerate(scored)]
-    assert not got
     assert topk.top_k(v.limit(0), v.limit(0)).count() == 0
     assert topk.top_k(v.filter("id in (0, 1)"), v.filter("id = 0")).count() == 1
 
 
+def test_top_k_prunes_blocks_of_clustered_vectors(spark, monkeypatch):
+    for name, x in zip(("BLOCK", "RANGE", "PACK"), (16, 16, 16), strict=True):
+        monkeypatch.setattr(topk, name, x)
+    r = np.random.default_rng(13)
+    centres = r.normal(size=(20, 32)) * 4
+    rows = [(i, [float(x) for x in centres[r.integers(20)] + r.normal(size=32) * 0.2]) for i in range(2000)]
+    visited, bounds = [], topk.reached_blocks
+
+    def counted(blocks, packed):
+        out = bounds(blocks, packed)
+        visited.append(out.count() / (blocks.count() * packed.count()))
+        return out
+
+    monkeypatch.setattr(topk, "reached_blocks", counted)
+    assert best_by_operator(spark.createDataFrame(rows, VECTORS), 10) == best_by_force(rows, 10)
+    assert visited[0] < 0.35
+
+
 # all -------------------------------------------------------------------------------------------------------------
 
 
