@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS
+from .common import BROADCAST_ROWS, save
 
 #: Spellings that licence texts may vary, and the form they are brought to.
 SPELLINGS = {
     "acknowledgement": "acknowledgment", "analogue": "analog", "analyse": "analyze", "artefact": "artifact", "authorisation": "authorization",
     "authorised": "authorized", "calibre": "caliber", "cancelled": "canceled", "catalogue": "catalog", "centre": "center", "copyright holder": "copyright owner", "copyright holders": "copyright owners",
     "favour": "favor", "favourite": "favorite", "fulfil": "fulfill", "fulfilment": "fulfillment", "initialise": "initialize", "judgement": "judgment",
-    "labelling": "labeling", "labour": "labor", "licence": "license", "licenced": "licensed", "licences": "licenses", "licencing": "licensing", "maximise": "maximize", "modelled": "modeled", "modelling": "modeling", "non-commercial": "noncommercial", "offence": "offense",
-    "optimise": "optimize", "organisation": "organization", "organise": "organize", "per cent": "percent", "practise": "practice", "programme": "program", "realise": "realize",
+    "labelling": "labeling", "labour": "labor", "licence": "license", "licenced": "licensed", "licences": "licenses", "licencing": "licensing", "maximise": "maximize", "modelled": "modeled", "modelling": "modeling", "offence": "offense",
+    "optimise": "optimize", "organisation": "organization", "organise": "organize", "practise": "practice", "programme": "program", "realise": "realize",
     "recognise": "recognize", "signalling": "signaling", "sub-license": "sublicense", "sublicence": "sublicense", "sublicences": "sublicenses", "utilisation": "utilization", "whilst": "while", "wilful": "willful",
 }
 
@@ -81,34 +82,51 @@ _MARK = r"(?:copyright|\(c\))"
 _COPYRIGHT = rf"(?md)^[^a-z0-9\n(]*(?:(?:portions )?{_MARK}[^a-z0-9\n]*(?:{_MARK}|[12][0-9][0-9][0-9]|year|yyyy)[^\n]*|{_MARK}[^\n]*all rights reserved[^a-z0-9\n]*|all rights reserved[^a-z0-9\n]*)$"
 #: Runs of what is no letter or digit: ASCII marks and white space, quotation marks, dashes and bullets.
 _MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{A0}\x{AB}\x{B7}\x{BB}\x{2000}-\x{206F}\x{FEFF}]+"
-_VARIANTS = " (?:" + "|".join(sorted(re.sub("[ -]", "  ", x) for x in SPELLINGS)) + ") "
+_WORDS = sorted(x for x in SPELLINGS if not re.search("[ -]", x))
+_PAIRS = sorted(x for x in SPELLINGS if re.search("[ -]", x))
 
 
-def canonical(df: DataFrame, text: str, out: str) -> DataFrame:
-    """df with the canonical form of a text column: A-Z lower-cased, copyright statements gone, punctuation and white
-    space as one blank, spellings unified. A null text is empty. The respelling is only done where there is something to respell.
+def _respell(x: Column, spellings: list[str]) -> Column:
+    """x, whose words are parted by blanks or line ends, with words or pairs of words in their other spelling."""
+    x = F.concat(F.lit(" "), F.replace(F.replace(x, F.lit(" "), F.lit("  ")), F.lit("\n"), F.lit(" \n ")), F.lit(" "))  # a blank of its own on either side of each word
+    for old in spellings:
+        x = F.replace(x, F.lit(f" {re.sub('[ -]', '  ', old)} "), F.lit(f" {re.sub('[ -]', '  ', SPELLINGS[old])} "))
+    return F.trim(F.replace(F.replace(x, F.lit("  "), F.lit(" ")), F.lit(" \n "), F.lit("\n")))
+
+
+def canonical(df: DataFrame, text: str, whole: str, lines: str) -> DataFrame:
+    """df with the canonical form of a text column and an array of those of its lines: lower-cased, copyright statements
+    gone, punctuation and white space as one blank, spellings unified. A null text is empty.
+
+    The text goes through the patterns once, with its line ends; respelling is only done where there is something to respell.
     """
-    x = F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("©"), F.lit("(c)"))
-    x = F.translate(x, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    x = F.lower(F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("©"), F.lit("(c)")))
     x = F.when(x.contains("copyright") | x.contains("(c)") | x.contains("all rights reserved"), F.regexp_replace(x, _COPYRIGHT, " ")).otherwise(x)
-    x = F.trim(F.regexp_replace(F.regexp_replace(x, r"https?://", "http "), _MARKS, " "))
-    x = F.concat(F.lit(" "), F.replace(x, F.lit(" "), F.lit("  ")), F.lit(" "))  # a blank of its own on either side of each word
-    y = F.col("_spaced")
-    for old, new in SPELLINGS.items():
-        y = F.replace(y, F.lit(f" {re.sub('[ -]', '  ', old)} "), F.lit(f" {re.sub('[ -]', '  ', new)} "))
-    y = F.when(F.col("_spaced").rlike(_VARIANTS), y).otherwise(F.col("_spaced"))
-    return df.withColumn("_spaced", x).withColumn(out, F.trim(F.replace(y, F.lit("  "), F.lit(" ")))).drop("_spaced")
+    x = F.regexp_replace(F.replace(x, F.lit("https:"), F.lit("http:")), _MARKS.replace("\\x00-\\x2F", "\\x00-\\x09\\x0B-\\x2F"), " ")
+    df = df.withColumn("_plain", x)
+    words = lambda c: F.filter(F.split(F.replace(c, F.lit("\n"), F.lit(" ")), " "), lambda w: w != "")
+    df = df.withColumn("_plain", F.when(F.arrays_overlap(F.split(F.replace("_plain", F.lit("\n"), F.lit(" ")), " "), F.array(*map(F.lit, _WORDS))), _respell(F.col("_plain"), _WORDS)).otherwise(F.col("_plain")))
+    df = df.withColumn(whole, F.array_join(words(F.col("_plain")), " "))
+    pairs = lambda c: F.when(functools.reduce(Column.__or__, [c.contains(re.sub("-", " ", y)) for y in _PAIRS]), _respell(c, _PAIRS)).otherwise(c)
+    return df.withColumn(whole, pairs(F.col(whole))).withColumn(lines, F.transform(F.split("_plain", "\n"), lambda x: pairs(F.trim(x)))).drop("_plain")
 
 
 def known_licenses(spark: SparkSession, texts: dict[str, str] = KNOWN, titles: dict[str, tuple[str, ...]] = TITLES) -> DataFrame:
     """license_id, digest of the known texts, alone and under each of their titles; of equal digests the first identifier stays."""
     rows = [(k, v) for k, v in sorted(texts.items())] + [(k, f"{t}\n\n{texts[k]}") for k, ts in sorted(titles.items()) if k in texts for t in ts]
-    rows = canonical(spark.createDataFrame(rows, "license_id string, text string"), "text", "canonical")
-    return rows.filter("canonical <> ''").select("license_id", F.sha2("canonical", 256).alias("digest")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
+    rows = canonical(spark.createDataFrame(rows, "license_id string, text string"), "text", "whole", "lines")
+    return rows.filter("whole <> ''").select("license_id", F.sha2("whole", 256).alias("digest")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
-def _side(known: DataFrame) -> DataFrame:
-    return F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
+def _looked_up(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """row, doc_id, at, digest, license_id: the whole text of each row of docs (at = 0, license_id null if unknown), and
+    each line of it (at = 1 + line) that is a known text. Stored, so that one scan serves both."""
+    side = known.filter(F.col("digest") != F.sha2(F.lit(""), 256)).select("digest", "license_id")
+    side = F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+    rows = canonical(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string").alias("text")), "text", "whole", "lines")
+    digests = F.transform(F.concat(F.array("whole"), F.col("lines")), lambda x: F.sha2(x, 256))
+    rows = rows.select("row", "doc_id", F.posexplode(digests).alias("at", "digest"))
+    return save(rows.join(side, "digest", "left").filter("at = 0 or license_id is not null").select("row", "doc_id", "at", "digest", "license_id"), "licences")
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -118,8 +136,7 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     Null and empty texts have the digest of the empty text, which is no licence. Rows repeat as docs repeats them, also
     those of a null or repeated doc_id; an empty table gives no rows.
     """
-    digests = canonical(docs.select("doc_id", F.col("text").cast("string").alias("text")), "text", "canonical").select("doc_id", F.sha2("canonical", 256).alias("digest"))
-    return digests.join(_side(known).filter(F.col("digest") != F.sha2(F.lit(""), 256)), "digest", "left").select("doc_id", "digest", "license_id")
+    return _looked_up(docs, known).filter("at = 0").select("doc_id", "digest", "license_id")
 
 
 def license_lines(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -127,16 +144,12 @@ def license_lines(docs: DataFrame, known: DataFrame) -> DataFrame:
 
     Null and empty texts have none; rows of a null or repeated doc_id give their lines each; other columns are ignored.
     """
-    lines = docs.select("doc_id", F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line", "text"))
-    digests = canonical(lines, "text", "canonical").filter("canonical <> ''").select("doc_id", "line", F.sha2("canonical", 256).alias("digest"))
-    return digests.join(_side(known), "digest").select("doc_id", "line", "license_id")
+    return _looked_up(docs, known).filter("at > 0").select("doc_id", (F.col("at") - 1).alias("line"), "license_id")
 
 
 def scan_with_lines(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """scan with n_lines, the known licence lines of each text, and line_licenses, their distinct identifiers in order, comma-joined.
-
-    doc_id must be unique here; a row without a doc_id has no lines.
-    """
-    lines = license_lines(docs, known).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("line_licenses"))
-    out = scan(docs, known).join(lines, "doc_id", "left")
+    """scan with n_lines, the known licence lines of each text, and line_licenses, their distinct identifiers in order, comma-joined."""
+    found = _looked_up(docs, known)
+    lines = found.filter("at > 0").groupBy("row").agg(F.count("*").alias("n_lines"), F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("line_licenses"))
+    out = found.filter("at = 0").join(lines, "row", "left")
     return out.select("doc_id", "digest", "license_id", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.coalesce("line_licenses", F.lit("")).alias("line_licenses"))

@@ -35,7 +35,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.substring_dedup(read(spark, sf_dir, "documents"), batches=4).drop("kept")  # enough that runs are compacted
+    return repeats.substring_dedup(read(spark, sf_dir, "documents"), batches=3).drop("kept")  # enough that runs are compacted
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,12 +72,12 @@ _UPPER, _LOWER = decontaminate.UPPER, decontaminate.LOWER
 
 
 def _canonical_sql(x: str) -> str:
-    x = f"translate(replace(coalesce({x}, ''), '©', '(c)'), '{_UPPER}', '{_LOWER}')"
+    x = f"lower(replace(coalesce({x}, ''), '©', '(c)'))"
     x = f"regexp_replace({x}, '{license._COPYRIGHT.replace('(?md)', '(?m)')}', ' ', 'g')"
-    x = f"regexp_replace({x}, 'https?://', 'http ', 'g')"
+    x = f"replace({x}, 'https:', 'http:')"
     x = f"trim(regexp_replace({x}, '{license._MARKS}', ' ', 'g'), ' ')"
     x = f"(' ' || replace({x}, ' ', '  ') || ' ')"
-    for old, new in license.SPELLINGS.items():
+    for old, new in sorted(license.SPELLINGS.items(), key=lambda p: ' ' in p[0] or '-' in p[0]):
         x = f"replace({x}, ' {re.sub('[ -]', '  ', old)} ', ' {re.sub('[ -]', '  ', new)} ')"
     return f"trim(replace({x}, '  ', ' '), ' ')"
 

@@ -283,7 +283,7 @@ def canonical_by_force(text):
     marks = {"copyright", "(c)", "©"}
     kept = []
     for line in (text or "").split("\n"):
-        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line).replace("©", "(c)")
+        low = line.lower().replace("©", "(c)")
         rest = low.lstrip(" \t\r*#/-;|.,!\"'")
         words = [w.strip(" \t\r.,;:<>[]*") for w in rest.split()]
         words = [w for w in words if w]
@@ -292,9 +292,9 @@ def canonical_by_force(text):
         statement = bool(words) and words[0] in marks and len(words) > 1 and (words[1] in marks or words[1][:4].isdigit() and words[1][0] in "12" and len(words[1]) >= 4 or words[1].startswith(("year", "yyyy")))
         reserved = rest.rstrip(" \t\r.").endswith("all rights reserved") and (rest.rstrip(" \t\r.") == "all rights reserved" or bool(words) and words[0] in marks)
         kept.append("" if statement or reserved else low)
-    words = "".join(c if c.isascii() and c.isalnum() or not c.isascii() and c not in "\u00a0«»·“”‘’–—•…" else " " for c in " ".join(kept).replace("https://", "http ").replace("http://", "http ")).split()
+    words = "".join(c if c.isascii() and c.isalnum() or not c.isascii() and c not in "\u00a0«»·“”‘’–—•…" else " " for c in " ".join(kept).replace("https:", "http:")).split()
     out = " ".join(words)
-    for old, new in (("licence(d|s|)", r"license\1"), ("sublicence", "sublicense"), ("copyright holders", "copyright owners"), ("copyright holder", "copyright owner"), ("non commercial", "noncommercial"), ("acknowledgement", "acknowledgment")):
+    for old, new in (("licence(d|s|)", r"license\1"), ("sublicence", "sublicense"), ("copyright holders", "copyright owners"), ("copyright holder", "copyright owner"), ("acknowledgement", "acknowledgment")):
         out = re.sub(rf"\b{old}\b", new, out)
     return out
 
