@@ -181,7 +181,7 @@ class FingerprintIndex:
         return max((x for x in ends if x is not None), default=None)
 
     def keep(self, docs: DataFrame) -> None:
-        """Keep the texts of a call, which windows are hashed from."""
+        """Keep the texts of a call, from which later ones hash windows."""
         self.texts.append(self._write(_narrow(docs).filter("doc_id is not null"), "text"))
 
     def kept(self) -> DataFrame:
@@ -273,7 +273,7 @@ def _removal(docs: DataFrame, covered: DataFrame, winnow: Winnower, schema: str,
 GRAM = 10
 
 
-def substring_dedup(docs: DataFrame, window: int = 50, batches: int = 2, index: FingerprintIndex | None = None) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = 50, batches: int = 2, index: FingerprintIndex | None = None, fanout: int = 2) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256, kept (its text without the repeated words).
 
     A word goes if a window of `window` words that covers it also starts in a document with a smaller doc_id;
@@ -287,20 +287,22 @@ def substring_dedup(docs: DataFrame, window: int = 50, batches: int = 2, index:
     cuts = [F.lit(i / batches) for i in range(1, batches)]
     low, high, inner = docs.agg(F.min("doc_id").cast("long"), F.max("doc_id").cast("long"), F.percentile_approx(F.col("doc_id").cast("long"), F.array(*cuts) if cuts else F.array(F.lit(1.0)))).first()
     given, found = index is not None, []
-    index = index or FingerprintIndex(spark)
+    index = index or FingerprintIndex(spark, fanout=fanout)
     last = index.last()
     if low is not None and last is not None and low <= last:
         raise ValueError(f"doc_id {low} does not follow {last}, the last one of the index")
     if low is not None:
-        index.keep(docs)
+        if given:
+            index.keep(docs)
+        corpus = index.kept() if given else _narrow(docs.filter("doc_id is not null"))
         stretches = all_stretches(docs, winnow)
         bounds = sorted({x for x in inner[: batches - 1] if x < high} | {high})  # batches of about as many documents, whatever their ids
         for before, upto in zip([None, *bounds], bounds, strict=False):
             ours = (F.col("doc_id") <= upto) if before is None else (F.col("doc_id") > before) & (F.col("doc_id") <= upto)
             known, opened = index.add_stretches(stretches.filter(ours))
-            single = stretch_windows(index.kept().filter(ours), known.filter("many and not repeated").select("doc_id", "at", "n"), winnow)
+            single = stretch_windows(corpus.filter(ours), known.filter("many and not repeated").select("doc_id", "at", "n"), winnow)
             if not opened.isEmpty():
-                earlier = index.kept().filter(F.col("doc_id") <= (low - 1 if before is None else before))
+                earlier = corpus.filter(F.col("doc_id") <= (low - 1 if before is None else before))
                 earlier = earlier.join(maybe_broadcast(opened.select("doc_id").distinct()), "doc_id", "left_semi")
                 single = single.union(stretch_windows(earlier, opened, winnow))
             single = save(single, "windows")
