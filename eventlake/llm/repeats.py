@@ -25,11 +25,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import HOT, ItemHashes, Items, RollingHash, discard, expand, join_first, maybe_broadcast, mix, save, small, texts
+from .common import ItemHashes, Items, RollingHash, discard, expand, join_first, maybe_broadcast, mix, save, small, texts
 
 WINDOWS = "w1 long, w2 long, doc_id long, at int"
-STRETCH = "w1 long, w2 long, first long"
-PRINT = "w1 long, low_w2 long, high_w2 long, low_first long, high_first long, places array<struct<first: long, at: int, n: int>>"
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -90,10 +88,9 @@ class FingerprintIndex:
     """A log-structured index of passages, in sorted immutable runs: what is new in a batch is written as another run.
 
     Runs of stretches have the first document of each stretch (w1 its fingerprint, w2 its hash). Runs of prints have one
-    row for each fingerprint (w1): the ends of the w2 and first documents of its stretches, and their places while
-    they are of one document or one w2. Runs of windows have the first document of each single window by 128-bit
-    hash (w1, w2), of fingerprints that stand in different stretches. Texts are kept, so that windows of earlier
-    documents can be hashed once a later stretch needs them.
+    row for each fingerprint (w1): the smallest and largest first document (low, high) of its stretches. Runs of windows
+    have the first document of each single window by 128-bit hash (w1, w2), of fingerprints whose stretches differ
+    between documents. Texts are kept, so that windows of earlier documents can be hashed once a later stretch needs them.
 
     Each run is a table bucketed by a hash that no common passage makes uneven, since equal rows are one, and sorted in
     each bucket, so that a merge join reads it without a shuffle. A batch is joined with every run; from fanout runs
@@ -139,40 +136,33 @@ class FingerprintIndex:
         return out
 
     def add_stretches(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Stretches of the batch (doc_id, at, n, repeated, many) that repeat or whose fingerprint stands in different
-        stretches of different documents (many), and the places (doc_id, at, n) of stretches of earlier batches whose
-        fingerprint does so only since this batch: single windows of both have to be compared. The batch has w1, w2, doc_id, at and n.
+        """Stretches of the batch (doc_id, at, n, repeated, many) that repeat or whose fingerprint has other stretches in
+        other documents (many), and the documents of earlier batches (doc_id, w1) whose fingerprint w1 does so only since
+        this batch: single windows of both have to be compared. The batch has w1, w2, doc_id, at and n.
+
+        Equal stretches are one, so those of different first documents differ; a fingerprint of one first document
+        has all its stretches there, which is where they are found again.
         """
-        place = batch.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "at", "n")).alias("p"), F.max("doc_id").alias("last"), F.count("*").alias("rows"))
-        place = place.select("w1", "w2", F.col("p.doc_id").alias("first"), "p.at", "p.n", "last", "rows")
+        place = batch.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("rows"))
         own = save(self._known(place, self.stretches, ("w2", "w1")), "own")
         fresh = own.filter("known is null")
-        ends = [f(x).alias(f"{a}_{x}") for x in ("w2", "first") for a, f in (("low", F.min), ("high", F.max))]
-        one = (F.col("low_w2") == F.col("high_w2")) | (F.col("low_first") == F.col("high_first"))
-        # fingerprints of very many stretches are told first, so that what is collected below is one document's or at most HOT stretches
-        hot = save(fresh.groupBy("w1").agg(*ends, F.count("*").alias("c")).filter(~one & (F.col("c") > HOT)).drop("c"), "hot")
-        rest = fresh.join(maybe_broadcast(hot.select("w1")), "w1", "left_anti").groupBy("w1").agg(*ends, F.collect_list(F.struct("first", "at", "n")).alias("places"))
-        now = rest.withColumn("places", F.when(one, F.col("places"))).unionByName(hot, allowMissingColumns=True)
-        now = save(now, "now")
-        old = self.spark.createDataFrame([], PRINT)
-        for run in self.prints:
-            old = old.union(self.spark.table(run).join(now.select("w1"), "w1", "left_semi").select(*old.columns))
-        old = save(old, "old")
-        sums = [f(x).alias(x) for x, f in (("low_w2", F.min), ("high_w2", F.max), ("low_first", F.min), ("high_first", F.max))]
-        many = (F.col("low_w2") != F.col("high_w2")) & (F.col("low_first") != F.col("high_first"))
-        was = old.groupBy("w1").agg(*sums).select("w1", many.alias("was_many"))
-        every = old.drop("places").union(now.drop("places")).groupBy("w1").agg(*sums).filter(many).select("w1")
-        every = save(every.join(was, "w1", "left").select("w1", F.coalesce("was_many", F.lit(False)).alias("was_many")), "many")
-        info = own.join(every, "w1", "left").filter("known is not null or last > first or was_many is not null")
-        info = save(info.select("w1", "w2", F.coalesce("known", "first").alias("first"), F.col("was_many").isNotNull().alias("many"), "rows"), "info")
+        ends = (F.min("low").alias("old_low"), F.max("high").alias("old_high"))
+        older = self.prints
+        self.prints = [*older, self._write(fresh.groupBy("w1").agg(F.min("first").alias("low"), F.max("first").alias("high")), "print")]
+        now = self.spark.table(self.prints[-1])
+        old = self.spark.createDataFrame([], "w1 long, low long, high long")
+        for run in older:
+            old = old.union(self.spark.table(run).join(now.select("w1"), "w1", "left_semi").select("w1", "low", "high"))
+        state = now.join(old.groupBy("w1").agg(*ends), "w1", "left").filter(F.least("low", "old_low") != F.greatest("high", "old_high"))
+        state = save(state.select("w1", "old_low", F.coalesce(F.col("old_low") != F.col("old_high"), F.lit(False)).alias("was_many")), "state")
+        info = own.join(state.select("w1", F.lit(True).alias("many")), "w1", "left").filter("known is not null or last > first or many")
+        info = save(info.select("w1", "w2", F.coalesce("known", "first").alias("first"), F.coalesce("many", F.lit(False)).alias("many"), "rows"), "info")
         out = save(join_first(batch, info, ["w1", "w2"], "rows").select("doc_id", "at", "n", (F.col("first") < F.col("doc_id")).alias("repeated"), "many"), "known")
-        opened = old.join(every.filter("not was_many"), "w1").select(F.explode("places").alias("p")).select(F.col("p.first").alias("doc_id"), "p.at", "p.n")
-        opened = save(opened, "opened")
+        opened = save(state.filter("not was_many and old_low is not null").select(F.col("old_low").alias("doc_id"), "w1"), "opened")
         self.stretches.append(self._write(fresh.select("w1", "w2", "first"), "stretch"))
-        self.prints.append(self._write(now, "print"))
         if len(self.stretches) > self.fanout:
             self.stretches, self.prints = self.compact(self.stretches, "stretch"), self.compact(self.prints, "print")
-        discard(own, hot, now, old, every, info)
+        discard(own, state, info)
         return out, opened
 
     def last(self) -> int | None:
@@ -198,9 +188,7 @@ class FingerprintIndex:
             part = self.spark.table(run)
             merged = part if merged is None else merged.unionByName(part)
         if kind == "print":
-            sums = [f(x).alias(x) for x, f in (("low_w2", F.min), ("high_w2", F.max), ("low_first", F.min), ("high_first", F.max))]
-            one = (F.col("low_w2") == F.col("high_w2")) | (F.col("low_first") == F.col("high_first"))
-            merged = merged.groupBy("w1").agg(*sums, F.flatten(F.collect_list("places")).alias("places")).withColumn("places", F.when(one, F.col("places")))
+            merged = merged.groupBy("w1").agg(F.min("low").alias("low"), F.max("high").alias("high"))
         new = self._write(merged, kind)
         for run in runs:
             self.spark.sql(f"DROP TABLE {run}")
@@ -225,6 +213,13 @@ def all_stretches(docs: DataFrame, winnow: Winnower) -> DataFrame:
     return save(_narrow(docs.filter("doc_id is not null")).mapInArrow(run, "w1 long, w2 long, doc_id long, at int, n int"), "stretches")
 
 
+def _window_batch(winnow: Winnower, items: Items, ids: np.ndarray, row: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """w1, w2, doc_id, at of the windows that begin at some items of a slice."""
+    a, b = winnow.windows(items, at)
+    columns = (a.view(np.int64), b.view(np.int64), ids[row], (at - items.bounds[row]).astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["w1", "w2", "doc_id", "at"])
+
+
 def stretch_windows(docs: DataFrame, stretches: DataFrame, winnow: Winnower) -> DataFrame:
     """w1, w2, doc_id, at: hashes of the single windows of stretches (doc_id, at, n) of docs (doc_id, text)."""
 
@@ -232,19 +227,31 @@ def stretch_windows(docs: DataFrame, stretches: DataFrame, winnow: Winnower) ->
         winnow.start()
         for batch in small(batches):
             items, lists = winnow.all(batch.column("text")), batch.column("parts")
-            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-            parts = lists.flatten()
+            row, parts = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False)), lists.flatten()
             first, n = parts.field("at").to_numpy().astype(np.int64), parts.field("n").to_numpy().astype(np.int64)
-            at = expand(first, n)
-            row = np.repeat(row, n)
-            a, b = winnow.windows(items, items.bounds[row] + at)
-            ids = batch.column("doc_id").to_numpy()[row]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a.view(np.int64), b.view(np.int64), ids, at.astype(np.int32))], names=["w1", "w2", "doc_id", "at"])
+            yield _window_batch(winnow, items, batch.column("doc_id").to_numpy(), np.repeat(row, n), expand(items.bounds[row] + first, n))
 
     grouped = stretches.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("parts"))  # at most as many as the document has words
     return docs.join(grouped, "doc_id").select("doc_id", "text", "parts").mapInArrow(run, WINDOWS)
 
 
+def print_windows(docs: DataFrame, prints: DataFrame, winnow: Winnower) -> DataFrame:
+    """w1, w2, doc_id, at: hashes of the single windows of docs (doc_id, text) that have one of the fingerprints (doc_id, w1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        winnow.start()
+        for batch in small(batches):
+            items, lists = winnow.all(batch.column("text")), batch.column("prints")
+            at, row, low = winnow.fingerprints(items)
+            ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            kept = np.concatenate([a + np.flatnonzero(np.isin(low[a:b], lists[i].values.to_numpy().view(np.uint64))) for i, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True))])
+            yield _window_batch(winnow, items, batch.column("doc_id").to_numpy(), row[kept], at[kept])
+
+    grouped = prints.groupBy("doc_id").agg(F.collect_list("w1").alias("prints"))  # at most as many as the document has words
+    few = docs.join(maybe_broadcast(prints.select("doc_id").distinct()), "doc_id", "left_semi")
+    return few.join(grouped, "doc_id").select("doc_id", "text", "prints").mapInArrow(run, WINDOWS)
+
+
 def _removal(docs: DataFrame, covered: DataFrame, winnow: Winnower, schema: str, finish: Callable) -> DataFrame:
     """Apply finish(text, items, removed item mask) to every document; covered has doc_id, at and n: its repeated windows."""
     places = covered.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("ats"))
@@ -303,8 +310,7 @@ def substring_dedup(docs: DataFrame, window: int = 50, batches: int = 2, index:
             single = stretch_windows(corpus.filter(ours), known.filter("many and not repeated").select("doc_id", "at", "n"), winnow)
             if not opened.isEmpty():
                 earlier = corpus.filter(F.col("doc_id") <= (low - 1 if before is None else before))
-                earlier = earlier.join(maybe_broadcast(opened.select("doc_id").distinct()), "doc_id", "left_semi")
-                single = single.union(stretch_windows(earlier, opened, winnow))
+                single = single.union(print_windows(earlier, opened, winnow))
             single = save(single, "windows")
             again = index.add(single)
             found.append(known.filter("repeated").select("doc_id", "at", "n").union(again.filter(ours).select("doc_id", "at", F.lit(1).alias("n"))))

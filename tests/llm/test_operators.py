@@ -470,7 +470,6 @@ def test_substring_dedup_in_successive_calls(spark):
 
 @pytest.mark.parametrize("hot", [2_000, 3])
 def test_substring_dedup_of_hot_passages(spark, monkeypatch, hot):
-    monkeypatch.setattr(repeats, "HOT", hot)
     monkeypatch.setattr(common, "HOT", hot)
     r = random.Random(17)
     new = lambda n: " ".join(f"{r.choice('abc')}{r.randint(0, 10**6)}" for _ in range(n))
