@@ -73,9 +73,10 @@ def _bounds(q: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return bounds
 
 
-def ordered(rows: DataFrame, more: list[str]) -> DataFrame:
-    """rows (id, v, near and more) in order of the nearest pivot and the id, range by range over the tasks."""
-    return rows.select("near", "id", "v", *more).repartitionByRange("near", "id").sortWithinPartitions("near", "id")
+def ordered(rows: DataFrame, more: list[str], tasks: int) -> DataFrame:
+    """rows (id, v, near and more) in order of the nearest pivot and the id, range by range over at most so many tasks."""
+    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select("near", "id", "v", *more).repartitionByRange(max(1, min(tasks, most)), "near", "id").sortWithinPartitions("near", "id")
 
 
 def with_pivot(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -94,7 +95,7 @@ def with_pivot(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
     return rows.select("id", "v").mapInArrow(run, "id long, v array<long>, near int")
 
 
-def forward_blocks(rows: DataFrame, k: int) -> DataFrame:
+def forward_blocks(rows: DataFrame, k: int, tasks: int) -> DataFrame:
     """Stored blocks and queries of rows (id, v, near, query).
 
     A block has its number, its range, its packed ids and vectors and the packed corners high and low. A query (block
@@ -150,7 +151,7 @@ def forward_blocks(rows: DataFrame, k: int) -> DataFrame:
             yield from finish(*held, task, rng)
 
     schema = f"block long, range long, {_PACKED}, ends binary, wide_ends boolean, id long, q array<long>, near int, first long"
-    return save(ordered(rows, ["query"]).mapInArrow(run, schema), "forward")
+    return save(ordered(rows, ["query"], tasks).mapInArrow(run, schema), "forward")
 
 
 def packs(queries: DataFrame) -> DataFrame:
@@ -166,7 +167,7 @@ def packs(queries: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(((task << 32) + n, *packed, first), (pa.int64(), pa.binary(), pa.binary(), pa.bool_(), pa.int32(), pa.binary()), strict=True)], names=["pack", "ids", "v", "wide", "width", "first"])
                 n += 1
 
-    return save(ordered(queries, ["first"]).mapInArrow(run, f"pack long, {_PACKED}, first binary"), "packs")
+    return save(ordered(queries, ["first"], -(-queries.count() // PACK)).mapInArrow(run, f"pack long, {_PACKED}, first binary"), "packs")
 
 
 def reached_blocks(blocks: DataFrame, packed: DataFrame) -> DataFrame:
@@ -247,7 +248,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     pivots = _chain(_matrix(chosen.column("v").combine_chunks())) if chosen.num_rows else np.zeros((0, 0), np.int64)
     asked = queries.groupBy("id").agg(F.min("v").alias("v"))
     rows = with_pivot(vectors, pivots).withColumn("query", F.lit(False)).union(with_pivot(asked, pivots).withColumn("query", F.lit(True)))
-    stored = forward_blocks(rows, k)
+    stored = forward_blocks(rows, k, -(-vectors.count() // (BLOCK * RANGE)))
     blocks = stored.filter("block is not null")
     packed = packs(stored.filter("block is null").select("near", "id", F.col("q").alias("v"), "first"))
     reached = reached_blocks(blocks, packed)
