@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, ItemHashes, discard, groups, maybe_broadcast, mix, save, small
@@ -466,11 +466,13 @@ def components(links: DataFrame) -> DataFrame:
     number grows with the logarithm of the components' size.
     """
 
-    def state(edges: DataFrame):
-        return edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+    def stored(df: DataFrame) -> tuple[DataFrame, dict]:
+        """The edges, stored, and their number and hash, which are observed on the way."""
+        seen = Observation()
+        edges = save(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), "edges")
+        return edges, seen.get
 
-    edges = save(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    before = state(edges)
+    edges, before = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -478,8 +480,7 @@ def components(links: DataFrame) -> DataFrame:
         large = large.union(low.filter("m < u").select("u", F.col("m").alias("v"))).distinct()
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        new = save(small.union(small_low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        after = state(new)
+        new, after = stored(small.union(small_low.select("u", F.col("m").alias("v"))).distinct())
         discard(edges)
         edges = new
         if before == after:
@@ -545,19 +546,30 @@ def near_duplicates(docs: DataFrame, share: int = 80, width: int = 5) -> DataFra
     discard(sketch)
     reps_of = lambda df: df.withColumnRenamed("doc_id", "rep")
 
-    links = tried = labels = sets = None
+    tried = labels = sets = None
 
     def link(found: DataFrame) -> None:
-        """Verify pairs that were not tried yet, and label anew."""
-        nonlocal links, tried, labels
+        """Verify pairs that were not tried yet, and join the components that they link."""
+        nonlocal tried, labels
         if tried is not None:
             found = found.join(tried, ["a", "b"], "left_anti")
         found = keep(found, "pairs")
+        if labels is not None and found.isEmpty():
+            return
         near = verify(found, sets_for(found), like, keep)
-        links, tried = (near, found) if links is None else (links.union(near), tried.union(found))
-        if labels is not None:
-            temporary.append(labels)
-        labels = components(links)
+        tried = found if tried is None else tried.union(found)
+        if labels is None:
+            labels = components(near)
+            return
+        old = labels
+        ends = near.join(old.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left").join(old.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
+        ends = keep(ends.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).filter("a <> b").distinct(), "ends")
+        if ends.isEmpty():
+            return
+        up = components(ends)  # of components, which have the names of their smallest members
+        moved = old.join(up.select(F.col("id").alias("label"), F.col("label").alias("up")), "label", "left").select("id", F.coalesce("up", "label").alias("label"))
+        labels = save(moved.union(up.join(old, "id", "left_anti").select("id", "label")), "labels")
+        temporary.extend((old, up))
 
     def sets_for(found: DataFrame) -> DataFrame:
         if sets is not None:
