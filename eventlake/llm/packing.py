@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import CACHE_WORDS, save
+from .common import CACHE_WORDS, save, small
 
 CAPACITY = 2048
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
@@ -28,6 +28,7 @@ WHOLE = re.compile(r"\s\s|<\|")
 
 #: Letters below this are classed alike by every version of Unicode, so that both libraries cut them alike.
 PLAIN = "\u0250"
+OTHER = re.compile(f"[^\x00-{chr(ord(PLAIN) - 1)}]")
 
 
 class _Chunks(dict):
@@ -52,7 +53,7 @@ def encoder(path: str, ranks: tuple[str, str] | None = None):
 
     This kind of tokenizer never joins characters across a single space or line end that stands between
     other characters, so that each word's ids can be looked up once they are known. With ranks, a file of the same
-    vocabulary as ranks and its splitting pattern, words of plain letters are encoded by the faster library.
+    vocabulary as ranks and its splitting pattern, texts of plain letters, and else such words, are encoded by the faster library.
     """
     from tokenizers import Tokenizer
 
@@ -72,6 +73,8 @@ def encoder(path: str, ranks: tuple[str, str] | None = None):
     def encode(text: str) -> bytes:
         if WHOLE.search(text):
             return np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if ranks and not OTHER.search(text):
+            return np.asarray(plain(text), "<u4").tobytes()
         out: list[bytes] = []
         for i, line in enumerate(text.split("\n")):
             if i:
@@ -93,7 +96,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, ranks
         encode, seen = encoder(tokenizer_path, ranks), defaultdict(int)
         part = TaskContext.get().partitionId()
         names = [x.split()[0] for x in PIECES.split(", ")]
-        for batch in batches:
+        for batch in small(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = encode(text.as_py() or "") + b"\0\0\0\0"
