@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, license, packing, pii, repeats, stages, topk, toxicity
+from . import decontaminate, jaccard, langid, license, packing, pii, repeats, sentencepieces, stages, topk, toxicity
 from .common import read
 
 
@@ -66,7 +66,13 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter("id % 20 = 0"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_license_digest, op4_decontaminate, op5_substring_dedup, op6_line_dedup, op7_toxicity, op8_language_id, op9_best_fit_packing, op10_exact_topk)}
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+
+    return sentencepieces.encode(read(spark, sf_dir, "documents"), public.path("piece_bpe_32k.model"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_license_digest, op4_decontaminate, op5_substring_dedup, op6_line_dedup, op7_toxicity, op8_language_id, op9_best_fit_packing, op10_exact_topk, op11_sentencepiece)}
 
 _UPPER, _LOWER = decontaminate.UPPER, decontaminate.LOWER
 
