@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, license, packing, pii, repeats, sentencepieces, stages, topk, toxicity
+from . import decontaminate, jaccard, langid, license, packing, phrases, pii, repeats, sentencepieces, stages, topk, toxicity
 from .common import read
 
 
@@ -72,7 +72,11 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(read(spark, sf_dir, "documents"), public.path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_license_digest, op4_decontaminate, op5_substring_dedup, op6_line_dedup, op7_toxicity, op8_language_id, op9_best_fit_packing, op10_exact_topk, op11_sentencepiece)}
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_license_digest, op4_decontaminate, op5_substring_dedup, op6_line_dedup, op7_toxicity, op8_language_id, op9_best_fit_packing, op10_exact_topk, op11_sentencepiece, op13_phrases)}
 
 _UPPER, _LOWER = decontaminate.UPPER, decontaminate.LOWER
 
@@ -144,4 +148,16 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DO
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
 SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)) WHERE rank <= 20""",
+    "op13_phrases": f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS x FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(x, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM d),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30 OR k = 1),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
+c AS (SELECT f.*, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 30),
+s AS (SELECT lang, k, phrase, a, w, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+t AS (SELECT s.*, l.a AS l, r.a AS r, CAST(CAST(2000000 AS HUGEINT) * s.a // (l.a + r.a) AS BIGINT) AS score FROM s JOIN f l ON l.lang = s.lang AND l.k = j AND l.phrase = x JOIN f r ON r.lang = s.lang AND r.k = s.k - j AND r.phrase = y),
+b AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+i AS (SELECT DISTINCT lang, part FROM (SELECT lang, a AS most, unnest(list_distinct(flatten([[array_to_string(w[o:o + m - 1], ' ') for o in range(1, k - m + 2)] for m in range(2, k)]))) AS part FROM c WHERE k > 2) JOIN c q USING (lang) WHERE q.phrase = part AND 100 * CAST(most AS HUGEINT) >= 80 * CAST(q.a AS HUGEINT))
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM b ANTI JOIN i ON b.lang = i.lang AND b.phrase = i.part) JOIN n USING (lang) WHERE rank <= 2000""",
 }
