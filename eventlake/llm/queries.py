@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, license, packing, phrases, pii, repeats, sentencepieces, stages, topk, toxicity
+from . import decontaminate, jaccard, langid, license, packing, phrases, pii, prefixes, repeats, sentencepieces, stages, topk, toxicity
 from .common import read
 
 
@@ -72,11 +72,15 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(read(spark, sf_dir, "documents"), public.path("piece_bpe_32k.model"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_tree(read(spark, sf_dir, "conversations"))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_license_digest, op4_decontaminate, op5_substring_dedup, op6_line_dedup, op7_toxicity, op8_language_id, op9_best_fit_packing, op10_exact_topk, op11_sentencepiece, op13_phrases)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_license_digest, op4_decontaminate, op5_substring_dedup, op6_line_dedup, op7_toxicity, op8_language_id, op9_best_fit_packing, op10_exact_topk, op11_sentencepiece, op12_conversation_trie, op13_phrases)}
 
 _UPPER, _LOWER = decontaminate.UPPER, decontaminate.LOWER
 
@@ -148,6 +152,17 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DO
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
 SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)) WHERE rank <= 20""",
+    "op12_conversation_trie": """
+WITH t AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS INTEGER) AS i FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, CAST(xor(list_reduce([4294967295] || [CAST(ascii(z) AS BIGINT) FOR z IN string_split(CAST(conv_id AS VARCHAR), '')], lambda a, b: list_reduce([xor(a, b)] || range(8), lambda k, j: xor(k >> 1, 3988292384 * (k & 1)))), 4294967295) % 9 AS INTEGER) AS h FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (SELECT c.conv_id, 0 AS o, i, r, x FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND i <= h UNION ALL SELECT c.conv_id, 1, i, r, x FROM c JOIN t ON t.conv_id = c.conv_id AND i > h),
+l AS (SELECT c.conv_id, coalesce(list((r, x) ORDER BY o, i) FILTER (r IS NOT NULL), []) AS s FROM c LEFT JOIN b USING (conv_id) GROUP BY 1),
+p AS (SELECT conv_id, d, s[:d] AS k, len(s) = d AS last FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM l)),
+n AS (SELECT d AS depth, k, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256, (count(*) - 1) * CASE WHEN d > 0 THEN strlen(k[-1][2]) ELSE 0 END AS saved FROM p GROUP BY d, k),
+u AS (SELECT n.depth, n.k, coalesce(count(*) FILTER (m.depth = n.depth + 1), 0) AS n_children, sum(m.saved) AS saved_tokens FROM n JOIN n m ON m.k[:n.depth] = n.k GROUP BY ALL),
+v AS (SELECT n.depth, n.k, count(*) AS n_leaves FROM n JOIN u m ON m.k[:n.depth] = n.k AND m.n_children = 0 GROUP BY ALL)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN u USING (depth, k) JOIN v USING (depth, k) LEFT JOIN n q ON n.depth > 0 AND q.depth = n.depth - 1 AND q.k = n.k[:n.depth - 1]""",
     "op13_phrases": f"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS x FROM documents),
 p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(x, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM d),
