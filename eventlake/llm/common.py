@@ -85,9 +85,10 @@ _LOWER[65:91] += 32
 
 @dataclass
 class Items:
-    """Items (words or lines) of the texts of a slice: 64-bit hashes, and bounds: those of row r are bounds[r]..bounds[r + 1]."""
+    """Items (words or lines) of the texts of a slice: two independent 64-bit hashes, and bounds: those of row r are bounds[r]..bounds[r + 1]."""
 
     hashes: np.ndarray
+    second: np.ndarray
     bounds: np.ndarray
     sizes: np.ndarray | None = None
 
@@ -102,25 +103,23 @@ def expand(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 class ItemHashes:
-    """Hashes all items of a slice of texts at once: sums of a random number for each byte times powers of its place, mixed."""
+    """Hashes all items of a slice of texts at once: sums over blocks of eight bytes, each mixed with its place, mixed again."""
 
     def __init__(self, seed: int, lower: bool = False):
-        self.table = mix((np.arange(256, dtype=np.uint64) + np.uint64(256 * seed + 1)) * np.uint64(0x9E3779B97F4A7C15))
-        if lower:  # A-Z count as a-z
-            self.table = self.table[_LOWER]
-        self.powers = np.ones(1, np.uint64)
+        self.seeds = mix(np.array([2 * seed + 1, 2 * seed + 2], np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self.lower = lower  # A-Z count as a-z
 
-    def _sums(self, content: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def _sums(self, content: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(lengths):
-            return np.zeros(0, np.uint64)
-        longest = int(lengths.max())
-        if len(self.powers) < longest:
-            self.powers = np.full(1 << longest.bit_length(), 0xD1342543DE82EF95, np.uint64)
-            self.powers[0] = 1
-            self.powers = np.cumprod(self.powers, dtype=np.uint64)
-        starts = np.cumsum(lengths) - lengths
-        place = np.arange(len(content)) - np.repeat(starts, lengths)
-        return mix(np.add.reduceat(self.table[content] * self.powers[place], starts) + lengths.astype(np.uint64))
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        blocks = (lengths + 7) // 8
+        starts = np.cumsum(blocks) - blocks
+        padded = np.zeros(8 * int(blocks.sum()), np.uint8)
+        padded[np.repeat(8 * starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(content))] = _LOWER[content] if self.lower else content
+        block, place = padded.view("<u8"), np.arange(len(padded) // 8) - np.repeat(starts, blocks)
+        step = (place + 1).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
+        first, second = (mix(np.add.reduceat(mix(mix(block ^ seed) + step), starts) + lengths.astype(np.uint64)) for seed in self.seeds)
+        return first, second
 
     @staticmethod
     def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -141,7 +140,7 @@ class ItemHashes:
         starts = np.flatnonzero(first)
         content = data[inside]
         at = np.cumsum(inside)[starts] - 1
-        return Items(self._sums(content, np.diff(np.r_[at, len(content)])), np.searchsorted(starts, offsets))
+        return Items(*self._sums(content, np.diff(np.r_[at, len(content)])), np.searchsorted(starts, offsets))
 
     def lines(self, column: pa.Array) -> Items:
         """Non-blank lines without white space at either end; sizes are their numbers of words."""
@@ -149,14 +148,22 @@ class ItemHashes:
         inside = ~_BLANK[data]
         black = np.flatnonzero(inside)
         if not len(black):
-            return Items(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64))
+            return Items(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64))
         line, row = np.cumsum(data == 10)[black], np.searchsorted(offsets, black, "right")
         new = np.flatnonzero(np.r_[True, (line[1:] != line[:-1]) | (row[1:] != row[:-1])])
         starts, lengths = black[new], black[np.r_[new[1:], len(black)] - 1] - black[new] + 1
         word = inside.copy()
         word[1:] &= ~inside[:-1]
         word[starts] = True
-        return Items(self._sums(data[expand(starts, lengths)], lengths), np.searchsorted(starts, offsets), np.add.reduceat(word.astype(np.int64), starts))
+        return Items(*self._sums(data[expand(starts, lengths)], lengths), np.searchsorted(starts, offsets), np.add.reduceat(word.astype(np.int64), starts))
+
+
+def free(name: str, taken: Iterable[str]) -> str:
+    """The name, with as many underscores before it as it takes to differ from all taken ones in any case."""
+    taken = {x.lower() for x in taken}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 class RollingHash:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ItemHashes, Items, RollingHash, discard, expand, join_first, maybe_broadcast, mix, save, small, texts
+from .common import ItemHashes, Items, RollingHash, discard, expand, free, join_first, maybe_broadcast, mix, save, small, texts
 
 WINDOWS = "w1 long, w2 long, doc_id long, at int"
 
@@ -72,12 +72,12 @@ class Winnower:
         starts = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (row[1:] != row[:-1])]) if len(at) else np.zeros(0, np.int64)
         n = np.diff(np.r_[starts, len(at)])
         at, row, low = at[starts], row[starts], low[starts]
-        whole = self.rolling[1].spans(mix(items.hashes), at, n + self.size - 1)
+        whole = self.rolling[1].spans(items.second, at, n + self.size - 1)
         return row, low, whole, at - items.bounds[row], n
 
     def windows(self, items: Items, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """128-bit hashes of the windows that begin at some items."""
-        return tuple(r.windows(h, self.size)[at] for r, h in zip(self.rolling, (items.hashes, mix(items.hashes)), strict=True))
+        return tuple(r.windows(h, self.size)[at] for r, h in zip(self.rolling, (items.hashes, items.second), strict=True))
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
@@ -340,7 +340,7 @@ def line_windows(docs: DataFrame, winnow: Winnower, min_words: int) -> DataFrame
             long = np.flatnonzero(items.sizes >= min_words)
             rows = np.r_[row, items.rows()[long]]
             w1 = np.r_[low, mix(items.hashes[long] + np.uint64(1))]
-            w2 = np.r_[winnow.windows(items, at)[1], mix(items.hashes[long] + np.uint64(2))]
+            w2 = np.r_[winnow.windows(items, at)[1], mix(items.second[long] + np.uint64(2))]
             n = np.r_[np.ones(len(at), np.int32), np.full(len(long), 2 - winnow.size, np.int32)]
             places = np.r_[at, long] - items.bounds[rows]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w1.view(np.int64), w2.view(np.int64), ids[rows], places.astype(np.int32), n)], names=["w1", "w2", "doc_id", "at", "n"])
@@ -400,15 +400,17 @@ def line_dedup(docs: DataFrame, min_lines: int = 2, min_words: int = LONG_LINE)
 
 
 def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = LONG_LINE) -> DataFrame:
-    """docs with all their columns, texts as line_dedup leaves them, and lines_removed (int)."""
+    """docs with all their columns, texts as line_dedup leaves them, and as the last one lines_removed (int), with
+    underscores before it if docs have a column of that name."""
     winnow, names = _line_winnow(min_lines), docs.columns
-    places = line_matches(docs, winnow, min_words).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("_repeated"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("lines_removed", T.IntegerType())])
+    repeated, n_removed = free("_repeated", names), free("lines_removed", names)
+    places = line_matches(docs, winnow, min_words).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias(repeated))
+    schema = T.StructType([*docs.schema.fields, T.StructField(n_removed, T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             out, removed = [], []
-            at = batch.column("_repeated")
+            at = batch.column(repeated)
             for i, text in enumerate(texts(batch)):
                 gone = np.zeros(0, bool)
                 if at[i].is_valid:
@@ -419,6 +421,6 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = LO
                     text = _without_lines(text, gone)
                 out.append(None if text is None else text.decode())
                 removed.append(int(gone.sum()))
-            yield pa.RecordBatch.from_arrays([*[pa.array(out, pa.string()) if x == "text" else batch.column(x) for x in names], pa.array(removed, pa.int32())], names=[*names, "lines_removed"])
+            yield pa.RecordBatch.from_arrays([*[pa.array(out, pa.string()) if x == "text" else batch.column(x) for x in names], pa.array(removed, pa.int32())], names=[*names, n_removed])
 
-    return docs.join(places, "doc_id", "left").select(*names, "_repeated").mapInArrow(run, schema)
+    return docs.join(places, "doc_id", "left").select(*names, repeated).mapInArrow(run, schema)

@@ -32,7 +32,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = repeats.drop_repeated_lines(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("lines_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(out.columns[-1]) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 

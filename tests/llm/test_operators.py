@@ -245,6 +245,28 @@ def test_item_hashes_tell_items_apart():
     assert low[0] == low[2] == low[4] and low[1] == low[3] != low[5]
 
 
+def thue_morse(n):
+    """Two texts of n letters whose sums by powers of any odd base are equal modulo 2**64 from some 1,024 letters on."""
+    a = "".join("ab"[i.bit_count() % 2] for i in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_items_that_collide_as_polynomials(spark):
+    a, b = thue_morse(2048)
+    found = ItemHashes(1).words(pa.array([f"{a} {b} {a[1:]}"]))
+    assert len(set(found.hashes.tolist())) == len(set(found.second.tolist())) == 3
+    rest = " ".join(f"w{i}" for i in range(60))
+    docs = frame(spark, [f"{a} {rest}", f"{b} {rest[:-4]}"])
+    got = repeats.substring_dedup(docs).orderBy("doc_id").collect()
+    assert [x["n_removed"] for x in got] == [0, len(rest[:-4].split())]  # the rest repeats, the first word does not
+    got = repeats.substring_dedup(frame(spark, [" ".join([a, *["x"] * 10, *rest.split()[:39]]), " ".join([b, *["x"] * 10, *rest.split()[:39]])])).orderBy("doc_id").collect()
+    assert [x["n_removed"] for x in got] == [0, 0]
+    got = repeats.line_dedup(frame(spark, [f"{a}\n{a} x\nend", f"{b}\n{b} x\nend"])).orderBy("doc_id").collect()
+    assert [x["n_removed"] for x in got] == [0, 0]
+    got = jaccard.near_duplicates(frame(spark, [a, b, f"{a} {a} {a} {a} {a}", f"{b} {b} {b} {b} {b}"])).orderBy("doc_id").collect()
+    assert [x["component_id"] for x in got] == [0, 1, 2, 3]
+
+
 def test_near_duplicates_of_nothing(spark):
     assert jaccard.near_duplicates(frame(spark, ["x"]).limit(0)).count() == 0
     assert [tuple(x) for x in jaccard.near_duplicates(frame(spark, [None, ""])).orderBy("doc_id").collect()] == [(0, 0, 0), (1, 0, 1)]

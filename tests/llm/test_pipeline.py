@@ -115,7 +115,7 @@ def test_stages_of_odd_tables(spark, tmp_path, name):
     stage = dict(corpus_pipeline.STAGES)[name]
     spark.createDataFrame([(i, 0) for i in range(5)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, "x " * 20)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    docs = frame(spark, ["a b c", None, "", "word " * 30, "one\ntwo"]).withColumns({x: F.lit(1) for x in ("row", "at", "n", "fold", "toxic", "rep", "block", "length", "_repeated2")})
+    docs = frame(spark, ["a b c", None, "", "word " * 30, "one\ntwo"]).withColumns({x: F.lit(1) for x in ("row", "at", "n", "fold", "toxic", "rep", "block", "length", "_repeated", "lines_removed", "_LINES_removed")})
     out = stage(spark, docs.limit(0), str(tmp_path))
     assert out.count() == 0
     docs = docs.withColumn("doc_id", F.expr("nullif(doc_id, 3)"))
