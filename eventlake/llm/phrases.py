@@ -23,9 +23,9 @@ LEAST, LONGEST, BEST, INSIDE = 30, 4, 2_000, 80
 #: Words, and frequent pairs, up to which a lookup is sent to every task; more are joined. Bytes of the words.
 SENT_WORDS, SENT_PAIRS, SENT_BYTES = 400_000, 2_000_000, 16 << 20
 #: Bits of a tile's side, pairs of a batch from which a tile becomes dense, dense tiles and sparse pairs that a task holds, and pairs that it deals over tiles at once.
-SIDE, DENSE, DENSE_TILES, SPARSE, AT_ONCE = 10, 1 << 14, 16, 4_000_000, 1 << 21
+SIDE, DENSE, DENSE_TILES, SPARSE, AT_ONCE = 10, 1 << 13, 6, 1_500_000, 1 << 19
 #: Distinct words whose counts a task holds.
-HELD_WORDS = 400_000
+HELD_WORDS = 150_000
 #: Parts of a language whose best phrases are picked on their own first.
 PARTS = 64
 
