@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -14,13 +15,24 @@ CONTEXTS = ("http://schema.org", "https://schema.org", "http://schema.org/", "ht
 
 @dataclass(frozen=True)
 class Shape:
-    """What a JSON value may look like: one of some types (string, number, boolean, object, array, null), the shape of
+    """What a JSON value may look like, at every depth: one of some types (string, number, integer, boolean, object, array,
+    null), one of some values, a pattern and a least length of strings, properties that an object has to have, the shape of
     each item of an array and of each property that an object has, or one of several shapes (any_of)."""
 
     types: Sequence[str] = ()
     items: Shape | None = None
     properties: Mapping[str, Shape] = field(default_factory=dict)
     any_of: Sequence[Shape] = ()
+    required: Sequence[str] = ()
+    enum: Sequence[str | float | bool | None] = ()
+    pattern: str | None = None
+    min_length: int | None = None
+
+
+#: What each kind of fault is called in messages; the first three are errors, the others warnings.
+FAULTS = {"required": "is required", "type": "is of a wrong type", "enum": "is not allowed", "pattern": "does not match", "minLength": "is too short", "anyOf": "fits no alternative"}
+ERRORS = ("required", "type", "enum")
+_FAULT = "array<struct<path: string, kind: string>>"
 
 
 def json_type(value: Column) -> Column:
@@ -30,27 +42,54 @@ def json_type(value: Column) -> Column:
     return F.when(value.isNotNull(), named.otherwise("number"))
 
 
-def fits(value: Column, shape: Shape) -> Column:
-    """Whether a variant has a shape; what a shape doesn't name is free, and absent values fit."""
-    out = F.lit(True)
+def faults(value: Column, shape: Shape, path: Column) -> Column:
+    """What is wrong with a variant: an array of the JSON path and the kind of each fault, outer ones first.
+
+    The shape becomes one expression, whatever its depth. What a shape doesn't name is free and an absent value has no
+    faults; null is a value. Of alternatives only that none fits is told.
+    """
+    none = F.array().cast(_FAULT)
+    kind = json_type(value)
+    text = F.try_variant_get(value, "$", "string")
+    when = lambda bad, what, at=path: F.when(bad, F.array(F.struct(at.alias("path"), F.lit(what).alias("kind")))).otherwise(none)
+    out = []
     if shape.types:
-        out = out & json_type(value).isin(list(shape.types))
+        good = kind.isin(list(shape.types))
+        if "integer" in shape.types:
+            number = F.try_variant_get(value, "$", "double")
+            good = good | ((kind == "number") & (number == F.floor(number)))
+        out.append(when(~good, "type"))
+    if shape.enum:
+        out.append(when(~F.to_json(value).isin([json.dumps(x, ensure_ascii=False, separators=(",", ":")) for x in shape.enum]), "enum"))
+    if shape.pattern is not None:
+        out.append(when((kind == "string") & ~text.rlike(shape.pattern), "pattern"))
+    if shape.min_length is not None:
+        out.append(when((kind == "string") & (F.length(text) < shape.min_length), "minLength"))
+    member = lambda name: F.try_variant_get(value, f'$["{name}"]', "variant")
+    at = lambda name: F.concat(path, F.lit(f".{name}"))
+    out += [when((kind == "object") & member(name).isNull(), "required", at(name)) for name in shape.required]
+    out += [faults(member(name), own, at(name)) for name, own in shape.properties.items()]
     if shape.items is not None:
-        out = out & ((json_type(value) != "array") | F.forall(F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>")), lambda x: fits(x, shape.items)))
-    for name, own in shape.properties.items():
-        out = out & fits(F.try_variant_get(value, f'$["{name}"]', "variant"), own)
+        listed = F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
+        inner = F.flatten(F.transform(listed, lambda x, i: faults(x, shape.items, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
+        out.append(F.when(kind == "array", inner).otherwise(none))
     if shape.any_of:
         some = F.lit(False)
         for own in shape.any_of:
             some = some | fits(value, own)
-        out = out & some
-    return F.coalesce(out, F.lit(True))
+        out.append(when(~some, "anyOf"))
+    return F.when(value.isNotNull(), F.concat(*out) if out else none).otherwise(none)
+
+
+def fits(value: Column, shape: Shape) -> Column:
+    """Whether a variant has a shape."""
+    return F.size(faults(value, shape, F.lit("$"))) == 0
 
 
 @dataclass
 class Checks:
-    """Which faults are errors (required, numbers, allowed, shapes without alternatives) and which are warnings
-    (patterns, lengths, shapes of which no alternative fits). Columns of shapes hold JSON text."""
+    """Which faults are errors (required, numbers, allowed) and which are warnings (patterns, lengths); those of shapes are
+    either by their kind, at every depth. Columns of shapes hold JSON text."""
 
     required: Sequence[str] = ()
     numbers: Sequence[str] = ()
@@ -61,17 +100,24 @@ class Checks:
 
 
 def validate_records(df: DataFrame, checks: Checks) -> DataFrame:
-    """Add errors and warnings, arrays of messages in the order of the checks. Absent values only fail required."""
+    """Add errors and warnings, arrays of messages in the order of the checks. Absent values only fail required.
+
+    Faults inside a column of a shape are told with their path, such as "offers[1].price is required".
+    """
     errors = [F.when(F.col(c).isNull(), F.lit(f"{c} is required")) for c in checks.required]
     errors += [F.when(F.col(c).isNotNull() & F.col(c).cast("string").try_cast("double").isNull(), F.lit(f"{c} is not a number")) for c in checks.numbers]
     errors += [F.when(~F.col(c).isin(list(v)), F.lit(f"{c} is not allowed")) for c, v in checks.allowed.items()]
-    wrong = {c: ~fits(F.try_parse_json(c), s) for c, s in checks.shapes.items()}
-    errors += [F.when(wrong[c], F.lit(f"{c} is of a wrong type")) for c, s in checks.shapes.items() if not s.any_of]
     warnings = [F.when(~F.col(c).rlike(p), F.lit(f"{c} does not match")) for c, p in checks.patterns.items()]
     warnings += [F.when(F.length(c) < n, F.lit(f"{c} is too short")) for c, n in checks.min_length.items()]
-    warnings += [F.when(wrong[c], F.lit(f"{c} fits no alternative")) for c, s in checks.shapes.items() if s.any_of]
     pack = lambda xs: F.array_compact(F.array(*xs)).cast("array<string>") if xs else F.array().cast("array<string>")
-    return df.withColumn("errors", pack(errors)).withColumn("warnings", pack(warnings))
+    if not checks.shapes:
+        return df.withColumn("errors", pack(errors)).withColumn("warnings", pack(warnings))
+    called = F.create_map(*[F.lit(x) for kv in FAULTS.items() for x in kv])
+    told = lambda good: F.transform(F.filter("_faults", good), lambda x: F.concat_ws(" ", x["path"], F.element_at(called, x["kind"])))
+    found = F.concat(*[faults(F.try_parse_json(c), s, F.lit(c)) for c, s in checks.shapes.items()])
+    out = df.withColumn("_faults", found)
+    out = out.withColumn("errors", F.concat(pack(errors), told(lambda x: x["kind"].isin(*ERRORS)))).withColumn("warnings", F.concat(pack(warnings), told(lambda x: ~x["kind"].isin(*ERRORS))))
+    return out.drop("_faults")
 
 
 def check_required_semantic(df: DataFrame, context: str = "context", name: str = "name") -> DataFrame:

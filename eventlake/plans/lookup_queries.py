@@ -160,6 +160,36 @@ def v01(spark, d):
     return out.select("event_id", F.array_join("errors", "|").alias("errors"), F.array_join("warnings", "|").alias("warnings"))
 
 
+_TEXT = validate.Shape(("string",), min_length=1)
+NESTED = validate.Checks(shapes={
+    "location": validate.Shape(("object",), required=("name", "geo"), properties={
+        "name": _TEXT, "geo": validate.Shape(("object",), required=("latitude",), properties={"latitude": _NUMBER, "kind": validate.Shape(("string",), enum=("point", "place"))}),
+        "address": validate.Shape(properties={"postalCode": validate.Shape(("string",), pattern="^[0-9]{5}$"), "street": _TEXT, "floor": validate.Shape(("integer",))}),
+    }),
+    "offers": validate.Shape(("array",), items=validate.Shape(("object",), required=("price",), properties={
+        "price": validate.Shape(("string",), pattern="^[0-9]+$"), "currency": validate.Shape(enum=("EUR", "INR", None)), "name": _TEXT,
+        "seller": validate.Shape(any_of=(validate.Shape(("string",)), validate.Shape(("object",), required=("name",), properties={"name": validate.Shape(("string",))}))),
+    })),
+})
+
+
+@query("v01_validate_nested", """SELECT event_id, array_to_string(list_filter([CASE WHEN event_id % 13 = 0 THEN 'location.geo is required' WHEN event_id % 7 = 0 THEN 'location.geo.latitude is required' WHEN event_id % 7 = 1 THEN 'location.geo.latitude is of a wrong type' END,
+CASE WHEN event_id % 13 <> 0 AND event_id % 11 = 0 THEN 'location.geo.kind is not allowed' END, CASE WHEN event_id % 9 = 0 THEN 'location.address.floor is of a wrong type' END,
+CASE WHEN event_id % 17 = 0 THEN 'offers is of a wrong type' END, CASE WHEN event_id % 17 = 1 THEN 'offers[0] is of a wrong type' END], lambda x: x IS NOT NULL) || CASE WHEN event_id % 17 > 1 THEN flatten([CASE (event_id + i) % 6 WHEN 0 THEN ['offers[' || i || '].price is required'] WHEN 1 THEN ['offers[' || i || '].currency is not allowed'] ELSE [] END FOR i IN range(event_id % 4)]) ELSE [] END, '|') AS errors,
+array_to_string(list_filter([CASE WHEN event_id % 5 = 0 THEN 'location.address.postalCode does not match' END, CASE WHEN event_id % 3 = 0 THEN 'location.address.street is too short' END], lambda x: x IS NOT NULL) ||
+CASE WHEN event_id % 17 > 1 THEN flatten([CASE (event_id + i) % 6 WHEN 2 THEN ['offers[' || i || '].price does not match'] WHEN 3 THEN ['offers[' || i || '].name is too short'] WHEN 4 THEN ['offers[' || i || '].seller fits no alternative'] ELSE [] END FOR i IN range(event_id % 4)]) ELSE [] END, '|') AS warnings FROM ev""")
+def v01_nested(spark, d):
+    k = F.col("event_id")
+    geo = F.struct(F.when(k % 7 == 1, F.array(F.lit("1"))).alias("latitude"), F.when(k % 11 == 0, "area").when(k % 11 == 1, "place").otherwise("point").alias("kind"))
+    geo = F.when(k % 7 == 1, F.to_json(geo)).when(k % 7 == 0, F.concat(F.lit('{"kind":"'), geo["kind"], F.lit('"}'))).otherwise(F.concat(F.lit('{"latitude":'), F.when(k % 2 == 0, "12.5").otherwise('"12.5"'), F.lit(',"kind":"'), geo["kind"], F.lit('"}')))
+    address = F.concat(F.lit('{"postalCode":"'), F.when(k % 5 == 0, "x1").otherwise("56001"), F.lit('","street":"'), F.when(k % 3 == 0, "").otherwise("Main"), F.lit('","floor":'), F.when(k % 9 == 0, "1.5").when(k % 9 == 1, "2.0").otherwise("3"), F.lit("}"))
+    location = F.concat(F.lit('{"name":"'), F.col("location_name"), F.lit('"'), F.when(k % 13 != 0, F.concat(F.lit(',"geo":'), geo)).otherwise(""), F.lit(',"address":'), address, F.lit("}"))
+    offer = """CASE (event_id + i) % 6 WHEN 0 THEN '{"currency":null}' WHEN 1 THEN '{"price":"10","currency":"XYZ"}' WHEN 2 THEN '{"price":"on call"}' WHEN 3 THEN '{"price":"5","name":""}' WHEN 4 THEN '{"price":"5","seller":{"id":1}}' ELSE '{"price":"5","currency":"EUR","seller":{"name":"a"}}' END"""
+    offers = F.when(k % 17 == 0, '{"price":"1"}').when(k % 17 == 1, "[5]").otherwise(F.expr(f"concat('[', array_join(transform(filter(array(0, 1, 2), i -> i < event_id % 4), i -> {offer}), ','), ']')"))
+    out = validate.validate_records(ev(spark, d).select("event_id", location.alias("location"), offers.alias("offers")), NESTED)
+    return out.select("event_id", F.array_join("errors", "|").alias("errors"), F.array_join("warnings", "|").alias("warnings"))
+
+
 @query("v02_required_semantic", "SELECT event_id, CASE WHEN event_id % 3 = 2 THEN 'unknown context' WHEN event_id % 23 = 0 THEN 'name is missing' END AS semantic_error FROM ev")
 def v02(spark, d):
     return validate.check_required_semantic(faulty(spark, d)).select("event_id", "semantic_error")
