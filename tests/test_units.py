@@ -1,11 +1,14 @@
 """Readers, writers, streams and the cases that queries do not reach."""
 
 import json
+import random
+import re
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from eventlake.functions import text, times
+from eventlake.functions import matching, text, times
 from eventlake.operators import extract, lookup, normalize, reshape, rules, validate
 from eventlake.operators.rules import Rule
 from eventlake.sources import readers, writers
@@ -117,9 +120,9 @@ def test_jsonld_edge_cases(spark):
     assert sorted((r["id"], r["item"]) for r in got.collect()) == [(1, '{"@type":"Event","name":"a b"}'), (1, '{"@type":"X"}')]
 
 
-@pytest.mark.parametrize("inline", [500, 1])
-def test_gazetteer_of_any_size(spark, monkeypatch, inline):
-    monkeypatch.setattr(lookup, "INLINE_PLACES", inline)
+@pytest.mark.parametrize("constant", [20_000, 0])
+def test_gazetteer_of_any_size(spark, monkeypatch, constant):
+    monkeypatch.setattr(lookup, "CONSTANT_LITERALS", constant)
     places = spark.createDataFrame([(2, "a", "A", 1.5), (1, "b+", "B", None), (2, "(?i)C", "C", 2.5), (3, None, "N", 0.0)], "priority int, pattern string, place string, lat double")
     texts = spark.createDataFrame([(1, "xxabby", "k"), (2, "a c", "k"), (3, "C", "k"), (4, None, "k"), (5, "", None)], "id int, t string, priority string")
     got = lookup.gazetteer_match(texts, "id", "t", places)
@@ -128,6 +131,33 @@ def test_gazetteer_of_any_size(spark, monkeypatch, inline):
     assert lookup.gazetteer_match(texts, "id", "t", places.limit(0)).filter("place is null").count() == 5
 
 
+@pytest.mark.parametrize(("n", "constant"), [(10, 20_000), (300, 20_000), (5_000, 20_000), (300, 0), (5_000, 0)])
+def test_gazetteers_of_literals_words_and_patterns(spark, monkeypatch, n, constant):
+    monkeypatch.setattr(lookup, "CONSTANT_LITERALS", constant)
+    r = random.Random(n)
+    words = ["".join(r.choices("abcd", k=r.randint(2, 5))) for _ in range(60)] + ["é", "a.b", "New York", "new", "york city", "c+"]
+    q = lambda w: re.escape(w).replace("\\ ", " ")
+    make = [q, lambda w: f"(?i){q(w.upper())}", lambda w: rf"\b{q(w)}\b", lambda w: rf"(?i)\b{q(w)}", lambda w: f"{q(w)}|{q(w[::-1])}", lambda w: rf"{q(w)}\b"]
+    patterns = [r.choice(make)(f"{r.choice(words)} {r.choice(words)}"[: r.randint(3, 12)].strip()) for _ in range(n - 4)] + ["[ab]{4}x", "^zz", r"d\d", "a|"[:1] + "q"]
+    texts = [" ".join(r.choices(words + ["NEW YORK", "zz", "d1", "x_y"], k=r.randint(0, 12))) for _ in range(60)] + [None, "", "zz top", "aaaaaaaax"]
+    rows = [(None if i % 9 == 0 else i % 5, t) for i, t in enumerate(texts)]  # null and repeated keys
+    places = spark.createDataFrame([(i // 3, p, f"place {i}") for i, p in enumerate(patterns)], "priority int, pattern string, place string")
+    got = lookup.gazetteer_match(spark.createDataFrame(rows, "key int, t string"), "key", "t", places)
+
+    def best(t):  # as the engine of the patterns, words and case are those of ASCII
+        hits = [(i // 3, p, f"place {i}") for i, p in enumerate(patterns) if t is not None and re.search(p, t, re.ASCII)]
+        return min(hits)[2] if hits else None
+
+    assert sorted(map(str, got.collect())) == sorted(str(Row(key=k, t=t, place=best(t))) for k, t in rows)
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_literals_in_one_scan(spark):
+    literals = ["a", "ab", "abc", "b.c", "é", "xyz"]
+    for t in ("xxabcx", "ab.c", "", "éa", "xy", "a\nab"):
+        assert sorted(one(spark, matching.all_found(F.col("t"), literals), t=t)) == sorted(x for x in literals if x in t)
+
+
 def test_jsonld_positions_do_not_clash(spark):
     many = ",".join('{"@type":"Place","name":"p"}' for _ in range(1_001))
     html = f'<script type="application/ld+json">[{many}]</script><script type="application/ld+json">{{"@type":"Event","name":"first"}}</script><script type="application/ld+json">{{"@type":"Event","name":"second"}}</script>'
