@@ -3,35 +3,12 @@
 from __future__ import annotations
 
 import json
-import os.path
 from collections.abc import Mapping, Sequence
-from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import ascii_lower
-
-
-def _quoted(text: str) -> str:
-    return "".join(c if c.isalnum() or ord(c) > 127 else f"\\x{ord(c):02x}" for c in text)
-
-
-def tree_pattern(literals: Sequence[str]) -> str:
-    """A pattern of the longest of the literals at a place: common beginnings stand once, longer ones are tried first."""
-
-    def grow(rest: list[str]) -> str:
-        longer = [x for x in rest if x]
-        if not longer:
-            return ""
-        branches = []
-        for _, some in groupby(longer, key=lambda x: x[0]):
-            some = list(some)
-            start = os.path.commonprefix([some[0], some[-1]])
-            branches.append(_quoted(start) + grow([x[len(start) :] for x in some]))
-        return f"(?:{'|'.join(branches)})" + ("?" if len(longer) < len(rest) else "")
-
-    return grow(sorted(set(literals)))
+from .text import ascii_lower, tree_pattern
 
 
 def _word(c: str) -> bool:

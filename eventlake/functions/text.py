@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import os.path
 from collections.abc import Sequence
+from html.entities import html5
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Named HTML entities; the ampersand comes last so that nothing is unescaped twice.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&nbsp;": " ", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&rsquo;": "’", "&lsquo;": "‘", "&copy;": "©", "&amp;": "&"}
-
-
 def non_empty(col: Column) -> Column:
     """The value, or null if it is the empty string."""
     return F.nullif(col, F.lit(""))
@@ -61,6 +61,15 @@ def json_value(col: Column, path: str) -> Column:
     return F.to_json(F.try_variant_get(F.try_parse_json(col), path, "variant"))
 
 
+def ascii_json(col: Column) -> Column:
+    """JSON text with every character beyond ASCII as an escape, beyond U+FFFF as two."""
+    code = lambda x: F.lower(F.hex(F.encode(x, "UTF-16BE")))
+    escape = lambda x: F.regexp_replace(code(x), "(.{4})", r"\\u$1")
+    parts = F.regexp_extract_all(col, F.lit(r"[\x00-\x7F]+|[^\x00-\x7F]"), F.lit(0))
+    escaped = F.array_join(F.transform(parts, lambda x: F.when(x.rlike(r"[^\x00-\x7F]"), escape(x)).otherwise(x)), "")
+    return F.when(col.rlike(r"[^\x00-\x7F]"), escaped).otherwise(col)
+
+
 def html_to_text(col: Column, sep: str = "\n") -> Column:
     """Text of a page: comments, scripts and styles go, block ends become sep, tags go, blanks collapse."""
     x = F.regexp_replace(col, r"(?s)<!--.*?-->", "")
@@ -73,17 +82,83 @@ def html_to_text(col: Column, sep: str = "\n") -> Column:
     return F.regexp_replace(x, r"^[ \n]+|[ \n]+$", "")
 
 
+def _quoted(text: str) -> str:
+    return "".join(c if c.isalnum() or ord(c) > 127 else f"\\x{ord(c):02x}" for c in text)
+
+
+def tree_pattern(literals: Sequence[str]) -> str:
+    """A pattern of the longest of the literals at a place: common beginnings stand once, longer ones are tried first."""
+
+    def grow(rest: list[str]) -> str:
+        longer = [x for x in rest if x]
+        if not longer:
+            return ""
+        branches = []
+        for _, some in groupby(longer, key=lambda x: x[0]):
+            some = list(some)
+            start = os.path.commonprefix([some[0], some[-1]])
+            branches.append(_quoted(start) + grow([x[len(start) :] for x in some]))
+        return f"(?:{'|'.join(branches)})" + ("?" if len(longer) < len(rest) else "")
+
+    return grow(sorted(set(literals)))
+
+
+def _code_point(n: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+
+
+def numeric_reference(n: Column) -> Column:
+    """What a numeric character reference stands for: C1 controls are read as Windows-1252, no code point is U+FFFD, and
+    controls and noncharacters are nothing."""
+    windows = {i: bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0)}
+    old = F.element_at(F.array(*[F.lit(windows[i]) for i in range(0x80, 0xA0)]), (n - 0x7F).cast("int"))
+    bad = n.isNull() | (n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+    gone = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(0xFFFE) == 0xFFFE)
+    return F.when(bad, "\ufffd").when(n.between(0x80, 0x9F), old).when(gone, "").otherwise(_code_point(n))
+
+
+def _names() -> tuple[dict[str, dict[str, str]], list[str]]:
+    """The public table of named references by first letter, and the old names that count without a semicolon, too."""
+    by_letter: dict[str, dict[str, str]] = {}
+    for name, char in sorted(html5.items(), key=lambda x: (len(x[0]), x[0])):
+        if name.endswith(";"):
+            by_letter.setdefault(name[0], {})[name[:-1]] = char
+    return by_letter, [x for x in html5 if not x.endswith(";")]
+
+
 def html_unescape(col: Column) -> Column:
-    """Named entities to characters; numeric ones by numeric_entity."""
-    for name, char in ENTITIES.items():
-        col = F.replace(col, F.lit(name), F.lit(char))
-    return col
+    """Character references as characters, each once: named ones of the whole public table, decimal and hexadecimal ones.
+
+    Old names and numbers count without a semicolon, too, as in browsers; what is no reference stays.
+    """
+    by_letter, old = _names()
+    names = F.from_json(F.lit(json.dumps(by_letter)), "map<string,map<string,string>>")
+    lookup = lambda name: F.try_element_at(F.try_element_at(names, F.substring(name, 1, 1)), name)
+
+    def after(part: Column) -> Column:
+        """What follows an ampersand."""
+        decimal, hexadecimal = F.regexp_extract(part, "^#([0-9]+)", 1), F.regexp_extract(part, "^#[xX]([0-9a-fA-F]+)", 1)
+        name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]{0,31});", 1)
+        short = F.regexp_extract(part, f"^({tree_pattern(old)})", 1)
+        rest = lambda n: F.substr(part, F.lit(n + 1) if isinstance(n, int) else n + 1)
+        marked = lambda used: F.regexp_replace(F.substr(part, F.length(used) + 1), "^;", "")
+        number = F.when(F.length(F.ltrim(F.lit("0"), hexadecimal)) <= 8, F.conv(hexadecimal, 16, 10).try_cast("bigint"))
+        return (
+            F.when(decimal != "", F.concat(numeric_reference(decimal.try_cast("bigint")), marked(F.concat(F.lit("#"), decimal))))
+            .when(hexadecimal != "", F.concat(numeric_reference(number), marked(F.concat(F.lit("#x"), hexadecimal))))
+            .when((name != "") & lookup(name).isNotNull(), F.concat(lookup(name), rest(F.length(name) + 1)))
+            .when(short != "", F.concat(lookup(short), rest(F.length(short))))
+            .otherwise(F.concat(F.lit("&"), part))
+        )
+
+    parts = F.split(col, "&")
+    return F.when(col.contains("&"), F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), after), ""))).otherwise(col)
 
 
 def numeric_entity(col: Column) -> Column:
     """Character of a decimal code point; null if it is none."""
     n = col.try_cast("bigint")
-    return F.when(n.between(1, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+    return F.when(n.between(1, 0x10FFFF), _code_point(n))
 
 
 def clean_text(col: Column) -> Column:
@@ -108,6 +183,33 @@ def url_path(col: Column) -> Column:
     return F.regexp_extract(col, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
+def drop_dot_segments(path: Column) -> Column:
+    """A path without . and .. segments: a fold over its segments that keeps those above."""
+    parts, no = F.split(path, "/"), F.array().cast("array<string>")
+    above = lambda a: F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))
+    step = lambda a, x: F.when(x == ".", a).when(x == "..", above(a)).otherwise(F.array_append(a, x))
+    kept = F.array_join(F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), no, step), "/")
+    ended = F.when(path.rlike(r"/\.\.?$") & (kept != ""), F.concat(kept, F.lit("/"))).otherwise(kept)
+    return F.when(path.contains("/."), F.concat(F.lit("/"), ended)).otherwise(path)
+
+
+def resolve_url(base: Column, href: Column) -> Column:
+    """A link of a page as an absolute URL: scheme, host, path or folder of the page's own URL fill what the link lacks.
+
+    Links of schemes without a host, such as mailto, stay; without a host in the base, relative links stay.
+    """
+    scheme, host = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)//", 1), F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(path, "^(.*/)", 1), F.lit("")), F.lit("/"))
+    whole = (
+        F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(scheme, href)).when(href.startswith("/"), F.concat(host, href))
+        .when(href == "", F.regexp_replace(base, "#.*$", "")).when(href.startswith("?"), F.concat(host, path, href)).otherwise(F.concat(host, folder, href))
+    )
+    split = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)([^?#]*)(.*)$"
+    piece = lambda n: F.regexp_extract(whole, split, n)
+    return F.when(href.isNull() | base.isNull() & ~href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(whole.rlike(split) & piece(2).contains("/."), F.concat(piece(1), drop_dot_segments(piece(2)), piece(3))).when((host == "") & ~href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href).otherwise(whole)
+
+
 def url_slug(col: Column) -> Column:
     """Last segment of a URL's path, without query or fragment; null if the path has none."""
     return first_group(F.regexp_replace(url_path(col), "/+$", ""), r"([^/]+)$")

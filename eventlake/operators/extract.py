@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import first_group, url_path, url_slug
+from ..functions.text import first_group, resolve_url, url_path, url_slug
 
 _JSONLD = r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
 
@@ -44,10 +44,9 @@ def extract_meta(html: Column, name: str) -> Column:
 
 
 def extract_links(pages: DataFrame, html: str, base: str, include: str | None = None, exclude: str | None = None, n_segments: int | None = None, strip_query: bool = True) -> DataFrame:
-    """url: distinct links of all pages. Relative ones are resolved against the host of base, fragments go."""
+    """url: distinct links of all pages, resolved against the page's URL in base; fragments go."""
     href = pages.select(F.col(base).alias("base"), F.explode(F.regexp_extract_all(F.col(html), F.lit(r"(?i)href\s*=\s*[\"']([^\"'#]+)"), F.lit(1))).alias("href"))
-    host = F.regexp_extract("base", r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    url = F.when(F.col("href").rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.col("href")).when(F.col("href").startswith("/"), F.concat(host, F.col("href"))).otherwise(F.concat(host, F.lit("/"), F.col("href")))
+    url = resolve_url(F.col("base"), F.trim("href"))
     url = F.regexp_replace(url, r"\?.*$", "") if strip_query else url
     out = href.select(F.regexp_replace(url, "/+$", "").alias("url"))
     if include:
@@ -82,31 +81,43 @@ def repair_json(raw: Column, broken_end: str, suffix: str) -> Column:
     return F.when(F.try_parse_json(fixed).isNotNull(), fixed)
 
 
-def _quoted(x: Column) -> Column:
-    return F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", "")
+#: Stand-ins of brackets that are done with ([, ], {, }) and of those inside strings.
+_DONE, _INSIDE = "\ufdd0\ufdd1\ufdd2\ufdd3", "\ufdd4\ufdd5\ufdd6\ufdd7"
+_STRING = r'"(?:[^"\\]|\\.)*"'
 
 
-def _plain_json(value: Column, depth: int) -> Column:
-    """JSON text of a typed value; what lies deeper than depth, and kinds that are not known, stay as they are."""
-    at = lambda path: F.get_json_object(value, f"$.{path}")
-    texts = F.coalesce(at("stringValue"), at("timestampValue"), at("integerValue"))
-    out = F.when(texts.isNotNull(), _quoted(texts)).when(at("booleanValue").isNotNull(), at("booleanValue")).when(value.rlike(r'^\s*\{\s*"nullValue"'), "null")
-    if depth:
-        values = F.from_json(at("arrayValue.values"), "array<string>")
-        listed = F.concat(F.lit("["), F.array_join(F.transform(values, lambda x: _plain_json(x, depth - 1)), ","), F.lit("]"))
-        entries = F.map_entries(F.from_json(at("mapValue.fields"), "map<string,string>"))
-        mapped = F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), _plain_json(e["value"], depth - 1))), ","), F.lit("}"))
-        out = out.when(at("arrayValue").isNotNull(), F.coalesce(listed, F.lit("[]"))).when(at("mapValue").isNotNull(), F.coalesce(mapped, F.lit("{}")))
-    return out.otherwise(value)
+def _plain_json(value: Column) -> Column:
+    """JSON text of a typed value, at any depth: scalars lose their types at once, then lists and maps from the innermost
+    outwards, as often as brackets are nested; brackets that are done with are replaced, so that each pass sees the next."""
+    for c in _DONE + _INSIDE:  # never in a text but escaped, which is the same
+        value = F.replace(value, F.lit(c), F.lit(f"\\u{ord(c):04x}"))
+    tokens = F.regexp_extract_all(value, F.lit(rf'{_STRING}|[^"]+'), F.lit(0))
+    text = F.array_join(F.transform(tokens, lambda t: F.when(t.startswith('"'), F.translate(t, "[]{}", _INSIDE)).otherwise(t)), "")
+    text = F.regexp_replace(text, rf'\{{"(?:stringValue|timestampValue|integerValue|booleanValue|nullValue)":({_STRING}|[^\[\]{{}},"]+)\}}', "$1")
+    depth = F.aggregate(F.regexp_extract_all(text, F.lit(r"[\[\]{}]"), F.lit(0)), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda a, x: F.struct(
+        (a["now"] + F.when(x.isin("[", "{"), 1).otherwise(-1)).alias("now"), F.greatest(a["most"], a["now"] + 1).alias("most")))["most"]
+    inner, (l, r, m, n) = r"([^\[\]{}]*)", _DONE
+    passes = (
+        (r'\{"arrayValue":\{\}\}', l + r), (r'\{"mapValue":\{\}\}', m + n),
+        (rf'\{{"arrayValue":\{{"values":\[{inner}\]\}}\}}', f"{l}$1{r}"), (rf'\{{"mapValue":\{{"fields":\{{{inner}\}}\}}\}}', f"{m}$1{n}"),
+        (rf'(?<!"arrayValue":\{{"values":)\[{inner}\]', f"{l}$1{r}"), (rf'(?<!"mapValue":\{{"fields":)(?:(?<!"mapValue":)\{{{inner}\}}|\{{(?!"fields":){inner}\}})', f"{m}$1$2{n}"),
+    )
 
+    def once(t: Column) -> Column:
+        for pattern, new in passes:
+            t = F.regexp_replace(t, pattern, new)
+        return t
 
-def unwrap_typed_values(raw: Column, field: str, depth: int = 4) -> Column:
+    return F.translate(F.aggregate(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), text, lambda t, _: once(t)), _DONE + _INSIDE, "[]{}[]{}")
+
+
+def unwrap_typed_values(raw: Column, field: str) -> Column:
     """A document-database value ({"stringValue": ..} and the like) at $.fields.<field> without its types.
 
-    Scalars become plain text; arrays and maps, nested in each other up to depth times, become JSON text. Unknown kinds
-    and what is nested deeper stay as typed JSON; an absent field or a null value is null.
+    Scalars become plain text; arrays and maps, nested in each other to any depth, become JSON text. Unknown kinds stay
+    as typed JSON; an absent field or a null value is null.
     """
     value = F.get_json_object(raw, f"$.fields.{field}")
     at = lambda kind: F.get_json_object(value, f"$.{kind}")
-    nested = F.when(~value.rlike(r'^\s*\{\s*"nullValue"'), _plain_json(value, depth))
+    nested = F.when(~value.rlike(r'^\s*\{\s*"nullValue"'), _plain_json(value))
     return F.coalesce(at("stringValue"), at("timestampValue"), at("booleanValue"), at("integerValue"), nested)

@@ -60,22 +60,57 @@ def apply_defaults(df: DataFrame, patches: DataFrame, fields: Sequence[str], url
     return out.drop("domain", "_keywords", *[f"_{f}" for f in fields])
 
 
+#: A step's new value, or the value and what went wrong: text, null where nothing did.
+Outcome = Column | tuple[Column, Column]
+
+
 @dataclass
 class Step:
-    """One step of a chain: a column's new value, on rows whose URL matches."""
+    """One step of a chain: a column's new value, on rows whose URL matches. A step that can fail gives an error, too."""
 
     column: str
-    value: Callable[[DataFrame], Column]
+    value: Callable[[DataFrame], Outcome]
     url_pattern: str = ".*"
+    name: str | None = None
+
+
+def attempt(value: Column, source: Column, what: str) -> tuple[Column, Column]:
+    """A value that is null where its present source can't be converted, and that as an error."""
+    return value, F.when(source.isNotNull() & value.isNull(), F.concat(F.lit(f"{what}: "), source.cast("string")))
+
 
+def attempt_cast(source: Column, kind: str) -> tuple[Column, Column]:
+    return attempt(source.try_cast(kind), source, f"not a {kind}")
 
-def apply_chain(df: DataFrame, steps: Sequence[Step], url: str = "url") -> DataFrame:
-    """Run steps in order, each on the rows that its pattern selects, and add `modified`: whether any column changed."""
+
+def apply_chain(df: DataFrame, steps: Sequence[Step], url: str = "url", errors: str | None = None) -> DataFrame:
+    """Run steps in order, each on the rows that its pattern selects, and add `modified`: whether any column changed.
+
+    A step that fails on a row leaves the row as it was, and later steps go on. With errors, a column of that name has
+    the failures of each row in order, as "step: error".
+    """
     touched = list(dict.fromkeys(s.column for s in steps))
     out = df.withColumns({f"_old_{c}": F.col(c) for c in touched})
-    for s in steps:
-        out = out.withColumn(s.column, F.when(F.col(url).rlike(s.url_pattern), s.value(out)).otherwise(F.col(s.column)))
+    failed = []
+    for i, s in enumerate(steps):
+        got = s.value(out)
+        value, error = got if isinstance(got, tuple) else (got, None)
+        here = F.col(url).rlike(s.url_pattern)
+        if error is not None:
+            out = out.withColumn(f"_error_{i}", F.when(here, error))
+            failed.append((i, s.name or s.column))
+            here = here & F.col(f"_error_{i}").isNull()
+        out = out.withColumn(s.column, F.when(here, value).otherwise(F.col(s.column)))
     changed = F.lit(False)
     for c in touched:
         changed = changed | ~F.col(c).eqNullSafe(F.col(f"_old_{c}"))
-    return out.withColumn("modified", changed).drop(*[f"_old_{c}" for c in touched])
+    out = out.withColumn("modified", changed)
+    if errors:
+        told = [F.concat(F.lit(f"{name}: "), F.col(f"_error_{i}")) for i, name in failed]
+        out = out.withColumn(errors, F.array_compact(F.array(*told)) if told else F.array().cast("array<string>"))
+    return out.drop(*[f"_old_{c}" for c in touched], *[f"_error_{i}" for i, _ in failed])
+
+
+def count_errors(df: DataFrame, errors: str = "errors") -> DataFrame:
+    """How many rows each step failed on: step, n."""
+    return df.select(F.explode(errors).alias("error")).groupBy(F.substring_index("error", ": ", 1).alias("step")).agg(F.count("*").alias("n"))

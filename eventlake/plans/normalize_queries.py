@@ -138,3 +138,28 @@ def n19(spark, d):
         normalize.Step("location_name", lambda df: F.lit("Elsewhere"), "src1"),
     ]
     return normalize.apply_chain(ev(spark, d), steps).select("event_id", "name", "location_name", "modified")
+
+
+@query("n19_chain_errors", """SELECT event_id, CASE WHEN event_id % 6 > 1 THEN event_id % 50 END AS seats, CASE WHEN contains(url, '//www.') AND event_id % 6 > 1 THEN upper(name) ELSE name END || CASE WHEN event_id % 5 = 0 THEN '' ELSE '!' END AS name,
+array_to_string(list_filter([CASE WHEN event_id % 6 = 0 THEN 'seats: not a int: many' END, CASE WHEN contains(url, '//www.') AND event_id % 6 < 2 THEN 'shout: no seats' END, CASE WHEN event_id % 5 = 0 THEN 'mark: not a date: 2026-13-' || event_id END], lambda x: x IS NOT NULL), '|') AS errors,
+event_id % 6 > 1 OR event_id % 5 > 0 AS modified FROM ev""")
+def n19_errors(spark, d):
+    raw = F.when(F.col("event_id") % 6 == 0, "many").when(F.col("event_id") % 6 > 1, (F.col("event_id") % 50).cast("string"))
+    day = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("2026-13-"), F.col("event_id").cast("string"))).otherwise("2026-01-02")
+    steps = [
+        normalize.Step("seats", lambda df: normalize.attempt_cast(F.col("raw"), "int")),
+        normalize.Step("name", lambda df: (F.upper("name"), F.when(F.col("seats").isNull(), "no seats")), "//www[.]", "shout"),
+        normalize.Step("name", lambda df: (F.concat("name", F.lit("!")), normalize.attempt_cast(F.col("day"), "date")[1]), name="mark"),
+    ]
+    df = ev(spark, d).withColumns({"raw": raw, "day": day, "seats": F.lit(None).cast("int")})
+    out = normalize.apply_chain(df, steps, errors="errors")
+    return out.select("event_id", "seats", "name", F.array_join("errors", "|").alias("errors"), "modified")
+
+
+@query("n19_count_errors", "SELECT 'seats' AS step, count(*) AS n FROM ev WHERE event_id % 6 = 0 HAVING count(*) > 0 UNION ALL SELECT 'late', count(*) FROM ev WHERE end_ts IS NULL HAVING count(*) > 0")
+def n19_count(spark, d):
+    steps = [
+        normalize.Step("seats", lambda df: normalize.attempt_cast(F.when(F.col("event_id") % 6 == 0, "x").otherwise("1"), "int")),
+        normalize.Step("end_ts", lambda df: (F.col("end_ts") + F.expr("INTERVAL 1 HOUR"), F.when(F.col("end_ts").isNull(), "no end")), name="late"),
+    ]
+    return normalize.count_errors(normalize.apply_chain(ev(spark, d).withColumn("seats", F.lit(0)), steps, errors="errors"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..functions import nested, text, times
@@ -53,6 +55,25 @@ def k08(spark, d):
     return ev(spark, d).filter(whole.ilike("%SRC3%") | whole.ilike("%#000000001%")).select("event_id")
 
 
+RECORD_RULES = [
+    Rule(1, "tag", "name LIKE 'AUTO%'", "SCREENING-Ü"),
+    Rule(2, "tag", "lower(record) LIKE '%screening-%'", "FILM"),
+    Rule(3, "type", "record LIKE '%SCREENING-_u00dc%' AND location_name LIKE '%1'", "ScreeningEvent"),
+    Rule(4, "set", "m_2", fields={"organizer": "upper(concat(organizer, ' ', location_name))"}, needs=(2,)),
+    Rule(5, "tag", "record LIKE '%\"type\":\"ScreeningEvent\"%'", "TYPED"),
+    Rule(6, "delete", "record LIKE '%FILM%' AND record LIKE '%NATION_13%'"),
+    Rule(7, "tag", "record LIKE '%/e/7%' AND NOT m_2 AND lat <> 0", "SEVEN", needs=(2,)),
+    Rule(8, "tag", "record LIKE '%\"keywords\":[%\"SEVEN\"]%'", "LAST"),
+]
+
+
+@query("k08_record_rules", """, r AS (SELECT *, name LIKE 'AUTO%' AND keywords IS NOT NULL AS a FROM ev), s AS (SELECT *, a AND location_name LIKE '%1' AS t, NOT a AND contains(url, '/e/7') AND lat <> 0 AS v FROM r)
+SELECT event_id, CASE WHEN t THEN 'ScreeningEvent' ELSE type END AS type, CASE WHEN a THEN upper(organizer || ' ' || location_name) ELSE organizer END AS organizer,
+array_to_string(CASE WHEN keywords IS NOT NULL THEN list_concat(keywords, list_filter([CASE WHEN a THEN 'SCREENING-Ü' END, CASE WHEN a THEN 'FILM' END, CASE WHEN t THEN 'TYPED' END, CASE WHEN v THEN 'SEVEN' END, CASE WHEN v THEN 'LAST' END], lambda x: x IS NOT NULL)) END, '|') AS keywords FROM s WHERE NOT (a AND location_name = 'NATION_13')""")
+def k08_rules(spark, d):
+    return rules.apply_rules(ev(spark, d), RECORD_RULES).select("event_id", "type", "organizer", F.array_join("keywords", "|").alias("keywords"))
+
+
 @query("k09_not_tagged", "SELECT event_id FROM ev WHERE NOT list_contains(keywords, 'BUILDING')")
 def k09(spark, d):
     return ev(spark, d).filter(~F.array_contains("keywords", "BUILDING")).select("event_id")
@@ -119,6 +140,28 @@ def k14(spark, d):
     return rules.apply_rules(ev(spark, d), rule_table()).select("event_id", "organizer", "location_name", "type", F.array_join("keywords", "|").alias("keywords"))
 
 
+def literal_rules() -> list[Rule]:
+    """47 rules with some 400 literals: substrings of names, hosts and organizers, and whole place names."""
+    some = lambda make, i, n: [make(i * n + j) for j in range(n)]
+    out = [Rule(1, "delete", any_of={"organizer": ["#000000007", "#000000011"]}), Rule(2, "delete", "lat = 0", equals={"location_name": ["nation_3", "nation_4", "NATION_5"]})]
+    out += [Rule(3 + i, "tag", any_of={"organizer": some(lambda x: f"#{x * 7 % 900:09d}", i, 12)}, value=f"ORG{i}") for i in range(15)]
+    out += [Rule(18 + i, "tag", any_of={"name": some(lambda x: ("machine", "build", "house", "auto", "urgent", "low", "high", "spec", "furn", "medium")[x % 10] + "y r "[x % 4].strip(), i, 6)}, value=f"NAME{i}") for i in range(10)]
+    out += [Rule(28 + i, "tag", "lat > 12.9", any_of={"url": some(lambda x: f"src{x % 5}.example.org/e/{x}", i, 8)}, value=f"URL{i}") for i in range(9)]
+    out += [Rule(37 + i, "tag", equals={"location_name": some(lambda x: f"nation_{x % 27}", i, 6)}, value=f"AT{i}") for i in range(9)]
+    return [*out, Rule(46, "type", "m_18", "BusinessEvent", needs=(18,), any_of={"name": ["auto", "automobile"]}), Rule(47, "tag", "m_46 AND NOT m_37", "BOTH", needs=(37, 46))]
+
+
+def _spelled(r: Rule) -> Rule:
+    """The rule with its lists written out in the predicate."""
+    parts = [r.predicate, *["(" + " OR ".join(f"contains(lower({c}), '{x}')" for x in some) + ")" for c, some in r.any_of.items()], *[f"lower({c}) IN ({', '.join(repr(x) for x in some)})" for c, some in r.equals.items()]]
+    return replace(r, predicate=" AND ".join(parts), any_of={}, equals={})
+
+
+@query("k14_literal_rules", rules_sql([_spelled(r) for r in literal_rules()]).removeprefix(EV_SQL))
+def k14_literals(spark, d):
+    return rules.apply_rules(ev(spark, d), literal_rules()).select("event_id", "organizer", "location_name", "type", F.array_join("keywords", "|").alias("keywords"))
+
+
 @query("k15_explode_offers", "SELECT l_orderkey, CAST(trunc(l_extendedprice) AS INTEGER) AS price_int FROM lineitem WHERE trunc(l_extendedprice) >= 999 AND l_linenumber % 5 <> 4")
 def k15(spark, d):
     price = F.when(F.col("l_linenumber") % 5 == 4, "on request").otherwise(F.col("l_extendedprice").cast("string"))

@@ -52,6 +52,19 @@ def s03(spark, d):
     return readers.read_ics(spark, path).select("uid", "name", F.date_format("begin", STAMP).alias("begin_text"), F.date_format("end", STAMP).alias("end_text"), F.size("categories").alias("n_categories"), "description")
 
 
+@query("s03_ics_zones", """SELECT 'z-' || event_id AS uid, strftime(CASE event_id % 6 WHEN 1 THEN ts - INTERVAL 330 MINUTE WHEN 2 THEN ts - INTERVAL 345 MINUTE WHEN 3 THEN ts - INTERVAL 330 MINUTE WHEN 4 THEN ts - INTERVAL 240 MINUTE WHEN 5 THEN date_trunc('day', ts) ELSE ts END, '%Y-%m-%d %H:%M:%S') AS begin_text,
+CASE WHEN event_id % 3 > 0 THEN strftime(CASE event_id % 6 WHEN 1 THEN ts - INTERVAL 330 MINUTE WHEN 2 THEN ts - INTERVAL 345 MINUTE WHEN 3 THEN ts - INTERVAL 330 MINUTE WHEN 4 THEN ts - INTERVAL 240 MINUTE WHEN 5 THEN date_trunc('day', ts) ELSE ts END + INTERVAL 95 MINUTE, '%Y-%m-%d %H:%M:%S') END AS end_text, event_id % 6 = 5 AS all_day FROM events""")
+def s03_zones(spark, d):
+    k, at = F.col("event_id") % 6, F.date_format("ts", "yyyyMMdd'T'HHmmss")
+    start = F.when(k == 0, F.concat(F.lit(":"), at, F.lit("Z"))).when(k == 1, F.concat(F.lit(";TZID=Asia/Kolkata:"), at)).when(k == 2, F.concat(F.lit(';X-A="a:b";TZID="Asia/Kathmandu":'), at)).when(k == 3, F.concat(F.lit(";TZID=India Standard Time:"), at))
+    start = start.when(k == 4, F.concat(F.lit(";TZID=Nowhere/Known:"), at)).otherwise(F.concat(F.lit(";VALUE=DATE:"), F.substring(at, 1, 8)))
+    body = F.concat(F.lit("BEGIN:VEVENT\r\nUID:z-"), F.col("event_id").cast("string"), F.lit("\r\nDTSTART"), start, F.when(F.col("event_id") % 3 > 0, "\r\nDURATION:PT1H35M").otherwise(""), F.lit("\r\nEND:VEVENT\r\n"))
+    path = scratch(spark)
+    write_files(read(spark, d, "events").select("event_id", F.pmod(F.xxhash64("event_id"), F.lit(8)).alias("calendar"), body.alias("body")), "calendar", "event_id", "body", path, "", ("BEGIN:VCALENDAR\r\n", "END:VCALENDAR\r\n"))
+    out = readers.read_ics(spark, path, assume_zone="+05:30", fallback_zone="+04:00", zone_names={"India Standard Time": "Asia/Kolkata"})
+    return out.select("uid", F.date_format("begin", STAMP).alias("begin_text"), F.date_format("end", STAMP).alias("end_text"), "all_day")
+
+
 @query("s04_feed", "SELECT p_brand AS feed, nth, p_name AS title, 'https://example.org/' || p_partkey AS link FROM (SELECT *, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS INTEGER) AS nth FROM part) WHERE nth <= 5")
 def s04(spark, d):
     entry = F.concat(F.lit("<entry><title>"), F.col("p_name"), F.lit('</title><link href="https://example.org/'), F.col("p_partkey").cast("string"), F.lit('"/><content type="html">x</content></entry>'))
@@ -114,6 +127,28 @@ def s10(spark, d):
     return read(spark, d, "events").select("event_id", *[extract.unwrap_typed_values(raw, f).alias(f) for f in ("kind", "n", "tags", "place", "gone")])
 
 
+def _typed_levels(kind: str, n: int) -> tuple[str, str]:
+    """A typed value around a text, and the same without types: maps and lists in each other, n levels deep, with neighbours."""
+    typed, plain = '{"stringValue":"' + kind + '"}', '"' + kind + '"'
+    for i in range(n):
+        if i % 2:
+            typed = '{"arrayValue":{"values":[{"integerValue":"' + str(i) + '"},' + typed + ',{"mapValue":{}},{"nullValue":null}]}}'
+            plain = '["' + str(i) + '",' + plain + ",{},null]"
+        else:
+            typed = '{"mapValue":{"fields":{"[k' + str(i) + '}":' + typed + ',"none":{"arrayValue":{}},"spot":{"geoPointValue":{"latitude":1.5}}}}}'
+            plain = '{"[k' + str(i) + '}":' + plain + ',"none":[],"spot":{"geoPointValue":{"latitude":1.5}}}'
+    return typed, plain
+
+
+@query("s10_typed_values_deep", f"SELECT event_id, replace('{_typed_levels('@', 12)[1]}', '@', event_type) AS whole, event_id % 2 = 0 AS flag, replace('{_typed_levels('@', 3)[1]}', '@', CAST(event_id AS VARCHAR)) AS small FROM events")
+def s10_deep(spark, d):
+    deep = F.replace(F.lit(_typed_levels("@", 12)[0]), F.lit("@"), F.col("event_type"))
+    small = F.replace(F.lit(_typed_levels("@", 3)[0]), F.lit("@"), F.col("event_id").cast("string"))
+    raw = F.concat(F.lit('{"fields":{"whole":'), deep, F.lit(',"flag":{"booleanValue":'), (F.col("event_id") % 2 == 0).cast("string"), F.lit('},"small":'), small, F.lit("}}"))
+    whole, flag, inner = (extract.unwrap_typed_values(raw, f) for f in ("whole", "flag", "small"))
+    return read(spark, d, "events").select("event_id", whole.alias("whole"), (flag == "true").alias("flag"), inner.alias("small"))
+
+
 def ld_pages(spark, d):
     """Pages with JSON-LD blocks made from parts: one object, an array of two, a graph, or broken JSON."""
     item = F.concat(F.lit('{"@type":"Event","name":"'), F.col("p_name"), F.lit('"}'))
@@ -146,6 +181,22 @@ def x04(spark, d):
     return extract.extract_links(read(spark, d, "pages"), "html", "url", include="^https?://", exclude="://[^/]*/.*de", n_segments=1)
 
 
+#: Links of every form, as they stand on the page https://h.org/a/b/c.html?x=1, and what they lead to.
+LINKS = {
+    "//cdn.org/x": "https://cdn.org/x", "d.html": "https://h.org/a/b/d.html", "../e": "https://h.org/a/e", "../../../../f": "https://h.org/f", "/g/./h/../i": "https://h.org/g/i", "./": "https://h.org/a/b",
+    "?q=2": "https://h.org/a/b/c.html", "http://o.org/a/../b?y=../z": "http://o.org/b", "mailto:a@b.c": "mailto:a@b.c", "j/k.html?l=/../m": "https://h.org/a/b/j/k.html", " n/../ ": "https://h.org/a/b", "o/.p": "https://h.org/a/b/o/.p",
+}
+
+
+@query("x04_resolve_links", "SELECT DISTINCT replace(target, 'h.org/', 'h.org/' || page_id || '/') AS url FROM pages, (VALUES " + ", ".join(f"({i}, '{v}')" for i, v in enumerate(LINKS.values())) + ") t(i, target) WHERE (page_id + i) % 3 > 0")
+def x04_resolve(spark, d):
+    k = F.col("page_id")
+    folder = F.concat(F.lit("/"), k.cast("string"), F.lit("/"))
+    links = [F.when((k + i) % 3 > 0, F.concat(F.lit("<a href='"), F.replace(F.lit(x), F.lit("/g/"), F.concat(folder, F.lit("g/"))) if x.startswith("/g") else F.replace(F.lit(x), F.lit("../../../../f"), F.concat(F.lit("../../../.."), folder, F.lit("f"))), F.lit("'>"))) for i, x in enumerate(LINKS)]
+    pages = read(spark, d, "pages").select(F.concat(F.lit("https://h.org"), folder, F.lit("a/b/c.html?x=1")).alias("url"), F.concat_ws(" ", *links).alias("html"))
+    return extract.extract_links(pages, "html", "url")
+
+
 _TEXT = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?is)<(script|style)\b.*?</(script|style)\s*>', '', 'g'), '(?i)<br\s*/?>|</(p|div|li|h[1-6]|tr|ul|ol|table|section|article|header|footer|title)\s*>', chr(10), 'g'), '<[^>]*>', '', 'g'), '[ \t\r\f]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), '\n+', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g')"""
 
 
@@ -154,9 +205,20 @@ def x05(spark, d):
     return read(spark, d, "pages").select("page_id", text.html_to_text(F.col("html")).alias("plain"))
 
 
+#: Character references of every kind and what they stand for.
+REFERENCES = {
+    "caf&eacute;": "café", "&#8217;": "’", "&#x27;": "'", "&euro;5": "€5", "&amp;lt;": "&lt;", "&lt;&gt;": "<>", "&notin;&notit;": "∉¬it;", "&copy 2": "© 2", "&#x1F600;": "😀", "&#128;&#0;": "€\ufffd", "&unknown; &;&": "&unknown; &;&",
+    "&NotEqualTilde;": "≂̸", "a&#10b": "a\nb", "&#x110000;&#55296;": "\ufffd\ufffd", "&#1;.": ".", "&AMP;amp;": "&amp;", "&#xZZ;": "&#xZZ;",
+}
+
+
+def _sql(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
 def _unescape_sql(x: str) -> str:
-    for name, char in text.ENTITIES.items():
-        x = f"replace({x}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
+    for name, char in {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&copy;": "©", "&middot;": "·", "&amp;": "&"}.items():
+        x = f"replace({x}, '{name}', '{char}')"
     return x
 
 
@@ -165,6 +227,13 @@ def x06(spark, d):
     return read(spark, d, "pages").select("page_id", F.md5(text.html_unescape(F.col("html"))).alias("digest"), text.numeric_entity((F.col("page_id") % 9000 + 33).cast("string")).alias("letter"))
 
 
+@query("x06_unescape_references", f"SELECT p_partkey, p_name || ' ' || plain || ' ' || p_brand || ' ' || chr(CAST(256 + p_partkey % 50000 AS INTEGER)) AS plain FROM part JOIN (VALUES {', '.join(f'({i}, {_sql(x)})' for i, x in enumerate(REFERENCES.values()))}) t(i, plain) ON i = p_partkey % {len(REFERENCES)}")
+def x06_references(spark, d):
+    raw = F.element_at(F.array(*map(F.lit, REFERENCES)), (F.col("p_partkey") % len(REFERENCES) + 1).cast("int"))
+    number = F.concat(F.lit("&#"), (256 + F.col("p_partkey") % 50000).cast("string"), F.lit(";"))
+    return read(spark, d, "part").select("p_partkey", text.html_unescape(F.concat_ws(" ", "p_name", raw, "p_brand", number)).alias("plain"))
+
+
 @query("x07_extract_script_json", "SELECT event_id, CAST(i AS INTEGER) AS pos, CASE i WHEN 0 THEN json_extract_string(props, '$.k') END AS k FROM (SELECT *, unnest([0, 1]) AS i FROM events WHERE event_id % 3 <> 0)")
 def x07(spark, d):
     tag = F.when(F.col("event_id") % 3 == 0, "<script id='other'>").otherwise("<script id='__DATA__' type='application/json'>")

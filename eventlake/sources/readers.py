@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,27 +55,60 @@ def read_url_lists(spark: SparkSession, path: str) -> DataFrame:
     return cut_at_blank(rows, "file", "line_no", "url")
 
 
-def parse_ics(df: DataFrame, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per VEVENT of calendar texts: uid, name, begin, end, description, url, location, categories, attach."""
+def ics_time(value: Column, parameters: Column, assume_zone: str = "UTC", fallback_zone: str | None = None, zone_names: Mapping[str, str] | None = None) -> Column:
+    """The instant of a calendar's date property; null if it is none.
+
+    Z is UTC, TZID names a zone (under the names of zone_names, too) and a zone of an unknown name is fallback_zone; a time
+    without either is in assume_zone, which is also the default fallback. A date is midnight, whatever the zone.
+    """
+    named = first_group(parameters, '(?i);TZID="?([^";:]+)')
+    if zone_names:
+        known = F.create_map(*[F.lit(x) for kv in zone_names.items() for x in kv])
+        named = F.coalesce(F.try_element_at(known, named), named)
+    local = F.try_to_timestamp(F.regexp_replace(value, "Z$", ""), F.lit("yyyyMMdd'T'HHmmss"))
+    in_zone = F.try_to_timestamp(F.concat_ws(" ", value, named), F.lit("yyyyMMdd'T'HHmmss VV"))
+    away = F.coalesce(in_zone, F.to_utc_timestamp(local, fallback_zone or assume_zone))
+    instant = F.when(value.endswith("Z"), local).when(named.isNotNull(), away).otherwise(F.to_utc_timestamp(local, assume_zone))
+    return F.coalesce(instant, F.try_to_timestamp(value, F.lit("yyyyMMdd")))
+
+
+def ics_seconds(duration: Column) -> Column:
+    """Seconds of a duration such as P1DT2H or -PT15M; null if it is none."""
+    parts = r"^([+-]?)P(?:([0-9]+)W)?(?:([0-9]+)D)?(?:T(?:([0-9]+)H)?(?:([0-9]+)M)?(?:([0-9]+)S)?)?$"
+    total = F.lit(0).cast("bigint")
+    for group, unit in ((2, 604_800), (3, 86_400), (4, 3_600), (5, 60), (6, 1)):
+        total = total + F.coalesce(first_group(duration, parts, group).try_cast("bigint"), F.lit(0)) * unit
+    return F.when(duration.rlike(parts), F.when(duration.startswith("-"), -total).otherwise(total))
+
+
+def parse_ics(df: DataFrame, text: str, keep: tuple[str, ...] = (), assume_zone: str = "UTC", fallback_zone: str | None = None, zone_names: Mapping[str, str] | None = None) -> DataFrame:
+    """One row per VEVENT of calendar texts: uid, name, begin, end, all_day, description, url, location, categories, attach.
+
+    begin and end are instants, read as ics_time says; all_day tells that the event begins on a date. Without an end
+    the duration gives it.
+    """
     flat = F.regexp_replace(text, "\r?\n[ \t]", "")
     parts = F.split(flat, "BEGIN:VEVENT")
     events = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
     rows = df.select(*keep, F.explode(F.transform(events, lambda e: F.substring_index(e, "END:VEVENT", 1))).alias("e"))
-    get = lambda k: F.trim(first_group(F.col("e"), rf"(?md)^{k}(?:;[^:\n]*)?:([^\r\n]*)"))
+    line = lambda k: rf'(?md)^{k}((?:;(?:"[^"\n]*"|[^":\n])*)?):([^\r\n]*)'
+    get = lambda k, group=2: F.trim(first_group(F.col("e"), line(k), group))
     plain = lambda c: F.replace(F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\,"), F.lit(",")), F.lit("\\;"), F.lit(";"))
-    when = lambda c: F.coalesce(F.try_to_timestamp(F.regexp_replace(c, "Z$", ""), F.lit("yyyyMMdd'T'HHmmss")), F.try_to_timestamp(c, F.lit("yyyyMMdd")))
-    lists = F.regexp_extract_all("e", F.lit(r"(?md)^ATTACH(?:;[^:\n]*)?:([^\r\n]*)"), F.lit(1))
+    when = lambda k: ics_time(get(k), get(k, 1), assume_zone, fallback_zone, zone_names)
+    begin = when("DTSTART")
+    end = F.coalesce(when("DTEND"), F.timestamp_micros(F.unix_micros(begin) + ics_seconds(get("DURATION")) * 1_000_000))
+    lists = F.regexp_extract_all("e", F.lit(line("ATTACH")), F.lit(2))
     return rows.select(
-        *keep, get("UID").alias("uid"), plain(get("SUMMARY")).alias("name"), when(get("DTSTART")).alias("begin"), when(get("DTEND")).alias("end"),
+        *keep, get("UID").alias("uid"), plain(get("SUMMARY")).alias("name"), begin.alias("begin"), end.alias("end"), get("DTSTART").rlike("^[0-9]{8}$").alias("all_day"),
         plain(get("DESCRIPTION")).alias("description"), get("URL").alias("url"), plain(get("LOCATION")).alias("location"),
         F.coalesce(F.split(get("CATEGORIES"), ","), F.array().cast("array<string>")).alias("categories"), lists.alias("attach"),
     )
 
 
-def read_ics(spark: SparkSession, path: str) -> DataFrame:
+def read_ics(spark: SparkSession, path: str, **zones) -> DataFrame:
     """parse_ics over every calendar file of a folder."""
     files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    return parse_ics(files, "value", ("file",))
+    return parse_ics(files, "value", ("file",), **zones)
 
 
 def read_feed(spark: SparkSession, path: str, n: int = 5) -> DataFrame:

@@ -1,8 +1,11 @@
 """Readers, writers, streams and the cases that queries do not reach."""
 
+import html
+import html.entities
 import json
 import random
 import re
+from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import Row
@@ -188,7 +191,54 @@ def test_shapes(spark):
         assert one(spark, validate.fits(F.try_parse_json(F.col("x")), place), x=raw) is want, raw
     rows = spark.createDataFrame([(1, '["a"]'), (2, '["a", 1]'), (3, None), (4, "{broken")], "id int, image string")
     out = validate.validate_records(rows, validate.Checks(shapes={"image": validate.Shape(("array",), items=validate.Shape(("string",)))}))
-    assert {r["id"]: r["errors"] for r in out.collect()} == {1: [], 2: ["image is of a wrong type"], 3: [], 4: []}
+    assert {r["id"]: r["errors"] for r in out.collect()} == {1: [], 2: ["image[1] is of a wrong type"], 3: [], 4: []}
+
+
+def told(value, shape, path):
+    """faults() row by row."""
+    kind = {str: "string", bool: "boolean", dict: "object", list: "array", type(None): "null"}.get(type(value), "number")
+    out = []
+    if shape.types and kind not in shape.types and not ("integer" in shape.types and kind == "number" and value == int(value)):
+        out.append((path, "type"))
+    if shape.enum and not any(x == value and type(x) is type(value) for x in shape.enum):
+        out.append((path, "enum"))
+    if shape.pattern and kind == "string" and not re.search(shape.pattern, value):
+        out.append((path, "pattern"))
+    if shape.min_length and kind == "string" and len(value) < shape.min_length:
+        out.append((path, "minLength"))
+    if kind == "object":
+        out += [(f"{path}.{x}", "required") for x in shape.required if x not in value]
+        for x, own in shape.properties.items():
+            out += told(value[x], own, f"{path}.{x}") if x in value else []
+    if shape.items and kind == "array":
+        for i, x in enumerate(value):
+            out += told(x, shape.items, f"{path}[{i}]")
+    if shape.any_of and all(told(value, own, path) for own in shape.any_of):
+        out.append((path, "anyOf"))
+    return out
+
+
+def test_faults_at_every_depth(spark):
+    r, S = random.Random(7), validate.Shape
+    leaf = [S(("string",), pattern="^a", min_length=2), S(("integer", "null")), S(enum=("a", 1, None, True)), S(("number", "string"))]
+    shape = S(("object",), required=("a", "b"), properties={
+        "a": S(("array",), items=S(("object", "string"), required=("c",), properties={"c": leaf[0], "d": leaf[1], "e": S(("array",), items=leaf[2])}, min_length=3)),
+        "b": S(any_of=(leaf[0], S(("object",), required=("x",), properties={"x": leaf[3]}), S(("array",), items=leaf[1]))),
+    })
+
+    def value(depth):
+        k = r.random()
+        if depth and k < 0.45:
+            return {x: value(depth - 1) for x in r.sample("abcdex", r.randint(0, 5))}
+        if depth and k < 0.7:
+            return [value(depth - 1) for _ in range(r.randint(0, 3))]
+        return r.choice(["a", "ab", "b", "", 1, 2.5, True, None, "é"])
+
+    values = [value(4) for _ in range(300)] + [{"a": [{"c": "xb", "e": [1, 2]}, "ab"], "b": {"x": []}}, {}]
+    df = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(values)], "i int, raw string")
+    got = {x["i"]: [tuple(f) for f in x["f"]] for x in df.select("i", validate.faults(F.try_parse_json("raw"), shape, F.lit("$")).alias("f")).collect()}
+    assert got == {i: told(x, shape, "$") for i, x in enumerate(values)}
+    assert {k for x in got.values() for p, k in x if p.count(".") + p.count("[") >= 2} >= {"required", "type", "enum", "pattern", "minLength"}
 
 
 def test_typed_values(spark):
@@ -199,8 +249,101 @@ def test_typed_values(spark):
     want = {"a": "{}", "b": "[]", "c": '{"doubleValue":1.5}', "e": None, "f": None}
     for name, value in want.items():
         assert one(spark, extract.unwrap_typed_values(F.col("x"), name), x=raw) == value, name
-    assert "end" in one(spark, extract.unwrap_typed_values(F.col("x"), "d"), x=raw)  # deeper than depth: kept as it is
-    assert one(spark, extract.unwrap_typed_values(F.col("x"), "d", 6), x=raw) == '[[[[[["end"]]]]]]'
+    assert one(spark, extract.unwrap_typed_values(F.col("x"), "d"), x=raw) == '[[[[[["end"]]]]]]'
+
+
+def test_random_typed_values(spark):
+    r = random.Random(9)
+
+    def make(depth):
+        """A typed value and its plain one."""
+        k = r.random() if depth else 1
+        keys = r.sample(["a", "fields", "values", "mapValue", "stringValue", "x{[", 'q"', "\\", "\ufdd1"], r.randint(0, 3))
+        if k < 0.4:
+            inner = {x: make(depth - 1) for x in keys}
+            return {"mapValue": {"fields": {x: t for x, (t, _) in inner.items()}} if inner or r.random() < 0.5 else {}}, {x: p for x, (_, p) in inner.items()}
+        if k < 0.8:
+            inner = [make(depth - 1) for _ in range(r.randint(0, 3))]
+            return {"arrayValue": {"values": [t for t, _ in inner]} if inner or r.random() < 0.5 else {}}, [p for _, p in inner]
+        if k < 0.85:
+            return {"geoPointValue": {"latitude": 1.5, "of": [1, {"b": 2}]}}, {"geoPointValue": {"latitude": 1.5, "of": [1, {"b": 2}]}}
+        kind, x = r.choice([("stringValue", r.choice(["", 'a"b', "]}}", '{"mapValue":{}}', "é\\", "\ufdd4\ufdd0"])), ("integerValue", "12"), ("booleanValue", True), ("nullValue", None), ("timestampValue", "2026-01-01T00:00:00Z")])
+        return {kind: x}, x
+
+    cases = [make(r.randint(1, 14)) for _ in range(150)]
+    df = spark.createDataFrame([(i, json.dumps({"fields": {"v": t}}, ensure_ascii=i % 2 == 0)) for i, (t, _) in enumerate(cases)], "i int, raw string")
+    got = {x["i"]: x["v"] for x in df.select("i", extract.unwrap_typed_values(F.col("raw"), "v").alias("v")).collect()}
+    for i, (t, plain) in enumerate(cases):
+        if isinstance(plain, (dict, list)):
+            assert json.loads(got[i]) == plain, t
+        else:
+            assert got[i] == {True: "true", None: None}.get(plain, plain), t
+
+
+def test_links_resolve_as_the_standard_says(spark):
+    parts = ["a", "b.html", ".", "..", "", "...", ".c", "d..", "e;f"]
+    r, cases = random.Random(3), []
+    for _ in range(600):
+        base = r.choice(["https://h.org", "http://h.org:80/", "https://h.org/a/b/c.html?x=/../y", "https://h.org/a/", "https://u@h.org/a?b"])
+        href = r.choice(["", "/", "//o.org/", "?q=", "http://o.org/", "https://o.org"]) + "/".join(r.choices(parts, k=r.randint(1, 5))) + r.choice(["", "?q=/../a"])
+        cases.append((base, href))
+    cases += [("https://h.org/a", "mailto:x@y"), ("https://h.org/a", "?"), ("https://h.org", "x")]
+    df = spark.createDataFrame(cases, "base string, href string")
+    tidy = lambda x: re.sub("/+$", "", x.removesuffix("?"))
+    for row in df.select("base", "href", text.resolve_url(F.col("base"), F.col("href")).alias("url")).collect():
+        if "//" not in row["href"].removeprefix("//").removeprefix("http://").removeprefix("https://") and not row["href"].startswith("///"):  # empty segments are kept by us
+            whole = re.match("(https?:)?(//[^/?#]*)(.*)", row["href"])  # the library leaves dots in links with a host
+            assert tidy(row["url"]) == tidy(urljoin(*(((whole[1] or row["base"].split("/")[0]) + whole[2], whole[3]) if whole else (row["base"], row["href"])))), row
+    assert df.limit(1).select(text.resolve_url(F.lit(None).cast("string"), F.lit("a/b"))).first()[0] == "a/b"
+
+
+def test_references_unescape_as_in_browsers(spark):
+    r = random.Random(4)
+    names = list(html.entities.html5)
+    bits = ["&", ";", "#", "x", "amp", "lt;", "copy", "notit;", " ", "1", "é", "&#", "&#x", "&amp;"]
+    cases = [f"&{x}" for x in names] + [f"&{x}z" for x in names if not x.endswith(";")] + [f"&#{n};" for n in [*range(0, 260), 8217, 0xD800, 0xFFFE, 0xFDD0, 0x1FFFF, 0x10FFFF, 0x110000, 10**30]] + [f"&#x{n:X}" for n in range(0, 70_000, 371)]
+    cases += ["".join(r.choices(bits, k=r.randint(1, 9))) for _ in range(2000)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(cases)], "i int, x string")
+    wrong = [(cases[x["i"]], x["y"]) for x in df.select("i", text.html_unescape(F.col("x")).alias("y")).collect() if x["y"] != html.unescape(cases[x["i"]])]
+    assert not wrong
+
+
+def test_json_in_ascii(spark):
+    for x in ("plain", "é€😀\t", ""):
+        assert one(spark, text.ascii_json(F.to_json(F.struct("x"))), x=x) == json.dumps({"x": x}, separators=(",", ":"))
+
+
+def test_calendar_zones(spark):
+    lines = {
+        "z": "DTSTART:20260701T100000Z", "ny": "DTSTART;TZID=America/New_York:20260701T100000", "winter": "DTSTART;TZID=America/New_York:20260101T100000", "float": "DTSTART:20260701T100000",
+        "lost": "DTSTART;TZID=Custom:20260701T100000", "day": "DTSTART;VALUE=DATE:20260701", "bad": "DTSTART:tomorrow", "end": "DTSTART:20260701T100000Z\nDTEND;TZID=Asia/Kolkata:20260701T100000", "weeks": "DTSTART:20260701T100000Z\nDURATION:P1WT1H", "none": "SUMMARY:x",
+    }
+    df = spark.createDataFrame([("BEGIN:VCALENDAR\n" + "".join(f"BEGIN:VEVENT\nUID:{k}\n{v}\nEND:VEVENT\n" for k, v in lines.items()),)], "t string")
+    got = {r["uid"]: (str(r["begin"]), str(r["end"]), r["all_day"]) for r in readers.parse_ics(df, "t", (), "Asia/Kolkata", "UTC").select("uid", F.col("begin").cast("string"), F.col("end").cast("string"), "all_day").collect()}
+    assert got == {
+        "z": ("2026-07-01 10:00:00", "None", False), "ny": ("2026-07-01 14:00:00", "None", False), "winter": ("2026-01-01 15:00:00", "None", False), "float": ("2026-07-01 04:30:00", "None", False), "lost": ("2026-07-01 10:00:00", "None", False),
+        "day": ("2026-07-01 00:00:00", "None", True), "bad": ("None", "None", False), "end": ("2026-07-01 10:00:00", "2026-07-01 04:30:00", False), "weeks": ("2026-07-01 10:00:00", "2026-07-08 11:00:00", False), "none": ("None", "None", None),
+    }
+
+
+def test_failing_steps_leave_their_rows(spark):
+    df = spark.createDataFrame([("u1", "5", 1), ("u2", "x", 2), ("v", "y", 3), (None, "z", 4)], "url string, raw string, n int")
+    steps = [normalize.Step("n", lambda d: normalize.attempt_cast(F.col("raw"), "int"), "^u"), normalize.Step("n", lambda d: (F.lit(100) / F.col("n")).cast("int"), name="later")]
+    got = normalize.apply_chain(df, steps, errors="errors")
+    assert sorted(map(tuple, got.select("raw", "n", "errors", "modified").collect())) == [("5", 20, [], True), ("x", 50, ["n: not a int: x"], True), ("y", 33, [], True), ("z", 4, [], False)]
+    assert [tuple(x) for x in normalize.count_errors(got).collect()] == [("n", 1)]
+    assert normalize.apply_chain(df, steps).columns == [*df.columns, "modified"]
+
+
+def test_rules_over_the_record(spark):
+    rows = [("a", ["k"], "Event"), ("b", None, "Event"), ("c", ["k"], None), ("dé", [], "Event")]
+    df = spark.createDataFrame(rows, "name string, keywords array<string>, type string")
+    table = [
+        Rule(1, "tag", "name <> 'b'", "ONE"), Rule(2, "tag", "record LIKE '%ONE%'", "TWO"), Rule(3, "set", "record LIKE '%u00e9%'", fields={"name": "'e'"}), Rule(4, "type", "record LIKE '%TWO%'", "T"),
+        Rule(5, "delete", "record LIKE '%\"name\":\"c\"%'"), Rule(6, "tag", "m_4 AND name = 'dé'", "BASE", needs=(4,)), Rule(7, "tag", "TRUE", "ANY", any_of={"name": ["A", "a", "x"]}, equals={"type": ["event"]}),
+    ]
+    got = {r["name"]: (r["keywords"], r["type"]) for r in rules.apply_rules(df, table).collect()}
+    assert got == {"a": (["k", "ONE", "TWO", "ANY"], "T"), "b": (None, "Event"), "e": (["ONE", "TWO", "BASE"], "T")}
 
 
 def test_empty_tables(spark):
