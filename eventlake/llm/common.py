@@ -36,6 +36,12 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def check_warehouse(spark: SparkSession) -> None:
+    """Refuse tables of the catalog outside a local session unless spark.sql.warehouse.dir was set: its default is a folder of one machine."""
+    if not spark.sparkContext.master.startswith("local") and not spark.sparkContext.getConf().contains("spark.sql.warehouse.dir"):
+        raise ValueError("spark.sql.warehouse.dir has to name a folder that driver and executors share")
+
+
 def save(df: DataFrame, tag: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: a cut in the lineage that outlives executors."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"

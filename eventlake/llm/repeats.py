@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ItemHashes, Items, RollingHash, discard, expand, free, join_first, maybe_broadcast, mix, save, small, texts
+from .common import ItemHashes, Items, RollingHash, check_warehouse, discard, expand, free, join_first, maybe_broadcast, mix, save, small, texts
 
 WINDOWS = "w1 long, w2 long, doc_id long, at int"
 
@@ -102,6 +102,7 @@ class FingerprintIndex:
     KEYS = {"run": ("w1", "w2"), "stretch": ("w2", "w1"), "print": ("w1",), "text": ("doc_id",)}
 
     def __init__(self, spark: SparkSession, name: str | None = None, buckets: int | None = None, fanout: int = 3):
+        check_warehouse(spark)
         self.spark, self.name = spark, (name or f"fingerprints_{uuid.uuid4().hex}").lower()
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         found = [m for t in spark.catalog.listTables() if (m := re.fullmatch(re.escape(self.name) + r"_(run|stretch|print|text)(\d+)", t.name))]

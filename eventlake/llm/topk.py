@@ -28,9 +28,17 @@ _PACKED = "ids binary, v binary, wide boolean, width int"
 
 
 def to_integers(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
-    """id, v: floor(scale * x) of each component; rows with a null id and vectors null or with null or non-finite components go."""
+    """id, v: floor(scale * x) of each component; rows with a null id and vectors null or with null or non-finite components go.
+
+    A component that does not fit in 63 bits then is an error.
+    """
     ok = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return vectors.filter(ok).select(F.col("vec_id").cast("long").alias("id"), F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
+
+    def whole(x):
+        x = x.cast("double") * scale
+        return F.when(F.abs(x) < 2.0**62, F.floor(x).cast("long")).otherwise(F.raise_error(F.lit("a vector's component is too large for 64 bits")).cast("long"))
+
+    return vectors.filter(ok).select(F.col("vec_id").cast("long").alias("id"), F.transform("embedding", whole).alias("v"))
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:
@@ -58,9 +66,9 @@ def _unpack(ids: bytes, v: bytes, wide: bool, width: int) -> tuple[np.ndarray, n
 
 
 def _kind(q: np.ndarray, c: np.ndarray) -> type:
-    """Type in which products of both are exact; floats go through BLAS."""
+    """Type in which products of both are exact; floats go through BLAS, and numbers of any size are Python's."""
     largest = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(q.shape[1], 1)
-    return np.float64 if largest < 2**53 else np.int64
+    return np.float64 if largest < 2**53 else np.int64 if largest < 2**62 else object
 
 
 def _bounds(q: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -121,7 +129,7 @@ def forward_blocks(rows: DataFrame, k: int, tasks: int) -> DataFrame:
             for j, row in enumerate(scores):
                 row = row[doc_ids != q_ids[i + j]]
                 if len(row) >= k:
-                    first[i + j] = int(np.partition(row, len(row) - k)[len(row) - k])
+                    first[i + j] = min(max(int(np.partition(row, len(row) - k)[len(row) - k]), -(2**63)), 2**63 - 1)
         n, m = len(own), len(q)
         column = lambda i, t: pa.array([r[i] for r in own] + [None] * m, t)
         lists = pa.array([None] * n + [x.tolist() for x in q], pa.list_(pa.int64()))
@@ -203,7 +211,8 @@ def best_of_range(pack: pa.Table, blocks: pa.Table, k: int) -> pa.Table:
     first = np.frombuffer(row["first"], np.int64)
     found = [_unpack(x["ids"], x["v"], x["wide"], x["width"]) for x in blocks.sort_by("block").to_pylist()]
     q, *vs = _pad(q, *[v for _, v in found])
-    kind = np.int64 if any(_kind(q, v) is np.int64 for v in vs) else np.float64
+    kinds = [_kind(q, v) for v in vs]
+    kind = next((x for x in (object, np.int64) if x in kinds), np.float64)
     bounds = _bounds(q, np.stack([v.max(axis=0) for v in vs]), np.stack([v.min(axis=0) for v in vs]))
     order = np.argsort(-bounds, axis=1, kind="stable")
     q, vs = q.astype(kind), [v.astype(kind) for v in vs]
@@ -221,6 +230,8 @@ def best_of_range(pack: pa.Table, blocks: pa.Table, k: int) -> pa.Table:
                     best = np.lexsort((ids, -scores))[:k]
                     ids, scores = ids[best], scores[best]
                     kth = max(kth, int(scores[-1]))
+        if kind is object and any(not -(2**63) <= x < 2**63 for x in scores):
+            raise OverflowError("scores don't fit in 64 bits")
         out.append((np.full(len(ids), q_ids[i]), ids, scores.astype(np.int64)))
     columns = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64) for _ in range(3))
     return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
@@ -239,7 +250,7 @@ def _chain(pivots: np.ndarray) -> np.ndarray:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k best other rows, ties to the smaller vec_id.
 
-    Both sides have id and v (array<long>, without nulls); scores must fit in 64 bits, shorter vectors count as padded
+    Both sides have id and v (array<long>, without nulls); a best score that does not fit in 64 bits is an error, shorter vectors count as padded
     with 0. Rows of the query's own id are no candidates; other repeated ids are each; of repeated queries the one of
     the smallest vector counts. Empty sides give no rows. A query with fewer than k candidates gets all. A task holds
     one pack of queries and one range of blocks, and returns at most k rows a query.

@@ -530,6 +530,22 @@ def test_line_dedup_of_single_long_lines(spark):
     assert [x["text"] for x in got] == want and [x["lines_removed"] for x in got] == [0, 1, 1, 0, 1, 1]
 
 
+def test_tables_of_one_machine_are_refused():
+    class Context:
+        master = "spark://host:7077"
+
+        def __init__(self, settings):
+            self.settings = settings
+
+        def getConf(self):
+            return type("Conf", (), {"contains": lambda _, x: x in self.settings})()
+
+    session = lambda settings: type("Session", (), {"sparkContext": Context(settings)})()
+    common.check_warehouse(session({"spark.sql.warehouse.dir"}))
+    with pytest.raises(ValueError, match="share"):
+        common.check_warehouse(session(set()))
+
+
 def test_repeats_in_an_empty_table(spark):
     none = frame(spark, ["x"]).limit(0)
     assert repeats.substring_dedup(none).count() == 0 and repeats.line_dedup(none).count() == 0
@@ -809,6 +825,16 @@ def test_top_k_prunes_blocks_of_clustered_vectors(spark, monkeypatch):
     assert visited[0] < 0.35
 
 
+def test_scores_beyond_64_bits_are_errors(spark):
+    large = [(i, [1e9 * (i + 1), 2e9]) for i in range(3)]  # products of 2**62 and more
+    with pytest.raises(Exception, match="64 bits"):
+        best_by_operator(spark.createDataFrame([(i, [1e30 if i == 1 else 1.0]) for i in range(3)], VECTORS), 2)
+    with pytest.raises(Exception, match="64 bits"):
+        best_by_operator(spark.createDataFrame(large, VECTORS), 2)
+    fits = [(i, [3e7 if j == i else 0.5 for j in range(3)]) for i in range(3)]  # products of parts would not fit, their sums do
+    assert best_by_operator(spark.createDataFrame(fits, VECTORS), 2) == best_by_force(fits, 2)
+
+
 # all -------------------------------------------------------------------------------------------------------------
 
 
