@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import first_group
+from .text import first_group, non_empty
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
 _OFFSET = r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
@@ -61,7 +61,8 @@ def parse_time_range(col: Column, base: Column) -> Column:
 
     Null if there is no range or neither side names a half.
     """
-    g = [first_group(col, _RANGE, i) for i in range(1, 7)]
+    parts = F.split(F.regexp_replace(F.regexp_extract(col, _RANGE, 0), _RANGE, "$1|$2|$3|$4|$5|$6"), "[|]")  # the text is searched once
+    g = [non_empty(F.get(parts, F.lit(i))) for i in range(6)]
     halves = F.coalesce(g[2], g[5]), F.coalesce(g[5], g[2])
     day = F.to_timestamp(F.to_date(base))
     at = lambda m: F.timestamp_seconds(F.unix_timestamp(day) + m * 60)
