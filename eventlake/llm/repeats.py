@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ItemHashes, Items, RollingHash, check_warehouse, discard, expand, free, join_first, maybe_broadcast, mix, save, small, texts
+from .common import BROADCAST_ROWS, ItemHashes, Items, RollingHash, check_warehouse, discard, expand, free, join_first, maybe_broadcast, mix, save, small, texts
 
 WINDOWS = "w1 long, w2 long, doc_id long, at int"
 
@@ -405,7 +405,10 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = LO
     underscores before it if docs have a column of that name."""
     winnow, names = _line_winnow(min_lines), docs.columns
     repeated, n_removed = free("_repeated", names), free("lines_removed", names)
-    places = line_matches(docs, winnow, min_words).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias(repeated))
+    matches = line_matches(docs, winnow, min_words)
+    places = matches.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias(repeated))
+    if matches.count() <= BROADCAST_ROWS:  # then texts stay where they are
+        places = F.broadcast(places)
     schema = T.StructType([*docs.schema.fields, T.StructField(n_removed, T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

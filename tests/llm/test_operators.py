@@ -546,6 +546,14 @@ def test_tables_of_one_machine_are_refused():
         common.check_warehouse(session(set()))
 
 
+def test_dropped_lines_by_broadcast_and_by_shuffle(spark, monkeypatch):
+    docs = frame(spark, [None, "", *[f"a {i}\nsame line\nother line\nb" for i in range(30)], "same line\nother line"])
+    got = repeats.drop_repeated_lines(docs).orderBy("doc_id").collect()
+    assert sum(x["lines_removed"] for x in got) == 89 and [x["text"] for x in got[:4]] == [None, "", "a 0\nsame line\nother line\nb", "a 1"]
+    monkeypatch.setattr(repeats, "BROADCAST_ROWS", 0)
+    assert repeats.drop_repeated_lines(docs).orderBy("doc_id").collect() == got
+
+
 def test_repeats_in_an_empty_table(spark):
     none = frame(spark, ["x"]).limit(0)
     assert repeats.substring_dedup(none).count() == 0 and repeats.line_dedup(none).count() == 0
