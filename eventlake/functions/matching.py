@@ -39,5 +39,11 @@ def constant_map(values: Mapping[str, object], kind: str) -> Column:
 
 def all_found(text: Column, literals: Sequence[str]) -> Column:
     """The literals that a text contains, as an array of distinct ones, in one scan."""
-    inside = constant_map(beginnings(literals), "array<string>")
-    return F.array_distinct(F.flatten(F.transform(longest_found(text, literals), lambda x: F.element_at(inside, x))))
+    return meanings_found(text, {x: [x] for x in literals}, "string")
+
+
+def meanings_found(text: Column, meanings: Mapping[str, Sequence], kind: str) -> Column:
+    """What the literals that a text contains mean, as an array of distinct values of a type, in one scan."""
+    inside = {x: list(dict.fromkeys(m for y in own for m in meanings[y])) for x, own in beginnings(list(meanings)).items()}
+    of = constant_map(inside, f"array<{kind}>").getItem
+    return F.array_distinct(F.flatten(F.transform(longest_found(text, list(meanings)), lambda x: of(x))))

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.matching import all_found
+from ..functions.matching import meanings_found
 from ..functions.text import ascii_json
 
 
@@ -77,19 +77,20 @@ def set_fields(df: DataFrame, pred: Column, col: str, values: Mapping[str, Colum
 
 
 def _found(rules: Sequence[Rule]) -> dict[str, Column]:
-    """By column, what any rule looks for in it and it contains, found in one scan."""
-    words: dict[str, set[str]] = {}
+    """By column, the rules of which it contains a literal, found in one scan."""
+    words: dict[str, dict[str, list[int]]] = {}
     for r in rules:
         for name, some in r.any_of.items():
-            words.setdefault(name, set()).update(some)
-    return {f"_in_{name}": all_found(F.lower(name), sorted(some)) for name, some in words.items()}
+            for x in some:
+                words.setdefault(name, {}).setdefault(x, []).append(r.rule_id)
+    return {f"_in_{name}": meanings_found(F.lower(name), some, "int") for name, some in words.items()}
 
 
 def _holds(r: Rule) -> Column:
     """Whether a rule's conditions hold; null counts as not."""
     out = F.expr(r.predicate)
-    for name, some in r.any_of.items():
-        out = out & F.arrays_overlap(F.col(f"_in_{name}"), F.array(*map(F.lit, some)))
+    for name in r.any_of:
+        out = out & F.array_contains(f"_in_{name}", r.rule_id)
     for name, some in r.equals.items():
         out = out & F.lower(name).isin(list(some))
     return F.coalesce(out, F.lit(False))
@@ -143,8 +144,9 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule], keywords: str = "keywords"
             out = perform(out, waiting)
             waiting = []
             whole = F.struct(*[F.col(now.get(c, c)).alias(c) for c in columns])
-            row = F.struct(*out.columns, ascii_json(F.to_json(whole)).alias("record"))
+            row = F.struct(*out.columns, F.to_json(whole).alias("record"))
             out = out.select(F.inline(F.array(row)))  # a generator, which the optimizer does not look through: the record is written once
+            out = out.select(F.inline(F.array(F.struct(*[c for c in out.columns if c != "record"], ascii_json(F.col("record")).alias("record")))))
             out = out.withColumn(f"m_{r.rule_id}", _holds(r)).drop("record")
             if r.action == "delete":
                 out = out.filter(~F.col(f"m_{r.rule_id}"))
