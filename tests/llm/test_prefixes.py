@@ -58,7 +58,7 @@ def conversations(seed, n=150, say="abé"):
         rows += [(c, t, "user", "copy") for t in range(20)]
     rows += first[:3]  # repeated rows
     rows += [(None, 0, "user", "lost"), (700, 0, "user", "x"), (9_007_199_254_740_993, 3, "", ""), (605, None, None, None)]
-    rows += [(800, t, "user", f"turn {t}") for t in range(3000)] + [(805, t, "user", f"turn {t}") for t in range(2000)]
+    rows += [(800, t, "user", f"turn {t}") for t in range(90)] + [(805, t, "user", f"turn {t}") for t in range(60)]
     return rows
 
 
