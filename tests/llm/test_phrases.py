@@ -7,9 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from eventlake.llm import phrases, queries
-
-from ..compare import same
+from eventlake.llm import phrases
 
 DOCS = "doc_id long, text string, lang string, phrase string, n long, id long, row string"
 
@@ -91,7 +89,3 @@ def test_tiles_count_like_a_dictionary(monkeypatch):
         for code, n in zip(codes.tolist(), counts.tolist()):
             got[code >> 32, code & 0xFFFFFFFF] += n
     assert got == want and len(tiles.dense) == 2
-
-
-def test_query_equals_sql(spark):
-    same(spark, queries.QUERIES["op13_phrases"], queries.SQL["op13_phrases"])

@@ -7,9 +7,7 @@ import zlib
 
 import pytest
 
-from eventlake.llm import prefixes, queries
-
-from ..compare import same
+from eventlake.llm import prefixes
 
 TURNS = "conv_id long, turn long, role string, text string, path string, depth int, n_convs string"
 
@@ -112,7 +110,3 @@ def test_exit_nodes_of_a_trie():
         nodes = trie.downwards()
         assert {n.end for n in nodes} - {None} == set(range(len(paths))) and len(trie.table) == len(nodes) - 1
         assert all(n.high and trie.table[n.handle()] is n for n in nodes[1:]) and all(len(n.children) > 1 or n.end is not None for n in nodes[1:])
-
-
-def test_query_equals_sql(spark):
-    same(spark, queries.QUERIES["op12_conversation_trie"], queries.SQL["op12_conversation_trie"])
