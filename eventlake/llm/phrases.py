@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, join_first, maybe_broadcast, save, small
+from .common import batches_of, discard, join_first, maybe_broadcast, save, small
 
 #: Least occurrences of a phrase, words of the longest, phrases returned of each language, and the share (in hundredths) of its occurrences inside a longer one from which a phrase goes.
 LEAST, LONGEST, BEST, INSIDE = 30, 4, 2_000, 80
@@ -26,6 +26,8 @@ SENT_WORDS, SENT_PAIRS, SENT_BYTES = 400_000, 2_000_000, 16 << 20
 SIDE, DENSE, DENSE_TILES, SPARSE, AT_ONCE = 10, 1 << 13, 6, 1_500_000, 1 << 19
 #: Distinct words whose counts a task holds.
 HELD_WORDS = 150_000
+#: Rows that a task gets at once.
+ROWS = 1_000
 #: Parts of a language whose best phrases are picked on their own first.
 PARTS = 64
 
@@ -90,13 +92,17 @@ class Tiles:
         self._merge()
 
     def _merge(self) -> None:
-        """Sorted coordinates and counts of what is held and what waits."""
-        codes = np.concatenate([self.codes, *self.waiting])
-        counts = np.concatenate([self.counts, np.ones(len(codes) - len(self.codes), np.int64)])
-        order = np.argsort(codes, kind="stable")
-        codes, counts = codes[order], counts[order]
-        first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, np.int64)
-        self.codes, self.counts, self.waiting = codes[first], np.add.reduceat(counts, first) if len(first) else counts, []
+        """Sorted coordinates and counts of what is held and what waits: only the latter is sorted, known ones are added up in place."""
+        new, n = np.unique(np.concatenate([np.zeros(0, np.int64), *self.waiting]), return_counts=True)
+        self.waiting = []
+        at = np.searchsorted(self.codes, new)
+        known = np.zeros(len(new), bool)
+        inner = at < len(self.codes)
+        known[inner] = self.codes[at[inner]] == new[inner]
+        self.counts[at[known]] += n[known]
+        at, new, n = at[~known], new[~known], n[~known]
+        self.codes = np.insert(self.codes, at, new)
+        self.counts = np.insert(self.counts, at, n)
 
     def take(self, everything: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Codes and counts: the sparse ones if there are too many, or all."""
@@ -176,8 +182,8 @@ def _word_sequences(docs: DataFrame, words: DataFrame) -> DataFrame:
     n, size = words.agg(F.count("*"), F.sum(F.length("word"))).first()
     _check_ids(n)
     if n <= SENT_WORDS and (size or 0) <= SENT_BYTES:
-        known = words.select("lang", "word", "id").toArrow()
-        sent = docs.sparkSession.sparkContext.broadcast([known.column(c).to_pylist() for c in ("lang", "word", "id")])
+        known = words.select("lang", "word", "id").toArrow().combine_chunks().to_batches()
+        sent = docs.sparkSession.sparkContext.broadcast(known)  # stays packed; a task only has the dictionaries besides
 
         class Ids(dict):
             def __missing__(self, word: bytes) -> int:
@@ -185,8 +191,9 @@ def _word_sequences(docs: DataFrame, words: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids: dict[str, Ids] = defaultdict(Ids)
-            for lang, word, i in zip(*sent.value, strict=True):
-                ids[lang][bytes(word)] = i
+            for part in small(sent.value, 10_000):
+                for lang, word, i in zip(*(part.column(c).to_pylist() for c in ("lang", "word", "id")), strict=True):
+                    ids[lang][word] = i
             for batch in small(batches):
                 at, found = [], []
                 for lang, text in _texts(batch):
@@ -288,6 +295,18 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, be
     A null text is empty, a null language is und; an empty table, or one without frequent phrases, gives no rows. Repeated
     rows count each, and further columns are not read. Ids have to stay below 2**31: more frequent phrases raise.
     """
+    with batches_of(docs.sparkSession, ROWS):
+        levels, counted = _levels(docs, least, longest)
+    rows = None
+    for k, phrases in enumerate(levels[1:], 2):
+        scored = _scored(_outside(phrases, levels[k], inside) if k < longest else phrases, k)
+        rows = scored if rows is None else rows.unionByName(scored)
+    totals = maybe_broadcast(counted.filter("word IS NULL")).select("lang", F.col("n").alias("n"))
+    return _best(rows, best).join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def _levels(docs: DataFrame, least: int, longest: int) -> tuple[list[DataFrame], DataFrame]:
+    """The frequent phrases of 1, 2, .. longest words, and the counts of words, all stored."""
     own = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
     counted = own.select("lang", "text").mapInArrow(_count_words, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counted = save(counted.filter((F.col("n") >= least) | F.col("word").isNull()), "words")
@@ -304,9 +323,4 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, be
             discard(done)
         discard(pairs)
     discard(words, sequences)
-    rows = None
-    for k, phrases in enumerate(levels[1:], 2):
-        scored = _scored(_outside(phrases, levels[k], inside) if k < longest else phrases, k)
-        rows = scored if rows is None else rows.unionByName(scored)
-    totals = maybe_broadcast(counted.filter("word IS NULL")).select("lang", F.col("n").alias("n"))
-    return _best(rows, best).join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return levels, counted

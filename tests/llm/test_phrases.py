@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -89,3 +90,25 @@ def test_tiles_count_like_a_dictionary(monkeypatch):
         for code, n in zip(codes.tolist(), counts.tolist()):
             got[code >> 32, code & 0xFFFFFFFF] += n
     assert got == want and len(tiles.dense) == 2
+
+
+def test_what_tasks_hold_stays_small(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    parts = [r.integers(0, 1 << 20, (2, phrases.AT_ONCE)) for _ in range(4)]
+    tiles = phrases.Tiles()
+    tracemalloc.start()
+    for a, b in parts:
+        tiles.add(a, b)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(tiles.codes) > phrases.SPARSE and most < 100e6
+
+    sizes = spark.sparkContext.accumulator(0)
+    small = phrases.small
+    monkeypatch.setattr(phrases, "small", lambda batches, rows=1_000: small((sizes.add(b.num_rows > 50) or b for b in batches), rows))
+    monkeypatch.setattr(phrases, "ROWS", 50)
+    monkeypatch.setattr(phrases, "SENT_WORDS", 0)  # what is broadcast comes through small() too
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.createDataFrame([("en", "a b c d " * 3)] * 1000, "lang string, text string").coalesce(1)
+    assert phrases.collocations(docs).count() and not sizes.value
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
