@@ -70,6 +70,25 @@ def without(docs: DataFrame, ids: DataFrame, tag: str) -> DataFrame:
     return docs.join(maybe_broadcast(save(ids.select("doc_id").distinct(), tag)), "doc_id", "left_anti").select(*docs.columns)
 
 
+#: Bits of a bitmap of doc_ids: 8 MB.
+SLOTS = 1 << 26
+
+
+def parted(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The docs (doc_id, text) that may have one of the doc_ids of the stored table ids, and those that surely have none.
+
+    A bitmap of hashes tells them apart, which has SLOTS bits at most however many ids there are; more ids than that
+    leave nothing sure.
+    """
+    slots = lambda df: df.withColumn("_slot", F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))).withColumn("_bucket", F.bitmap_bucket_number("_slot"))
+    bits = slots(ids.select("doc_id")).groupBy("_bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    place = "bitmap_bit_position(_slot)"
+    byte = f"CAST(conv(hex(substring(_bits, CAST({place} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    may = F.expr(f"coalesce(shiftright({byte}, CAST({place} % 8 AS INT)) & 1, 0) = 1")
+    told = slots(docs).join(F.broadcast(bits), "_bucket", "left").withColumn("_may", may)
+    return tuple(told.filter(F.col("_may") == x).select(*docs.columns) for x in (True, False))
+
+
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within it, tasks get at most so many rows at once from the tables that are stored there."""

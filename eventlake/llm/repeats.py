@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, ItemHashes, Items, RollingHash, check_warehouse, discard, expand, free, join_first, maybe_broadcast, mix, save, small, texts
+from .common import BROADCAST_ROWS, ItemHashes, Items, RollingHash, check_warehouse, discard, expand, free, join_first, maybe_broadcast, mix, parted, save, small, texts
 
 WINDOWS = "w1 long, w2 long, doc_id long, at int"
 
@@ -253,8 +253,11 @@ def print_windows(docs: DataFrame, prints: DataFrame, winnow: Winnower) -> DataF
     return few.join(grouped, "doc_id").select("doc_id", "text", "prints").mapInArrow(run, WINDOWS)
 
 
-def _removal(docs: DataFrame, covered: DataFrame, winnow: Winnower, schema: str, finish: Callable) -> DataFrame:
-    """Apply finish(text, items, removed item mask) to every document; covered has doc_id, at and n: its repeated windows."""
+def _removal(docs: DataFrame, covered: DataFrame, winnow: Winnower, schema: str, finish: Callable, few: bool = False) -> DataFrame:
+    """Apply finish(text, items, removed item mask) to every document; covered has doc_id, at and n: its repeated windows.
+
+    With few, only texts that may have such windows are shuffled, at any size of the table; covered is then a stored table.
+    """
     places = covered.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("ats"))
     names = [x.split()[0] for x in schema.split(", ")]
 
@@ -274,7 +277,12 @@ def _removal(docs: DataFrame, covered: DataFrame, winnow: Winnower, schema: str,
             types = types or {"long": pa.int64(), "string": pa.string()}
             yield pa.RecordBatch.from_arrays([pa.array(c, types[x.split()[1]]) for c, x in zip(zip(*rows, strict=True), schema.split(", "), strict=True)] if rows else [pa.array([], types[x.split()[1]]) for x in schema.split(", ")], names=names)
 
-    return _narrow(docs).join(places, "doc_id", "left").mapInArrow(run, schema)
+    rows = _narrow(docs)
+    if not few:
+        return rows.join(places, "doc_id", "left").mapInArrow(run, schema)
+    rows, rest = parted(rows, covered)
+    rows = rows.join(places.hint("merge"), "doc_id", "left")
+    return rows.unionByName(rest.withColumn("ats", F.lit(None).cast(rows.schema["ats"].dataType))).mapInArrow(run, schema)
 
 
 #: Words of a gram for windows of 50: few enough that a fingerprint stands for about 20 windows, and enough that grams rarely meet by chance.
@@ -397,7 +405,7 @@ def line_dedup(docs: DataFrame, min_lines: int = 2, min_words: int = LONG_LINE)
             return len(items), 0, None if text is None else text.decode()
         return len(items), int(gone.sum()), _without_lines(text, gone).decode()
 
-    return _removal(docs, line_matches(docs, winnow, min_words), winnow, "doc_id long, n_lines long, n_removed long, text string", finish)
+    return _removal(docs, line_matches(docs, winnow, min_words), winnow, "doc_id long, n_lines long, n_removed long, text string", finish, few=True)
 
 
 def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = LONG_LINE) -> DataFrame:

@@ -554,6 +554,21 @@ def test_dropped_lines_by_broadcast_and_by_shuffle(spark, monkeypatch):
     assert repeats.drop_repeated_lines(docs).orderBy("doc_id").collect() == got
 
 
+@pytest.mark.parametrize("slots", [common.SLOTS, 1 << 16, 8])
+def test_texts_without_repeats_stay_where_they_are(spark, monkeypatch, slots):
+    monkeypatch.setattr(common, "SLOTS", slots)
+    docs = frame(spark, [f"a {i}\nb {i if i % 10 else 0}\nc {i if i % 10 else 0}\n" for i in range(2000)] + [None]).select("doc_id", "text").union(spark.createDataFrame([(None, "x")], "doc_id long, text string"))
+    ids = common.save(spark.range(0, 2000, 10).withColumnRenamed("id", "doc_id"), "ids")
+    may, rest = common.parted(docs.select("doc_id", "text"), ids)
+    assert may.count() + rest.count() == 2002 and not rest.join(ids, "doc_id", "left_semi").count()
+    assert slots < 1 << 16 or may.count() < 230
+    out = repeats.line_dedup(docs)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "bitmap_construct_agg" in plan
+    got = {x["doc_id"]: x["n_removed"] for x in out.collect()}
+    assert len(got) == 2002 and sum(got.values()) == 2 * 199 and got[0] == 0 and got[1990] == 2
+
+
 def test_repeats_in_an_empty_table(spark):
     none = frame(spark, ["x"]).limit(0)
     assert repeats.substring_dedup(none).count() == 0 and repeats.line_dedup(none).count() == 0
