@@ -10,8 +10,9 @@ block, then by fine counts in all blocks that still have surviving pairs, and at
 
 An n-gram of more than BLOCK documents is dealt over many tasks: a range sort by n-gram and size cuts its documents
 into chunks, which are blocks of their own. One document of each component found there then meets those of the other
-chunks, and at last the documents outside the n-gram's largest component meet all its chunks, so that a family of
-m near copies takes a multiple of m rows and not all pairs of chunks.
+chunks, and at last the documents outside the n-gram's largest component meet those chunks that can hold a partner: two
+documents have to meet at the first n-gram that they share, so none of those before it are shared, and the more there are
+the smaller a partner has to be. A family of m near copies thus takes a multiple of m rows and not all pairs of chunks.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, ItemHashes, discard, groups, maybe_broadcast, mix, save, small
+from .common import BROADCAST_ROWS, ItemHashes, discard, expand, groups, maybe_broadcast, mix, save, small
 
 #: Largest number of members of a block; of larger groups chunks of half as many are paired.
 BLOCK = 512
@@ -55,6 +56,10 @@ class Similarity:
     def sizes(self, small: int, large: int) -> bool:
         return 100 * small >= self.share * large
 
+    def most(self) -> Column:
+        """The largest set that one of n members is similar to, if at members come before the first that both have."""
+        return F.expr(f"{100 + self.share} * (CAST(n AS LONG) - at) DIV {self.share} - n")
+
     def reached(self, overlap, total):
         """Whether an overlap suffices for two sets of total size; also for arrays."""
         return (100 + self.share) * overlap >= self.share * total
@@ -112,7 +117,8 @@ def _reorder(members: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def prefix_keys(docs: DataFrame, copies: DataFrame, sketch: DataFrame, like: Similarity) -> tuple[DataFrame, list[DataFrame]]:
-    """key, rep, n: the prefix, in the global order, of each document that is not one of the copies.
+    """key, rep, n, at: the prefix, in the global order, of each document that is not one of the copies, and how many
+    of its n-grams come before each, which is 0 for documents with rare ones only: theirs make no large blocks.
 
     Most prefixes follow from the sketch; documents of which more n-grams are frequent than the sketch has to
     spare are read again. Also returns the stored tables that the keys are read from.
@@ -123,12 +129,13 @@ def prefix_keys(docs: DataFrame, copies: DataFrame, sketch: DataFrame, like: Sim
     most = counted if counted.count() <= BROADCAST_ROWS else counted.orderBy(F.desc("c"), "key").limit(BROADCAST_ROWS)
     often = np.sort(most.select("key").toArrow().column("key").to_numpy().view(np.uint64))  # at most BROADCAST_ROWS hashes
     sent = docs.sparkSession.sparkContext.broadcast(often)
-    schema = "key long, rep long, n int"
+    schema = "key long, rep long, n int, at int"
 
-    def rows(parts: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
-        sizes = [len(x) for x, _, _ in parts]
-        columns = [np.concatenate([x for x, _, _ in parts]).view(np.int64), np.repeat(np.array([r for _, r, _ in parts], np.int64), sizes), np.repeat(np.array([n for _, _, n in parts], np.int32), sizes)]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "rep", "n"])
+    def rows(parts: list[tuple[np.ndarray, int, int]], placed: bool) -> pa.RecordBatch:
+        sizes = np.array([len(x) for x, _, _ in parts])
+        at = (expand(np.zeros(len(sizes), np.int64), sizes) if placed else np.zeros(int(sizes.sum()))).astype(np.int32)
+        columns = [np.concatenate([x for x, _, _ in parts]).view(np.int64), np.repeat(np.array([r for _, r, _ in parts], np.int64), sizes), np.repeat(np.array([n for _, _, n in parts], np.int32), sizes), at]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "rep", "n", "at"])
 
     def from_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = sent.value
@@ -145,7 +152,7 @@ def prefix_keys(docs: DataFrame, copies: DataFrame, sketch: DataFrame, like: Sim
                 else:  # no key: to be read again
                     parts.append((np.zeros(1, np.uint64), rep, -n))
             if parts:
-                yield rows(parts)
+                yield rows(parts, False)
 
     def from_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, frequent = ItemHashes(3, lower=True), sent.value
@@ -155,7 +162,7 @@ def prefix_keys(docs: DataFrame, copies: DataFrame, sketch: DataFrame, like: Sim
                 own = _reorder(members, frequent)
                 parts.append((own[: like.prefix(len(own))], rep, len(own)))
             if parts:
-                yield rows(parts)
+                yield rows(parts, True)
 
     ready = save(first.select("doc_id", "n", "prefix").mapInArrow(from_sketch, schema), "prefixes")
     again = save(ready.filter("n < 0").select(F.col("rep").alias("doc_id")), "again")
@@ -164,19 +171,20 @@ def prefix_keys(docs: DataFrame, copies: DataFrame, sketch: DataFrame, like: Sim
     return ready.filter("n > 0").union(more), [ready, again, more, counted]
 
 
-def _block_rows(parts: list[tuple[int, int | None, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """Rows of blocks given as name, key (null: the block is whole), members and their sizes."""
-    lengths = [len(rep) for _, _, rep, _ in parts]
-    key = np.repeat(np.array([k or 0 for _, k, _, _ in parts], np.int64), lengths)
-    whole = np.repeat(np.array([k is None for _, k, _, _ in parts]), lengths)
-    columns = [pa.array(np.repeat(np.array([x for x, _, _, _ in parts], np.int64), lengths)), pa.array(np.concatenate([r for _, _, r, _ in parts])), pa.array(key, mask=whole), pa.array(np.concatenate([n for _, _, _, n in parts]))]
-    return pa.RecordBatch.from_arrays(columns, names=["block", "rep", "key", "n"])
+def _block_rows(parts: list[tuple[int, int | None, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Rows of blocks given as name, key (null: the block is whole), members, their sizes and the places of the key."""
+    names, keys, reps, sizes, places = zip(*parts, strict=True)
+    lengths = [len(rep) for rep in reps]
+    key = np.repeat(np.array([k or 0 for k in keys], np.int64), lengths)
+    whole = np.repeat(np.array([k is None for k in keys]), lengths)
+    columns = [pa.array(np.repeat(np.array(names, np.int64), lengths)), pa.array(np.concatenate(reps)), pa.array(key, mask=whole), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places))]
+    return pa.RecordBatch.from_arrays(columns, names=["block", "rep", "key", "n", "at"])
 
 
 def blocks(keys: DataFrame, like: Similarity) -> DataFrame:
-    """block, rep, key, n: documents that share an n-gram of their prefixes.
+    """block, rep, key, n, at: documents that share an n-gram of their prefixes.
 
-    keys has key, rep and n; a range sort deals them to tasks, so that a frequent n-gram is spread over many. Where a
+    keys has key, rep, n and at (0, if it has none); a range sort deals them to tasks, so that a frequent n-gram is spread over many. Where a
     task sees all documents of an n-gram and they are at most BLOCK, they are a whole block (key is null), cut where
     sizes differ too much; equal ones have one name and are returned once a task. Otherwise they are chunks of at
     most BLOCK documents, with their key.
@@ -189,59 +197,61 @@ def blocks(keys: DataFrame, like: Similarity) -> DataFrame:
         task, chunks, rows = TaskContext.get().partitionId(), 0, 0
         seen: set[int] = set()
         parts: list = []
-        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
         open_key = None  # its documents may stand in other tasks or chunks too
 
-        def chunk(key: int, rep: np.ndarray, n: np.ndarray) -> None:
+        def chunk(key: int, rep: np.ndarray, n: np.ndarray, at: np.ndarray) -> None:
             nonlocal chunks, rows
             for i in range(0, len(rep), BLOCK):
-                parts.append(((task << 32) + chunks, key, rep[i : i + BLOCK], n[i : i + BLOCK]))
+                parts.append(((task << 32) + chunks, key, rep[i : i + BLOCK], n[i : i + BLOCK], at[i : i + BLOCK]))
                 chunks += 1
             rows += len(rep)
 
-        def whole(rep: np.ndarray, n: np.ndarray) -> None:
+        def whole(rep: np.ndarray, n: np.ndarray, at: np.ndarray) -> None:
             nonlocal rows
             cuts = [0, *(np.flatnonzero(100 * n[:-1].astype(np.int64) < like.share * n[1:].astype(np.int64)) + 1).tolist(), len(n)]  # no pair crosses such a step
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 own = rep[a:b]
                 if len(own) > 1 and (x := name(own)) not in seen:
                     seen.add(x)
-                    parts.append((x, None, own, n[a:b]))
+                    parts.append((x, None, own, n[a:b], at[a:b]))
                     rows += len(own)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, rep, n = (np.concatenate([x, batch.column(i).to_numpy()]) for i, x in enumerate(held))
+            key, rep, n, at = (np.concatenate([x, batch.column(i).to_numpy()]) for i, x in enumerate(held))
             if open_key is None:
                 open_key = int(key[0])
             starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             sizes = np.diff(np.r_[starts, len(key)])
             for a, size in zip(starts[:-1][(sizes[:-1] > 1) | (key[starts[:-1]] == open_key)].tolist(), sizes[:-1][(sizes[:-1] > 1) | (key[starts[:-1]] == open_key)].tolist(), strict=True):
                 if size > BLOCK or key[a] == open_key:
-                    chunk(int(key[a]), rep[a : a + size], n[a : a + size])
+                    chunk(int(key[a]), rep[a : a + size], n[a : a + size], at[a : a + size])
                 else:
-                    whole(rep[a : a + size], n[a : a + size])
+                    whole(rep[a : a + size], n[a : a + size], at[a : a + size])
             last = int(starts[-1])
             if sizes[-1] > BLOCK:  # go on with less than a block of it
                 cut = last + int(sizes[-1]) // BLOCK * BLOCK
                 open_key = int(key[last])
-                chunk(open_key, rep[last:cut], n[last:cut])
+                chunk(open_key, rep[last:cut], n[last:cut], at[last:cut])
                 last = cut
-            held = [key[last:], rep[last:], n[last:]]
+            held = [key[last:], rep[last:], n[last:], at[last:]]
             if rows > 200_000:
                 yield _block_rows(parts)
                 parts, rows = [], 0
         if len(held[0]):
-            chunk(int(held[0][0]), held[1], held[2])
+            chunk(int(held[0][0]), *held[1:])
         if parts:
             yield _block_rows(parts)
 
-    return keys.repartitionByRange("key", "n", "rep").sortWithinPartitions("key", "n", "rep").mapInArrow(run, "block long, rep long, key long, n int")
+    if "at" not in keys.columns:
+        keys = keys.withColumn("at", F.lit(0))
+    return keys.repartitionByRange("key", "n", "rep").sortWithinPartitions("key", "n", "rep").mapInArrow(run, "block long, rep long, key long, n int, at int")
 
 
 def chunked(rows: DataFrame) -> DataFrame:
-    """rows (key, side, rep, n) with chunk: at most BLOCK // 2 rows of one key and side that are neighbours in size."""
+    """rows (key, side, rep, n, most) with chunk: at most BLOCK // 2 rows of one key and side that are neighbours in most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, last, chunk, held = TaskContext.get().partitionId(), None, -1, 0
@@ -258,10 +268,11 @@ def chunked(rows: DataFrame) -> DataFrame:
                 place = held + np.arange(b - a)
                 out[a:b] = (task << 32) + chunk + place // (BLOCK // 2)
                 chunk, held = chunk + (held + b - a) // (BLOCK // 2), (held + b - a) % (BLOCK // 2)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=["key", "side", "rep", "n", "chunk"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=["key", "side", "rep", "n", "most", "chunk"])
 
-    ordered = rows.select("key", "side", "rep", "n").repartitionByRange("key", "side", "n", "rep").sortWithinPartitions("key", "side", "n", "rep")
-    return save(ordered.mapInArrow(run, "key long, side boolean, rep long, n int, chunk long"), "chunks")
+    order = ("key", "side", "most", "n", "rep")
+    ordered = rows.select("key", "side", "rep", "n", "most").repartitionByRange(*order).sortWithinPartitions(*order)
+    return save(ordered.mapInArrow(run, "key long, side boolean, rep long, n int, most long, chunk long"), "chunks")
 
 
 class RTree:
@@ -495,16 +506,17 @@ def components(links: DataFrame) -> DataFrame:
 def open_chunks(hot: DataFrame, labels: DataFrame, like: Similarity) -> tuple[DataFrame, list[DataFrame]]:
     """block, rep: pairs of chunks of each frequent n-gram that may still have links between different labels.
 
-    hot has key, rep and n. The documents outside the largest component of an n-gram meet each other and all those
-    in it, in chunks of near sizes. Also returns the stored tables that the rows are read from.
+    hot has key, rep, n and at. The documents outside the largest component of an n-gram meet each other and those
+    in it, in chunks that can hold a partner if that n-gram is the first they share; where an earlier one is, they meet
+    there. Also returns the stored tables that the rows are read from.
     """
-    labelled = hot.select("key", "rep", "n").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    labelled = hot.select("key", "rep", "n", like.most().alias("most")).join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     main = labelled.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1")
     main = save(main.select("key", "main"), "main")
     chunks = chunked(labelled.join(maybe_broadcast(main), "key").withColumn("side", F.col("label") == F.col("main")))
-    ends = save(chunks.groupBy("key", "side", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high")), "ends")
-    a = ends.filter("not side").select("key", *[F.col(x).alias(f"a_{x}") for x in ("chunk", "low", "high")])
-    near = (100 * F.col("a_high") >= like.share * F.col("low")) & (100 * F.col("high") >= like.share * F.col("a_low"))
+    ends = save(chunks.groupBy("key", "side", "chunk").agg(F.min("n").alias("low"), F.max("most").alias("most")), "ends")
+    a = ends.filter("not side").select("key", *[F.col(x).alias(f"a_{x}") for x in ("chunk", "low", "most")])
+    near = (F.col("a_most") >= F.col("low")) & (F.col("most") >= F.col("a_low"))
     pairs = a.join(ends, "key").filter((F.col("side") | (F.col("chunk") >= F.col("a_chunk"))) & near)
     pairs = save(pairs.select(F.xxhash64("a_chunk", "chunk").alias("block"), "a_chunk", "chunk"), "chunk_pairs")
     sides = pairs.select("block", F.col("a_chunk").alias("chunk")).union(pairs.filter("a_chunk <> chunk").select("block", "chunk"))
@@ -534,10 +546,10 @@ def near_duplicates(docs: DataFrame, share: int = 80, width: int = 5) -> DataFra
 
     # n-grams of many documents; those that were only cut between two tasks are blocks like the others
     cut = raw.filter("key is not null")
-    counted = keep(cut.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("h")).filter("c > 1"), "counted")
+    counted = keep(cut.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("h"), F.sum("at").alias("at")).filter("c > 1"), "counted")
     together = cut.join(maybe_broadcast(counted.filter(F.col("c") <= BLOCK).select("key")), "key").select(F.xxhash64(F.lit(1), "key").alias("block"), "rep")
     cold = keep(raw.filter("key is null").select("block", "rep").distinct().union(together), "cold")
-    often = counted.filter(F.col("c") > BLOCK).groupBy("c", "h").agg(F.min("key").alias("key")).select("key")  # of n-grams with the same documents one is enough
+    often = counted.filter(F.col("c") > BLOCK).groupBy("c", "h").agg(F.min_by("key", F.struct("at", "key")).alias("key")).select("key")  # of n-grams with the same documents the first is enough
     hot = keep(cut.join(maybe_broadcast(often), "key", "left_semi"), "hot")
     discard(raw)
     block = cold.union(hot.select("block", "rep"))
@@ -591,7 +603,7 @@ def near_duplicates(docs: DataFrame, share: int = 80, width: int = 5) -> DataFra
     left = cold
     if not hot.isEmpty():
         own = hot.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        one = own.groupBy("key", "label").agg(F.min(F.struct("rep", "n")).alias("x")).select("key", F.lit(True).alias("side"), "x.rep", "x.n")
+        one = own.groupBy("key", "label").agg(F.min(F.struct("rep", "n")).alias("x")).select("key", F.lit(True).alias("side"), "x.rep", "x.n", F.col("x.n").cast("long").alias("most"))
         one = chunked(one)
         temporary.append(one)
         link(forest(labelled(one.select(F.col("chunk").alias("block"), "rep")).join(reps_of(points), "rep")))

@@ -212,6 +212,27 @@ def test_near_duplicates_of_one_large_family(spark, monkeypatch):
     assert {x.split("-")[0] for x in set(os.listdir(folder)) - before} == {"reps", "sizes", "labels"}  # what the result reads
 
 
+def test_chunks_without_possible_partners_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    like = jaccard.Similarity()
+    labels = spark.createDataFrame([], "id long, label long")
+    pairs = []
+    for at in (15, 5):  # texts of 100 n-grams: after 15 that are not shared, no more than 85 can be
+        hot = spark.range(200).selectExpr("7L AS key", "id AS rep", "100 AS n", f"IF(id < 190, {at}, 0) AS at")
+        pairs.append(jaccard.open_chunks(hot, labels, like)[0].select("block").distinct().count())
+    assert pairs[0] <= 3 * 8 and pairs[1] > 250  # 25 chunks
+    r = random.Random(31)
+    texts, words = [], [f"w{i}" for i in range(300)]
+    seed = r.choices(words, k=90)
+    for _ in range(250):  # few links in a large family: mostly too many changes
+        own = list(seed)
+        for _ in range(r.choice((1, 2, 3, 3, 4, 4, 5))):
+            own[r.randrange(90)] = f"new{r.randrange(10**6)}"
+        texts.append(" ".join(own[: r.randrange(70, 91)]))
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in jaccard.near_duplicates(frame(spark, texts)).collect()}
+    assert got == components_by_force(texts) and 2 < len({x for _, x in got.values()}) < 250
+
+
 def test_blocks_are_bounded_however_hot_a_key_is(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 8)
     keys = spark.range(4000).selectExpr("CASE WHEN id % 4 < 3 THEN -7 ELSE id END AS key", "id AS rep", "CAST(100 + id % 50 AS int) AS n")
