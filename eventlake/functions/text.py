@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os.path
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from html.entities import html5
 from itertools import groupby
 
@@ -117,21 +117,22 @@ def numeric_reference(n: Column) -> Column:
     return F.when(bad, "\ufffd").when(n.between(0x80, 0x9F), old).when(gone, "").otherwise(_code_point(n))
 
 
-def _names() -> tuple[dict[str, dict[str, str]], list[str]]:
-    """The public table of named references by first letter, and the old names that count without a semicolon, too."""
+def _names(table: Mapping[str, str]) -> tuple[dict[str, dict[str, str]], list[str]]:
+    """A table of named references by first letter, and the old names that count without a semicolon, too."""
     by_letter: dict[str, dict[str, str]] = {}
-    for name, char in sorted(html5.items(), key=lambda x: (len(x[0]), x[0])):
+    for name, char in sorted(table.items(), key=lambda x: (len(x[0]), x[0])):
         if name.endswith(";"):
             by_letter.setdefault(name[0], {})[name[:-1]] = char
-    return by_letter, [x for x in html5 if not x.endswith(";")]
+    return by_letter, [x for x in table if not x.endswith(";")]
 
 
-def html_unescape(col: Column) -> Column:
+def html_unescape(col: Column, only: Mapping[str, str] | None = None) -> Column:
     """Character references as characters, each once: named ones of the whole public table, decimal and hexadecimal ones.
 
-    Old names and numbers count without a semicolon, too, as in browsers; what is no reference stays.
+    Old names and numbers count without a semicolon, too, as in browsers; what is no reference stays. With only, a table
+    such as {"lt": "<"}, nothing but its names counts, and those with their semicolon.
     """
-    by_letter, old = _names()
+    by_letter, old = _names(html5 if only is None else {f"{name};": char for name, char in only.items()})
     names = F.from_json(F.lit(json.dumps(by_letter)), "map<string,map<string,string>>")
     lookup = lambda name: F.try_element_at(F.try_element_at(names, F.substring(name, 1, 1)), name)
 
@@ -139,13 +140,14 @@ def html_unescape(col: Column) -> Column:
         """What follows an ampersand."""
         decimal, hexadecimal = F.regexp_extract(part, "^#([0-9]+)", 1), F.regexp_extract(part, "^#[xX]([0-9a-fA-F]+)", 1)
         name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]{0,31});", 1)
-        short = F.regexp_extract(part, f"^({tree_pattern(old)})", 1)
+        short = F.regexp_extract(part, f"^({tree_pattern(old)})", 1) if old else F.lit("")
         rest = lambda n: F.substr(part, F.lit(n + 1) if isinstance(n, int) else n + 1)
         marked = lambda used: F.regexp_replace(F.substr(part, F.length(used) + 1), "^;", "")
         number = F.when(F.length(F.ltrim(F.lit("0"), hexadecimal)) <= 8, F.conv(hexadecimal, 16, 10).try_cast("bigint"))
+        numbers = only is None
         return (
-            F.when(decimal != "", F.concat(numeric_reference(decimal.try_cast("bigint")), marked(F.concat(F.lit("#"), decimal))))
-            .when(hexadecimal != "", F.concat(numeric_reference(number), marked(F.concat(F.lit("#x"), hexadecimal))))
+            F.when(F.lit(numbers) & (decimal != ""), F.concat(numeric_reference(decimal.try_cast("bigint")), marked(F.concat(F.lit("#"), decimal))))
+            .when(F.lit(numbers) & (hexadecimal != ""), F.concat(numeric_reference(number), marked(F.concat(F.lit("#x"), hexadecimal))))
             .when((name != "") & lookup(name).isNotNull(), F.concat(lookup(name), rest(F.length(name) + 1)))
             .when(short != "", F.concat(lookup(short), rest(F.length(short))))
             .otherwise(F.concat(F.lit("&"), part))

@@ -7,6 +7,7 @@ import random
 import re
 from urllib.parse import urljoin
 
+import duckdb
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from eventlake.functions import matching, text, times
 from eventlake.operators import extract, lookup, normalize, reshape, rules, validate
 from eventlake.operators.rules import Rule
+from eventlake.plans import source_queries  # noqa: F401
+from eventlake.plans.registry import QUERIES, SQL
 from eventlake.sources import readers, writers
 from eventlake.streaming.curate import curate_stream
 
@@ -374,3 +377,13 @@ def test_calendar_of_over_a_million_events(spark):
     df = spark.range(1).select(F.concat(F.lit("BEGIN:VCALENDAR\n"), F.repeat(F.lit("BEGIN:VEVENT\nUID:a\nEND:VEVENT\n"), 1_000_001)).alias("text"))
     df = df.union(spark.createDataFrame([(None,), ("",)], "text string"))
     assert readers.parse_ics(df, "text").filter("uid = 'a'").count() == 1_000_001
+
+
+def test_pages_with_unfinished_references_unescape_as_in_sql(spark, tmp_path):
+    pages = ["cut&amp</title>", "a &quot</h1>", "x=1&copy=2&lt", "&amp;lt; &amp;amp; &&amp;; &lt;p&gt; &quot;&copy;&middot;", "&eacute; &nbsp; &#39; &#x27; &AMP; &LT;", "&", "&;", "", "none", None]
+    spark.createDataFrame(list(enumerate(pages)), "page_id bigint, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = QUERIES["x06_html_unescape"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(map(tuple, got.select("page_id", "digest", "letter").collect())) == sorted(con.execute(SQL["x06_html_unescape"]).fetchall())
+    assert one(spark, text.html_unescape(F.lit("cut&amp</title> &lt;&eacute;&#39;"), {"lt": "<"})) == "cut&amp</title> <&eacute;&#39;"
