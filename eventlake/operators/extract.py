@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,26 +81,57 @@ def repair_json(raw: Column, broken_end: str, suffix: str) -> Column:
     return F.when(F.try_parse_json(fixed).isNotNull(), fixed)
 
 
-#: Stand-ins of brackets that are done with ([, ], {, }) and of those inside strings.
-_DONE, _INSIDE = "\ufdd0\ufdd1\ufdd2\ufdd3", "\ufdd4\ufdd5\ufdd6\ufdd7"
-_STRING = r'"(?:[^"\\]|\\.)*"'
+#: Stand-ins of brackets that are done with ([, ], {, }) and of those inside strings, and a mark: control characters, which
+#: stand in JSON text as escapes only.
+_DONE, _INSIDE, _MARK = "\x01\x02\x03\x04", "\x05\x06\x07\x08", "\x0e"
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_SCALAR = rf'\{{"(?:stringValue|timestampValue|integerValue|booleanValue|nullValue)":({_STRING}|[^\[\]{{}},"]+)\}}'
+#: What opens a typed list or map that is not empty.
+_OPENS = r'\{"(?:arrayValue":\{"values":(\[)|mapValue":\{"fields":(\{))'
+#: An object of another kind, with objects but no scalars of known kinds in it. A brace before a quote is inside a string
+#: only if what follows the quote can follow a string.
+_OTHER = rf'\{{(?="[^,:\]}}])(?:[^"\[\]{{}}]++|{_STRING}|\{{(?!"(?:string|timestamp|integer|boolean|null)Value":)(?:[^"\[\]{{}}]++|{_STRING})*+\}})*+\}}'
+#: Text without stand-ins and marks, and without two closing braces in a row inside a string.
+_SAFE = rf'^(?:[^"{_DONE}{_INSIDE}{_MARK}]++|"[^"\\}}{_DONE}{_INSIDE}{_MARK}]*+(?:(?:\\.|\}}(?!\}}))[^"\\}}{_DONE}{_INSIDE}{_MARK}]*+)*+")*+\z'
+#: Marked text in which every bracket is a string's, another kind's or a typed list's or map's.
+_WHOLE = rf'^(?:[^"\[\]{{}}]++|{_STRING}|[\[{{]{_MARK}|[\]}}]\}}\}}|\{{\}}{_MARK}|{_OTHER}{_MARK})*+\z'
 
 
-def _plain_json(value: Column) -> Column:
-    """JSON text of a typed value, at any depth: scalars lose their types at once, then lists and maps from the innermost
-    outwards, as often as brackets are nested; brackets that are done with are replaced, so that each pass sees the next."""
-    for c in _DONE + _INSIDE:  # never in a text but escaped, which is the same
-        value = F.replace(value, F.lit(c), F.lit(f"\\u{ord(c):04x}"))
-    tokens = F.regexp_extract_all(value, F.lit(rf'{_STRING}|[^"]+'), F.lit(0))
-    text = F.array_join(F.transform(tokens, lambda t: F.when(t.startswith('"'), F.translate(t, "[]{}", _INSIDE)).otherwise(t)), "")
-    text = F.regexp_replace(text, rf'\{{"(?:stringValue|timestampValue|integerValue|booleanValue|nullValue)":({_STRING}|[^\[\]{{}},"]+)\}}', "$1")
-    depth = F.aggregate(F.regexp_extract_all(text, F.lit(r"[\[\]{}]"), F.lit(0)), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda a, x: F.struct(
-        (a["now"] + F.when(x.isin("[", "{"), 1).otherwise(-1)).alias("now"), F.greatest(a["most"], a["now"] + 1).alias("most")))["most"]
-    inner, (l, r, m, n) = r"([^\[\]{}]*)", _DONE
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is evaluated once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _each(text: Column, old: Sequence[str], new: Sequence[str]) -> Column:
+    for a, b in zip(old, new, strict=True):
+        text = F.replace(text, F.lit(a), F.lit(b))
+    return text
+
+
+def _masked(text: Column) -> Column:
+    """JSON text with stand-ins for brackets inside strings."""
+    used = _DONE + _INSIDE + _MARK
+    text = F.when(text.rlike(f"[{used}]"), _each(text, used, [f"\\u{ord(c):04x}" for c in used])).otherwise(text)
+    tokens = F.regexp_extract_all(text, F.lit(rf'{_STRING}|[^"]+'), F.lit(0))
+    return F.array_join(F.transform(tokens, lambda t: F.when(t.startswith('"') & t.rlike(r"[\[\]{}]"), F.translate(t, "[]{}", _INSIDE)).otherwise(t)), "")
+
+
+def _at_once(text: Column) -> Column:
+    """A typed value without its types, in a fixed number of scans: one takes the types off scalars and openings, and marks
+    these and objects of other kinds. If nothing else is left, every ]}} ends a list, and the other closing braces end maps,
+    three each. Null if something else is left."""
+    opened = F.regexp_replace(F.replace(text, F.lit('{"arrayValue":{}}'), F.lit('{"arrayValue":{"values":[]}}')), rf'{_OPENS}|{_SCALAR}|\{{"mapValue":(\{{\}})\}}|({_OTHER})', f"$1$2$3$4$5{_MARK}")
+    return _once(opened, lambda t: F.when(t.rlike(_WHOLE), _each(t, ("]}}", "}}}", _MARK), ("]", "}", ""))))
+
+
+def _level_by_level(text: Column) -> Column:
+    """A typed value without its types, lists and maps from the innermost outwards: brackets that are done with are replaced,
+    so that each pass sees the next. What opens as a typed list or map and has something beside its values or fields stays
+    as it is."""
+    inner, (l, r, m, n) = r"([^\[\]{}]*+)", _DONE
     passes = (
-        (r'\{"arrayValue":\{\}\}', l + r), (r'\{"mapValue":\{\}\}', m + n),
-        (rf'\{{"arrayValue":\{{"values":\[{inner}\]\}}\}}', f"{l}$1{r}"), (rf'\{{"mapValue":\{{"fields":\{{{inner}\}}\}}\}}', f"{m}$1{n}"),
-        (rf'(?<!"arrayValue":\{{"values":)\[{inner}\]', f"{l}$1{r}"), (rf'(?<!"mapValue":\{{"fields":)(?:(?<!"mapValue":)\{{{inner}\}}|\{{(?!"fields":){inner}\}})', f"{m}$1$2{n}"),
+        (rf"{_MARK}\[{inner}\](?!\}}\}})", f'{{"arrayValue":{{"values":{l}$1{r}'), (rf"{_MARK}\{{{inner}\}}(?!\}}\}})", f'{{"mapValue":{{"fields":{m}$1{n}'),
+        (rf"{_MARK}\[{inner}\]\}}\}}|(?<!{_MARK})\[{inner}\]", f"{l}$1$2{r}"), (rf"{_MARK}\{{{inner}\}}\}}\}}|(?<!{_MARK})\{{{inner}\}}", f"{m}$1$2{n}"),
     )
 
     def once(t: Column) -> Column:
@@ -108,7 +139,21 @@ def _plain_json(value: Column) -> Column:
             t = F.regexp_replace(t, pattern, new)
         return t
 
-    return F.translate(F.aggregate(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), text, lambda t, _: once(t)), _DONE + _INSIDE, "[]{}[]{}")
+    def every(t: Column) -> Column:
+        step = lambda a, x: F.struct(
+            (a["now"] + F.when(x.startswith(_MARK), 3).when(x.isin("[", "{"), 1).otherwise(-1)).alias("now"), F.greatest(a["most"], a["now"] + 1).alias("most"))
+        depth = F.aggregate(F.regexp_extract_all(t, F.lit(rf"{_MARK}?[\[\]{{}}]"), F.lit(0)), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step)["most"]
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), t, lambda t, _: F.when(t.rlike(r"[\[\]{}]"), once(t)).otherwise(t))
+
+    text = _each(F.regexp_replace(text, _SCALAR, "$1"), ('{"arrayValue":{}}', '{"mapValue":{}}'), (l + r, m + n))
+    return _each(_once(F.regexp_replace(text, _OPENS, f"{_MARK}$1$2"), every), _DONE, "[]{}")
+
+
+def _plain_json(value: Column) -> Column:
+    """JSON text of a typed value, at any depth: at once if it has typed lists, maps and small objects of other kinds only,
+    else level by level."""
+    whole = lambda t: _each(F.coalesce(_at_once(t), _level_by_level(t)), _INSIDE, "[]{}")
+    return F.coalesce(F.when(value.rlike(_SAFE), _at_once(value)), _once(_masked(value), whole))
 
 
 def unwrap_typed_values(raw: Column, field: str) -> Column:
@@ -117,7 +162,11 @@ def unwrap_typed_values(raw: Column, field: str) -> Column:
     Scalars become plain text; arrays and maps, nested in each other to any depth, become JSON text. Unknown kinds stay
     as typed JSON; an absent field or a null value is null.
     """
-    value = F.get_json_object(raw, f"$.fields.{field}")
-    at = lambda kind: F.get_json_object(value, f"$.{kind}")
-    nested = F.when(~value.rlike(r'^\s*\{\s*"nullValue"'), _plain_json(value))
-    return F.coalesce(at("stringValue"), at("timestampValue"), at("booleanValue"), at("integerValue"), nested)
+
+    def plain(value: Column) -> Column:
+        at = lambda kind: F.get_json_object(value, f"$.{kind}")
+        nested = F.when(value.rlike(f"^{_OPENS}") & value.rlike(_SAFE), _at_once(value))  # has no other kind beside it
+        other = F.when(~value.rlike(r'^\s*\{\s*"nullValue"'), _plain_json(value))
+        return F.coalesce(nested, at("stringValue"), at("timestampValue"), at("booleanValue"), at("integerValue"), other)
+
+    return _once(F.get_json_object(raw, f"$.fields.{field}"), plain)

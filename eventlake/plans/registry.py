@@ -30,6 +30,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The rows over all cores, for costly functions of rows from a small file, which is one partition otherwise."""
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 #: DuckDB form of ev().
 EV_SQL = """WITH ev AS (
 SELECT o_orderkey AS event_id,

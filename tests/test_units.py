@@ -5,6 +5,7 @@ import html.entities
 import json
 import random
 import re
+import time
 from urllib.parse import urljoin
 
 import duckdb
@@ -387,3 +388,25 @@ def test_pages_with_unfinished_references_unescape_as_in_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
     assert sorted(map(tuple, got.select("page_id", "digest", "letter").collect())) == sorted(con.execute(SQL["x06_html_unescape"]).fetchall())
     assert one(spark, text.html_unescape(F.lit("cut&amp</title> &lt;&eacute;&#39;"), {"lt": "<"})) == "cut&amp</title> <&eacute;&#39;"
+
+
+def test_typed_values_in_few_scans(spark):
+    typed, plain = {"stringValue": "}} ]}}"}, "}} ]}}"
+    for i in range(90):
+        typed, plain = ({"arrayValue": {"values": [typed, {"doubleValue": 1.5}]}}, [plain, {"doubleValue": 1.5}]) if i % 2 else ({"mapValue": {"fields": {"[k}": typed, "spot": {"geoPointValue": {"latitude": 1.5}}}}}, {"[k}": plain, "spot": {"geoPointValue": {"latitude": 1.5}}})
+    df = spark.range(1500).select(F.concat(F.lit('{"fields":{"v":'), F.replace(F.lit(json.dumps(typed)), F.lit(" ]"), F.concat(F.lit(" "), F.col("id").cast("string"), F.lit("]"))), F.lit("}}")).alias("raw"))
+    df.limit(1).select(extract.unwrap_typed_values(F.col("raw"), "v")).collect()
+    start = time.monotonic()
+    got = df.select(extract.unwrap_typed_values(F.col("raw"), "v").alias("v")).collect()
+    assert time.monotonic() - start < 25
+    assert [json.loads(x["v"]) for x in got] == [json.loads(json.dumps(plain).replace(" ]", f" {i}]")) for i in range(1500)]
+
+
+def test_typed_values_keep_what_is_of_no_kind(spark):
+    long = 'a"b' * 20_000
+    beside = {"arrayValue": {"values": [{"integerValue": "1"}], "x": {"mapValue": {"fields": {"y": {"stringValue": long}}}}}}
+    cases = {"a": {"mapValue": {"fields": {"b": beside, "c": {"arrayValue": {"values": [{"integerValue": "2"}]}}}}}, "d": {"mapValue": {"fields": {}}, "stringValue": "x"}, "e": {"arrayValue": {"values": [{"stringValue": long}]}}}
+    want = {"a": {"b": {"arrayValue": {"values": ["1"], "x": {"y": long}}}, "c": ["2"]}, "e": [long]}
+    for name, value in want.items():
+        assert json.loads(one(spark, extract.unwrap_typed_values(F.col("x"), name), x=json.dumps({"fields": cases}))) == value, name
+    assert one(spark, extract.unwrap_typed_values(F.col("x"), "d"), x=json.dumps({"fields": cases})) == "x"
