@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import groupby
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,55 +38,140 @@ ERRORS = ("required", "type", "enum")
 _FAULT = "array<struct<path: string, kind: string>>"
 
 
-def json_type(value: Column) -> Column:
-    """Type of a variant by its JSON name; null for an absent one."""
-    kind = F.schema_of_variant(value)
-    named = F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").when(kind == "VOID", "null")
-    return F.when(value.isNotNull(), named.otherwise("number"))
+class _Value:
+    """A place in a JSON value: the root, or a member of another place. Once bound, variant and kind are its columns."""
 
+    def __init__(self, variant: Column | None = None, of: _Value | None = None, name: str = ""):
+        self.variant, self.of, self.name, self.kind = variant, of, name, None
+        self.members: dict[str, _Value] = {}
+        self.likely: set[str] = set()
 
-def faults(value: Column, shape: Shape, path: Column) -> Column:
-    """What is wrong with a variant: an array of the JSON path and the kind of each fault, outer ones first.
+    def member(self, name: str) -> _Value:
+        return self.members.setdefault(name, _Value(of=self, name=name))
 
-    The shape becomes one expression, whatever its depth. What a shape doesn't name is free and an absent value has no
-    faults; null is a value. Of alternatives only that none fits is told.
-    """
-    none = F.array().cast(_FAULT)
-    kind = json_type(value)
-    text = F.try_variant_get(value, "$", "string")
-    when = lambda bad, what, at=path: F.when(bad, F.array(F.struct(at.alias("path"), F.lit(what).alias("kind")))).otherwise(none)
-    out = []
+    def read(self) -> Column:
+        return self.variant if self.of is None else F.try_variant_get(self.of.variant, f'$["{self.name}"]', "variant")
+
+    def read_kind(self) -> Column:
+        """The variant's type. One cast tells objects and arrays where they are likely: the whole schema takes all of them."""
+        out = F.schema_of_variant(self.variant)
+        for kind, cast in (("array", "array<struct<>>"), ("object", "struct<>")):
+            if kind in self.likely:
+                out = F.when(F.try_variant_get(self.variant, "$", cast).isNotNull(), kind.upper()).otherwise(out)
+        return out
+
+    def is_one_of(self, *types: str) -> Column:
+        """Whether it is of one of some JSON types; null if absent."""
+        plain = {"string": "STRING", "boolean": "BOOLEAN", "null": "VOID"}
+        of = lambda names: [self.kind.isin([plain[x] for x in names if x in plain])] + [self.kind.startswith(x.upper()) for x in names if x in ("object", "array")]
+        tests = of(types) + ([~reduce(or_, of((*plain, "object", "array")))] if "number" in types else [])
+        return reduce(or_, tests)
+
+
+def _places(value: _Value, shape: Shape) -> None:
+    """Make the places that a shape names, and note what they are likely to be."""
+    value.likely |= {x for x in ("object", "array") if x in shape.types} | ({"array"} if shape.items is not None else set()) | ({"object"} if shape.required or shape.properties else set())
+    for name in shape.required:
+        value.member(name)
+    for name, own in shape.properties.items():
+        _places(value.member(name), own)
+    for own in shape.any_of:
+        _places(value, own)
+
+
+def _bound(values: list[_Value], f: Callable[[], Column]) -> Column:
+    """f(), where the variants and kinds of all places below some are each evaluated once: places of one depth are a struct
+    that a lambda function takes, with the kinds of those above."""
+
+    def level(above: list[_Value], here: list[_Value]) -> Column:
+        def inside(x: Column) -> Column:
+            for i, v in enumerate(above):
+                v.kind = x[f"k{i}"]
+            for i, v in enumerate(here):
+                v.variant = x[f"v{i}"]
+            return level(here, [m for v in here for m in v.members.values()]) if here else f()
+
+        fields = [v.read_kind().alias(f"k{i}") for i, v in enumerate(above)] + [v.read().alias(f"v{i}") for i, v in enumerate(here)]
+        return F.get(F.transform(F.array(F.struct(*fields)), inside), F.lit(0))
+
+    return level([], values)
+
+
+def _own_faults(value: _Value, shape: Shape) -> list[tuple[Column, str, str]]:
+    """What can be wrong with a value itself: when it is, the name of the property it is about if any, the kind of fault."""
+    text, out = F.try_variant_get(value.variant, "$", "string"), []
     if shape.types:
-        good = kind.isin(list(shape.types))
+        good = value.is_one_of(*shape.types)
         if "integer" in shape.types:
-            number = F.try_variant_get(value, "$", "double")
-            good = good | ((kind == "number") & (number == F.floor(number)))
-        out.append(when(~good, "type"))
+            number = F.try_variant_get(value.variant, "$", "double")
+            good = good | (value.is_one_of("number") & (number == F.floor(number)))
+        out.append((~good, "", "type"))
     if shape.enum:
-        out.append(when(~F.to_json(value).isin([json.dumps(x, ensure_ascii=False, separators=(",", ":")) for x in shape.enum]), "enum"))
+        texts, flags = [x for x in shape.enum if isinstance(x, str)], [x for x in shape.enum if isinstance(x, bool)]
+        numbers = [json.dumps(x) for x in shape.enum if isinstance(x, (int, float)) and not isinstance(x, bool)]
+        tests = [value.is_one_of("string") & text.isin(texts)] if texts else []
+        tests += [value.is_one_of("boolean") & F.try_variant_get(value.variant, "$", "boolean").isin(flags)] if flags else []
+        tests += [value.is_one_of("number") & F.to_json(value.variant).isin(numbers)] if numbers else []
+        tests += [value.is_one_of("null")] if None in shape.enum else []
+        out.append((~reduce(or_, tests), "", "enum"))
     if shape.pattern is not None:
-        out.append(when((kind == "string") & ~text.rlike(shape.pattern), "pattern"))
+        out.append((value.is_one_of("string") & ~text.rlike(shape.pattern), "", "pattern"))
     if shape.min_length is not None:
-        out.append(when((kind == "string") & (F.length(text) < shape.min_length), "minLength"))
-    member = lambda name: F.try_variant_get(value, f'$["{name}"]', "variant")
-    at = lambda name: F.concat(path, F.lit(f".{name}"))
-    out += [when((kind == "object") & member(name).isNull(), "required", at(name)) for name in shape.required]
-    out += [faults(member(name), own, at(name)) for name, own in shape.properties.items()]
+        out.append((value.is_one_of("string") & (F.length(text) < shape.min_length), "", "minLength"))
+    return out + [(value.is_one_of("object") & value.member(name).variant.isNull(), name, "required") for name in shape.required]
+
+
+def _listed(value: _Value) -> Column:
+    return F.when(value.is_one_of("array"), F.try_variant_get(value.variant, "$", "array<variant>"))
+
+
+def _wrong(value: _Value, shape: Shape) -> Column:
+    """Whether a bound value has a fault; false if it is absent."""
+    tests = [bad for bad, _, _ in _own_faults(value, shape)] + [_wrong(value.member(name), own) for name, own in shape.properties.items()]
+    if shape.items is not None:
+        tests.append(F.exists(_listed(value), lambda x: ~fits(x, shape.items)))
+    if shape.any_of:
+        tests.append(value.variant.isNotNull() & reduce(and_, [_wrong(value, own) for own in shape.any_of]))
+    return reduce(or_, [F.coalesce(x, F.lit(False)) for x in tests], F.lit(False))
+
+
+def _told(value: _Value, shape: Shape, path: Column) -> list[tuple[str, Column]]:
+    """Faults of a bound value in order: single ones, null if all is well, and arrays of them."""
+    at = lambda name: F.concat(path, F.lit(f".{name}")) if name else path
+    fault = lambda bad, name, kind: ("one", F.when(bad, F.struct(at(name).alias("path"), F.lit(kind).alias("kind"))))
+    out = [fault(*x) for x in _own_faults(value, shape)]
+    for name, own in shape.properties.items():
+        out += _told(value.member(name), own, at(name))
     if shape.items is not None:
-        listed = F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
-        inner = F.flatten(F.transform(listed, lambda x, i: faults(x, shape.items, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
-        out.append(F.when(kind == "array", inner).otherwise(none))
+        inner = F.transform(_listed(value), lambda x, i: faults(x, shape.items, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
+        out.append(("many", F.coalesce(F.flatten(inner), F.array().cast(_FAULT))))
     if shape.any_of:
-        some = F.lit(False)
-        for own in shape.any_of:
-            some = some | fits(value, own)
-        out.append(when(~some, "anyOf"))
-    return F.when(value.isNotNull(), F.concat(*out) if out else none).otherwise(none)
+        out.append(fault(value.variant.isNotNull() & reduce(and_, [_wrong(value, own) for own in shape.any_of]), "", "anyOf"))
+    return out
+
+
+def faults(value: Column, shape: Shape, path: Column) -> Column:
+    """What is wrong with a variant: an array of the JSON path and the kind of each fault, outer ones first.
+
+    The shape becomes one expression, whatever its depth, which reads each place of the value once. What a shape doesn't name
+    is free and an absent value has no faults; null is a value. Of alternatives only that none fits is told.
+    """
+    root = _Value(value)
+    _places(root, shape)
+
+    def every() -> Column:
+        runs = [(kind, [x for _, x in some]) for kind, some in groupby(_told(root, shape, path), key=lambda x: x[0])]
+        arrays = [x for kind, some in runs for x in ([F.array_compact(F.array(*some))] if kind == "one" else some)]
+        return F.concat(*arrays) if arrays else F.array().cast(_FAULT)
+
+    return _bound([root], every)
 
 
 def fits(value: Column, shape: Shape) -> Column:
     """Whether a variant has a shape."""
-    return F.size(faults(value, shape, F.lit("$"))) == 0
+    root = _Value(value)
+    _places(root, shape)
+    return _bound([root], lambda: ~_wrong(root, shape))
 
 
 @dataclass

@@ -410,3 +410,18 @@ def test_typed_values_keep_what_is_of_no_kind(spark):
     for name, value in want.items():
         assert json.loads(one(spark, extract.unwrap_typed_values(F.col("x"), name), x=json.dumps({"fields": cases}))) == value, name
     assert one(spark, extract.unwrap_typed_values(F.col("x"), "d"), x=json.dumps({"fields": cases})) == "x"
+
+
+def test_faults_of_deep_shapes_read_each_place_once(spark):
+    S = validate.Shape
+    shape, value, want = S(("integer",), enum=(1,)), 2.5, [("", "type"), ("", "enum")]
+    for i in range(10):
+        shape, value = S(("object", "array"), required=("a", "b"), properties={"a": shape, "A": S(("string",), pattern="x")}, min_length=1), {"a": value, "A": "y" if i == 9 else "x", "b": None}
+        want = ([(".A", "pattern")] if i == 9 else []) + want
+        want = [(f".a{p}" if (p, k) != (".A", "pattern") else p, k) for p, k in want]
+    want = sorted(want)
+    df = spark.range(200).select(F.lit(json.dumps(value)).alias("raw"))
+    start = time.monotonic()
+    got = df.select(validate.faults(F.try_parse_json("raw"), shape, F.lit("$")).alias("f")).collect()
+    assert time.monotonic() - start < 30
+    assert all(sorted((x["path"][1:], x["kind"]) for x in row["f"]) == want for row in got) and len(got) == 200
