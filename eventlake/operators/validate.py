@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import groupby
@@ -39,38 +39,89 @@ _FAULT = "array<struct<path: string, kind: string>>"
 
 
 class _Value:
-    """A place in a JSON value: the root, or a member of another place. Once bound, variant and kind are its columns."""
+    """A place in a JSON value: the root, or a member of another place. Once bound, its columns are usable.
 
-    def __init__(self, variant: Column | None = None, of: _Value | None = None, name: str = ""):
-        self.variant, self.of, self.name, self.kind = variant, of, name, None
+    One cast of the root gives the members of all objects below it as nested structs, whose leaves are variants; places with
+    members are variants only where that says that they are no objects.
+    """
+
+    def __init__(self, root: _Value | None = None, path: str = "$"):
+        self.root, self.path = root or self, path
         self.members: dict[str, _Value] = {}
-        self.likely: set[str] = set()
+        self.whole = self.read = self.kind_read = self.list_read = None
+        self.with_kind = self.with_object = self.with_list = False
 
     def member(self, name: str) -> _Value:
-        return self.members.setdefault(name, _Value(of=self, name=name))
-
-    def read(self) -> Column:
-        return self.variant if self.of is None else F.try_variant_get(self.of.variant, f'$["{self.name}"]', "variant")
-
-    def read_kind(self) -> Column:
-        """The variant's type. One cast tells objects and arrays where they are likely: the whole schema takes all of them."""
+        return self.members.setdefault(name, _Value(self.root, f'{self.path}["{name}"]'))
+
+    def by_name(self) -> dict[str, _Value]:
+        """The members that a struct can tell apart by name, whatever the case."""
+        first: dict[str, tuple[str, _Value]] = {}
+        for name, v in self.members.items():
+            first.setdefault(name.casefold(), (name, v))
+        return dict(first.values())
+
+    def every(self) -> list[_Value]:
+        return [self, *[x for m in self.members.values() for x in m.every()]]
+
+    def struct(self) -> str:
+        own = ", ".join(f"`{name.replace('`', '``')}`: {v.struct()}" for name, v in self.by_name().items())
+        return f"struct<{own}>" if own else "variant"
+
+    def bind(self, read: Column | None) -> None:
+        """Take what the root's cast gives, here and below."""
+        self.read = read
+        named = self.by_name()
+        for name, v in self.members.items():
+            v.bind(None if read is None or name not in named else read[name])
+
+    @property
+    def variant(self) -> Column:
+        if self is self.root:
+            return self.whole
+        return self.read if self.read is not None and not self.members else F.try_variant_get(self.root.whole, self.path, "variant")
+
+    def is_null(self) -> Column:
+        return self.read.isNull() & self.variant.isNull() if self.read is not None and self.members else self.variant.isNull()
+
+    def is_object(self) -> Column:
+        return self.read.isNotNull() if self.read is not None and self.members else self.kind.startswith("OBJECT")
+
+    @property
+    def kind(self) -> Column:
+        return self.kind_read if self.kind_read is not None else self.find_kind()
+
+    def find_kind(self) -> Column:
+        """The variant's type; what is likely to be an object or list is not looked into."""
         out = F.schema_of_variant(self.variant)
-        for kind, cast in (("array", "array<struct<>>"), ("object", "struct<>")):
-            if kind in self.likely:
-                out = F.when(F.try_variant_get(self.variant, "$", cast).isNotNull(), kind.upper()).otherwise(out)
-        return out
+        if self.with_list:
+            out = F.when(self.listed().isNotNull(), "ARRAY").otherwise(out)
+        if self.with_object and not self.members:
+            out = F.when(F.try_variant_get(self.variant, "$", "struct<>").isNotNull(), "OBJECT").otherwise(out)
+        return F.when(self.read.isNotNull(), "OBJECT").otherwise(out) if self.read is not None and self.members else out
+
+    def listed(self) -> Column:
+        return self.list_read if self.list_read is not None else F.try_variant_get(self.variant, "$", "array<variant>")
 
     def is_one_of(self, *types: str) -> Column:
         """Whether it is of one of some JSON types; null if absent."""
         plain = {"string": "STRING", "boolean": "BOOLEAN", "null": "VOID"}
-        of = lambda names: [self.kind.isin([plain[x] for x in names if x in plain])] + [self.kind.startswith(x.upper()) for x in names if x in ("object", "array")]
+
+        def of(names: Sequence[str]) -> list[Column]:
+            found = [self.kind.isin([plain[x] for x in names if x in plain])] if set(names) & set(plain) else []
+            found += [self.is_object()] if "object" in names else []
+            return found + ([self.kind.startswith("ARRAY")] if "array" in names else [])
+
         tests = of(types) + ([~reduce(or_, of((*plain, "object", "array")))] if "number" in types else [])
-        return reduce(or_, tests)
+        found = reduce(or_, tests or [F.lit(False)])
+        return F.when(~self.is_null(), found) if self.members else found  # without members, the kind of an absent one is null
 
 
 def _places(value: _Value, shape: Shape) -> None:
-    """Make the places that a shape names, and note what they are likely to be."""
-    value.likely |= {x for x in ("object", "array") if x in shape.types} | ({"array"} if shape.items is not None else set()) | ({"object"} if shape.required or shape.properties else set())
+    """Make the places that a shape names, and note what has to be known of them."""
+    value.with_object |= "object" in shape.types
+    value.with_list |= shape.items is not None
+    value.with_kind |= bool(shape.types or shape.enum) or shape.pattern is not None or shape.min_length is not None or shape.items is not None
     for name in shape.required:
         value.member(name)
     for name, own in shape.properties.items():
@@ -79,22 +130,45 @@ def _places(value: _Value, shape: Shape) -> None:
         _places(value, own)
 
 
-def _bound(values: list[_Value], f: Callable[[], Column]) -> Column:
-    """f(), where the variants and kinds of all places below some are each evaluated once: places of one depth are a struct
-    that a lambda function takes, with the kinds of those above."""
+def _let(columns: dict[str, Column], f: Callable[[Column], Column]) -> Column:
+    """f of a struct of columns that are evaluated once, however often f names them."""
+    return F.get(F.transform(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])), f), F.lit(0))
+
+
+def _readings(root: _Value) -> Iterator[dict[str, Column]]:
+    """What to evaluate once, in turns: the members below the bound root, and then their lists and kinds. Each turn is sent
+    a function that gives the evaluated columns by name."""
+    if root.members:
+        got = yield {"read": F.try_variant_get(root.whole, "$", root.struct())}
+        root.bind(got("read"))
+    some = {f"l{i}": v for i, v in enumerate(root.every()) if v.with_list}
+    if some:
+        got = yield {name: v.listed() for name, v in some.items()}
+        for name, v in some.items():
+            v.list_read = got(name)
+    some = {f"k{i}": v for i, v in enumerate(root.every()) if v.with_kind and not v.members}
+    if some:
+        got = yield {name: v.find_kind() for name, v in some.items()}
+        for name, v in some.items():
+            v.kind_read = got(name)
 
-    def level(above: list[_Value], here: list[_Value]) -> Column:
-        def inside(x: Column) -> Column:
-            for i, v in enumerate(above):
-                v.kind = x[f"k{i}"]
-            for i, v in enumerate(here):
-                v.variant = x[f"v{i}"]
-            return level(here, [m for v in here for m in v.members.values()]) if here else f()
 
-        fields = [v.read_kind().alias(f"k{i}") for i, v in enumerate(above)] + [v.read().alias(f"v{i}") for i, v in enumerate(here)]
-        return F.get(F.transform(F.array(F.struct(*fields)), inside), F.lit(0))
+def _bound(value: Column, root: _Value, f: Callable[[], Column]) -> Column:
+    """f(), where all readings of a value are each evaluated once."""
+    turns = _readings(root)
 
-    return level([], values)
+    def turn(got: Callable[[str], Column] | None) -> Column:
+        try:
+            columns = turns.send(got)
+        except StopIteration:
+            return f()
+        return _let(columns, lambda x: turn(lambda name: x[name]))
+
+    def start(x: Column) -> Column:
+        root.whole = x
+        return turn(None)
+
+    return F.get(F.transform(F.array(value), start), F.lit(0))
 
 
 def _own_faults(value: _Value, shape: Shape) -> list[tuple[Column, str, str]]:
@@ -104,7 +178,7 @@ def _own_faults(value: _Value, shape: Shape) -> list[tuple[Column, str, str]]:
         good = value.is_one_of(*shape.types)
         if "integer" in shape.types:
             number = F.try_variant_get(value.variant, "$", "double")
-            good = good | (value.is_one_of("number") & (number == F.floor(number)))
+            good = (value.kind == "BIGINT") | good | (value.is_one_of("number") & (number == F.floor(number)))
         out.append((~good, "", "type"))
     if shape.enum:
         texts, flags = [x for x in shape.enum if isinstance(x, str)], [x for x in shape.enum if isinstance(x, bool)]
@@ -118,35 +192,31 @@ def _own_faults(value: _Value, shape: Shape) -> list[tuple[Column, str, str]]:
         out.append((value.is_one_of("string") & ~text.rlike(shape.pattern), "", "pattern"))
     if shape.min_length is not None:
         out.append((value.is_one_of("string") & (F.length(text) < shape.min_length), "", "minLength"))
-    return out + [(value.is_one_of("object") & value.member(name).variant.isNull(), name, "required") for name in shape.required]
-
-
-def _listed(value: _Value) -> Column:
-    return F.when(value.is_one_of("array"), F.try_variant_get(value.variant, "$", "array<variant>"))
+    return out + [(value.is_one_of("object") & value.member(name).is_null(), name, "required") for name in shape.required]
 
 
 def _wrong(value: _Value, shape: Shape) -> Column:
     """Whether a bound value has a fault; false if it is absent."""
     tests = [bad for bad, _, _ in _own_faults(value, shape)] + [_wrong(value.member(name), own) for name, own in shape.properties.items()]
     if shape.items is not None:
-        tests.append(F.exists(_listed(value), lambda x: ~fits(x, shape.items)))
+        tests.append(F.exists(value.listed(), lambda x: ~fits(x, shape.items)))
     if shape.any_of:
-        tests.append(value.variant.isNotNull() & reduce(and_, [_wrong(value, own) for own in shape.any_of]))
+        tests.append(~value.is_null() & reduce(and_, [_wrong(value, own) for own in shape.any_of]))
     return reduce(or_, [F.coalesce(x, F.lit(False)) for x in tests], F.lit(False))
 
 
-def _told(value: _Value, shape: Shape, path: Column) -> list[tuple[str, Column]]:
-    """Faults of a bound value in order: single ones, null if all is well, and arrays of them."""
+def _told(value: _Value, shape: Shape, path: Column) -> list[tuple[Column | None, Column]]:
+    """Faults of a bound value in order: when there is one and the fault, or None and an array of faults."""
     at = lambda name: F.concat(path, F.lit(f".{name}")) if name else path
-    fault = lambda bad, name, kind: ("one", F.when(bad, F.struct(at(name).alias("path"), F.lit(kind).alias("kind"))))
+    fault = lambda bad, name, kind: (bad, F.struct(at(name).alias("path"), F.lit(kind).alias("kind")))
     out = [fault(*x) for x in _own_faults(value, shape)]
     for name, own in shape.properties.items():
         out += _told(value.member(name), own, at(name))
     if shape.items is not None:
-        inner = F.transform(_listed(value), lambda x, i: faults(x, shape.items, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
-        out.append(("many", F.coalesce(F.flatten(inner), F.array().cast(_FAULT))))
+        inner = F.transform(value.listed(), lambda x, i: faults(x, shape.items, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
+        out.append((None, F.coalesce(F.flatten(inner), F.array().cast(_FAULT))))
     if shape.any_of:
-        out.append(fault(value.variant.isNotNull() & reduce(and_, [_wrong(value, own) for own in shape.any_of]), "", "anyOf"))
+        out.append(fault(~value.is_null() & reduce(and_, [_wrong(value, own) for own in shape.any_of]), "", "anyOf"))
     return out
 
 
@@ -156,22 +226,49 @@ def faults(value: Column, shape: Shape, path: Column) -> Column:
     The shape becomes one expression, whatever its depth, which reads each place of the value once. What a shape doesn't name
     is free and an absent value has no faults; null is a value. Of alternatives only that none fits is told.
     """
-    root = _Value(value)
+    root = _Value()
     _places(root, shape)
 
     def every() -> Column:
-        runs = [(kind, [x for _, x in some]) for kind, some in groupby(_told(root, shape, path), key=lambda x: x[0])]
-        arrays = [x for kind, some in runs for x in ([F.array_compact(F.array(*some))] if kind == "one" else some)]
-        return F.concat(*arrays) if arrays else F.array().cast(_FAULT)
+        runs = groupby(_told(root, shape, path), key=lambda x: x[0] is None)
+        arrays = [x for many, some in runs for x in ([x for _, x in some] if many else [F.array_compact(F.array(*[F.when(bad, x) for bad, x in some]))])]
+        return F.concat(*arrays) if len(arrays) > 1 else arrays[0] if arrays else F.array().cast(_FAULT)
 
-    return _bound([root], every)
+    return _bound(value, root, every)
+
+
+def with_faults(df: DataFrame, values: Mapping[str, Column], shapes: Mapping[str, Shape], out: str) -> DataFrame:
+    """Add the faults of several variants, each by the name its paths begin with, as one array.
+
+    The readings are columns of their own, in one projection for each turn, which is compiled; in a lambda function it is not.
+    """
+    roots, none, before = {name: _Value() for name in shapes}, F.array().cast(_FAULT), list(df.columns)
+    df = df.withColumns({f"_{out}_{i}": values[name] for i, name in enumerate(shapes)})
+    turns: dict[int, tuple[Iterator, Callable | None]] = {}
+    for i, (name, shape) in enumerate(shapes.items()):
+        _places(roots[name], shape)
+        roots[name].whole = F.col(f"_{out}_{i}")
+        turns[i] = (_readings(roots[name]), None)
+    while turns:
+        columns = {}
+        for i, (turn, got) in list(turns.items()):
+            try:
+                some = turn.send(got)
+            except StopIteration:
+                del turns[i]
+                continue
+            columns |= {f"_{out}_{i}_{name}": x for name, x in some.items()}
+            turns[i] = (turn, lambda name, i=i: F.col(f"_{out}_{i}_{name}"))
+        df = df.withColumns(columns) if columns else df
+    found = [x if bad is None else F.when(bad, F.array(x)).otherwise(none) for name, shape in shapes.items() for bad, x in _told(roots[name], shape, F.lit(name))]
+    return df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in before], (F.concat(none, *found)).alias(out))
 
 
 def fits(value: Column, shape: Shape) -> Column:
     """Whether a variant has a shape."""
-    root = _Value(value)
+    root = _Value()
     _places(root, shape)
-    return _bound([root], lambda: ~_wrong(root, shape))
+    return _bound(value, root, lambda: ~_wrong(root, shape))
 
 
 @dataclass
@@ -202,8 +299,7 @@ def validate_records(df: DataFrame, checks: Checks) -> DataFrame:
         return df.withColumn("errors", pack(errors)).withColumn("warnings", pack(warnings))
     called = F.create_map(*[F.lit(x) for kv in FAULTS.items() for x in kv])
     told = lambda good: F.transform(F.filter("_faults", good), lambda x: F.concat_ws(" ", x["path"], F.element_at(called, x["kind"])))
-    found = F.concat(*[faults(F.try_parse_json(c), s, F.lit(c)) for c, s in checks.shapes.items()])
-    out = df.withColumn("_faults", found)
+    out = with_faults(df, {c: F.try_parse_json(c) for c in checks.shapes}, checks.shapes, "_faults")
     out = out.withColumn("errors", F.concat(pack(errors), told(lambda x: x["kind"].isin(*ERRORS)))).withColumn("warnings", F.concat(pack(warnings), told(lambda x: ~x["kind"].isin(*ERRORS))))
     return out.drop("_faults")
 

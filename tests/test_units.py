@@ -415,13 +415,30 @@ def test_typed_values_keep_what_is_of_no_kind(spark):
 def test_faults_of_deep_shapes_read_each_place_once(spark):
     S = validate.Shape
     shape, value, want = S(("integer",), enum=(1,)), 2.5, [("", "type"), ("", "enum")]
-    for i in range(10):
-        shape, value = S(("object", "array"), required=("a", "b"), properties={"a": shape, "A": S(("string",), pattern="x")}, min_length=1), {"a": value, "A": "y" if i == 9 else "x", "b": None}
-        want = ([(".A", "pattern")] if i == 9 else []) + want
+    for i in range(16):
+        shape, value = S(("object", "array"), required=("a", "b"), properties={"a": shape, "A": S(("string",), pattern="x")}, min_length=1), {"a": value, "A": "y" if i == 15 else "x", "b": None}
+        want = ([(".A", "pattern")] if i == 15 else []) + want
         want = [(f".a{p}" if (p, k) != (".A", "pattern") else p, k) for p, k in want]
     want = sorted(want)
-    df = spark.range(200).select(F.lit(json.dumps(value)).alias("raw"))
+    df = spark.range(50).select(F.concat(F.lit("["), F.array_join(F.array_repeat(F.lit(json.dumps(value)), 300), ","), F.lit("]")).alias("raw"))
     start = time.monotonic()
-    got = df.select(validate.faults(F.try_parse_json("raw"), shape, F.lit("$")).alias("f")).collect()
-    assert time.monotonic() - start < 30
-    assert all(sorted((x["path"][1:], x["kind"]) for x in row["f"]) == want for row in got) and len(got) == 200
+    got = df.select(validate.faults(F.try_parse_json("raw"), S(("array",), items=shape), F.lit("$")).alias("f")).collect()
+    assert time.monotonic() - start < 20
+    assert all(sorted((x["path"][1:], x["kind"]) for x in row["f"]) == sorted((f"[{i}]{p}", k) for i in range(300) for p, k in want) for row in got) and len(got) == 50
+
+
+def test_records_are_read_in_turns_with_the_same_faults(spark):
+    S = validate.Shape
+    shapes = {"a": S(("object",), required=("x", "X"), properties={"x": S(("object", "null"), required=("y`z",)), "X": S(items=S(("integer",))), "w": S(any_of=(S(("string",)), S(properties={"v": S(("array",))})))}), "b": S(), "c": S(enum=(1, "1"))}
+    values = [None, "{", "null", "5", '"1"', "1", "[]", "{}", '{"x": 1, "X": [1, 1.5, 2.0, "a"]}', '{"x": null, "X": {}, "w": 1}', '{"x": {"y`z": 0}, "X": [], "w": {"v": {}}}', '{"X": 1, "w": {"v": []}}']
+    df = spark.createDataFrame([(x, y, z) for x in values for y, z in zip(values, reversed(values), strict=True)], "a string, b string, c string")
+    parsed = {c: F.try_parse_json(c) for c in shapes}
+    want = F.concat(*[validate.faults(parsed[c], s, F.lit(c)) for c, s in shapes.items()])
+    got = validate.with_faults(df.withColumn("want", want), parsed, shapes, "found")
+    assert got.columns == ["a", "b", "c", "want", "found"]
+    rows = got.collect()
+    assert all(x["want"] == x["found"] for x in rows) and len(rows) == len(values) ** 2
+    told_of = lambda raw: {(f["path"], f["kind"]) for x in rows if x["a"] == raw for f in x["found"] if f["path"][0] == "a"}
+    assert told_of(values[8]) == {("a.x", "type"), ("a.X[1]", "type"), ("a.X[3]", "type")}
+    assert told_of(values[9]) == set() and told_of(values[10]) == {("a.w", "anyOf")} and told_of(values[11]) == {("a.x", "required")}
+    assert told_of("{}") == {("a.x", "required"), ("a.X", "required")} and told_of("5") == {("a", "type")} and not told_of(None) and not told_of("{")
